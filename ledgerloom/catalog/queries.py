@@ -386,9 +386,7 @@ def texts_for_paths(t):
 
 @query
 def document_branch(t):
-    flags = R.phrase_flags(
-        R.texts_for_paths(W.document_worklist(S.report_index(t)), R.slice_documents(S.reports(t)))
-    )
+    flags = R.flag_paths(W.document_worklist(S.report_index(t)), S.reports(t))
     return views.document_dataset(flags, S.report_index(t), entity_master(t))
 
 

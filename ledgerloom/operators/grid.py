@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.cells import cell, clean_cells, filled_cells, strip, to_key
 from ledgerloom.operators.neighbours import WIDTH, running_last, with_neighbours
+from ledgerloom.session import settle
 
 FILE = "source_file"
 ROW = "row_idx"
@@ -25,7 +26,9 @@ def normalize_cells(grid: DataFrame, quotes: bool = True) -> DataFrame:
 
 
 def _first_row(marks: DataFrame, found: Column, name: str) -> DataFrame:
-    return marks.groupBy(FILE).agg(F.min(F.when(found, F.col(ROW))).alias(name))
+    """Per file the first row that is ``found``; NULL when there is none."""
+    first = marks.groupBy(FILE).agg(F.min(F.when(found, F.col(ROW))).alias(name))
+    return settle(first, name)
 
 
 def _next_row(
@@ -33,11 +36,8 @@ def _next_row(
 ) -> DataFrame:
     """Extend per-file ``bounds`` with the first row behind ``after`` that is ``found``."""
     hit = F.when(found & (F.col(ROW) > F.col(after)), F.col(ROW))
-    return (
-        marks.join(bounds, FILE)
-        .groupBy(*bounds.columns)
-        .agg(F.min(hit).alias(name))
-    )
+    extended = marks.join(bounds, FILE).groupBy(*bounds.columns).agg(F.min(hit).alias(name))
+    return settle(extended, name)
 
 
 def table_bounds(grid: DataFrame, min_cells: int = 3, nth: int = 1) -> DataFrame:
@@ -92,7 +92,7 @@ def legend_region(grid: DataFrame, min_cells: int = 3) -> DataFrame:
 def cut_at_marker(df: DataFrame, column: str, marker: str) -> DataFrame:
     """Keep each file's rows above the first whose ``column`` is ``marker`` (any case)."""
     marks = df.select(FILE, ROW, (F.lower(strip(F.col(column))) == marker.lower()).alias("hit"))
-    cut = _first_row(marks.where("hit"), F.col("hit"), "_cut")
+    cut = _first_row(marks.where("hit"), F.col("hit"), "cut").withColumnRenamed("cut", "_cut")
     return (
         df.join(cut, FILE, "left")
         .where(F.col("_cut").isNull() | (F.col(ROW) < F.col("_cut")))
@@ -107,27 +107,31 @@ def fixed_header_columns(grid: DataFrame, header_row: int = 9) -> DataFrame:
         F.transform(header, lambda c, i: F.when((c != "") & (F.lower(c) != "nan"), i)),
         lambda i: i.isNotNull(),
     )
-    return grid.where(F.col(ROW) == header_row).select(FILE, named.alias("positions"))
+    columns = grid.where(F.col(ROW) == header_row).select(FILE, named.alias("positions"))
+    return settle(columns, "header")
 
 
 def fixed_header_region(
     grid: DataFrame, header_row: int = 9, data_row: int = 11, n_cols: int = 13
-) -> DataFrame:
+) -> tuple[DataFrame, DataFrame]:
     """Data rows of sheets with a fixed header row, cut to their named columns.
 
-    Files with fewer than ``n_cols`` named columns give no rows; see
-    ``split_rejects`` for the list of them.
+    Files with fewer than ``n_cols`` named columns give no rows; the second
+    frame lists them.
     """
     columns = fixed_header_columns(grid, header_row).where(F.size("positions") >= n_cols)
     picked = F.transform(
         F.slice("positions", 1, n_cols), lambda i: F.get(F.col("cells"), i)
     )
-    return (
+    region = (
         grid.where(F.col(ROW) >= data_row)
         .join(columns, FILE)
         .withColumn("cells", picked)
         .select(*grid.columns)
     )
+    bad = grid.select(FILE).distinct().join(columns, FILE, "left_anti")
+    reason = F.lit(f"fewer than {n_cols} named columns").alias("reason")
+    return region, bad.select(FILE, reason)
 
 
 def split_rejects(grid: DataFrame, rule: Column, reason: str) -> tuple[DataFrame, DataFrame]:
@@ -137,7 +141,7 @@ def split_rejects(grid: DataFrame, rule: Column, reason: str) -> tuple[DataFrame
     each bad one.
     """
     verdict = grid.groupBy(FILE).agg(F.coalesce(rule, F.lit(False)).alias("_ok"))
-    bad = verdict.where(~F.col("_ok"))
+    bad = settle(verdict.where(~F.col("_ok")).select(FILE), "rejects")
     return (
         grid.join(bad.select(FILE), FILE, "left_anti"),
         bad.select(FILE, F.lit(reason).alias("reason")),

@@ -84,30 +84,22 @@ def semi_join_where(
     return left.where(left_cond).join(keys, F.col(on[0]) == F.col("_key"), "left_semi")
 
 
-def _side_counts(
+def _side_entities(
     side: str, df: DataFrame, other: DataFrame, on: str, entities: list[str]
-) -> list[DataFrame]:
-    known = other.select(on).distinct().withColumn("_hit", F.lit(True))
+) -> DataFrame:
+    """``side, entity, value, hit`` for every entity column of one side."""
+    known = other.select(F.col(on).alias("_on")).distinct().withColumn("_hit", F.lit(True))
     pairs = df.select(on, *[e for e in entities if e != on]).distinct()
-    flagged = left_lookup(pairs, known.withColumnRenamed(on, "_on"), [(on, "_on")])
-    counts = []
-    for entity in entities:
-        per_entity = flagged.where(F.col(entity).isNotNull()).groupBy(entity).agg(
-            F.max(F.col("_hit").isNotNull().cast("int")).alias("_matched"),
-            F.max(F.col("_hit").isNull().cast("int")).alias("_missing"),
-        )
-        counts.append(
-            per_entity.agg(
-                F.count("*").alias("total"),
-                F.coalesce(F.sum("_matched"), F.lit(0)).cast("bigint").alias("matched"),
-                F.coalesce(F.sum("_missing"), F.lit(0)).cast("bigint").alias("missing"),
-            ).select(
-                F.lit(side).alias("side"), F.lit(entity).alias("entity"),
-                "total", "matched", "missing",
-                F.when(F.col("total") > 0, F.col("matched") / F.col("total")).alias("match_rate"),
-            )
-        )
-    return counts
+    flagged = left_lookup(pairs, known, [(on, "_on")])
+    values = F.array(
+        *[
+            F.struct(F.lit(e).alias("entity"), F.col(e).cast("string").alias("value"))
+            for e in entities
+        ]
+    )
+    return flagged.select(
+        F.lit(side).alias("side"), F.inline(values), F.col("_hit").isNotNull().alias("hit")
+    ).where(F.col("value").isNotNull())
 
 
 def match_report(
@@ -118,13 +110,18 @@ def match_report(
 
     An entity with some matched and some unmatched rows counts in both.
     """
-    frames = _side_counts("left", left, right, on, left_entities) + _side_counts(
-        "right", right, left, on, right_entities
+    values = _side_entities("left", left, right, on, left_entities).unionByName(
+        _side_entities("right", right, left, on, right_entities)
+    )
+    per_value = values.groupBy("side", "entity", "value").agg(
+        F.max("hit").alias("hit"), F.min("hit").alias("all_hit")
+    )
+    return per_value.groupBy("side", "entity").agg(
+        F.count("*").alias("total"),
+        F.count_if("hit").alias("matched"),
+        F.count_if(~F.col("all_hit")).alias("missing"),
+        (F.count_if("hit") / F.count("*")).alias("match_rate"),
     )
-    report = frames[0]
-    for frame in frames[1:]:
-        report = report.unionByName(frame)
-    return report
 
 
 def count_distinct(df: DataFrame, columns: dict[str, str]) -> DataFrame:

@@ -1,9 +1,9 @@
 """Row-order operators whose groups may be far larger than one task.
 
-A plain ``lag``/``lead`` window sorts a whole group in one task. Here the
-position is cut into ranges of ``width``, so a window holds at most ``width``
-positions of a group; only the few rows at the range ends meet again in a
-window over the group.
+A plain ``lag``/``lead`` window sorts a whole group in one task. Here groups of
+more than ``width`` rows are cut into ranges of ``width`` positions: a window
+then holds one small group or one range, and only the few rows at the range
+ends of big groups meet again.
 """
 
 from __future__ import annotations
@@ -13,10 +13,33 @@ from pyspark.sql import functions as F
 
 # Positions per window: about a million rows sort comfortably in one task.
 WIDTH = 1 << 20
+# Most groups that are cut. The largest come first, so a group left whole has
+# at most 1/MAX_CUT of all rows, and the list is always small enough to send.
+MAX_CUT = 100_000
 
 
-def _with_range(df: DataFrame, position: str, width: int) -> DataFrame:
-    return df.withColumn("_range", F.floor(F.col(position) / F.lit(width)))
+def cut_groups(
+    df: DataFrame, keys: list[str], position: str, width: int = WIDTH
+) -> DataFrame:
+    """Add ``_range``: the position range in a big group, NULL in the others.
+
+    ``position`` is a number that few rows of a group share.
+    """
+    names = [f"_big_{i}" for i in range(len(keys))]
+    big = (
+        df.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, names)])
+        .agg(F.count("*").alias("_rows"))
+        .where(F.col("_rows") > width)
+        .orderBy(F.desc("_rows"))
+        .limit(MAX_CUT)
+    )
+    same = F.lit(True)
+    for key, name in zip(keys, names):
+        same = same & F.col(key).eqNullSafe(F.col(name))
+    cut = F.when(F.col("_rows").isNotNull(), F.floor(F.col(position) / F.lit(width)))
+    return (
+        df.join(F.broadcast(big), same, "left").withColumn("_range", cut).drop(*names, "_rows")
+    )
 
 
 def with_neighbours(
@@ -43,21 +66,21 @@ def with_neighbours(
 
     here = F.lit(1)
     at_end = F.lag(here, reach).over(near).isNull() | F.lead(here, reach).over(near).isNull()
-    ranged = _with_range(df, order[0], width).select(
+    ranged = cut_groups(df, keys, order[0], width).select(
         "*",
         *[shift(packed, i).over(near).alias(name) for name, (shift, i) in shifts.items()],
         at_end.alias("_at_end"),
     )
     # The first and last `reach` rows of every range: all that a row can need
     # from another range, and all rows that need something from one.
-    ends = ranged.where("_at_end")
-    joined_up = ends.withColumns(
+    ends = F.col("_range").isNotNull() & F.col("_at_end")
+    joined_up = ranged.where(ends).withColumns(
         {
             name: F.coalesce(F.col(name), shift(packed, i).over(far))
             for name, (shift, i) in shifts.items()
         }
     )
-    return ranged.where(~F.col("_at_end")).unionByName(joined_up).drop("_range", "_at_end")
+    return ranged.where(~ends).unionByName(joined_up).drop("_range", "_at_end")
 
 
 def running_last(
@@ -69,7 +92,7 @@ def running_last(
     width: int = WIDTH,
 ) -> DataFrame:
     """Add ``name``: the last non-NULL ``value`` at or before each row of its group."""
-    ranged = _with_range(df, order[0], width).withColumn("_value", value)
+    ranged = cut_groups(df, keys, order[0], width).withColumn("_value", value)
     within = (
         Window.partitionBy(*keys, "_range")
         .orderBy(*order)
@@ -82,7 +105,8 @@ def running_last(
     )
     place = F.when(F.col("_value").isNotNull(), F.struct(*order))
     carried = (
-        ranged.groupBy(*keys, "_range")
+        ranged.where(F.col("_range").isNotNull())
+        .groupBy(*keys, "_range")
         .agg(F.max_by("_value", place).alias("_end"))
         .select(*keys, "_range", F.last("_end", ignorenulls=True).over(earlier).alias("_carry"))
     )

@@ -39,6 +39,22 @@ def texts_for_paths(paths: DataFrame, documents: DataFrame, path: str = "pdf_pat
     return wanted.join(texts, "document_name", "inner")
 
 
+def flag_paths(
+    paths: DataFrame, documents: DataFrame, patterns: dict[str, str] | None = None,
+    path: str = "pdf_path",
+) -> DataFrame:
+    """Flags of the sliced text behind each listed path, one row per path.
+
+    Texts turn into flags where they are read; only names and flags shuffle.
+    """
+    flags = phrase_flags(
+        slice_documents(documents.withColumn("document_name", stem(F.col("document_name")))),
+        patterns,
+    )
+    wanted = paths.select(stem(F.col(path)).alias("document_name"))
+    return wanted.join(flags, "document_name", "inner")
+
+
 def flag_new_documents(
     documents: DataFrame, done: DataFrame, patterns: dict[str, str] | None = None
 ) -> DataFrame:

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.cells import strip
 from ledgerloom.functions.names import stem
-from ledgerloom.operators.latest import one_per_group
 from ledgerloom.operators.joins import left_lookup
+from ledgerloom.operators.latest import one_per_group
+from ledgerloom.session import settle
 
 
 def document_worklist(index: DataFrame, codes: DataFrame | None = None) -> DataFrame:
@@ -72,9 +73,16 @@ def update_ignore(
 
 
 def skip_done(documents: DataFrame, done: DataFrame, name: str = "document_name") -> DataFrame:
-    """Documents whose file stem is not among the stems already done."""
+    """Documents whose file stem is not among the stems already done.
+
+    The stems are compared without the texts. The list of what is left is then
+    written down, so that a short one is sent to the texts instead of the texts
+    being shuffled to it.
+    """
     stems = done.select(stem(F.col(name)).alias("_stem")).distinct()
-    return documents.join(stems, stem(F.col(name)) == F.col("_stem"), "left_anti")
+    names = documents.select(stem(F.col(name)).alias("_stem")).distinct()
+    left = settle(names.join(stems, "_stem", "left_anti"), "left")
+    return documents.join(left, stem(F.col(name)) == F.col("_stem"), "left_semi")
 
 
 def apply_path_map(

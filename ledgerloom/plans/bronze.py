@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.cells import blank_quotes, cell, flatten_breaks, squeeze_spaces, strip
 from ledgerloom.operators import grid as G
+from ledgerloom.session import settle
 
 # Column names of the clean tables, in sheet order.
 MAIN_COLUMNS = (
@@ -34,12 +35,14 @@ LEGEND_ROW = 16
 def main_board(grid: DataFrame) -> DataFrame:
     """Main board offers: keys filled down over continuation rows, then coerced.
 
-    The first sheet column is a counter and goes. Only sheets that are wide
-    enough to have the offer column are filled.
+    The first sheet column is a counter and goes. Sheets too narrow to have the
+    offer column are not filled.
     """
     rows = grid.where(F.col("row_idx") >= MAIN_FIRST_ROW)
-    widths = rows.groupBy("source_file").agg(
-        (F.max(F.size("cells")) >= MAIN_SHEET_CELLS).alias("_wide")
+    narrow = settle(
+        rows.groupBy("source_file").agg(F.max(F.size("cells")).alias("_cells"))
+        .where(F.col("_cells") < MAIN_SHEET_CELLS),
+        "narrow",
     )
     flat = rows.select(
         "source_file", "row_idx",
@@ -48,24 +51,21 @@ def main_board(grid: DataFrame) -> DataFrame:
     clean = flat.withColumn("company", squeeze_spaces(F.col("company"))).withColumns(
         {n: blank_quotes(F.col(n)) for n in MAIN_COLUMNS}
     )
-    sized = clean.join(widths, "source_file").withColumn(
-        "_mark", F.when(F.col("_wide"), F.col("offer_location"))
+    marked = clean.join(narrow, "source_file", "left").withColumn(
+        "_mark", F.when(F.col("_cells").isNull(), F.col("offer_location"))
     )
-    filled = G.fill_continuation_keys(sized, "stock_code", "_mark", ["source_file"], ["row_idx"])
-    return G.coerce_key(filled.drop("_mark", "_wide"), "stock_code")
+    filled = G.fill_continuation_keys(
+        marked.drop("_cells"), "stock_code", "_mark", ["source_file"], ["row_idx"]
+    )
+    return G.coerce_key(filled.drop("_mark"), "stock_code")
 
 
 def growth_board(grid: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Growth board offers, and the files whose header lacks columns."""
-    n_cols = len(GEM_COLUMNS)
-    header = F.transform(F.col("cells"), strip)
-    named = F.size(F.filter(header, lambda c: (c != "") & (F.lower(c) != "nan")))
-    has_columns = F.max(
-        F.when(F.col("row_idx") == GEM_HEADER_ROW, named >= n_cols)
+    flat = G.normalize_cells(grid, quotes=False)
+    region, rejects = G.fixed_header_region(
+        flat, GEM_HEADER_ROW, GEM_FIRST_ROW, len(GEM_COLUMNS)
     )
-    good, rejects = G.split_rejects(grid, has_columns, f"fewer than {n_cols} named columns")
-    flat = good.withColumn("cells", F.transform("cells", flatten_breaks))
-    region = G.fixed_header_region(flat, GEM_HEADER_ROW, GEM_FIRST_ROW, n_cols)
     rows = G.cut_at_marker(G.name_columns(region, GEM_COLUMNS), GEM_COLUMNS[0], "total")
     return G.coerce_key(G.drop_blank(rows, "stock_code"), "stock_code"), rejects
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # AQE is what splits a hot join key at run time, so it is always on; the forced
 # form also splits when the split costs one more shuffle further up the plan.
@@ -31,15 +31,35 @@ def build_session(
     return builder.getOrCreate()
 
 
+_LOCAL_SCRATCH: dict[str, str] = {}
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new folder name below the session's ``spark.checkpoint.dir``.
 
     On a cluster the folder has to be shared, so an unset value is an error
-    there; only a local master gets a temporary folder of its own.
+    there; only a local master gets a temporary folder, one per application.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        context = spark.sparkContext
+        if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        base = tempfile.mkdtemp(prefix="ledgerloom-")
+        app = context.applicationId
+        if app not in _LOCAL_SCRATCH:
+            _LOCAL_SCRATCH[app] = tempfile.mkdtemp(prefix="ledgerloom-")
+        base = _LOCAL_SCRATCH[app]
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def settle(df: DataFrame, label: str) -> DataFrame:
+    """Write a summary that several steps share and read it back.
+
+    The lineage ends there, and the planner knows the true size: a join with it
+    is a broadcast below ``spark.sql.autoBroadcastJoinThreshold`` and a shuffle
+    above, while for an aggregate it would have to guess.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

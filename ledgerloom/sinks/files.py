@@ -62,10 +62,14 @@ def sorted_keys(df: DataFrame, distinct: bool = True) -> DataFrame:
     name = df.columns[0]
     keys = df.na.drop()
     if distinct:
-        keys = keys.distinct()
-    else:
-        keys = keys.where(~F.col(name).cast("string").isin("", "0"))
-    return keys.orderBy(name)
+        return keys.distinct().orderBy(name)
+    # Equal keys fall into one sort range; a second key lets a hot one span several.
+    repeated = keys.where(~F.col(name).cast("string").isin("", "0"))
+    return (
+        repeated.withColumn("_nth", F.monotonically_increasing_id())
+        .orderBy(name, "_nth")
+        .drop("_nth")
+    )
 
 
 def export_keys(df: DataFrame, target: str, distinct: bool = True) -> None:
