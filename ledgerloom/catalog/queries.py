@@ -341,7 +341,7 @@ def texts_without_stop_blocks(t):
 
 @query
 def heading_sections(t):
-    return _with_text(t, lambda c: text.section_by_heading(text.remove_non_ascii(c)))
+    return R.section_documents(_with_text(t, text.remove_non_ascii))
 
 
 @query

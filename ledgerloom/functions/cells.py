@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # ASCII blanks, including the four separator control characters.
@@ -53,3 +53,10 @@ def to_key(col: Column) -> Column:
     text = strip(col.cast("string"))
     number = F.when(text.rlike(_NUMBER), text)
     return F.coalesce(number.try_cast("bigint"), number.try_cast("double").try_cast("bigint"))
+
+
+def key_column(df: DataFrame, name: str) -> Column:
+    """``to_key`` of a column, or the column as BIGINT where it is a whole number already."""
+    if df.schema[name].dataType.typeName() in ("byte", "short", "integer", "long"):
+        return F.col(name).cast("bigint")
+    return to_key(F.col(name))

@@ -2,7 +2,8 @@
 
 A report is one value, so everything here works on the whole text of one row
 with JVM regular expressions. Loops over lines are possessive and searches
-inside a line lazy, which keeps them linear and off the call stack.
+inside a line lazy, which keeps them linear and off the call stack. Steps that
+reuse a costly intermediate text are put together in ``operators.reports``.
 """
 
 from __future__ import annotations
@@ -109,31 +110,25 @@ def remove_stop_blocks(
     return F.regexp_replace(text, "(?i)" + stop_line + skipped + region, "$1")
 
 
-def section_by_heading(
-    text: Column, start=START_KEYWORDS, stop=STOP_KEYWORDS, min_chars: int = MIN_CHARS
-) -> Column:
-    """The section from the first start line to the next stop or capital-letter line.
-
-    Shorter sections run on to the end of the line where ``min_chars`` is
-    reached, or to the end of the text. Without a start line: the text with its
-    table lines removed.
-    """
-    cleaned = remove_table_lines(text)
-    tail = F.regexp_extract(
+def from_first_start(cleaned: Column, start=START_KEYWORDS) -> Column:
+    """What begins with the first start line of a text without table lines; '' without one."""
+    return F.regexp_extract(
         cleaned, rf"(?i)(?:\A|(?<=\n))(?=[^\n]*?{_words(start)})[\s\S]*\z", 0
     )
+
+
+def to_section_end(tail: Column, start=START_KEYWORDS, stop=STOP_KEYWORDS) -> Column:
+    """The lines of ``tail`` before the next stop line or line in capitals."""
     stop_line = rf"(?=[^\n]*?{_words(stop)})(?![^\n]*?{_words(start)})"
     capitals = r"(?-i:[A-Z0-9 \-'(),.]{3,}+(?=\n|\z))"
-    section = F.regexp_extract(
+    return F.regexp_extract(
         tail, rf"(?i)\A[^\n]*+(?:\n(?!{stop_line}|{capitals})[^\n]*+)*+\n?", 0
     )
-    extended = F.regexp_extract(tail, rf"\A[\s\S]{{{min_chars - 1}}}[^\n]*+\n?", 0)
-    return (
-        F.when(tail == "", cleaned)
-        .when(F.length(section) >= min_chars, strip(section))
-        .when(F.length(tail) >= min_chars, strip(extended))
-        .otherwise(strip(tail))
-    )
+
+
+def leading_lines(tail: Column, min_chars: int = MIN_CHARS) -> Column:
+    """The fewest whole lines with ``min_chars`` characters; '' when there are fewer."""
+    return F.regexp_extract(tail, rf"\A[\s\S]{{{min_chars - 1}}}[^\n]*+\n?", 0)
 
 
 def tidy_lines(text: Column) -> Column:
@@ -144,19 +139,6 @@ def tidy_lines(text: Column) -> Column:
     return strip(F.regexp_replace(text, r"\n{3,}", "\n\n"))
 
 
-def slice_report(
-    text: Column, start=START_KEYWORDS, stop=STOP_KEYWORDS, min_chars: int = MIN_CHARS
-) -> Column:
-    """ASCII text without its stop blocks, tidied.
-
-    Nothing survives the blocks only when no start line exists; the section
-    search would then return the text without table lines, so that is used.
-    """
-    ascii_text = remove_non_ascii(text)
-    kept = remove_stop_blocks(ascii_text, start, stop, min_chars)
-    return tidy_lines(F.when(kept == "", remove_table_lines(ascii_text)).otherwise(kept))
-
-
 def fold_text(text: Column) -> Column:
     """Lower case, each run of blanks one space."""
     return F.lower(F.regexp_replace(text, r"[\s\x1c-\x1f]+", " "))

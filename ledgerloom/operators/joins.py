@@ -21,29 +21,34 @@ def left_lookup(
     """Left join that keeps rows with a NULL key out of one hot partition.
 
     ``on`` pairs a left column with a column of ``right``; the right columns
-    used as keys are dropped. Rows whose key is NULL cannot match, so they get
-    a second key from their row hash and spread over all partitions. A hot
-    key that does match is split by the adaptive skew join.
+    used as keys are dropped. A second join key is the hash of the first, or of
+    the whole row where a key is NULL: those rows match nothing and so may
+    spread over all partitions. A hot key that does match is split by the
+    adaptive skew join.
     """
-    pairs = [(F.col(a) if isinstance(a, str) else a, b) for a, b in on]
-    unmatched = pairs[0][0].isNull()
-    for a, _ in pairs[1:]:
-        unmatched = unmatched | a.isNull()
-    spread = F.when(unmatched, F.pmod(F.xxhash64(*left.columns), F.lit(NULL_SPREAD))).otherwise(
-        F.lit(-1).cast("bigint")
-    )
+    keys = [F.col(a) if isinstance(a, str) else a for a, _ in on]
+    types = [field.dataType for field in left.select(*keys).schema]
+    unmatched = F.lit(False)
+    for key in keys:
+        unmatched = unmatched | key.isNull()
+    row_hash = F.pmod(F.xxhash64(*left.columns), F.lit(NULL_SPREAD))
     keyed = left.withColumns(
-        {**{f"_l{i}": a for i, (a, _) in enumerate(pairs)}, "_lspread": spread}
+        {
+            **{f"_l{i}": key for i, key in enumerate(keys)},
+            "_lspread": F.when(unmatched, row_hash).otherwise(F.xxhash64(*keys)),
+        }
     )
+    names = [name for _, name in on]
+    right_keys = [F.col(name).cast(t) for name, t in zip(names, types)]
     other = right.select(
-        *[F.col(b).alias(f"_r{i}") for i, (_, b) in enumerate(pairs)],
-        F.lit(-1).cast("bigint").alias("_rspread"),
-        *[c for c in right.columns if c not in {b for _, b in pairs}],
+        *[key.alias(f"_r{i}") for i, key in enumerate(right_keys)],
+        F.xxhash64(*right_keys).alias("_rspread"),
+        *[c for c in right.columns if c not in names],
     )
     match = F.col("_lspread") == F.col("_rspread")
-    for i in range(len(pairs)):
+    for i in range(len(on)):
         match = match & (F.col(f"_l{i}") == F.col(f"_r{i}"))
-    helpers = [f"{side}{i}" for i in range(len(pairs)) for side in ("_l", "_r")]
+    helpers = [f"{side}{i}" for i in range(len(on)) for side in ("_l", "_r")]
     return keyed.join(other, match, "left").drop(*helpers, "_lspread", "_rspread")
 
 

@@ -21,7 +21,7 @@ MAX_CUT = 100_000
 def cut_groups(
     df: DataFrame, keys: list[str], position: str, width: int = WIDTH
 ) -> DataFrame:
-    """Add ``_range``: the position range in a big group, NULL in the others.
+    """Add ``_range``: the start of the position range in a big group, NULL in the others.
 
     ``position`` is a number that few rows of a group share.
     """
@@ -36,7 +36,8 @@ def cut_groups(
     same = F.lit(True)
     for key, name in zip(keys, names):
         same = same & F.col(key).eqNullSafe(F.col(name))
-    cut = F.when(F.col("_rows").isNotNull(), F.floor(F.col(position) / F.lit(width)))
+    place = F.col(position).cast("bigint")
+    cut = F.when(F.col("_rows").isNotNull(), place - F.pmod(place, F.lit(width)))
     return (
         df.join(F.broadcast(big), same, "left").withColumn("_range", cut).drop(*names, "_rows")
     )

@@ -6,20 +6,61 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import text as T
+from ledgerloom.functions.cells import strip
 from ledgerloom.functions.names import name_date, stem
 from ledgerloom.operators.worklist import skip_done
 
 
+def section_documents(
+    documents: DataFrame, start=T.START_KEYWORDS, stop=T.STOP_KEYWORDS, min_chars: int = T.MIN_CHARS
+) -> DataFrame:
+    """Every text cut to its section under the first heading.
+
+    The section ends at the next stop line or line in capitals; a shorter one
+    runs on to the end of the line where ``min_chars`` is reached, or to the
+    end of the text. Without a start line the text stays, less table lines.
+    """
+    steps = (
+        documents.withColumn("_cleaned", T.remove_table_lines(F.col("text")))
+        .withColumn("_tail", T.from_first_start(F.col("_cleaned"), start))
+        .withColumn("_section", T.to_section_end(F.col("_tail"), start, stop))
+    )
+    section = (
+        F.when(F.col("_tail") == "", F.col("_cleaned"))
+        .when(F.length("_section") >= min_chars, strip(F.col("_section")))
+        .when(F.length("_tail") >= min_chars, strip(T.leading_lines(F.col("_tail"), min_chars)))
+        .otherwise(strip(F.col("_tail")))
+    )
+    return steps.withColumn("text", section).drop("_cleaned", "_tail", "_section")
+
+
 def slice_documents(
     documents: DataFrame, start=T.START_KEYWORDS, stop=T.STOP_KEYWORDS, min_chars: int = T.MIN_CHARS
 ) -> DataFrame:
-    """``document_name, text`` with every text sliced."""
-    return documents.withColumn("text", T.slice_report(F.col("text"), start, stop, min_chars))
+    """Every text as ASCII without its stop blocks, tidied.
+
+    Nothing survives the blocks only when no start line exists; the section
+    search would then return the text without table lines, so that is used.
+    """
+    steps = documents.withColumn("_ascii", T.remove_non_ascii(F.col("text"))).withColumn(
+        "_kept", T.remove_stop_blocks(F.col("_ascii"), start, stop, min_chars)
+    )
+    kept = F.when(F.col("_kept") == "", T.remove_table_lines(F.col("_ascii"))).otherwise(
+        F.col("_kept")
+    )
+    return steps.withColumn("text", T.tidy_lines(kept)).drop("_ascii", "_kept")
 
 
 def phrase_flags(documents: DataFrame, patterns: dict[str, str] | None = None) -> DataFrame:
-    """``document_name, report_date`` and one 0/1 column per pattern; empty texts go."""
-    folded = documents.where(F.length("text") > 0).withColumn("_folded", T.fold_text(F.col("text")))
+    """``document_name, report_date`` and one 0/1 column per pattern; empty texts go.
+
+    Empty texts go by way of ``explode``: a filter would be pushed below the
+    slicing that made the text and run it a second time.
+    """
+    some = F.explode(F.filter(F.array("text"), lambda t: t != "")).alias("_text")
+    folded = documents.select("document_name", some).withColumn(
+        "_folded", T.fold_text(F.col("_text"))
+    )
     return folded.select(
         "document_name",
         name_date(F.col("document_name")).alias("report_date"),

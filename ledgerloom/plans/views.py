@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.cells import to_key
+from ledgerloom.functions.cells import key_column
 from ledgerloom.functions.codes import on_or_after
 from ledgerloom.operators import joins as J
 from ledgerloom.operators.latest import latest_join, one_per_group
@@ -125,13 +125,13 @@ def classified_firm_quarters(
     """
     firm_cols = funda_q.columns
     quarters = one_per_group(
-        funda_q.withColumn("_firm", to_key(F.col("gvkey"))),
+        funda_q.withColumn("_firm", key_column(funda_q, "gvkey")),
         ["gvkey", "datacqtr"],
         [F.col("datadate").desc(), "isin", *[c for c in firm_cols if c not in ("datadate", "isin")]],
     )
     opinion_cols = ["hkex_stock_code", *OPINION_COLUMNS, "aof_comments"]
     year_end = classified.where(F.col("cs_fqtr") == 4).select(
-        to_key(F.col("cs_gvkey")).alias("_gvkey"),
+        key_column(classified, "cs_gvkey").alias("_gvkey"),
         F.col("cs_datacqtr").alias("_quarter"),
         "hkex_stock_code", *OPINION_COLUMNS,
         F.col(f"`{comments}`").alias("aof_comments"),
