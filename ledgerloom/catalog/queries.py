@@ -322,9 +322,8 @@ def texts_without_table_lines(t):
 
 @query
 def keyword_lines(t):
-    ascii_text = text.remove_non_ascii(F.col("text"))
-    lines = S.reports(t).select(
-        "document_name", F.posexplode(text.text_lines(ascii_text)).alias("line_no", "line")
+    lines = _with_text(t, text.remove_non_ascii).select(
+        "document_name", F.posexplode(text.text_lines(F.col("text"))).alias("line_no", "line")
     )
     return lines.select(
         "document_name", "line_no",
@@ -336,7 +335,8 @@ def keyword_lines(t):
 
 @query
 def texts_without_stop_blocks(t):
-    return _with_text(t, lambda c: text.remove_stop_blocks(text.remove_non_ascii(c)))
+    ascii_texts_ = _with_text(t, text.remove_non_ascii)
+    return ascii_texts_.withColumn("text", text.remove_stop_blocks(F.col("text")))
 
 
 @query

@@ -2,8 +2,9 @@
 
 A report is one value, so everything here works on the whole text of one row
 with JVM regular expressions. Loops over lines are possessive and searches
-inside a line lazy, which keeps them linear and off the call stack. Steps that
-reuse a costly intermediate text are put together in ``operators.reports``.
+inside a line lazy, which keeps them linear and off the call stack. A text that
+is itself computed belongs in a column of its own first, as the steps in
+``operators.reports`` do, since an expression may be used more than once here.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.cells import strip
+from ledgerloom.functions.cells import BLANKS, strip
 
 # Heading words, the least size of a kept region, opinion phrases.
 START_KEYWORDS = (
@@ -49,15 +50,17 @@ OPINION_PATTERNS = {
 DIGIT_SHARE = 0.3
 TABLE_LINE_CHARS = 20
 
+# Line ends besides \n; \r\n is one line end.
+_OTHER_ENDS = ("\r\n", "\r", "\x0b", "\x0c", "\x1c", "\x1d", "\x1e")
+_OTHER_BLANKS = ("\t", "\x1f")
+
 _ENDS = r"\n\r\x0b\x0c\x1c-\x1e"
-_LINE_END = rf"(?:\r\n|[{_ENDS}])"
-_IN_LINE = rf"[^{_ENDS}]"
-# Start of the text, or just after a line end but not between \r and \n.
-_LINE_START = rf"(?:\A|(?<=[{_ENDS}])(?<!\r(?=\n)))"
 
 
 def _words(keywords) -> str:
-    return r"\b(?:" + "|".join(re.escape(k) for k in keywords) + r")\b"
+    """Any keyword as whole words; the first letters are tried as one class."""
+    heads = "".join(sorted({re.escape(k[0]) for k in keywords}))
+    return rf"\b(?=[{heads}])(?:" + "|".join(re.escape(k) for k in keywords) + r")\b"
 
 
 def has_keyword(line: Column, keywords) -> Column:
@@ -69,29 +72,54 @@ def remove_non_ascii(text: Column) -> Column:
     return F.regexp_replace(text, r"[^\x00-\x7F]", "")
 
 
+def _replace_each(text: Column, old, new: str) -> Column:
+    for part in old:
+        text = F.replace(text, F.lit(part), F.lit(new))
+    return text
+
+
+def has_other_ends(text: Column) -> Column:
+    return text.rlike("[" + "".join(_OTHER_ENDS[1:]) + "]")
+
+
+def unify_line_ends(text: Column) -> Column:
+    """All line ends as ``\\n``; most texts have no others and pass as they are."""
+    return F.when(has_other_ends(text), _replace_each(text, _OTHER_ENDS, "\n")).otherwise(text)
+
+
 def text_lines(text: Column) -> Column:
     """The lines as an array; a final line end opens no further line."""
-    body = F.regexp_replace(text, rf"{_LINE_END}\z", "")
-    return F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(body, _LINE_END))
+    body = F.regexp_replace(unify_line_ends(text), r"\n\z", "")
+    return F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(body, "\n"))
 
 
 def digit_share(line: Column) -> Column:
     size = F.length(line)
-    digits = F.length(F.regexp_replace(line, "[^0-9]", ""))
-    return F.when(size > 0, digits / size).otherwise(F.lit(0.0))
+    return F.when(size > 0, F.regexp_count(line, F.lit("[0-9]")) / size).otherwise(F.lit(0.0))
 
 
 def remove_table_lines(
     text: Column, share: float = DIGIT_SHARE, min_chars: int = TABLE_LINE_CHARS
 ) -> Column:
     """Stripped, non-blank lines without those that are long and mostly digits."""
-    lines = F.transform(text_lines(text), strip)
+    lines = F.transform(F.split(unify_line_ends(text), "\n"), strip)
     kept = F.filter(
-        lines, lambda s: (s != "") & ~((digit_share(s) > share) & (F.length(s) > min_chars))
+        lines, lambda s: (s != "") & ~((F.length(s) > min_chars) & (digit_share(s) > share))
     )
     return F.array_join(kept, "\n")
 
 
+def _stop_blocks(start, stop, min_chars: int, line_start: str, in_line: str, line_end: str) -> str:
+    """Pattern of a stop line, the lines skipped after it, and (group 1) the kept region."""
+    starts = rf"(?={in_line}*?{_words(start)})"
+    no_start = rf"(?!{in_line}*?{_words(start)})"
+    stops = rf"(?={in_line}*?{_words(stop)})"
+    stop_line = rf"{line_start}{stops}{no_start}{in_line}*+{line_end}?+"
+    skipped = rf"(?:{no_start}{in_line}*+{line_end})*+(?:{no_start}{in_line}++\z)?+"
+    region = rf"({starts}(?:[\s\S]{{{min_chars - 1}}}{in_line}*+{line_end}?+|[\s\S]*+))?"
+    return stop_line + skipped + region
+
+
 def remove_stop_blocks(
     text: Column, start=START_KEYWORDS, stop=STOP_KEYWORDS, min_chars: int = MIN_CHARS
 ) -> Column:
@@ -100,53 +128,52 @@ def remove_stop_blocks(
     The region that starts there is kept for at least ``min_chars`` characters,
     rounded up to whole lines, whatever lines it holds. A line with both kinds
     of keyword opens no block; a block with no later start line ends the text.
+    Texts that use ``\\n`` alone take a faster form of the same pattern.
     """
-    starts = rf"(?={_IN_LINE}*?{_words(start)})"
-    no_start = rf"(?!{_IN_LINE}*?{_words(start)})"
-    stops = rf"(?={_IN_LINE}*?{_words(stop)})"
-    stop_line = rf"{_LINE_START}{stops}{no_start}{_IN_LINE}*+{_LINE_END}?+"
-    skipped = rf"(?:{no_start}{_IN_LINE}*+{_LINE_END})*+(?:{no_start}{_IN_LINE}++\z)?+"
-    region = rf"({starts}(?:[\s\S]{{{min_chars - 1}}}{_IN_LINE}*+{_LINE_END}?+|[\s\S]*+))?"
-    return F.regexp_replace(text, "(?i)" + stop_line + skipped + region, "$1")
+    plain = "(?imd)" + _stop_blocks(start, stop, min_chars, "^", ".", r"\n")
+    # Start of the text, or just after a line end but not between \r and \n.
+    after_end = rf"(?:\A|(?<=[{_ENDS}])(?<!\r(?=\n)))"
+    mixed = "(?i)" + _stop_blocks(
+        start, stop, min_chars, after_end, f"[^{_ENDS}]", rf"(?:\r\n|[{_ENDS}])"
+    )
+    return F.when(has_other_ends(text), F.regexp_replace(text, mixed, "$1")).otherwise(
+        F.regexp_replace(text, plain, "$1")
+    )
 
 
 def from_first_start(cleaned: Column, start=START_KEYWORDS) -> Column:
     """What begins with the first start line of a text without table lines; '' without one."""
-    return F.regexp_extract(
-        cleaned, rf"(?i)(?:\A|(?<=\n))(?=[^\n]*?{_words(start)})[\s\S]*\z", 0
-    )
+    return F.regexp_extract(cleaned, rf"(?imd)^(?=.*?{_words(start)})(?s:.*+)", 0)
 
 
 def to_section_end(tail: Column, start=START_KEYWORDS, stop=STOP_KEYWORDS) -> Column:
     """The lines of ``tail`` before the next stop line or line in capitals."""
-    stop_line = rf"(?=[^\n]*?{_words(stop)})(?![^\n]*?{_words(start)})"
+    stop_line = rf"(?=.*?{_words(stop)})(?!.*?{_words(start)})"
     capitals = r"(?-i:[A-Z0-9 \-'(),.]{3,}+(?=\n|\z))"
-    return F.regexp_extract(
-        tail, rf"(?i)\A[^\n]*+(?:\n(?!{stop_line}|{capitals})[^\n]*+)*+\n?", 0
-    )
+    return F.regexp_extract(tail, rf"(?id)\A.*+(?:\n(?!{capitals}|{stop_line}).*+)*+\n?", 0)
 
 
 def leading_lines(tail: Column, min_chars: int = MIN_CHARS) -> Column:
     """The fewest whole lines with ``min_chars`` characters; '' when there are fewer."""
-    return F.regexp_extract(tail, rf"\A[\s\S]{{{min_chars - 1}}}[^\n]*+\n?", 0)
+    return F.regexp_extract(tail, rf"(?d)\A(?s:.{{{min_chars - 1}}}).*+\n?", 0)
 
 
 def tidy_lines(text: Column) -> Column:
     """One space per run of blanks, no trailing blanks, at most one empty line in a row."""
-    text = F.regexp_replace(text, _LINE_END, "\n")
-    text = F.regexp_replace(text, r"[ \t\x1f]+", " ")
-    text = F.regexp_replace(text, r" +(?=\n|\z)", "")
-    return strip(F.regexp_replace(text, r"\n{3,}", "\n\n"))
+    spaced = _replace_each(unify_line_ends(text), _OTHER_BLANKS, " ")
+    spaced = F.replace(F.regexp_replace(spaced, " {2,}", " "), F.lit(" \n"), F.lit("\n"))
+    return strip(F.regexp_replace(spaced, r"\n{3,}", "\n\n"))
 
 
 def fold_text(text: Column) -> Column:
     """Lower case, each run of blanks one space."""
-    return F.lower(F.regexp_replace(text, r"[\s\x1c-\x1f]+", " "))
+    return F.lower(F.regexp_replace(text, f"[{BLANKS}]+", " "))
 
 
-def phrase_flag(text: Column, pattern: str) -> Column:
-    """1 when the pattern occurs, in any case, in already folded text."""
-    return text.rlike("(?i)" + pattern).cast("int")
+def phrase_flag(folded: Column, pattern: str) -> Column:
+    """1 when the pattern occurs, in any case, in an already folded text."""
+    flags = "" if pattern == pattern.lower() else "(?i)"
+    return folded.rlike(flags + pattern).cast("int")
 
 
 def decode_text(content: Column) -> Column:

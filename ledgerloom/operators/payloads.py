@@ -47,10 +47,10 @@ def parse_envelopes(
         .otherwise(F.lit(SAVED))
     )
     judged = parsed.withColumn("status", status)
-    records = (
-        judged.where(F.col("status") == SAVED)
-        .select(key, F.posexplode("_records").alias("position", "_record"))
-        .select(key, "position", "_record.*")
+    # A condition inside the generator, as a filter would parse every body twice.
+    saved = F.when(F.col("status") == SAVED, F.col("_records"))
+    records = judged.select(key, F.posexplode(saved).alias("position", "_record")).select(
+        key, "position", "_record.*"
     )
     summary = judged.select(
         key, "status",
@@ -67,7 +67,9 @@ def summary_counts(summary: DataFrame) -> DataFrame:
 
 def jsonp_body(body: Column) -> Column:
     """The JSON between ``callback(`` and its closing bracket; '' without the wrapper."""
-    return F.regexp_extract(strip(body), r"(?s)\Acallback\((.*?)(?:\);|\))?\z", 1)
+    wrapped = strip(body)
+    inner = F.regexp_extract(wrapped, r"(?s)\Acallback\((.*+)", 1)
+    return F.regexp_replace(inner, r"\);?\z", "")
 
 
 def parse_jsonp_lookup(payloads: DataFrame, body: str = "body") -> DataFrame:
@@ -79,10 +81,8 @@ def parse_jsonp_lookup(payloads: DataFrame, body: str = "body") -> DataFrame:
     good = F.forall(
         "_info", lambda item: strip(item["code"]).rlike(r"\A[+-]?[0-9]+\z")
     )
-    rows = (
-        payloads.select("seq", info.alias("_info"))
-        .where(good)
-        .select("seq", F.posexplode("_info").alias("position", "_item"))
+    rows = payloads.select("seq", info.alias("_info")).select(
+        "seq", F.posexplode(F.when(good, F.col("_info"))).alias("position", "_item")
     )
     code = to_key(F.col("_item.code"))
     return rows.select(

@@ -42,13 +42,15 @@ def slice_documents(
     Nothing survives the blocks only when no start line exists; the section
     search would then return the text without table lines, so that is used.
     """
-    steps = documents.withColumn("_ascii", T.remove_non_ascii(F.col("text"))).withColumn(
-        "_kept", T.remove_stop_blocks(F.col("_ascii"), start, stop, min_chars)
+    kept = T.remove_stop_blocks(F.col("_ascii"), start, stop, min_chars)
+    fallback = T.remove_table_lines(F.col("_ascii"))
+    return (
+        documents.withColumn("_ascii", T.remove_non_ascii(F.col("text")))
+        .withColumn("_kept", kept)
+        .withColumn("_kept", F.when(F.col("_kept") == "", fallback).otherwise(F.col("_kept")))
+        .withColumn("text", T.tidy_lines(F.col("_kept")))
+        .drop("_ascii", "_kept")
     )
-    kept = F.when(F.col("_kept") == "", T.remove_table_lines(F.col("_ascii"))).otherwise(
-        F.col("_kept")
-    )
-    return steps.withColumn("text", T.tidy_lines(kept)).drop("_ascii", "_kept")
 
 
 def phrase_flags(documents: DataFrame, patterns: dict[str, str] | None = None) -> DataFrame:
