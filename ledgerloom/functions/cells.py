@@ -17,12 +17,14 @@ def strip(col: Column) -> Column:
 
 
 def flatten_breaks(col: Column) -> Column:
-    return F.regexp_replace(col, r"[\r\n]+", " ")
+    """One space for each run of line breaks; the few cells that have any pay for the search."""
+    broken = F.contains(col, F.lit("\n")) | F.contains(col, F.lit("\r"))
+    return F.when(broken, F.regexp_replace(col, r"[\r\n]+", " ")).otherwise(col)
 
 
 def blank_quotes(col: Column) -> Column:
     """NULL for a cell that holds nothing but double quotes."""
-    return F.when(~col.rlike(r'\A"+\z'), col)
+    return F.when((F.btrim(col, F.lit('"')) != "") | (col == ""), col)
 
 
 def squeeze_spaces(col: Column) -> Column:
@@ -52,7 +54,7 @@ def to_key(col: Column) -> Column:
     """
     text = strip(col.cast("string"))
     number = F.when(text.rlike(_NUMBER), text)
-    return F.coalesce(number.try_cast("bigint"), number.try_cast("double").try_cast("bigint"))
+    return F.coalesce(text.try_cast("bigint"), number.try_cast("double").try_cast("bigint"))
 
 
 def key_column(df: DataFrame, name: str) -> Column:

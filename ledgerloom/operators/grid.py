@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.cells import cell, clean_cells, filled_cells, strip, to_key
-from ledgerloom.operators.neighbours import WIDTH, running_last, with_neighbours
+from ledgerloom.operators.neighbours import WIDTH, cut_groups, running_last, with_neighbours
 from ledgerloom.session import settle
 
 FILE = "source_file"
@@ -179,7 +179,8 @@ def fill_continuation_keys(
     """
     mark = F.coalesce(strip(F.col(marker)), F.lit(""))
     marked = df.withColumns({"_mark": mark, "_key": F.struct(F.col(key).alias("key"))})
-    near = with_neighbours(marked, groups, order, ["_mark", "_key"], back=2, ahead=2, width=width)
+    cut = cut_groups(marked, groups, order[0], width)
+    near = with_neighbours(cut, groups, order, ["_mark", "_key"], back=2, ahead=2)
 
     before = F.coalesce(F.col("prev_1._mark"), F.lit(""))
     after_a = F.col("_mark").isin("(b)", "(c)") & (before == "(a)")
@@ -194,9 +195,7 @@ def fill_continuation_keys(
     flagged = near.withColumns({"_own": own, "_chained": chained, "_roots": roots}).drop(
         "prev_1", "prev_2", "next_1", "next_2"
     )
-    rooted = running_last(
-        flagged, groups, order, F.when(F.col("_roots"), F.col("_own")), "_root", width
-    )
+    rooted = running_last(flagged, groups, order, F.when(F.col("_roots"), F.col("_own")), "_root")
     filled = F.when(F.col("_chained"), F.col("_root.key")).otherwise(F.col("_own.key"))
     return rooted.withColumn(key, filled).select(*df.columns)
 

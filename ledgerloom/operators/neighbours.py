@@ -3,7 +3,8 @@
 A plain ``lag``/``lead`` window sorts a whole group in one task. Here groups of
 more than ``width`` rows are cut into ranges of ``width`` positions: a window
 then holds one small group or one range, and only the few rows at the range
-ends of big groups meet again.
+ends of big groups meet again. Where no group is big, what is left of the plan
+is the plain window.
 """
 
 from __future__ import annotations
@@ -11,36 +12,40 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerloom.session import settle
+
 # Positions per window: about a million rows sort comfortably in one task.
 WIDTH = 1 << 20
 # Most groups that are cut. The largest come first, so a group left whole has
 # at most 1/MAX_CUT of all rows, and the list is always small enough to send.
 MAX_CUT = 100_000
 
+RANGE = "_range"
+
 
 def cut_groups(
     df: DataFrame, keys: list[str], position: str, width: int = WIDTH
 ) -> DataFrame:
     """Add ``_range``: the start of the position range in a big group, NULL in the others.
 
-    ``position`` is a number that few rows of a group share.
+    ``position`` is a number that few rows of a group share. The group sizes
+    are counted here and now, which reads the key columns alone.
     """
     names = [f"_big_{i}" for i in range(len(keys))]
-    big = (
-        df.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, names)])
-        .agg(F.count("*").alias("_rows"))
-        .where(F.col("_rows") > width)
-        .orderBy(F.desc("_rows"))
-        .limit(MAX_CUT)
+    sizes = df.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, names)]).agg(
+        F.count("*").alias("_rows")
     )
+    big = settle(
+        sizes.where(F.col("_rows") > width).orderBy(F.desc("_rows")).limit(MAX_CUT), "big-groups"
+    )
+    if big.isEmpty():
+        return df.withColumn(RANGE, F.lit(None).cast("bigint"))
     same = F.lit(True)
     for key, name in zip(keys, names):
         same = same & F.col(key).eqNullSafe(F.col(name))
     place = F.col(position).cast("bigint")
     cut = F.when(F.col("_rows").isNotNull(), place - F.pmod(place, F.lit(width)))
-    return (
-        df.join(F.broadcast(big), same, "left").withColumn("_range", cut).drop(*names, "_rows")
-    )
+    return df.join(F.broadcast(big), same, "left").withColumn(RANGE, cut).drop(*names, "_rows")
 
 
 def with_neighbours(
@@ -56,32 +61,35 @@ def with_neighbours(
 
     Each is a struct of the ``value`` columns of that neighbour in the same
     group, NULL where there is none. ``order[0]`` is a numeric position; the
-    other columns break its ties, and the whole list must be a total order.
+    other columns break its ties, and the whole list must be a total order. A
+    frame that is cut already is taken as it is and stays cut.
     """
     packed = F.struct(*value)
     reach = max(back, ahead)
-    near = Window.partitionBy(*keys, "_range").orderBy(*order)
+    near = Window.partitionBy(*keys, RANGE).orderBy(*order)
     far = Window.partitionBy(*keys).orderBy(*order)
     shifts = {f"prev_{i}": (F.lag, i) for i in range(1, back + 1)}
     shifts |= {f"next_{i}": (F.lead, i) for i in range(1, ahead + 1)}
 
     here = F.lit(1)
     at_end = F.lag(here, reach).over(near).isNull() | F.lead(here, reach).over(near).isNull()
-    ranged = cut_groups(df, keys, order[0], width).select(
+    is_cut = RANGE in df.columns
+    ranged = (df if is_cut else cut_groups(df, keys, order[0], width)).select(
         "*",
         *[shift(packed, i).over(near).alias(name) for name, (shift, i) in shifts.items()],
         at_end.alias("_at_end"),
     )
     # The first and last `reach` rows of every range: all that a row can need
     # from another range, and all rows that need something from one.
-    ends = F.col("_range").isNotNull() & F.col("_at_end")
+    ends = F.col(RANGE).isNotNull() & F.col("_at_end")
     joined_up = ranged.where(ends).withColumns(
         {
             name: F.coalesce(F.col(name), shift(packed, i).over(far))
             for name, (shift, i) in shifts.items()
         }
     )
-    return ranged.where(~ends).unionByName(joined_up).drop("_range", "_at_end")
+    found = ranged.where(~ends).unionByName(joined_up).drop("_at_end")
+    return found if is_cut else found.drop(RANGE)
 
 
 def running_last(
@@ -93,27 +101,29 @@ def running_last(
     width: int = WIDTH,
 ) -> DataFrame:
     """Add ``name``: the last non-NULL ``value`` at or before each row of its group."""
-    ranged = cut_groups(df, keys, order[0], width).withColumn("_value", value)
+    is_cut = RANGE in df.columns
+    ranged = (df if is_cut else cut_groups(df, keys, order[0], width)).withColumn("_value", value)
     within = (
-        Window.partitionBy(*keys, "_range")
+        Window.partitionBy(*keys, RANGE)
         .orderBy(*order)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     earlier = (
         Window.partitionBy(*keys)
-        .orderBy("_range")
+        .orderBy(RANGE)
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     place = F.when(F.col("_value").isNotNull(), F.struct(*order))
     carried = (
-        ranged.where(F.col("_range").isNotNull())
-        .groupBy(*keys, "_range")
+        ranged.where(F.col(RANGE).isNotNull())
+        .groupBy(*keys, RANGE)
         .agg(F.max_by("_value", place).alias("_end"))
-        .select(*keys, "_range", F.last("_end", ignorenulls=True).over(earlier).alias("_carry"))
+        .select(*keys, RANGE, F.last("_end", ignorenulls=True).over(earlier).alias("_carry"))
     )
-    return (
+    found = (
         ranged.withColumn("_near", F.last("_value", ignorenulls=True).over(within))
-        .join(carried, [*keys, "_range"], "left")
+        .join(carried, [*keys, RANGE], "left")
         .withColumn(name, F.coalesce("_near", "_carry"))
-        .drop("_range", "_value", "_near", "_carry")
+        .drop("_value", "_near", "_carry")
     )
+    return found if is_cut else found.drop(RANGE)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.cells import blank_quotes, cell, flatten_breaks, squeeze_spaces, strip
+from ledgerloom.functions.cells import cell, squeeze_spaces, strip
 from ledgerloom.operators import grid as G
 from ledgerloom.session import settle
 
@@ -44,12 +44,11 @@ def main_board(grid: DataFrame) -> DataFrame:
         .where(F.col("_cells") < MAIN_SHEET_CELLS),
         "narrow",
     )
-    flat = rows.select(
-        "source_file", "row_idx",
-        *[flatten_breaks(cell(F.col("cells"), i + 1)).alias(n) for i, n in enumerate(MAIN_COLUMNS)],
-    ).where(F.col("stock_code").isNotNull())
-    clean = flat.withColumn("company", squeeze_spaces(F.col("company"))).withColumns(
-        {n: blank_quotes(F.col(n)) for n in MAIN_COLUMNS}
+    # Rows without a key go before quote-only cells are blanked: a ditto mark is a key to fill.
+    keyed = rows.where(cell(F.col("cells"), 1).isNotNull())
+    offers = keyed.withColumn("cells", F.slice("cells", 2, len(MAIN_COLUMNS)))
+    clean = G.name_columns(G.normalize_cells(offers), MAIN_COLUMNS).withColumn(
+        "company", squeeze_spaces(F.col("company"))
     )
     marked = clean.join(narrow, "source_file", "left").withColumn(
         "_mark", F.when(F.col("_cells").isNull(), F.col("offer_location"))
