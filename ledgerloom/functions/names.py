@@ -64,9 +64,15 @@ def archive_name(code: Column, path: Column) -> Column:
 
 
 def original_name(name: Column) -> Column:
-    """The name an archive name was built from; '' when it is not one."""
-    parts = r"(?s)\A\[c[^\]]*\]-\[[0-9]{8}\]-\[(.*)\]-\[(.*)\](\.[^.\]]*)?\z"
-    return F.concat(F.regexp_extract(name, parts, 2), F.regexp_extract(name, parts, 3))
+    """The name an archive name was built from; '' when it is not one.
+
+    The stem ends in the rest part, so a stem with brackets of its own still
+    divides in one way.
+    """
+    parts = (
+        r"(?s)\A\[c[^\]]*\]-\[([0-9]{8})\]-\[(.*)\]-\[((?:.*?\1)?\2)\](\.[^.\]]*)?\z"
+    )
+    return F.concat(F.regexp_extract(name, parts, 3), F.regexp_extract(name, parts, 4))
 
 
 def archive_path(code: Column, path: Column, folder: str = ARCHIVE_DIR) -> Column:
