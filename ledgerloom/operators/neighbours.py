@@ -23,29 +23,42 @@ MAX_CUT = 100_000
 RANGE = "_range"
 
 
-def cut_groups(
-    df: DataFrame, keys: list[str], position: str, width: int = WIDTH
-) -> DataFrame:
-    """Add ``_range``: the start of the position range in a big group, NULL in the others.
+def big_groups(df: DataFrame, keys: list[str], least: int) -> DataFrame | None:
+    """``_key_0.., _rows`` of the groups with more than ``least`` rows; None without any.
 
-    ``position`` is a number that few rows of a group share. The group sizes
-    are counted here and now, which reads the key columns alone.
+    The group sizes are counted here and now, which reads the key columns alone.
     """
-    names = [f"_big_{i}" for i in range(len(keys))]
-    sizes = df.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, names)]).agg(
+    sizes = df.groupBy(*[F.col(k).alias(f"_key_{i}") for i, k in enumerate(keys)]).agg(
         F.count("*").alias("_rows")
     )
     big = settle(
-        sizes.where(F.col("_rows") > width).orderBy(F.desc("_rows")).limit(MAX_CUT), "big-groups"
+        sizes.where(F.col("_rows") > least).orderBy(F.desc("_rows")).limit(MAX_CUT), "big-groups"
     )
-    if big.isEmpty():
-        return df.withColumn(RANGE, F.lit(None).cast("bigint"))
+    return None if big.isEmpty() else big
+
+
+def with_group_rows(df: DataFrame, keys: list[str], big: DataFrame) -> DataFrame:
+    """Add ``_rows``: the size of a row's group where that is big, else NULL."""
+    names = [f"_key_{i}" for i in range(len(keys))]
     same = F.lit(True)
     for key, name in zip(keys, names):
         same = same & F.col(key).eqNullSafe(F.col(name))
+    return df.join(F.broadcast(big), same, "left").drop(*names)
+
+
+def cut_groups(
+    df: DataFrame, keys: list[str], position: str, width: int = WIDTH
+) -> DataFrame:
+    """Add ``_range``: the start of the position range in a big group, NULL in the others.
+
+    ``position`` is a number that few rows of a group share.
+    """
+    big = big_groups(df, keys, width)
+    if big is None:
+        return df.withColumn(RANGE, F.lit(None).cast("bigint"))
     place = F.col(position).cast("bigint")
     cut = F.when(F.col("_rows").isNotNull(), place - F.pmod(place, F.lit(width)))
-    return df.join(F.broadcast(big), same, "left").withColumn(RANGE, cut).drop(*names, "_rows")
+    return with_group_rows(df, keys, big).withColumn(RANGE, cut).drop("_rows")
 
 
 def with_neighbours(

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from ledgerloom.operators.neighbours import big_groups, with_group_rows
+
 # Rows per output file, so that one hot key does not make one endless file.
 MAX_FILE_ROWS = 5_000_000
 
@@ -63,12 +65,11 @@ def sorted_keys(df: DataFrame, distinct: bool = True) -> DataFrame:
     keys = df.na.drop()
     if distinct:
         return keys.distinct().orderBy(name)
-    # Equal keys fall into one sort range; a second key lets a hot one span several.
+    # Equal keys fall into one sort range; the reading task as a second key lets a
+    # hot one span several, and is the same when a task has to run again.
     repeated = keys.where(~F.col(name).cast("string").isin("", "0"))
     return (
-        repeated.withColumn("_nth", F.monotonically_increasing_id())
-        .orderBy(name, "_nth")
-        .drop("_nth")
+        repeated.withColumn("_task", F.spark_partition_id()).orderBy(name, "_task").drop("_task")
     )
 
 
@@ -81,14 +82,26 @@ def export_keys(df: DataFrame, target: str, distinct: bool = True) -> None:
 
 
 def write_per_key(df: DataFrame, target: str, key: str = "stock_id", fmt: str = "csv") -> None:
-    """A folder per key. Rebalancing by key splits a hot key over several files."""
+    """A folder per key, each key in one task so that it has few files.
+
+    Keys with more than ``MAX_FILE_ROWS`` rows go to as many tasks as they need
+    files, by row and reading task, so that copies of a row part as well. The
+    task count is fixed, as many small folders are work, not data.
+    """
+    big = big_groups(df, [key], MAX_FILE_ROWS)
+    part = F.lit(0).cast("bigint")
+    if big is not None:
+        files = F.ceil(F.col("_rows") / F.lit(MAX_FILE_ROWS))
+        spread = F.xxhash64(*df.columns, F.spark_partition_id())
+        part = F.coalesce(F.pmod(spread, files), part)
+        df = with_group_rows(df, [key], big)
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (
-        df.hint("rebalance", key)
+        df.withColumn("_part", part)
+        .repartition(tasks, key, "_part")
+        .drop("_part", "_rows")
         .write.mode("overwrite")
-        .option("header", "true")
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("maxRecordsPerFile", MAX_FILE_ROWS)
+        .options(header="true", quote='"', escape='"', maxRecordsPerFile=str(2 * MAX_FILE_ROWS))
         .partitionBy(key)
         .format(fmt)
         .save(target)

@@ -89,6 +89,16 @@ def test_per_key_files(spark, rows, tmp_path):
     assert rows(back, "stock_id", "title") == [("00007", "a"), ("00007", "b"), ("8", 'c "d"')]
 
 
+def test_a_hot_key_is_written_by_several_tasks(spark, rows, tmp_path, monkeypatch):
+    monkeypatch.setattr(sinks, "MAX_FILE_ROWS", 100)
+    df = spark.range(1000).select(F.when(F.col("id") < 900, "hot").otherwise("cold").alias("stock_id"), "id")
+    sinks.write_per_key(df, f"{tmp_path}/out")
+    files = [f for f in os.listdir(tmp_path / "out" / "stock_id=hot") if f.startswith("part-")]
+    assert len(files) > 1
+    back = spark.read.schema("id long, stock_id string").option("header", True).csv(f"{tmp_path}/out")
+    assert rows(back, "stock_id", "id") == rows(df, "stock_id", "id")
+
+
 def test_ids_from_file_names(spark, rows, tmp_path):
     for name in ("press_releases_1.csv", "press_releases_a b.csv", "press_releases_.csv", "press_summary.csv"):
         (tmp_path / name).write_text("x")
