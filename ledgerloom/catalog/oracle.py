@@ -67,6 +67,14 @@ def _words(keywords) -> str:
     return r"(?i)\b(?:" + "|".join(keywords) + r")\b"
 
 
+def _isin_rows(key: str, table: str, nation: str, first: int, company: str, kind: str) -> str:
+    return f"""SELECT 'isin_' || n_name || '.xlsx' source_file, {key} + {first} row_idx, {company} company,
+        ' ISIN' || CAST({key} AS VARCHAR) isin, {key} stock_code, {kind} stock_type,
+        'Place of' place_of_incorporation, n_name national_agency
+        FROM {table} JOIN nation ON {nation} = n_nationkey"""
+
+
+_KIND = "CASE WHEN c_mktsegment <> 'BUILDING' THEN 'ORD SH' END"
 _MASTER = f"upper(p_name) company_isino, {_isin('p_partkey')} isin"
 _CO_NAME = "upper(p_name) || ' ' || p_brand"
 
@@ -203,6 +211,33 @@ SHAPES = {
         'A' || CAST(c_custkey AS VARCHAR) reporting_accountant
         FROM customer JOIN nation ON c_nationkey = n_nationkey
         WHERE n_regionkey <> 0 AND c_mktsegment NOT IN ('BUILDING', 'MACHINERY')""",
+    "isin_above": _isin_rows("c_custkey", "customer", "c_nationkey", 3, "c_name", _KIND),
+    "isin_below": _isin_rows(
+        "s_suppkey", "supplier", "s_nationkey", LOWER + 3, "s_name || '  '", "'ORD SH'"
+    ),
+    "built_isin": """SELECT b.company, b.isin, b.stock_code, b.stock_type, b.place_of_incorporation,
+        b.national_agency, n.stock_type hkex_co_name
+        FROM (SELECT * FROM isin_above UNION ALL SELECT * FROM isin_below) b
+        LEFT JOIN isin_above n ON b.stock_code = n.stock_code""",
+    "built_offers": """SELECT * EXCLUDE (row_idx, funds_raised, offer_location, loc, next_loc, next_funds, rn),
+            CASE WHEN loc NOT IN ('(b)', '(c)') THEN funds_raised END funds_raised_hk,
+            CASE WHEN next_loc = '(b)' THEN next_funds END funds_raised_intl,
+            CASE WHEN next_loc = '(c)' THEN next_funds END funds_raised_sg
+        FROM (SELECT *, trim(offer_location) loc,
+                lead(trim(offer_location)) OVER w next_loc, lead(funds_raised) OVER w next_funds,
+                row_number() OVER w rn
+            FROM main_bronze WINDOW w AS (PARTITION BY stock_code ORDER BY source_file, row_idx))
+        WHERE loc NOT IN ('(b)', '(c)') OR rn = 1""",
+    "built_main": """SELECT m.*, h.company company_isino, h.isin, h.stock_type, h.place_of_incorporation,
+        h.national_agency, h.hkex_co_name FROM built_offers m JOIN built_isin h ON m.stock_code = h.stock_code""",
+    "built_gem": """SELECT g.* EXCLUDE (row_idx), h.company company_isino, h.isin, h.stock_type,
+        h.place_of_incorporation place_of_incorporation_isino, h.national_agency, h.hkex_co_name
+        FROM gem_bronze g JOIN built_isin h ON g.stock_code = h.stock_code""",
+    "built_master": """SELECT stock_code, isin, max(company) company, stock_type FROM (
+        SELECT stock_code, isin, company, stock_type FROM built_main
+        UNION ALL SELECT stock_code, isin, company, stock_type FROM built_gem
+        UNION ALL SELECT stock_code, isin, company, stock_type FROM built_isin)
+        WHERE stock_type = 'ORD SH' GROUP BY stock_code, isin, stock_type""",
     "report_lines": rf"""SELECT document_name, line, n - 1 AS line_no FROM (
         SELECT document_name, unnest(lines) AS line, generate_subscripts(lines, 1) n FROM (
             SELECT document_name, CASE WHEN ascii_text = '' THEN []
@@ -426,22 +461,14 @@ oracle("growth_board_rejects", """SELECT 'GEM_' || n_name || '.xlsx' source_file
     'fewer than 13 named columns' reason FROM nation WHERE n_regionkey = 0""")
 
 
-def _isin_rows(key: str, table: str, nation: str, first: int, company: str) -> str:
-    return f"""SELECT 'isin_' || n_name || '.xlsx' source_file, {key} + {first} row_idx, {company} company,
-        ' ISIN' || CAST({key} AS VARCHAR) isin, {key} stock_code, CAST(NULL AS VARCHAR) stock_type,
-        'Place of' place_of_incorporation, n_name national_agency
-        FROM {table} JOIN nation ON {nation} = n_nationkey"""
-
-
-oracle("isin_list_first_table", _isin_rows("c_custkey", "customer", "c_nationkey", 3, "c_name"))
-oracle("isin_list_second_table",
-       _isin_rows("s_suppkey", "supplier", "s_nationkey", LOWER + 3, "s_name || '  '"))
+oracle("isin_list_first_table", "SELECT * FROM isin_above")
+oracle("isin_list_second_table", "SELECT * FROM isin_below")
 oracle("national_agencies", f"""SELECT 'isin_' || n_name || '.xlsx' source_file,
     s_suppkey + {LOWER + 3} row_idx, s_name national_agency, 'ISIN' || CAST(s_suppkey AS VARCHAR) description
     FROM supplier JOIN nation ON s_nationkey = n_nationkey""")
-oracle("short_names", """SELECT 'isin_' || n_name || '.xlsx' source_file, c_custkey + 3 row_idx,
-    c_custkey stock_code, CAST(NULL AS VARCHAR) hkex_co_name
-    FROM customer JOIN nation ON c_nationkey = n_nationkey""")
+oracle("short_names", f"""SELECT 'isin_' || n_name || '.xlsx' source_file, c_custkey + 3 row_idx,
+    c_custkey stock_code, stock_type hkex_co_name
+    FROM (SELECT *, {_KIND} stock_type FROM customer) JOIN nation ON c_nationkey = n_nationkey""")
 oracle("table_bounds", f"""SELECT 'isin_' || n_name || '.xlsx' source_file, CAST(2 AS BIGINT) header_1,
     CAST({LOWER} AS BIGINT) stop_1, CAST({LOWER + 2} AS BIGINT) header_2,
     CAST({2 * LOWER} AS BIGINT) stop_2 FROM nation""")
@@ -455,6 +482,10 @@ oracle("combined_boards", f"""SELECT {_BOARD}, {", ".join("NULL " + c for c in _
     UNION ALL SELECT source_file, stock_code, company, NULL, listing_date, sponsors,
     reporting_accountant, NULL, funds_raised, NULL, NULL, {", ".join(_GEM_ONLY)} FROM gem_bronze""")
 
+oracle("built_main_board", "SELECT * FROM built_main")
+oracle("built_growth_board", "SELECT * FROM built_gem")
+oracle("built_entity_master", "SELECT * FROM built_master")
+
 # Report texts
 
 oracle("ascii_texts", r"SELECT doc_id, regexp_replace(text, '[^\x00-\x7F]', '', 'g') AS text FROM documents")
@@ -539,6 +570,7 @@ oracle("archived_index", f"""SELECT r.stock_code, r.listed_company_name, r.annou
             || ']-[00000000]-[' || regexp_extract({_BY_DATE}, '^(.*)\\.pdf$', 1) || ']-['
             || regexp_extract({_BY_DATE}, '^(.*)\\.pdf$', 1) || '].pdf' new_path
         FROM report_index GROUP BY announcement_date) m ON m.announcement_date = r.announcement_date""")
+oracle("restored_index", "SELECT * FROM report_index")
 oracle("ids_from_names", """SELECT event_id, CASE WHEN event_type <> 'error'
     THEN CAST(event_id AS VARCHAR) END id FROM events""")
 oracle("market_classes", """SELECT o_orderkey, CASE WHEN o_orderkey >= 8000 AND o_orderkey <= 8999

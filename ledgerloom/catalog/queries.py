@@ -19,8 +19,8 @@ from ledgerloom.operators import sets
 from ledgerloom.operators import silver as V
 from ledgerloom.operators import worklist as W
 from ledgerloom.operators.neighbours import with_neighbours
-from ledgerloom.plans import bronze, releases, views
-from ledgerloom.session import scratch_path
+from ledgerloom.plans import bronze, build, releases, views
+from ledgerloom.session import scratch_path, settle
 from ledgerloom.sinks import files as sinks
 from ledgerloom.sources import files as sources
 from ledgerloom.streaming import flags as stream
@@ -301,6 +301,29 @@ def combined_boards(t):
     return G.union_files([main, growth])
 
 
+def _built_isin(t):
+    landed = settle(S.isin_grid(t), "landed")
+    names_ = landed.withColumn("cells", F.slice("cells", 3, 2))
+    return build.isin_table(landed, landed, names_)
+
+
+@query
+def built_main_board(t):
+    return build.main_table(S.main_grid(t), _built_isin(t))
+
+
+@query
+def built_growth_board(t):
+    return build.gem_table(S.gem_grid(t), _built_isin(t))[0]
+
+
+@query
+def built_entity_master(t):
+    master = _built_isin(t)
+    growth, _ = build.gem_table(S.gem_grid(t), master)
+    return sets.entity_master([build.main_table(S.main_grid(t), master), growth, master])
+
+
 # Report texts
 
 
@@ -436,12 +459,12 @@ def archived_index(t):
     index = S.report_index(t).withColumn(
         "pdf_path", F.concat(F.lit("data/raw/auditor_pdfs/"), F.col("announcement_date"), F.lit(".pdf"))
     )
-    mapping = index.select(
-        F.col("pdf_path").alias("old_path"),
-        names.archive_path(F.col("stock_code"), F.col("pdf_path")).alias("new_path"),
-        "stock_code",
-    )
-    return W.apply_path_map(index, mapping, ["stock_code"])
+    return W.archive_paths(index, ["stock_code"])
+
+
+@query
+def restored_index(t):
+    return W.restore_paths(W.archive_paths(S.report_index(t), ["stock_code"]), ["stock_code"])
 
 
 @query

@@ -378,13 +378,15 @@ def isin_grid(t: Tables) -> DataFrame:
         ).alias("frame"),
     ).select("source_file", "frame.*")
 
-    def body(df: DataFrame, prefix: str, nation: str, first: int, extra: Column) -> DataFrame:
+    def body(
+        df: DataFrame, prefix: str, nation: str, first: int, extra: Column, kind: Column
+    ) -> DataFrame:
         key = F.col(f"{prefix}key")
         cells = F.array(
             extra,
             F.concat(F.lit(" ISIN"), key.cast("string")),
             key.cast("string"),
-            F.lit('""'),
+            kind,
             F.lit("Place\r\nof"),
             F.col("n_name"),
         )
@@ -392,9 +394,11 @@ def isin_grid(t: Tables) -> DataFrame:
             file, (key + first).alias("row_idx"), cells.alias("cells")
         )
 
-    above = body(t.customer, "c_cust", "c_nationkey", 3, F.col("c_name"))
+    kind = F.when(F.col("c_mktsegment") == "BUILDING", F.lit('""')).otherwise(F.lit("ORD SH"))
+    above = body(t.customer, "c_cust", "c_nationkey", 3, F.col("c_name"), kind)
     below = body(
-        t.supplier, "s_supp", "s_nationkey", LOWER + 3, F.concat(F.col("s_name"), F.lit("\n "))
+        t.supplier, "s_supp", "s_nationkey", LOWER + 3, F.concat(F.col("s_name"), F.lit("\n ")),
+        F.lit("ORD SH"),
     )
     return frame.unionByName(above).unionByName(below)
 

@@ -43,7 +43,7 @@ def name_date(name: Column) -> Column:
     )
 
 
-def _archive_prefix(code: Column) -> Column:
+def archive_prefix(code: Column) -> Column:
     return F.concat(F.lit("[c"), code.cast("string"), F.lit("]-["))
 
 
@@ -56,11 +56,11 @@ def archive_name(code: Column, path: Column) -> Column:
     dated = digits != ""
     rest = F.when(dated, F.regexp_extract(core, r"(?s)\A.*?[0-9]{8}(.*)\z", 1)).otherwise(core)
     built = F.concat(
-        _archive_prefix(code),
+        archive_prefix(code),
         F.when(dated, digits).otherwise(F.lit(NO_DATE)),
         F.lit("]-["), rest, F.lit("]-["), core, F.lit("]"), ext,
     )
-    return F.when(F.startswith(name, _archive_prefix(code)), name).otherwise(built)
+    return F.when(F.startswith(name, archive_prefix(code)), name).otherwise(built)
 
 
 def original_name(name: Column) -> Column:

@@ -2,12 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.cells import strip
 from ledgerloom.operators.joins import left_lookup
 from ledgerloom.operators.neighbours import WIDTH, with_neighbours
+from ledgerloom.session import settle
+
+# More row numbers than any sheet has.
+FILE_ROWS = 1 << 40
+
+
+def number_rows(df: DataFrame, name: str = "seq") -> DataFrame:
+    """Add one position over all files: by file name, then by row.
+
+    Only the list of file names is sorted in one place.
+    """
+    by_name = Window.orderBy("source_file")
+    files = df.select("source_file").distinct().select(
+        "source_file", F.row_number().over(by_name).alias("_file")
+    )
+    position = F.col("_file") * F.lit(FILE_ROWS) + F.col("row_idx")
+    return df.join(settle(files, "files"), "source_file").withColumn(name, position).drop("_file")
 
 
 def merge_offer_rows(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.functions import names
 from ledgerloom.functions.cells import strip
 from ledgerloom.functions.names import stem
 from ledgerloom.operators.joins import left_lookup
@@ -72,14 +73,16 @@ def update_ignore(
     return updated, new.agg(F.count("*").alias("added"))
 
 
-def skip_done(documents: DataFrame, done: DataFrame, name: str = "document_name") -> DataFrame:
+def skip_done(
+    documents: DataFrame, done: DataFrame, name: str = "document_name", done_name: str = "document_name"
+) -> DataFrame:
     """Documents whose file stem is not among the stems already done.
 
     The stems are compared without the texts. The list of what is left is then
     written down, so that a short one is sent to the texts instead of the texts
     being shuffled to it.
     """
-    stems = done.select(stem(F.col(name)).alias("_stem")).distinct()
+    stems = done.select(stem(F.col(done_name)).alias("_stem")).distinct()
     names = documents.select(stem(F.col(name)).alias("_stem")).distinct()
     left = settle(names.join(stems, "_stem", "left_anti"), "left")
     return documents.join(left, stem(F.col(name)) == F.col("_stem"), "left_semi")
@@ -96,3 +99,26 @@ def apply_path_map(
     return left_lookup(index, chosen, [(path, "old_path")]).withColumn(
         path, F.coalesce("new_path", path)
     ).drop("new_path")
+
+
+def archive_paths(index: DataFrame, order: list[Column | str]) -> DataFrame:
+    """Point the index at archive names: the first row of each path names its file."""
+    code, path = F.col("stock_code"), F.col("pdf_path")
+    new = names.archive_path(code, path)
+    named = index.where((F.trim("pdf_path") != "") & (names.base_name(path) != names.base_name(new)))
+    mapping = named.select(path.alias("old_path"), new.alias("new_path"), *order)
+    return apply_path_map(index, mapping, order)
+
+
+def restore_paths(index: DataFrame, order: list[Column | str]) -> DataFrame:
+    """Point archived rows of the index back at the original files."""
+    path = F.col("pdf_path")
+    archived = index.where(
+        path.like(names.ARCHIVE_DIR + "/%")
+        & F.startswith(names.base_name(path), names.archive_prefix(F.col("stock_code")))
+        & (names.original_name(names.base_name(path)) != "")
+    )
+    mapping = archived.select(
+        path.alias("old_path"), names.original_path(path).alias("new_path"), *order
+    )
+    return apply_path_map(index, mapping, order)

@@ -1,7 +1,6 @@
 """The relational views: entity master, datasets, reconciliations and exports.
 
-Inputs are DataFrames named after the tables they stand for; nothing runs until
-the caller writes or counts the result.
+Inputs are DataFrames named after the tables they stand for.
 """
 
 from __future__ import annotations
@@ -14,6 +13,7 @@ from ledgerloom.functions.codes import on_or_after
 from ledgerloom.operators import joins as J
 from ledgerloom.operators.latest import latest_join, one_per_group
 from ledgerloom.operators.sets import entity_master, ordinary_shares, union_distinct
+from ledgerloom.session import settle
 
 # First year and date of the datasets, and fundamentals filters.
 FIRST_YEAR = 2014
@@ -238,8 +238,12 @@ def export_set(
 
 
 def views(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """All views from the base tables, in the order they depend on each other."""
-    master = entity_master([tables["hkex_main"], tables["hkex_gem"], tables["hkex_isin"]])
+    """All views from the base tables, in the order they depend on each other.
+
+    Four of them read the entity master, so it is settled.
+    """
+    boards = [tables["hkex_main"], tables["hkex_gem"], tables["hkex_isin"]]
+    master = settle(entity_master(boards), "entity-master")
     return {
         "hkex_all_stock_code_isin": master,
         "hkex_dataset": firm_dataset(tables["funda_q_isin"], master),
