@@ -179,7 +179,7 @@ def fill_continuation_keys(
     """
     mark = F.coalesce(strip(F.col(marker)), F.lit(""))
     marked = df.withColumns({"_mark": mark, "_key": F.struct(F.col(key).alias("key"))})
-    cut = cut_groups(marked, groups, order[0], width)
+    cut = cut_groups(marked, groups, order, [], width)
     near = with_neighbours(cut, groups, order, ["_mark", "_key"], back=2, ahead=2)
 
     before = F.coalesce(F.col("prev_1._mark"), F.lit(""))

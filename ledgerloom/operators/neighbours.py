@@ -47,17 +47,20 @@ def with_group_rows(df: DataFrame, keys: list[str], big: DataFrame) -> DataFrame
 
 
 def cut_groups(
-    df: DataFrame, keys: list[str], position: str, width: int = WIDTH
+    df: DataFrame, keys: list[str], order: list[str], segments: list[str], width: int = WIDTH
 ) -> DataFrame:
-    """Add ``_range``: the start of the position range in a big group, NULL in the others.
+    """Add ``_range``: where a row of a big group lies, NULL in the other groups.
 
-    ``position`` is a number that few rows of a group share.
+    Rows are in the order ``segments`` then ``order``; ``order[0]`` is a number
+    that few rows of a segment and group share. A range is one stretch of
+    ``width`` such numbers within a segment, so ranges follow each other.
     """
     big = big_groups(df, keys, width)
     if big is None:
         return df.withColumn(RANGE, F.lit(None).cast("bigint"))
-    place = F.col(position).cast("bigint")
-    cut = F.when(F.col("_rows").isNotNull(), place - F.pmod(place, F.lit(width)))
+    place = F.col(order[0]).cast("bigint")
+    stretch = F.struct(*segments, (place - F.pmod(place, F.lit(width))).alias("start"))
+    cut = F.when(F.col("_rows").isNotNull(), stretch)
     return with_group_rows(df, keys, big).withColumn(RANGE, cut).drop("_rows")
 
 
@@ -68,26 +71,30 @@ def with_neighbours(
     value: list[str],
     back: int = 0,
     ahead: int = 0,
+    segments: list[str] | None = None,
     width: int = WIDTH,
 ) -> DataFrame:
     """Add ``prev_1..prev_back`` and ``next_1..next_ahead``.
 
     Each is a struct of the ``value`` columns of that neighbour in the same
     group, NULL where there is none. ``order[0]`` is a numeric position; the
-    other columns break its ties, and the whole list must be a total order. A
-    frame that is cut already is taken as it is and stays cut.
+    other columns break its ties, and ``segments`` (a file name, say) come
+    before it. All of them must be a total order. A frame that is cut already
+    is taken as it is and stays cut.
     """
+    segments = segments or []
+    is_cut = RANGE in df.columns
     packed = F.struct(*value)
     reach = max(back, ahead)
-    near = Window.partitionBy(*keys, RANGE).orderBy(*order)
-    far = Window.partitionBy(*keys).orderBy(*order)
+    near = Window.partitionBy(*keys, RANGE).orderBy(*segments, *order)
+    far = Window.partitionBy(*keys).orderBy(*segments, *order)
     shifts = {f"prev_{i}": (F.lag, i) for i in range(1, back + 1)}
     shifts |= {f"next_{i}": (F.lead, i) for i in range(1, ahead + 1)}
 
     here = F.lit(1)
     at_end = F.lag(here, reach).over(near).isNull() | F.lead(here, reach).over(near).isNull()
-    is_cut = RANGE in df.columns
-    ranged = (df if is_cut else cut_groups(df, keys, order[0], width)).select(
+    cut = df if is_cut else cut_groups(df, keys, order, segments, width)
+    ranged = cut.select(
         "*",
         *[shift(packed, i).over(near).alias(name) for name, (shift, i) in shifts.items()],
         at_end.alias("_at_end"),
@@ -111,14 +118,17 @@ def running_last(
     order: list[str],
     value: Column,
     name: str,
+    segments: list[str] | None = None,
     width: int = WIDTH,
 ) -> DataFrame:
     """Add ``name``: the last non-NULL ``value`` at or before each row of its group."""
+    segments = segments or []
     is_cut = RANGE in df.columns
-    ranged = (df if is_cut else cut_groups(df, keys, order[0], width)).withColumn("_value", value)
+    cut = df if is_cut else cut_groups(df, keys, order, segments, width)
+    ranged = cut.withColumn("_value", value)
     within = (
         Window.partitionBy(*keys, RANGE)
-        .orderBy(*order)
+        .orderBy(*segments, *order)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     earlier = (

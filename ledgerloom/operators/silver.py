@@ -2,30 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.cells import strip
 from ledgerloom.operators.joins import left_lookup
 from ledgerloom.operators.neighbours import WIDTH, with_neighbours
-from ledgerloom.session import settle
-
-# More row numbers than any sheet has.
-FILE_ROWS = 1 << 40
-
-
-def number_rows(df: DataFrame, name: str = "seq") -> DataFrame:
-    """Add one position over all files: by file name, then by row.
-
-    Only the list of file names is sorted in one place.
-    """
-    by_name = Window.orderBy("source_file")
-    files = df.select("source_file").distinct().select(
-        "source_file", F.row_number().over(by_name).alias("_file")
-    )
-    position = F.col("_file") * F.lit(FILE_ROWS) + F.col("row_idx")
-    return df.join(settle(files, "files"), "source_file").withColumn(name, position).drop("_file")
-
 
 def merge_offer_rows(
     df: DataFrame,
@@ -33,17 +15,19 @@ def merge_offer_rows(
     key: str = "stock_code",
     marker: str = "offer_location",
     amount: str = "funds_raised",
+    segments: list[str] | None = None,
     width: int = WIDTH,
 ) -> DataFrame:
     """Move the amounts of (b)/(c) rows onto the row of the same key just above.
 
+    Rows come in the order of ``segments`` (the file, say) and then ``order``.
     That row may itself be a (b) or (c) and go away, and its received amount
     with it. A (b)/(c) row with nothing above it stays, without an own amount.
     """
     place = F.coalesce(strip(F.col(marker)), F.lit(""))
     rows = df.withColumns({"_place": place, "_amount": F.col(amount)})
     near = with_neighbours(
-        rows, [key], order, ["_place", "_amount"], back=1, ahead=1, width=width
+        rows, [key], order, ["_place", "_amount"], 1, 1, segments, width
     )
     continues = F.col("_place").isin("(b)", "(c)")
 

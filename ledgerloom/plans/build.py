@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from ledgerloom.operators import worklist as W
 from ledgerloom.operators.joins import join_master
 from ledgerloom.operators.reports import flag_paths
-from ledgerloom.operators.silver import build_isin_master, merge_offer_rows, number_rows
+from ledgerloom.operators.silver import build_isin_master, merge_offer_rows
 from ledgerloom.plans import bronze, views
 from ledgerloom.session import settle
 from ledgerloom.sources.files import fundamentals, restrict_to_keys
@@ -30,8 +30,9 @@ def isin_table(agency: DataFrame, exchange: DataFrame, names: DataFrame) -> Data
 
 def main_table(grid: DataFrame, master: DataFrame) -> DataFrame:
     """Main board offers, merged and joined to the identifier master."""
-    offers = number_rows(settle(bronze.main_board(grid), "main-board"))
-    return join_master(merge_offer_rows(offers, ["seq"]).drop("seq", "row_idx"), master, "stock_code")
+    offers = settle(bronze.main_board(grid), "main-board")
+    merged = merge_offer_rows(offers, ["row_idx"], segments=["source_file"])
+    return join_master(merged.drop("row_idx"), master, "stock_code")
 
 
 def gem_table(grid: DataFrame, master: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.operators import payloads as P
 from ledgerloom.operators import worklist as W
+from ledgerloom.session import settle
 
 
 def stock_id_mapping(lookups: DataFrame) -> DataFrame:
@@ -21,17 +22,19 @@ def ingest_releases(
 ) -> dict[str, DataFrame]:
     """One round: which ids are pending, what arrived for them, the next ignore list.
 
-    ``payloads`` holds landed responses as ``seq, stock_id, body``.
+    ``payloads`` holds landed responses as ``seq, stock_id, body``. What several
+    later steps read (mapping, pending ids, summary) is settled on the way.
     """
-    mapping = stock_id_mapping(lookups)
+    mapping = settle(stock_id_mapping(lookups), "mapping")
     full = mapping.where(F.col("stock_id") != "").select("seq", F.col("stock_id").alias("id"))
     pending, counts = W.pending_list(full, ignore, existing)
+    pending = settle(pending, "pending").orderBy("seq")
     arrived = payloads.join(
         pending.select(F.col("id").alias("stock_id")).distinct(), "stock_id", "left_semi"
     )
     keyed = arrived.select(F.struct("seq", "stock_id").alias("key"), "body")
     records, summary = P.parse_envelopes(keyed, record_schema, key="key")
-    summary = summary.select("key.seq", "key.stock_id", "status", "row_count")
+    summary = settle(summary.select("key.seq", "key.stock_id", "status", "row_count"), "summary")
     updated, added = W.update_ignore(ignore, summary)
     return {
         "mapping": mapping,

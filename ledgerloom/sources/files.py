@@ -12,6 +12,9 @@ from ledgerloom.functions.names import id_from_name
 from ledgerloom.functions.text import decode_text
 from ledgerloom.operators.joins import semi_join
 
+# Files up to which one row per file block is sent to every task.
+MAX_SENT_FILES = 100_000
+
 CSV_OPTIONS = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"'}
 
 
@@ -37,7 +40,8 @@ def _in_file_order(df: DataFrame, position: str, kept: list[str]) -> DataFrame:
 
     Row ids rise inside a file block, so a row's number is its distance from
     the block's first id plus the rows of the blocks before: one small
-    aggregate by block instead of a sort of the file.
+    aggregate by block instead of a sort of the file. Both reads of the files
+    stay in one plan, as the ids hold for one way of splitting them only.
     """
     rows = df.select(
         *kept,
@@ -54,6 +58,9 @@ def _in_file_order(df: DataFrame, position: str, kept: list[str]) -> DataFrame:
         .agg(F.count("*").alias("_n"), F.min("_id").alias("_first"))
         .select("_path", "_block", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
     )
+    # A block is a whole file or a full split of one, so few files mean few blocks.
+    if len(df.inputFiles()) <= MAX_SENT_FILES:
+        blocks = F.broadcast(blocks)
     return (
         rows.join(blocks, ["_path", "_block"])
         .withColumn(position, F.col("_before") + F.col("_id") - F.col("_first"))

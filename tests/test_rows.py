@@ -38,11 +38,24 @@ def test_neighbours(spark, rows, width):
 def test_running_last(spark, rows, width):
     df = spark.createDataFrame(hot_rows(width + 1), "k string, p int, v int")
     w = Window.partitionBy("k").orderBy("p").rowsBetween(Window.unboundedPreceding, 0)
-    got = running_last(df.where("k is not null"), ["k"], ["p"], F.col("v"), "last", width)
+    got = running_last(df.where("k is not null"), ["k"], ["p"], F.col("v"), "last", width=width)
     want = df.where("k is not null").withColumn("last", F.last("v", True).over(w))
     assert rows(got, *want.columns) == rows(want)
 
 
+@pytest.mark.parametrize("width", [1, 20, 1 << 20])
+def test_neighbours_over_segments(spark, rows, width):
+    data = [(k, f"f{p % 4}", p // 4, v) for k, p, v in hot_rows(width + 2)]
+    df = spark.createDataFrame(data, "k string, s string, p int, v int")
+    w = Window.partitionBy("k").orderBy("s", "p")
+    got = with_neighbours(df, ["k"], ["p"], ["v"], back=1, ahead=1, segments=["s"], width=width)
+    want = df.withColumn("prev_1", F.lag(F.struct("v")).over(w)).withColumn("next_1", F.lead(F.struct("v")).over(w))
+    assert rows(got, *want.columns) == rows(want)
+    last = running_last(df.where("k is not null"), ["k"], ["p"], F.col("v"), "last", ["s"], width)
+    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    assert rows(last) == rows(df.where("k is not null").withColumn("last", F.last("v", True).over(upto)))
+
+
 def spec_offers(offers):
     """Row by row: each (b)/(c) hands its amount to the row above with its code."""
     out, last = {}, {}
