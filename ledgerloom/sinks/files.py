@@ -15,8 +15,15 @@ from ledgerloom.operators.neighbours import big_groups, with_group_rows
 MAX_FILE_ROWS = 5_000_000
 
 
-def replace_table(df: DataFrame, target: str, fmt: str = "parquet") -> int:
-    """Write ``df`` over the path or table ``target``; returns the rows written."""
+def replace_table(
+    df: DataFrame, target: str, fmt: str = "parquet", skip_empty: bool = False
+) -> int:
+    """Write ``df`` over the path or table ``target``; returns the rows written.
+
+    With ``skip_empty`` an empty result leaves the target as it was.
+    """
+    if skip_empty and df.isEmpty():
+        return 0
     seen = Observation()
     writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").format(fmt)
     if "/" in target:

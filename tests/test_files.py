@@ -109,7 +109,10 @@ def test_ids_from_file_names(spark, rows, tmp_path):
 def test_replaced_table_counts_rows(spark, tmp_path):
     assert sinks.replace_table(spark.range(10), f"{tmp_path}/t") == 10
     assert sinks.replace_table(spark.range(3), f"{tmp_path}/t") == 3
+    assert sinks.replace_table(spark.range(0), f"{tmp_path}/t", skip_empty=True) == 0
     assert spark.read.parquet(f"{tmp_path}/t").count() == 3
+    assert sinks.replace_table(spark.range(0), f"{tmp_path}/t") == 0
+    assert spark.read.parquet(f"{tmp_path}/t").count() == 0
 
 
 def test_scratch_is_in_the_session_folder(spark):
