@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.cells import cell, clean_cells, filled_cells, strip, to_key
+from ledgerloom.operators.joins import spread_join
 from ledgerloom.operators.neighbours import WIDTH, cut_groups, running_last, with_neighbours
 from ledgerloom.session import settle
 
@@ -36,7 +37,8 @@ def _next_row(
 ) -> DataFrame:
     """Extend per-file ``bounds`` with the first row behind ``after`` that is ``found``."""
     hit = F.when(found & (F.col(ROW) > F.col(after)), F.col(ROW))
-    extended = marks.join(bounds, FILE).groupBy(*bounds.columns).agg(F.min(hit).alias(name))
+    joined = spread_join(marks, bounds, [(FILE, FILE)], "inner")
+    extended = joined.groupBy(*bounds.columns).agg(F.min(hit).alias(name))
     return settle(extended, name)
 
 
@@ -62,7 +64,8 @@ def table_bounds(grid: DataFrame, min_cells: int = 3, nth: int = 1) -> DataFrame
 def _between(grid: DataFrame, bounds: DataFrame, header: str, stop: str) -> DataFrame:
     row = F.col(ROW)
     inside = (row > F.col(header)) & (F.col(stop).isNull() | (row < F.col(stop)))
-    return grid.join(bounds.select(FILE, header, stop), FILE).where(inside).select(*grid.columns)
+    bounded = spread_join(grid, bounds.select(FILE, header, stop), [(FILE, FILE)], "inner")
+    return bounded.where(inside).select(*grid.columns)
 
 
 def table_region(grid: DataFrame, min_cells: int = 3, nth: int = 1) -> DataFrame:
@@ -94,7 +97,7 @@ def cut_at_marker(df: DataFrame, column: str, marker: str) -> DataFrame:
     marks = df.select(FILE, ROW, (F.lower(strip(F.col(column))) == marker.lower()).alias("hit"))
     cut = _first_row(marks.where("hit"), F.col("hit"), "cut").withColumnRenamed("cut", "_cut")
     return (
-        df.join(cut, FILE, "left")
+        spread_join(df, cut, [(FILE, FILE)], "left")
         .where(F.col("_cut").isNull() | (F.col(ROW) < F.col("_cut")))
         .drop("_cut")
     )
@@ -124,8 +127,7 @@ def fixed_header_region(
         F.slice("positions", 1, n_cols), lambda i: F.get(F.col("cells"), i)
     )
     region = (
-        grid.where(F.col(ROW) >= data_row)
-        .join(columns, FILE)
+        spread_join(grid.where(F.col(ROW) >= data_row), columns, [(FILE, FILE)], "inner")
         .withColumn("cells", picked)
         .select(*grid.columns)
     )
@@ -143,7 +145,7 @@ def split_rejects(grid: DataFrame, rule: Column, reason: str) -> tuple[DataFrame
     verdict = grid.groupBy(FILE).agg(F.coalesce(rule, F.lit(False)).alias("_ok"))
     bad = settle(verdict.where(~F.col("_ok")).select(FILE), "rejects")
     return (
-        grid.join(bad.select(FILE), FILE, "left_anti"),
+        spread_join(grid, bad, [(FILE, FILE)], "left_anti"),
         bad.select(FILE, F.lit(reason).alias("reason")),
     )
 

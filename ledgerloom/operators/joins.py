@@ -15,16 +15,17 @@ def _suffixed(right: DataFrame, taken: set[str], suffix: str) -> DataFrame:
     )
 
 
-def left_lookup(
-    left: DataFrame, right: DataFrame, on: list[tuple[Column | str, str]]
+def spread_join(
+    left: DataFrame, right: DataFrame, on: list[tuple[Column | str, str]], how: str
 ) -> DataFrame:
-    """Left join that keeps rows with a NULL key out of one hot partition.
+    """Join that spreads NULL keys and leaves hot keys open to the adaptive skew join.
 
     ``on`` pairs a left column with a column of ``right``; the right columns
     used as keys are dropped. A second join key is the hash of the first, or of
-    the whole row where a key is NULL: those rows match nothing and so may
-    spread over all partitions. A hot key that does match is split by the
-    adaptive skew join.
+    the whole row where a key is NULL: those rows match nothing and so may lie
+    in any partition. The second key also means that neither side comes in
+    partitioned as the join needs it, by a grouping below it, say: both sides
+    shuffle right below the join, and only there can a hot partition be split.
     """
     keys = [F.col(a) if isinstance(a, str) else a for a, _ in on]
     types = [field.dataType for field in left.select(*keys).schema]
@@ -49,7 +50,26 @@ def left_lookup(
     for i in range(len(on)):
         match = match & (F.col(f"_l{i}") == F.col(f"_r{i}"))
     helpers = [f"{side}{i}" for i in range(len(on)) for side in ("_l", "_r")]
-    return keyed.join(other, match, "left").drop(*helpers, "_lspread", "_rspread")
+    return keyed.join(other, match, how).drop(*helpers, "_lspread", "_rspread")
+
+
+def left_lookup(
+    left: DataFrame, right: DataFrame, on: list[tuple[Column | str, str]]
+) -> DataFrame:
+    """Left join to the columns of ``right`` other than its keys."""
+    return spread_join(left, right, on, "left")
+
+
+def keep_listed(
+    left: DataFrame, right: DataFrame, on: list[tuple[Column | str, str]], listed: bool = True
+) -> DataFrame:
+    """Left rows whose key occurs on the right, or (``listed=False``) does not.
+
+    The right keys are made unique before they shuffle, so a hot key there is
+    one row. A NULL key never occurs.
+    """
+    keys = right.select(*[name for _, name in on]).distinct()
+    return spread_join(left, keys, on, "left_semi" if listed else "left_anti")
 
 
 def join_master(df: DataFrame, master: DataFrame, key: str, suffix: str = "_isino") -> DataFrame:
@@ -65,8 +85,8 @@ def match_rows(left: DataFrame, right: DataFrame, on: str, suffix: str = "_right
 
 
 def semi_join(left: DataFrame, keys: DataFrame, on: str) -> DataFrame:
-    """Left rows whose key occurs; keys are made unique before they shuffle."""
-    return left.join(keys.select(on).distinct(), on, "left_semi")
+    """Left rows whose key occurs."""
+    return keep_listed(left, keys, [(on, on)])
 
 
 def unmatched_rows(
@@ -74,10 +94,9 @@ def unmatched_rows(
 ) -> DataFrame:
     """Left rows without a partner, NULL keys included.
 
-    With ``columns``: those columns, each combination once. The right side is
-    made unique first, so a hot key on it is one row.
+    With ``columns``: those columns, each combination once.
     """
-    alone = left.join(right.select(on).distinct(), on, "left_anti").select(*left.columns)
+    alone = keep_listed(left, right, [(on, on)], listed=False)
     return alone if columns is None else alone.select(*columns).distinct()
 
 
@@ -85,17 +104,16 @@ def semi_join_where(
     left: DataFrame, right: DataFrame, on: tuple[str, str], left_cond: Column, right_cond: Column
 ) -> DataFrame:
     """``EXISTS`` with a condition on either side, both applied before the join."""
-    keys = right.where(right_cond).select(F.col(on[1]).alias("_key")).distinct()
-    return left.where(left_cond).join(keys, F.col(on[0]) == F.col("_key"), "left_semi")
+    return keep_listed(left.where(left_cond), right.where(right_cond), [on])
 
 
 def _side_entities(
     side: str, df: DataFrame, other: DataFrame, on: str, entities: list[str]
 ) -> DataFrame:
     """``side, entity, value, hit`` for every entity column of one side."""
-    known = other.select(F.col(on).alias("_on")).distinct().withColumn("_hit", F.lit(True))
+    known = other.select(on).distinct().withColumn("_hit", F.lit(True))
     pairs = df.select(on, *[e for e in entities if e != on]).distinct()
-    flagged = left_lookup(pairs, known, [(on, "_on")])
+    flagged = left_lookup(pairs, known, [(on, on)])
     values = F.array(
         *[
             F.struct(F.lit(e).alias("entity"), F.col(e).cast("string").alias("value"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.joins import left_lookup
+from ledgerloom.operators.joins import left_lookup, spread_join
 
 
 def latest_per_key(df: DataFrame, key: str, by: str) -> DataFrame:
@@ -20,8 +20,7 @@ def latest_per_key(df: DataFrame, key: str, by: str) -> DataFrame:
         .groupBy(F.col(key).alias("_key"))
         .agg(F.max(by).alias("_last"))
     )
-    same = (F.col(key) == F.col("_key")) & (F.col(by) == F.col("_last"))
-    return df.join(last, same, "left_semi")
+    return spread_join(df, last, [(key, "_key"), (by, "_last")], "left_semi")
 
 
 def latest_join(left: DataFrame, right: DataFrame, on: tuple[str, str], by: str) -> DataFrame:

@@ -61,7 +61,9 @@ def cut_groups(
     place = F.col(order[0]).cast("bigint")
     stretch = F.struct(*segments, (place - F.pmod(place, F.lit(width))).alias("start"))
     cut = F.when(F.col("_rows").isNotNull(), stretch)
-    return with_group_rows(df, keys, big).withColumn(RANGE, cut).drop("_rows")
+    ranged = with_group_rows(df, keys, big).withColumn(RANGE, cut).drop("_rows")
+    # Rows that come in partitioned by the keys would pass for ready otherwise.
+    return ranged.repartition(*keys, RANGE)
 
 
 def with_neighbours(

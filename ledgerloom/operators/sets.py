@@ -27,10 +27,11 @@ def union_distinct(frames: list[DataFrame], column: str) -> DataFrame:
 def entity_master(sources: list[DataFrame]) -> DataFrame:
     """Ordinary shares of all sources: one row per code, ISIN and type.
 
-    The greatest company name wins; a NULL ISIN is a group of its own.
+    The greatest company name wins; a NULL ISIN is a group of its own. Repeated
+    rows go first: that hashes, while a maximum of text has to sort what it reads.
     """
     columns = ["stock_code", "isin", "company", "stock_type"]
-    rows = union_all([ordinary_shares(s).select(*columns) for s in sources])
+    rows = union_all([ordinary_shares(s).select(*columns) for s in sources]).distinct()
     return rows.groupBy("stock_code", "isin", "stock_type").agg(
         F.max("company").alias("company")
     ).select(*columns)

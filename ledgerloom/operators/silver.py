@@ -53,6 +53,4 @@ def build_isin_master(agency: DataFrame, exchange: DataFrame, names: DataFrame)
     A stock code with several short names gives several rows.
     """
     both = agency.unionByName(exchange, allowMissingColumns=True)
-    return left_lookup(
-        both, names.withColumnRenamed("stock_code", "_code"), [("stock_code", "_code")]
-    )
+    return left_lookup(both, names, [("stock_code", "stock_code")])

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions import names
 from ledgerloom.functions.cells import strip
 from ledgerloom.functions.names import stem
-from ledgerloom.operators.joins import left_lookup
+from ledgerloom.operators.joins import keep_listed, left_lookup, spread_join
 from ledgerloom.operators.latest import one_per_group
 from ledgerloom.session import settle
 
@@ -17,7 +17,7 @@ def document_worklist(index: DataFrame, codes: DataFrame | None = None) -> DataF
     """Distinct non-blank paths, for the given ``stock_code`` rows only when given."""
     rows = index.where(F.trim("pdf_path") != "")
     if codes is not None:
-        rows = rows.join(codes.select("stock_code").distinct(), "stock_code", "left_semi")
+        rows = keep_listed(rows, codes, [("stock_code", "stock_code")])
     return rows.select("pdf_path").distinct()
 
 
@@ -34,8 +34,8 @@ def pending_list(
     Repeated ids of the full list stay; both other lists count once per id.
     The two lists make one set of ids, so the full list shuffles once.
     """
-    done = ignore.select(key).unionByName(existing.select(key)).distinct()
-    pending = full.join(done, key, "left_anti").select(*full.columns)
+    done = ignore.select(key).unionByName(existing.select(key))
+    pending = keep_listed(full, done, [(key, key)], listed=False)
     tagged = (
         full.select(F.lit("full").alias("list"), F.lit(1).alias("n"))
         .unionByName(ignore.select(key).distinct().select(F.lit("ignore").alias("list"), F.lit(1).alias("n")))
@@ -63,10 +63,8 @@ def update_ignore(
     reached = summary.select(
         "seq", strip(F.col("stock_id").cast("string")).alias("id"), strip(F.col("status")).alias("status")
     ).where((F.col("id") != "") & F.col("status").isin(*statuses))
-    new = (
-        reached.groupBy("id").agg(F.min("seq").alias("seq"))
-        .join(ignore.select("id").distinct(), "id", "left_anti")
-    )
+    first = reached.groupBy("id").agg(F.min("seq").alias("seq"))
+    new = keep_listed(first, ignore, [("id", "id")], listed=False)
     updated = ignore.select(F.lit(0).alias("part"), "seq", "id").unionByName(
         new.select(F.lit(1).alias("part"), "seq", "id")
     )
@@ -82,10 +80,10 @@ def skip_done(
     written down, so that a short one is sent to the texts instead of the texts
     being shuffled to it.
     """
-    stems = done.select(stem(F.col(done_name)).alias("_stem")).distinct()
-    names = documents.select(stem(F.col(name)).alias("_stem")).distinct()
-    left = settle(names.join(stems, "_stem", "left_anti"), "left")
-    return documents.join(left, stem(F.col(name)) == F.col("_stem"), "left_semi")
+    stems = done.select(stem(F.col(done_name)).alias("_stem"))
+    found = documents.select(stem(F.col(name)).alias("_stem")).distinct()
+    left = settle(keep_listed(found, stems, [("_stem", "_stem")], listed=False), "left")
+    return spread_join(documents, left, [(stem(F.col(name)), "_stem")], "left_semi")
 
 
 def apply_path_map(

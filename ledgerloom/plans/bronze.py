@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.cells import cell, squeeze_spaces, strip
 from ledgerloom.operators import grid as G
+from ledgerloom.operators.joins import left_lookup
 from ledgerloom.session import settle
 
 # Column names of the clean tables, in sheet order.
@@ -50,7 +51,7 @@ def main_board(grid: DataFrame) -> DataFrame:
     clean = G.name_columns(G.normalize_cells(offers), MAIN_COLUMNS).withColumn(
         "company", squeeze_spaces(F.col("company"))
     )
-    marked = clean.join(narrow, "source_file", "left").withColumn(
+    marked = left_lookup(clean, narrow, [("source_file", "source_file")]).withColumn(
         "_mark", F.when(F.col("_cells").isNull(), F.col("offer_location"))
     )
     filled = G.fill_continuation_keys(

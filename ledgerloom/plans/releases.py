@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.operators import payloads as P
 from ledgerloom.operators import worklist as W
+from ledgerloom.operators.joins import keep_listed
 from ledgerloom.session import settle
 
 
@@ -29,9 +30,7 @@ def ingest_releases(
     full = mapping.where(F.col("stock_id") != "").select("seq", F.col("stock_id").alias("id"))
     pending, counts = W.pending_list(full, ignore, existing)
     pending = settle(pending, "pending").orderBy("seq")
-    arrived = payloads.join(
-        pending.select(F.col("id").alias("stock_id")).distinct(), "stock_id", "left_semi"
-    )
+    arrived = keep_listed(payloads, pending, [("stock_id", "id")])
     keyed = arrived.select(F.struct("seq", "stock_id").alias("key"), "body")
     records, summary = P.parse_envelopes(keyed, record_schema, key="key")
     summary = settle(summary.select("key.seq", "key.stock_id", "status", "row_count"), "summary")

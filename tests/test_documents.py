@@ -150,6 +150,20 @@ def test_path_map(spark, rows):
     assert rows(W.apply_path_map(index, mapping, ["k"])) == [(1, "first"), (2, "first"), (3, "b"), (4, None)]
 
 
+def test_archiving_and_restoring_an_index(spark, rows):
+    data = [(1, "data/raw/auditor_pdfs/r_20140630.pdf"), (2, "data/raw/auditor_pdfs/r_20140630.pdf"), (3, " "), (4, None),
+            (5, "data/processed/auditor_pdfs/[c5]-[20150101]-[]-[20150101].pdf"), (6, "data/processed/auditor_pdfs/[c9]-[x].pdf")]
+    index = spark.createDataFrame(data, "stock_code int, pdf_path string")
+    archived = W.archive_paths(index, ["stock_code"])
+    first = "data/processed/auditor_pdfs/[c1]-[20140630]-[]-[r_20140630].pdf"
+    other = "data/processed/auditor_pdfs/[c6]-[00000000]-[[c9]-[x]]-[[c9]-[x]].pdf"
+    assert rows(archived) == [(1, first), (2, first), (3, " "), (4, None), data[4], (6, other)]
+    restored = dict(rows(W.restore_paths(archived, ["stock_code"])))
+    assert restored[1] == data[0][1] and restored[2] == data[1][1]
+    assert restored[5] == "data/raw/auditor_pdfs/20150101.pdf" and restored[6] == "data/raw/auditor_pdfs/[c9]-[x].pdf"
+    assert restored[3] == " " and restored[4] is None
+
+
 def test_worklist(spark, rows):
     index = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b"), (3, "  "), (4, None), (5, "c")], "stock_code int, pdf_path string")
     codes = spark.createDataFrame([(1,), (1,), (5,), (9,)], "stock_code int")

@@ -9,6 +9,7 @@ import __spark_entry__ as entry_points
 from ledgerloom.operators import joins as J
 from ledgerloom.operators import reports as R
 from ledgerloom.operators import silver as V
+from ledgerloom.operators.latest import latest_per_key
 from ledgerloom.plans import views
 from ledgerloom.sources import files as sources
 
@@ -59,6 +60,34 @@ def test_missing_rows_are_an_anti_join_on_unique_keys(spark):
     assert "LeftAnti" in text and text.count("HashAggregate") == 2
 
 
+@pytest.mark.parametrize("join", ["left", "semi", "anti", "latest"])
+def test_a_hot_key_is_split(spark, join):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        hot = F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id")).alias("k")
+        rows = spark.range(0, 60000, 1, 8).select(hot, (F.lit(2020) + F.col("id") * 0).alias("d"), F.md5(F.col("id").cast("string")).alias("v"))
+        keys = spark.range(0, 60000, 7).select(F.col("id").alias("k"), F.lit("n").alias("name"))
+        joined = {
+            "left": lambda: J.left_lookup(rows, keys.withColumnRenamed("k", "rk"), [("k", "rk")]),
+            "semi": lambda: J.semi_join(rows, keys.unionByName(spark.range(1, 2).selectExpr("id k", "'n' name")), "k"),
+            "anti": lambda: J.unmatched_rows(rows, keys.unionByName(keys), "k"),
+            "latest": lambda: latest_per_key(rows, "k", "d"),
+        }[join]()
+        joined.write.format("noop").mode("overwrite").save()
+        joined.collect()
+        assert "skew=true" in plan(joined)
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
+
+
 def test_offers_without_big_groups_shuffle_once(spark):
     offers = spark.range(100).selectExpr("id % 7 stock_code", "id seq", "1.0 funds_raised", "'(b)' offer_location")
     text = plan(V.merge_offer_rows(offers, ["seq"]))
