@@ -40,7 +40,7 @@ def spread_join(
         }
     )
     names = [name for _, name in on]
-    right_keys = [F.col(name).cast(t) for name, t in zip(names, types)]
+    right_keys = [F.col(name).try_cast(t) for name, t in zip(names, types)]
     other = right.select(
         *[key.alias(f"_r{i}") for i, key in enumerate(right_keys)],
         F.xxhash64(*right_keys).alias("_rspread"),

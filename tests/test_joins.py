@@ -27,6 +27,12 @@ def test_left_lookup_keeps_null_keys(spark, rows, either_join):
     ]
 
 
+def test_left_lookup_on_a_malformed_key(spark, rows, either_join):
+    left = spark.createDataFrame([(1,), (12,)], "k long")
+    right = spark.createDataFrame([("001", "a"), ("x12", "b")], "rk string, name string")
+    assert rows(J.left_lookup(left, right, [("k", "rk")])) == [(1, "a"), (12, None)]
+
+
 def test_left_lookup_spreads_null_keys(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
