@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import chat, line_dedup, warc
+from ledgerloom.llm import chat, fingerprints, language, line_dedup, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -40,6 +40,11 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_edits(table(spark, sf_dir, "documents"))
+
+
 @query
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup.drop_common_lines(table(spark, sf_dir, "documents"))
@@ -48,6 +53,16 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    third = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3
+    held_out = F.coalesce(third == 1, F.lit(False))
+    model = language.fit_languages(docs, "text", "lang", F.col("doc_id"), third != 1)
+    judged = language.identify_languages(docs.select("doc_id", "text"), model)
+    return judged.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 @query
 def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
