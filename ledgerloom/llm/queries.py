@@ -7,7 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import chat, fingerprints, language, line_dedup, warc
+from ledgerloom.llm import (
+    chat,
+    contamination,
+    fingerprints,
+    language,
+    line_dedup,
+    toxicity,
+    warc,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -53,6 +61,22 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+
+    def fifth(name: str) -> Column:
+        return F.crc32(F.col(name).cast("string").cast("binary")) % 5
+
+    model = toxicity.fit_toxicity(docs, table(spark, sf_dir, "labels"), fifth("_id") != 0)
+    return toxicity.score_toxicity(docs, model).select(
+        "doc_id",
+        F.coalesce(fifth("doc_id") == 0, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 @query
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
@@ -82,3 +106,15 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         sha256(F.col("_loss")).alias("loss_sha256"),
         F.length("formatted").cast("bigint").alias("formatted_chars"),
     )
+
+
+@query
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = contamination.find_leaks(docs, table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        (F.size("leaks") > 0).alias("leaking"),
+        F.array_distinct(F.transform("leaks", lambda x: x["item_id"])).alias("item_ids"),
+        F.coalesce(F.array_max(F.transform("leaks", lambda x: x["share"])), F.lit(0.0)).alias("share"),
+    )
