@@ -62,9 +62,12 @@ def canonicalise(data: np.ndarray, offsets: np.ndarray) -> Template:
 
     A word loses punctuation at its ends. One that then starts with a digit is a
     number, a listed one a unit, and a capitalised one that does not start a
-    sentence a name.
+    sentence a name; words in capitals throughout are plain.
     """
     lower = LOWER[data]
+    # Capital Latin letters of two bytes, À to Þ, lie 32 below their small ones.
+    capital = (data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0x9E) & (data[1:] != 0x97)
+    lower[1:][capital] += 32
     hasher = Hasher(lower)
     words = split_words(lower, offsets, hasher)
     start, end = words.start.copy(), words.end.copy()
@@ -84,8 +87,15 @@ def canonicalise(data: np.ndarray, offsets: np.ndarray) -> Template:
     kind = np.zeros(len(start), dtype=np.int8)
     if len(start):
         head = data[start]
-        second = data[np.minimum(start + 1, len(data) - 1)]
-        capital = ((head >= 65) & (head <= 90)) | ((head == 0xC3) & (second >= 0x80) & (second <= 0x9E))
+        wide = (head == 0xC3) & (start + 1 < end)
+        second = np.minimum(start + 1, len(data) - 1)
+        after = np.minimum(start + 1 + wide, len(data) - 1)
+        # Capitalised: the first letter is a capital and the second is not, so `A` and `USA` are words.
+        capital = np.where(wide, lower[second] != data[second], (head >= 65) & (head <= 90))
+        small = (data[after] >= 97) & (data[after] <= 122) | (data[after] == 0xC3) & (
+            lower[np.minimum(after + 1, len(data) - 1)] == data[np.minimum(after + 1, len(data) - 1)]
+        )
+        capital &= small & (after < end)
         opens = np.zeros(len(start), dtype=bool)
         opens[1:] = STOPS[data[words.end[:-1] - 1]]
         at = words.first[:-1]
