@@ -13,6 +13,7 @@ from ledgerloom.llm import (
     fingerprints,
     language,
     line_dedup,
+    ngram_join,
     toxicity,
     warc,
 )
@@ -33,6 +34,11 @@ def sha256(text: Column) -> Column:
     return F.sha2(F.encode(text, "UTF-8"), 256)
 
 
+@query
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.link_near_copies(table(spark, sf_dir, "documents"))
+
+
 @query
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = warc.archive_folder(spark)
