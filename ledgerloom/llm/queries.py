@@ -14,6 +14,8 @@ from ledgerloom.llm import (
     language,
     line_dedup,
     ngram_join,
+    packing,
+    substring,
     toxicity,
     warc,
 )
@@ -93,6 +95,19 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+@query
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring.drop_repeated_passages(docs).select(
+        "doc_id", "n_words", "n_removed", sha256(F.col("kept_text")).alias("kept_sha256")
+    )
+
+
 @query
 def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
