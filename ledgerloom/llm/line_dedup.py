@@ -57,7 +57,9 @@ def drop_common_lines(
         .where(F.col("_n") >= min_docs)
         .select("_line")
     )
-    # Spread by the pair, not the line, the exchange below the join can be split.
+    # Settled, neither side comes in partitioned by line: a line that very many
+    # documents share can be split below the join.
+    frequent = settle(frequent, "frequent-lines")
     hits = pairs.join(frequent, "_line", "left_semi")
     per_doc = hits.groupBy("_doc").agg(F.collect_set("_line").alias("_frequent"))
     kept_names = [c for c in docs.columns if c not in ("n_lines", "n_dropped", "kept_text")]
