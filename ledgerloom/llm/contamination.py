@@ -120,7 +120,10 @@ class Benchmark(NamedTuple):
 
 
 def windows_of(template: Template, width: int, only: np.ndarray | None = None):
-    """``hash, text, index of the first word`` of the windows of ``width`` words."""
+    """``hash, text, index of the first word`` of the windows of ``width`` words.
+
+    With ``only``: of the texts marked there.
+    """
     hashes = window_hashes(template.canonical, width) + np.uint64(width)
     counts = np.diff(template.first)
     sizes = np.maximum(counts - width + 1, 0)
@@ -132,11 +135,21 @@ def windows_of(template: Template, width: int, only: np.ndarray | None = None):
 
 
 def index_items(ids: list[int], texts: list[str], width: int = WINDOW) -> Benchmark:
-    """Windows of the items; an item shorter than a window is one window as it is."""
+    """Windows of the items; an item shorter than a window is one window as it is.
+
+    Windows with names are listed a second time with the names as plain words,
+    for texts in which nothing or everything is capitalised.
+    """
     words = canonicalise(*text_bytes(pa.array(texts, pa.large_string())))
     counts = np.diff(words.first)
     widths = sorted({width, *counts[(counts > 0) & (counts < width)].tolist()})
-    parts = [windows_of(words, w, None if w == width else counts == w) for w in widths]
+    unnamed = words._replace(canonical=np.where(words.kind == NAME, words.value, words.canonical))
+    parts = []
+    for w in widths:
+        only = None if w == width else counts == w
+        typed, plain = windows_of(words, w, only), windows_of(unnamed, w, only)
+        other = typed[0] != plain[0]
+        parts += [typed, tuple(column[other] for column in plain)]
     hashes, item, place = (np.concatenate([p[i] for p in parts]) for i in range(3))
     order = np.argsort(hashes, kind="stable")
     return Benchmark(np.array(ids, dtype=np.int64), words, widths, hashes[order], item[order], place[order])

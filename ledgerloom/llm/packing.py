@@ -80,7 +80,7 @@ def pack_items(items: list[tuple[int, int, object, object]], capacity: int, per_
     for _, _, _, cluster in items:
         times[cluster] = times.get(cluster, 0) + 1
     # Only clusters with several items here can conflict; each gets a bit of its own.
-    bits = {c: 1 << i for i, c in enumerate(c for c, n in times.items() if n > 1)}
+    bits = {c: 1 << i for i, c in enumerate(c for c, n in times.items() if n > 1 and c is not None)}
     order = []
     for i, (_, words, _, _) in enumerate(items):
         for piece in range(words // capacity):

@@ -81,6 +81,7 @@ def _runs(windows: Windows, rows: np.ndarray, alone: np.ndarray) -> tuple[np.nda
     begin, least = windows.begin[rows], windows.minimiser[rows]
     cut = np.ones(len(rows), dtype=bool)
     cut[1:] = (begin[1:] != begin[:-1] + 1) | (least[1:] != least[:-1]) | alone[1:] | alone[:-1]
+    cut[1:] |= windows.text[rows][1:] != windows.text[rows][:-1]
     at = np.flatnonzero(cut)
     return rows[at], np.diff(np.append(at, len(rows)))
 
@@ -147,6 +148,7 @@ def _send(sent, slots: int, buckets: int, width: int):
                 known = np.flatnonzero(windows.later)
                 cut = np.ones(len(known), dtype=bool)
                 cut[1:] = windows.begin[known][1:] != windows.begin[known][:-1] + 1
+                cut[1:] |= windows.text[known][1:] != windows.text[known][:-1]
                 starts = np.flatnonzero(cut)
                 if len(starts):
                     count = np.diff(np.append(starts, len(known)))
@@ -192,7 +194,7 @@ def _count(width: int):
             hit = np.flatnonzero(later)
             if len(hit):
                 cut = np.ones(len(hit), dtype=bool)
-                cut[1:] = begin[hit][1:] != begin[hit][:-1] + 1
+                cut[1:] = (begin[hit][1:] != begin[hit][:-1] + 1) | (run_of[hit][1:] != run_of[hit][:-1])
                 at = np.flatnonzero(cut)
                 number = np.diff(np.append(at, len(hit)))
                 of = run_of[hit[at]]
