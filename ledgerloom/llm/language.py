@@ -7,9 +7,10 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import Window
+
+from ledgerloom.session import settle
 
 # Families of languages. A language without one is its own family.
 FAMILIES = {
@@ -148,12 +149,17 @@ def fit_languages(docs: DataFrame, text_col: str, lang_col: str, key: Column, us
     rows = docs.where(usable & F.col(lang_col).isNotNull()).select(
         F.col(lang_col).alias("_lang"), F.xxhash64(key).alias("_order")
     )
-    langs = rows.select("_lang").distinct().count()
+    sizes = settle(rows.groupBy("_lang").agg(F.count("*").alias("_rows")), "language-sizes")
+    langs = sizes.count()
     if not langs:
         return None
     each = max(SAMPLE_ROWS // langs, 1)
+    # Hashes are even: the least `each` of a language are below twice their share
+    # of the range, which leaves few rows of a language for one task to rank.
+    share = F.lit(2.0**64) * F.least(F.lit(2.0 * each + 16) / F.col("_rows"), F.lit(1.0))
+    least = rows.join(F.broadcast(sizes), "_lang").where(F.col("_order") < share - F.lit(2.0**63))
     rank = F.row_number().over(Window.partitionBy("_lang").orderBy("_order"))
-    picked = rows.withColumn("_rank", rank).where(F.col("_rank") <= each)
+    picked = least.withColumn("_rank", rank).where(F.col("_rank") <= each)
     # `each` rows per language at most.
     limits = picked.groupBy("_lang").agg(F.max("_order").alias("_most"))
     sample = docs.where(usable).select(

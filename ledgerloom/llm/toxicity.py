@@ -261,7 +261,12 @@ def _sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, labe
     known = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).groupBy(
         F.col(id_col).alias("_id")
     ).agg(F.max(label_col).cast("int").alias("toxic"))
-    ids = known.where(usable).withColumn("_order", F.xxhash64("_id"))
+    ids = settle(known.where(usable).withColumn("_order", F.xxhash64("_id")), "labels")
+    sizes = ids.groupBy("toxic").agg(F.count("*").alias("_rows"))  # two rows
+    # Hashes are even: the least SAMPLE_ROWS of a label are below twice their share
+    # of the range, which leaves few rows of a label for one task to rank.
+    share = F.lit(2.0**64) * F.least(F.lit(2.0 * SAMPLE_ROWS) / F.col("_rows"), F.lit(1.0))
+    ids = ids.join(F.broadcast(sizes), "toxic").where(F.col("_order") < share - F.lit(2.0**63)).drop("_rows")
     rank = F.row_number().over(Window.partitionBy("toxic").orderBy("_order"))
     # Twice SAMPLE_ROWS small rows.
     ids = settle(ids.withColumn("_rank", rank).where(F.col("_rank") <= SAMPLE_ROWS), "label-sample")
