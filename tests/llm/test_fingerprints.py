@@ -22,14 +22,14 @@ def jaccard(one, other):
 def test_collisions_estimate_the_weighted_similarity():
     rnd = random.Random(3)
     gaps = []
-    for _ in range(60):
-        words = [f"w{int(rnd.paretovariate(0.6)) % 300}" for _ in range(400)]
+    for trial in range(100):  # words of its own for each trial, whose draws are then independent
+        words = [f"{trial}w{int(rnd.paretovariate(0.6)) % 300}" for _ in range(400)]
         cut = rnd.randrange(400)
-        other = words[:cut] + [f"w{rnd.randrange(600)}" for _ in range(400 - cut)]
+        other = words[:cut] + [f"{trial}w{rnd.randrange(600)}" for _ in range(400 - cut)]
         one, two = " ".join(words), " ".join(other)
         gaps.append(likeness(*fingerprints([one, two])) - jaccard(one, two))
     assert abs(sum(gaps) / len(gaps)) < 0.02
-    assert max(map(abs, gaps)) < 0.2
+    assert max(map(abs, gaps)) < 0.25
 
 
 def test_equal_texts_and_texts_without_words():
