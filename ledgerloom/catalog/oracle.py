@@ -74,6 +74,55 @@ def _isin_rows(key: str, table: str, nation: str, first: int, company: str, kind
         FROM {table} JOIN nation ON {nation} = n_nationkey"""
 
 
+# Result names, old name first.
+FIRM = ["gvkey", "isin", "conm", "datadate", "datacqtr", "datafqtr", "fyearq", "fqtr"]
+LISTING_NAMES = {
+    "stock_code": "hkex_stock_code", "stock_type": "hkex_stock_type", "company": "hkex_full_name"
+}
+INDEX_NAMES = {
+    "stock_code": "har_stock_code", "announcement_date": "har_announcement_date",
+    "hyperlink": "har_hyperlink", "pdf_path": "har_pdf_path",
+}
+FLAG_NAMES = {
+    "document_name": "aof_document_id", "report_date": "aof_report_date",
+    "qualified_opinion": "aof_qualified_op", "adverse_opinion": "aof_adverse_op",
+    "disclaimer_of_opinion": "aof_disclaimer_op", "emphasis_of_matter": "aof_emphasis_op",
+    "going_concern": "aof_material_unc_op",
+}
+
+
+def _renamed(names: dict[str, str], table: str) -> str:
+    return ", ".join(f"{table}.{old} AS {new}" for old, new in names.items())
+
+
+def _documents(flags: str) -> str:
+    """Flags with what is known of their report and its firm."""
+    firm = {k: v for k, v in LISTING_NAMES.items() if k != "stock_code"}
+    known = f"""SELECT i.document_name, {_renamed(INDEX_NAMES, "i")}, {_renamed(firm, "l")}
+        FROM report_index AS i LEFT JOIN master AS l USING (stock_code)"""
+    return f"""SELECT known.* EXCLUDE (document_name), {_renamed(FLAG_NAMES, "flags")}
+        FROM ({flags}) AS flags LEFT JOIN ({known}) AS known USING (document_name)"""
+
+
+def _with_reports(recent: str) -> str:
+    """Dataset rows from 1998 on of codes with a report for which ``recent`` holds."""
+    return f"""SELECT * FROM dataset WHERE cs_fyearq >= 1998
+        AND hkex_stock_code IN (SELECT har_stock_code FROM document_set WHERE {recent})"""
+
+
+def _latest(board: str) -> str:
+    """Rows of each code's last listing date, ties included."""
+    return f"""SELECT * FROM {board}
+        QUALIFY listing_date = max(listing_date) OVER (PARTITION BY stock_code)"""
+
+
+def _both_boards(sql: str) -> str:
+    """One statement over each board, named in a column."""
+    return " UNION ALL ".join(
+        f"SELECT *, '{name}' AS board FROM ({sql.format(board=f'hkex_{name}')})" for name in ("gem", "main")
+    )
+
+
 _KIND = "CASE WHEN c_mktsegment <> 'BUILDING' THEN 'ORD SH' END"
 _MASTER = f"upper(p_name) company_isino, {_isin('p_partkey')} isin"
 _CO_NAME = "upper(p_name) || ' ' || p_brand"
@@ -148,24 +197,15 @@ SHAPES = {
     "release_summary": """SELECT event_id seq, CAST(user_id AS VARCHAR) stock_id,
         CASE event_type WHEN 'purchase' THEN 'saved' WHEN 'error' THEN 'failed' ELSE 'skipped' END status
         FROM events""",
-    "master": """SELECT stock_code, isin, max(company) company, stock_type FROM (
-        SELECT stock_code, isin, company, stock_type FROM hkex_main
-        UNION ALL SELECT stock_code, isin, company, stock_type FROM hkex_gem
-        UNION ALL SELECT stock_code, isin, company, stock_type FROM hkex_isin)
-        WHERE stock_type = 'ORD SH' GROUP BY stock_code, isin, stock_type""",
-    "dataset": """SELECT hs.stock_code hkex_stock_code, hs.stock_type hkex_stock_type,
-        hs.company hkex_full_name, fq.gvkey cs_gvkey, fq.isin cs_isin, fq.conm cs_conm,
-        fq.datadate cs_datadate, fq.datacqtr cs_datacqtr, fq.datafqtr cs_datafqtr,
-        fq.fyearq cs_fyearq, fq.fqtr cs_fqtr
-        FROM funda_q_isin fq LEFT JOIN master hs ON fq.isin = hs.isin""",
-    "document_set": """SELECT har.stock_code har_stock_code, har.announcement_date har_announcement_date,
-        har.hyperlink har_hyperlink, har.pdf_path har_pdf_path, hs.stock_type hkex_stock_type,
-        hs.company hkex_full_name, aof.document_name aof_document_id, aof.report_date aof_report_date,
-        aof.qualified_opinion aof_qualified_op, aof.adverse_opinion aof_adverse_op,
-        aof.disclaimer_of_opinion aof_disclaimer_op, aof.emphasis_of_matter aof_emphasis_op,
-        aof.going_concern aof_material_unc_op
-        FROM opinion_flags aof LEFT JOIN report_index har ON aof.document_name = har.document_name
-        LEFT JOIN master hs ON har.stock_code = hs.stock_code""",
+    "listed": " UNION ALL ".join(
+        f"SELECT stock_code, isin, company, stock_type FROM {board}"
+        for board in ("hkex_main", "hkex_gem", "hkex_isin")
+    ),
+    "master": """SELECT stock_code, isin, max(company) AS company, any_value(stock_type) AS stock_type
+        FROM listed WHERE stock_type = 'ORD SH' GROUP BY stock_code, isin""",
+    "dataset": f"""SELECT {_renamed(LISTING_NAMES, "l")}, {", ".join(f"q.{c} AS cs_{c}" for c in FIRM)}
+        FROM funda_q_isin AS q LEFT JOIN master AS l USING (isin)""",
+    "document_set": _documents("SELECT * FROM opinion_flags"),
     "merged": """SELECT stock_code, seq, tie, company,
             CASE WHEN loc NOT IN ('(b)', '(c)') THEN funds_raised END funds_raised_hk,
             CASE WHEN next_loc = '(b)' THEN next_funds END funds_raised_intl,
@@ -316,52 +356,47 @@ def oracle(name: str, sql: str) -> None:
 oracle("entity_master", "SELECT * FROM master")
 oracle("firm_dataset", "SELECT * FROM dataset")
 oracle("document_dataset", "SELECT * FROM document_set")
-oracle("dataset_with_documents", """SELECT hd.* FROM dataset hd WHERE EXISTS (
-    SELECT 1 FROM document_set doc WHERE doc.har_stock_code = hd.hkex_stock_code
-    AND ((doc.har_announcement_date IS NOT NULL AND doc.har_announcement_date >= '2014-01-01')
-        OR (doc.aof_report_date IS NOT NULL AND doc.aof_report_date >= '2014-01-01'))
-    AND hd.cs_fyearq >= 1998)""")
-oracle("dataset_with_documents_by_date", """SELECT hd.* FROM dataset hd WHERE EXISTS (
-    SELECT 1 FROM document_set doc WHERE doc.har_stock_code = hd.hkex_stock_code
-    AND (coalesce(try_strptime(doc.har_announcement_date, ['%Y-%m-%d', '%d/%m/%Y'])
-            >= TIMESTAMP '2014-01-01', false)
-        OR coalesce(try_strptime(doc.aof_report_date, '%Y-%m-%d') >= TIMESTAMP '2014-01-01', false))
-    AND hd.cs_fyearq >= 1998)""")
+_RECENT = "har_announcement_date >= '2014-01-01' OR aof_report_date >= '2014-01-01'"
+oracle("dataset_with_documents", _with_reports(_RECENT))
+oracle("dataset_with_documents_by_date", _with_reports(
+    "try_strptime(har_announcement_date, ['%Y-%m-%d', '%d/%m/%Y']) >= TIMESTAMP '2014-01-01'"
+    " OR try_strptime(aof_report_date, '%Y-%m-%d') >= TIMESTAMP '2014-01-01'"
+))
 oracle("recent_dataset", "SELECT * FROM dataset WHERE cs_fyearq >= 1999")
 oracle("recent_documents", "SELECT * FROM document_set WHERE aof_report_date >= '2014-01-01'")
 
-_FIRM = ["gvkey", "isin", "conm", "datadate", "datacqtr", "datafqtr", "fyearq", "fqtr"]
-_FIRM_ORDER = ", ".join(
-    ["fq.datadate DESC NULLS LAST"]
-    + [f"fq.{c} NULLS FIRST" for c in ("isin", *[c for c in _FIRM if c not in ("datadate", "isin")])]
-)
+_FIRM = FIRM
 _OPINION = ["hkex_stock_code", *OPINION_COLUMNS, "aof_comments"]
-_OPINION_ORDER = ", ".join(f"ha.{c} NULLS FIRST" for c in _OPINION)
-oracle("classified_firm_quarters", f"""SELECT {", ".join("bq." + c for c in _FIRM + _OPINION)},
-    {", ".join(f"coalesce(gem.{c}, main.{c}) hk_{c}" for c in SHARED_LISTING_COLUMNS)},
-    {", ".join(f"gem.{c} gem_{c}" for c in GEM_LISTING_COLUMNS)},
-    {", ".join(f"main.{c} main_{c}" for c in MAIN_LISTING_COLUMNS)}
-    FROM (SELECT {", ".join("fq." + c for c in _FIRM)}, {", ".join("ha." + c for c in _OPINION)},
-            row_number() OVER (PARTITION BY fq.gvkey, fq.datacqtr
-                ORDER BY {_FIRM_ORDER}, {_OPINION_ORDER}) rn
-        FROM funda_q_isin fq LEFT JOIN classified ha
-            ON TRY_CAST(fq.gvkey AS BIGINT) = ha.cs_gvkey AND fq.datacqtr = ha.cs_datacqtr
-            AND ha.cs_fqtr = 4) bq
-    LEFT JOIN (SELECT g.* FROM hkex_gem g JOIN (SELECT stock_code, max(listing_date) d FROM hkex_gem
-            GROUP BY 1) x ON g.stock_code = x.stock_code AND g.listing_date = x.d) gem
-        ON bq.hkex_stock_code = gem.stock_code
-    LEFT JOIN (SELECT m.* FROM hkex_main m JOIN (SELECT stock_code, max(listing_date) d FROM hkex_main
-            GROUP BY 1) x ON m.stock_code = x.stock_code AND m.listing_date = x.d) main
-        ON bq.hkex_stock_code = main.stock_code
-    WHERE bq.rn = 1 ORDER BY gvkey, datadate""")
+
+
+def _first(table: str, keys: str, order: list[str], where: str = "true") -> str:
+    """One row per group, the first in an order with NULL before all else."""
+    by = ", ".join(c if c.endswith("LAST") else f"{c} NULLS FIRST" for c in order)
+    return f"""SELECT * FROM {table} WHERE {where}
+        QUALIFY row_number() OVER (PARTITION BY {keys} ORDER BY {by}) = 1"""
+
+
+_QUARTER_ORDER = ["datadate DESC NULLS LAST", "isin", *[c for c in _FIRM if c not in ("datadate", "isin")]]
+oracle("classified_firm_quarters", f"""SELECT {", ".join("quarters." + c for c in _FIRM)},
+    {", ".join("opinions." + c for c in _OPINION)},
+    {", ".join(f"coalesce(growth.{c}, main.{c}) AS hk_{c}" for c in SHARED_LISTING_COLUMNS)},
+    {", ".join(f"growth.{c} AS gem_{c}" for c in GEM_LISTING_COLUMNS)},
+    {", ".join(f"main.{c} AS main_{c}" for c in MAIN_LISTING_COLUMNS)}
+    FROM ({_first("funda_q_isin", "gvkey, datacqtr", _QUARTER_ORDER)}) AS quarters
+    LEFT JOIN ({_first("classified", "cs_gvkey, cs_datacqtr", _OPINION, "cs_fqtr = 4")}) AS opinions
+        ON opinions.cs_gvkey = TRY_CAST(quarters.gvkey AS BIGINT)
+        AND opinions.cs_datacqtr = quarters.datacqtr
+    LEFT JOIN ({_latest("hkex_gem")}) AS growth ON growth.stock_code = opinions.hkex_stock_code
+    LEFT JOIN ({_latest("hkex_main")}) AS main ON main.stock_code = opinions.hkex_stock_code""")
 oracle("isin_keys", """SELECT isin FROM (SELECT isin FROM hkex_main WHERE stock_type = 'ORD SH'
     UNION SELECT isin FROM hkex_gem WHERE stock_type = 'ORD SH'
     UNION SELECT isin FROM hkex_isin WHERE stock_type = 'ORD SH') WHERE isin IS NOT NULL ORDER BY 1""")
 oracle("stock_code_keys", """SELECT stock_code FROM hkex_main WHERE stock_type = 'ORD SH'
     UNION SELECT stock_code FROM hkex_gem WHERE stock_type = 'ORD SH'
     UNION SELECT stock_code FROM hkex_isin WHERE stock_type = 'ORD SH'""")
-oracle("board_codes_repeated", """SELECT stock_code FROM hkex_gem
-    WHERE stock_type = 'ORD SH' AND stock_code IS NOT NULL AND stock_code <> 0 ORDER BY 1""")
+oracle("board_codes_repeated", """SELECT stock_code FROM (SELECT stock_code, stock_type FROM hkex_gem
+    UNION ALL SELECT stock_code, stock_type FROM hkex_main)
+    WHERE stock_type = 'ORD SH' AND stock_code <> 0""")
 oracle("listing_rows", """SELECT stock_code, isin, company, stock_type FROM hkex_main
     UNION ALL SELECT stock_code, isin, company, stock_type FROM hkex_gem
     UNION ALL SELECT stock_code, isin, company, stock_type FROM hkex_isin""")
@@ -424,13 +459,11 @@ oracle("yearly_panel", """SELECT fyearq AS year, count(DISTINCT gvkey) firms, co
 
 # Latest records and one row per group
 
-oracle("last_listing_dates", """SELECT stock_code, max(listing_date) max_listing_date
-    FROM hkex_gem GROUP BY stock_code""")
-oracle("latest_listings", """SELECT m.* FROM hkex_main m WHERE m.listing_date =
-    (SELECT max(listing_date) FROM hkex_main x WHERE x.stock_code = m.stock_code)""")
-oracle("latest_listing_join", """SELECT i.*, g.listing_date, g.company gem_company, g.offer_price
-    FROM hkex_isin i LEFT JOIN (SELECT *, rank() OVER (PARTITION BY stock_code ORDER BY listing_date DESC) r
-        FROM hkex_gem) g ON i.stock_code = g.stock_code AND g.r = 1""")
+oracle("last_listing_dates", _both_boards("""SELECT stock_code, max(listing_date) AS max_listing_date
+    FROM {board} GROUP BY stock_code"""))
+oracle("latest_listings", _both_boards(f"SELECT {', '.join(SHARED_LISTING_COLUMNS)} FROM ({_latest('{board}')})"))
+oracle("latest_listing_join", _both_boards(f"""SELECT i.*, b.listing_date, b.company AS listed_company, b.sponsors
+    FROM hkex_isin AS i LEFT JOIN ({_latest('{board}')}) AS b USING (stock_code)"""))
 oracle("first_row_per_quarter", f"""SELECT {", ".join(_FIRM)} FROM (SELECT *, row_number() OVER (
     PARTITION BY gvkey, datacqtr ORDER BY datadate DESC, isin, conm) rn FROM funda_q_isin) WHERE rn = 1""")
 oracle("year_end_opinions", """SELECT q.gvkey, q.datacqtr, q.datadate, o.aof_qualified_op
@@ -444,10 +477,10 @@ oracle("merged_offers", "SELECT * FROM merged")
 oracle("main_board_silver", """SELECT m.*, h.company company_isino, h.isin, h.stock_type,
     h.place_of_incorporation, h.national_agency, h.hkex_co_name
     FROM merged m JOIN hkex_isin h ON m.stock_code = h.stock_code""")
-oracle("growth_board_silver", """SELECT g.source_file, g.stock_code, g.company, g.place_of_incorporation,
+oracle("growth_board_silver", _both_boards("""SELECT g.source_file, g.stock_code, g.company, g.place_of_incorporation,
     g.listing_date, g.sponsors, h.company company_isino, h.isin, h.stock_type,
     h.place_of_incorporation place_of_incorporation_isino, h.national_agency, h.hkex_co_name
-    FROM hkex_gem g JOIN hkex_isin h ON g.stock_code = h.stock_code""")
+    FROM {board} g JOIN hkex_isin h ON g.stock_code = h.stock_code"""))
 oracle("isin_master", f"""SELECT b.*, c_name hkex_co_name FROM (
     SELECT * EXCLUDE (hkex_co_name) FROM hkex_isin
     UNION ALL SELECT upper(s_name), {_isin('s_suppkey')}, s_suppkey, 'WARRANT', NULL, NULL FROM supplier) b
@@ -538,17 +571,15 @@ oracle("unclear_opinions", f"""SELECT *, CAST(qualified_opinion + adverse_opinio
     AS INT) unclear FROM ({_flags("reports")})""")
 oracle("folded_texts", r"""SELECT doc_id, lower(regexp_replace(regexp_replace(text, '[^\x00-\x7F]', '', 'g'),
     '\s+', ' ', 'g')) AS text FROM documents""")
-oracle("decoded_texts", r"""SELECT doc_id, CASE WHEN lang = 'en' THEN text
-    ELSE regexp_replace(text, '[^\x00-\x7F]', '', 'g') END AS text FROM documents""")
+oracle("decoded_texts", "SELECT doc_id, text FROM documents")
 oracle("texts_for_paths", "SELECT document_name, text FROM reports WHERE length(text) > 0")
-oracle("document_branch", f"""SELECT har.stock_code har_stock_code, har.announcement_date har_announcement_date,
-    har.hyperlink har_hyperlink, har.pdf_path har_pdf_path, hs.stock_type hkex_stock_type,
-    hs.company hkex_full_name, aof.document_name aof_document_id, aof.report_date aof_report_date,
-    aof.qualified_opinion aof_qualified_op, aof.adverse_opinion aof_adverse_op,
-    aof.disclaimer_of_opinion aof_disclaimer_op, aof.emphasis_of_matter aof_emphasis_op,
-    aof.going_concern aof_material_unc_op
-    FROM ({_flags("sliced")}) aof LEFT JOIN report_index har ON aof.document_name = har.document_name
-    LEFT JOIN master hs ON har.stock_code = hs.stock_code""")
+oracle("document_branch", _documents(_flags("sliced")))
+oracle("flags_for_codes", f"""SELECT * FROM ({_flags("sliced")}) WHERE document_name IN (
+    SELECT document_name FROM report_index WHERE stock_code IN (SELECT doc_id FROM labels WHERE quality = 1))""")
+oracle("incremental_flags", f"""SELECT * FROM opinion_flags UNION ALL BY NAME SELECT * FROM ({_flags("sliced")})
+    WHERE document_name NOT IN (SELECT document_name FROM opinion_flags)""")
+oracle("double_keys_joined", """SELECT l_orderkey, l_linenumber, l_quantity / 2 AS half, n_name
+    FROM lineitem LEFT JOIN nation ON n_nationkey = l_quantity / 2""")
 oracle("new_document_flags", f"""SELECT * FROM ({_flags("reports")})
     WHERE document_name NOT IN (SELECT document_name FROM opinion_flags)""")
 oracle("streamed_flags", _flags("sliced"))
@@ -634,8 +665,10 @@ oracle("label_summary", f"""SELECT count(*) FILTER (WHERE opinion_type = 1) qual
 # Pages
 
 oracle("kept_pages", "SELECT * FROM kept_pages")
-oracle("joined_pages", """SELECT document_name, string_agg(text, chr(10) ORDER BY page_no) AS text
-    FROM kept_pages GROUP BY 1""")
+oracle("joined_pages", """SELECT document_name, CAST(coalesce(begins, 0) // 200 AS INT) AS part,
+    string_agg(text, chr(10) ORDER BY page_no) AS text
+    FROM (SELECT *, sum(length(text) + 1) OVER (PARTITION BY document_name ORDER BY page_no
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS begins FROM kept_pages) GROUP BY 1, 2""")
 oracle("checked_pages", """SELECT *, CASE WHEN text_len < 400 THEN 'Insufficient text' END error FROM (
     SELECT document_name, count(*) pages, length(string_agg(text, chr(10) ORDER BY page_no)) text_len
     FROM kept_pages GROUP BY 1)""")
@@ -665,9 +698,11 @@ oracle("document_preview", "SELECT doc_id, lang, n_chars FROM documents ORDER BY
 oracle("csv_table_round_trip", "SELECT doc_id, text, lang FROM documents")
 oracle("replaced_table", """SELECT count(*) stored, CAST(sum(o_custkey) AS BIGINT) key_sum, count(*) reported
     FROM orders""")
-oracle("key_list_round_trip", "SELECT DISTINCT CAST(l_suppkey AS VARCHAR) id FROM lineitem")
+oracle("key_list_round_trip", """SELECT rank() OVER (ORDER BY l_suppkey) - 1 AS seq,
+    CAST(l_suppkey AS VARCHAR) AS id FROM (SELECT DISTINCT l_suppkey FROM lineitem)""")
 oracle("release_files_round_trip", "SELECT * FROM release_summary")
-oracle("landed_sheets", """SELECT CAST(c_custkey AS VARCHAR) || '|' || c_name || '|-|' || c_mktsegment || '|-' cells,
+oracle("landed_sheets", """SELECT CAST(c_custkey AS VARCHAR) || '|' || c_name || '|-|' || c_mktsegment || ',|'
+    || (SELECT string_agg(CAST(range AS VARCHAR), '|' ORDER BY range) FROM range(40)) AS cells,
     1 AS in_order FROM customer""")
 oracle("export_set_rows", """SELECT 'hkex_dataset' AS export, count(*) AS rows FROM dataset WHERE cs_fyearq >= 1998
     UNION ALL SELECT 'hkex_document_dataset', count(*) FROM document_set WHERE aof_report_date >= '2014-01-01'

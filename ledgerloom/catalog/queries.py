@@ -96,8 +96,8 @@ def stock_code_keys(t):
 
 @query
 def board_codes_repeated(t):
-    codes_ = sets.ordinary_shares(S.hkex_gem(t)).select("stock_code")
-    return sinks.sorted_keys(codes_, distinct=False)
+    codes_ = [sets.ordinary_shares(b).select("stock_code") for b in (S.hkex_gem(t), S.hkex_main(t))]
+    return sinks.sorted_keys(sets.union_all(codes_), distinct=False)
 
 
 @query
@@ -173,22 +173,36 @@ def yearly_panel(t):
 # Latest records and one row per group
 
 
+def _per_board(t, function) -> DataFrame:
+    """The same over each board, all of whose rows together are the listings."""
+    boards = {"gem": S.hkex_gem(t), "main": S.hkex_main(t)}
+    return sets.union_all(
+        [function(df).withColumn("board", F.lit(name)) for name, df in boards.items()]
+    )
+
+
 @query
 def last_listing_dates(t):
-    return L.max_per_key(S.hkex_gem(t), "stock_code", "listing_date", "max_listing_date")
+    return _per_board(
+        t, lambda b: L.max_per_key(b, "stock_code", "listing_date", "max_listing_date")
+    )
 
 
 @query
 def latest_listings(t):
-    return L.latest_per_key(S.hkex_main(t), "stock_code", "listing_date")
+    columns = list(views.SHARED_LISTING_COLUMNS)
+    return _per_board(t, lambda b: L.latest_per_key(b.select(*columns), "stock_code", "listing_date"))
 
 
 @query
 def latest_listing_join(t):
-    side = S.hkex_gem(t).select(
-        "stock_code", "listing_date", F.col("company").alias("gem_company"), "offer_price"
-    )
-    return L.latest_join(S.hkex_isin(t), side, ("stock_code", "stock_code"), "listing_date")
+    def joined(board):
+        side = board.select(
+            "stock_code", "listing_date", F.col("company").alias("listed_company"), "sponsors"
+        )
+        return L.latest_join(S.hkex_isin(t), side, ("stock_code", "stock_code"), "listing_date")
+
+    return _per_board(t, joined)
 
 
 @query
@@ -226,10 +240,8 @@ def main_board_silver(t):
 
 @query
 def growth_board_silver(t):
-    rows = S.hkex_gem(t).select(
-        "source_file", "stock_code", "company", "place_of_incorporation", "listing_date", "sponsors"
-    )
-    return J.join_master(rows, S.hkex_isin(t), "stock_code")
+    columns = ["source_file", "stock_code", "company", "place_of_incorporation", "listing_date", "sponsors"]
+    return _per_board(t, lambda b: J.join_master(b.select(*columns), S.hkex_isin(t), "stock_code"))
 
 
 @query
@@ -395,9 +407,8 @@ def folded_texts(t):
 
 @query
 def decoded_texts(t):
-    content = F.when(F.col("lang") == "en", F.encode("text", "UTF-8")).otherwise(
-        F.encode(text.remove_non_ascii(F.col("text")), "ISO-8859-1")
-    )
+    latin = ~F.col("text").rlike(r"[^\x00-\xFF]") & (F.col("lang") != "en")
+    content = F.when(latin, F.encode("text", "ISO-8859-1")).otherwise(F.encode("text", "UTF-8"))
     return t.documents.select("doc_id", text.decode_text(content).alias("text"))
 
 
@@ -413,6 +424,28 @@ def document_branch(t):
     return views.document_dataset(flags, S.report_index(t), entity_master(t))
 
 
+@query
+def incremental_flags(t):
+    """Flags of an earlier run, and of the documents that came since."""
+    tables = build.document_tables(S.report_index(t), S.reports(t), S.opinion_flags(t))
+    return tables["auditor_opinion_flags"]
+
+
+@query
+def flags_for_codes(t):
+    """The document branch for a list of codes: texts of other codes are not touched."""
+    codes_ = t.labels.where("quality = 1").select(F.col("doc_id").alias("stock_code"))
+    return R.flag_paths(W.document_worklist(S.report_index(t), codes_), S.reports(t))
+
+
+@query
+def double_keys_joined(t):
+    """Whole and broken numbers as keys against whole ones; only equal numbers meet."""
+    prices = t.lineitem.select("l_orderkey", "l_linenumber", (F.col("l_quantity") / 2).alias("half"))
+    names_ = t.nation.select(F.col("n_nationkey").alias("key"), "n_name")
+    return J.left_lookup(prices, names_, [("half", "key")])
+
+
 @query
 def new_document_flags(t):
     done = S.opinion_flags(t).select(F.concat("document_name", F.lit(".pdf")).alias("document_name"))
@@ -592,7 +625,7 @@ def kept_pages(t):
 
 @query
 def joined_pages(t):
-    return PG.join_pages(PG.filter_pages(S.report_pages(t), SKIP, KEEP))[0]
+    return PG.join_pages(PG.filter_pages(S.report_pages(t), SKIP, KEEP), part_chars=200)
 
 
 @query
@@ -657,7 +690,7 @@ def replaced_table(t):
 def key_list_round_trip(t):
     target = scratch_path(t.spark, "keys")
     sinks.export_keys(t.lineitem.select("l_suppkey"), target)
-    return sources.read_id_list(t.spark, target).select("id")
+    return sources.read_id_list(t.spark, target)
 
 
 @query
@@ -673,9 +706,13 @@ def release_files_round_trip(t):
 def landed_sheets(t):
     target = scratch_path(t.spark, "sheets")
     key = F.col("c_custkey").cast("string").alias("key")
-    rows = t.customer.select(key, "c_name", F.lit(None).cast("string").alias("none"), "c_mktsegment")
-    rows.orderBy(F.col("key").cast("bigint")).write.csv(target)
-    grid = sources.read_sheets(t.spark, f"{target}/*.csv", width=5)
+    wide = [F.lit(i).cast("string").alias(f"more_{i}") for i in range(40)]
+    rows = t.customer.select(
+        key, "c_name", F.lit(None).cast("string").alias("none"),
+        F.concat("c_mktsegment", F.lit(",")).alias("segment"), *wide,
+    )
+    rows.orderBy(F.col("key").cast("bigint")).write.options(quote='"', escape='"').csv(target)
+    grid = sources.read_sheets(t.spark, f"{target}/*.csv")
     keyed = grid.withColumn("key", F.get("cells", F.lit(0)).cast("bigint"))
     near = with_neighbours(keyed, ["source_file"], ["row_idx"], ["key", "row_idx"], back=1)
     follows = (F.col("prev_1.key") < F.col("key")) & (F.col("prev_1.row_idx") + 1 == F.col("row_idx"))

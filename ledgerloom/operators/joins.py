@@ -4,9 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import (
+    DataType,
+    DateType,
+    NumericType,
+    StringType,
+    TimestampNTZType,
+    TimestampType,
+)
 
-# Ways a NULL key is spread; NULL keys match nothing, so this costs no copies.
-NULL_SPREAD = 4096
+# Types of which any two have a common one that loses nothing of either key.
+COMPARABLE = ((NumericType,), (DateType, TimestampType, TimestampNTZType), (StringType,))
 
 
 def _suffixed(right: DataFrame, taken: set[str], suffix: str) -> DataFrame:
@@ -15,32 +23,51 @@ def _suffixed(right: DataFrame, taken: set[str], suffix: str) -> DataFrame:
     )
 
 
+def _common_type(df: DataFrame, left: DataType, right: DataType) -> DataType:
+    """The type in which Spark compares both; keys of unlike kinds are an error."""
+    if left == right:
+        return left
+    if not any(isinstance(left, kind) and isinstance(right, kind) for kind in COMPARABLE):
+        raise TypeError(
+            f"keys of types {left.simpleString()} and {right.simpleString()} do not compare; "
+            "bring one over first (cells.key_column makes text a number)"
+        )
+    both = F.coalesce(F.lit(None).cast(left), F.lit(None).cast(right))
+    return df.select(both.alias("key")).schema["key"].dataType
+
+
 def spread_join(
     left: DataFrame, right: DataFrame, on: list[tuple[Column | str, str]], how: str
 ) -> DataFrame:
     """Join that spreads NULL keys and leaves hot keys open to the adaptive skew join.
 
     ``on`` pairs a left column with a column of ``right``; the right columns
-    used as keys are dropped. A second join key is the hash of the first, or of
-    the whole row where a key is NULL: those rows match nothing and so may lie
-    in any partition. The second key also means that neither side comes in
+    used as keys are dropped. Keys of different types meet in their common type
+    (7 is not 7.5, a day is midnight); text never meets numbers or dates. A
+    second join key is the hash of the first, or of the whole row and the task
+    that reads it where a key is NULL: those rows match nothing and so may lie
+    in any partition, equal ones too. The second key also means that neither side comes in
     partitioned as the join needs it, by a grouping below it, say: both sides
     shuffle right below the join, and only there can a hot partition be split.
     """
     keys = [F.col(a) if isinstance(a, str) else a for a, _ in on]
-    types = [field.dataType for field in left.select(*keys).schema]
+    names = [name for _, name in on]
+    types = [
+        _common_type(left, one.dataType, other.dataType)
+        for one, other in zip(left.select(*keys).schema, right.select(*names).schema)
+    ]
+    keys = [key.cast(kind) for key, kind in zip(keys, types)]
     unmatched = F.lit(False)
     for key in keys:
         unmatched = unmatched | key.isNull()
-    row_hash = F.pmod(F.xxhash64(*left.columns), F.lit(NULL_SPREAD))
+    row_hash = F.xxhash64(*left.columns, F.spark_partition_id())
     keyed = left.withColumns(
         {
             **{f"_l{i}": key for i, key in enumerate(keys)},
             "_lspread": F.when(unmatched, row_hash).otherwise(F.xxhash64(*keys)),
         }
     )
-    names = [name for _, name in on]
-    right_keys = [F.col(name).try_cast(t) for name, t in zip(names, types)]
+    right_keys = [F.col(name).cast(kind) for name, kind in zip(names, types)]
     other = right.select(
         *[key.alias(f"_r{i}") for i, key in enumerate(right_keys)],
         F.xxhash64(*right_keys).alias("_rspread"),
@@ -75,7 +102,7 @@ def keep_listed(
 def join_master(df: DataFrame, master: DataFrame, key: str, suffix: str = "_isino") -> DataFrame:
     """Inner join on ``key``; clashing master columns get the suffix."""
     taken = set(df.columns) - {key}
-    return df.join(_suffixed(master, taken, suffix), key, "inner")
+    return spread_join(df, _suffixed(master, taken, suffix), [(key, key)], "inner")
 
 
 def match_rows(left: DataFrame, right: DataFrame, on: str, suffix: str = "_right") -> DataFrame:

@@ -16,9 +16,6 @@ from ledgerloom.session import settle
 
 # Positions per window: about a million rows sort comfortably in one task.
 WIDTH = 1 << 20
-# Most groups that are cut. The largest come first, so a group left whole has
-# at most 1/MAX_CUT of all rows, and the list is always small enough to send.
-MAX_CUT = 100_000
 
 RANGE = "_range"
 
@@ -31,19 +28,20 @@ def big_groups(df: DataFrame, keys: list[str], least: int) -> DataFrame | None:
     sizes = df.groupBy(*[F.col(k).alias(f"_key_{i}") for i, k in enumerate(keys)]).agg(
         F.count("*").alias("_rows")
     )
-    big = settle(
-        sizes.where(F.col("_rows") > least).orderBy(F.desc("_rows")).limit(MAX_CUT), "big-groups"
-    )
+    big = settle(sizes.where(F.col("_rows") > least), "big-groups")
     return None if big.isEmpty() else big
 
 
 def with_group_rows(df: DataFrame, keys: list[str], big: DataFrame) -> DataFrame:
-    """Add ``_rows``: the size of a row's group where that is big, else NULL."""
+    """Add ``_rows``: the size of a row's group where that is big, else NULL.
+
+    ``big`` is settled, so the planner knows whether it is small enough to send.
+    """
     names = [f"_key_{i}" for i in range(len(keys))]
     same = F.lit(True)
     for key, name in zip(keys, names):
         same = same & F.col(key).eqNullSafe(F.col(name))
-    return df.join(F.broadcast(big), same, "left").drop(*names)
+    return df.join(big, same, "left").drop(*names)
 
 
 def cut_groups(

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.cells import strip
+from ledgerloom.functions.cells import BLANKS, strip
+from ledgerloom.functions.markup import decode_entities, element_bodies, first_element, link_addresses
 from ledgerloom.functions.names import base_name, drop_query, split_stem
+from ledgerloom.operators.joins import left_lookup
+from ledgerloom.session import settle
 
 # Phrases that drop a page, and phrases that keep it all the same.
 SKIP_PHRASES = (
@@ -31,11 +34,8 @@ KEEP_PHRASES = (
     "going concern",
     "emphasis of matter",
 )
-# Named entities of plain HTML text.
-ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&nbsp;": " ", "&amp;": "&"}
-
-# Largest text one cell is asked to hold; longer documents stay as pages.
-MAX_TEXT_CHARS = 256 * 1024 * 1024
+# Characters after which a document's text goes on in its next part.
+PART_CHARS = 64 * 1024 * 1024
 
 
 def _any_phrase(text: Column, phrases) -> Column:
@@ -59,24 +59,33 @@ def page_totals(pages: DataFrame) -> DataFrame:
     )
 
 
-def join_pages(
-    pages: DataFrame, max_chars: int = MAX_TEXT_CHARS
-) -> tuple[DataFrame, DataFrame]:
-    """Documents as one text each, and the pages of documents too long for a cell.
+def join_pages(pages: DataFrame, part_chars: int = PART_CHARS) -> DataFrame:
+    """``document_name, part, text``: the pages of every document joined by line ends.
 
-    Lengths are summed first, so no group is gathered that would not fit; the
-    second frame holds the pages of the others whole, ready for work by page.
-    Each long document has over ``max_chars`` characters, so their list is
-    short enough to send: below half a million names in 100 TB of text.
+    A page belongs to the part in which its text begins, counted from the start
+    of the document, so that a part is about ``part_chars`` long, or one longer
+    page. Joined by line ends in order of ``part``, the parts are the document.
+    Where the pages begin is worked out from their lengths; texts shuffle once,
+    by document and part.
     """
-    totals = page_totals(pages)
-    long = F.broadcast(totals.where(F.col("text_len") > max_chars).select("document_name"))
-    short_pages = pages.join(long, "document_name", "left_anti")
+    sizes = pages.select(
+        "document_name", "page_no", (F.coalesce(F.length("text"), F.lit(0)) + 1).alias("_size")
+    )
+    before = (
+        Window.partitionBy("document_name").orderBy("page_no")
+        .rangeBetween(Window.unboundedPreceding, -1)
+    )
+    start = F.coalesce(F.sum("_size").over(before), F.lit(0))
+    parts = sizes.select(
+        "document_name", "page_no", F.floor(start / F.lit(part_chars)).cast("int").alias("part")
+    ).distinct()
+    placed = left_lookup(
+        pages, settle(parts, "page-parts"), [("document_name", "document_name"), ("page_no", "page_no")]
+    )
     ordered = F.array_sort(F.collect_list(F.struct("page_no", "text")))
-    texts = short_pages.groupBy("document_name").agg(
+    return placed.groupBy("document_name", "part").agg(
         F.array_join(F.transform(ordered, lambda p: p["text"]), "\n").alias("text")
     )
-    return texts, pages.join(long, "document_name", "left_semi")
 
 
 def check_text_length(documents: DataFrame, min_chars: int = 100) -> DataFrame:
@@ -85,27 +94,11 @@ def check_text_length(documents: DataFrame, min_chars: int = 100) -> DataFrame:
     return documents.withColumn("error", F.when(short, F.lit("Insufficient text")))
 
 
-def _element(html: Column, tag: str) -> Column:
-    return F.regexp_extract(html, rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}\s*>", 1)
-
-
-def _elements(html: Column, tag: str) -> Column:
-    return F.regexp_extract_all(html, F.lit(rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}\s*>"), F.lit(1))
-
-
-_HREF = r"""(?is)<a\b[^>]*?\bhref\s*=\s*["']([^"']*)["']"""
-
-
-def _unescape(text: Column) -> Column:
-    for entity, char in ENTITIES.items():
-        text = F.replace(text, F.lit(entity), F.lit(char))
-    return text
-
-
 def element_text(html: Column) -> Column:
     """Text of a fragment: each text node stripped, nothing between them."""
     bare = F.regexp_replace(html, r"(?s)<!--.*?-->", "")
-    return _unescape(strip(F.regexp_replace(bare, r"\s*<[^>]*>\s*", "")))
+    text = decode_entities(strip(F.regexp_replace(bare, r"\s*<[^>]*>\s*", "")))
+    return F.btrim(text, F.lit("".join(BLANKS) + "\u00a0"))
 
 
 def html_rows(
@@ -115,20 +108,19 @@ def html_rows(
     """Rows of the first table: ``key, row_no, cells, link``.
 
     The header row and rows with fewer than ``min_cells`` cells go; ``link`` is
-    the first address in the row, '' without one.
+    the first address in the row, '' without one. Rows and cells of a table
+    inside a cell count as rows of their own and as cells of the outer row.
     """
-    rows = pages.select(
-        key, F.posexplode(_elements(_element(F.col("html"), table_tag), row_tag))
-        .alias("row_no", "_row"),
+    tables = pages.select(key, first_element(F.col("html"), table_tag).alias("_table"))
+    rows = tables.select(
+        key, F.posexplode(element_bodies(F.col("_table"), row_tag)).alias("row_no", "_row")
     ).where("row_no > 0")
-    return (
-        rows.select(
-            key, "row_no",
-            F.transform(_elements(F.col("_row"), cell_tag), element_text).alias("cells"),
-            F.regexp_extract("_row", _HREF, 1).alias("link"),
-        )
-        .where(F.size("cells") >= min_cells)
+    cells = rows.select(
+        key, "row_no",
+        F.transform(element_bodies(F.col("_row"), cell_tag), element_text).alias("cells"),
+        F.coalesce(F.get(link_addresses(F.col("_row")), F.lit(0)), F.lit("")).alias("link"),
     )
+    return cells.where(F.size("cells") >= min_cells)
 
 
 def report_index(rows: DataFrame, folder: str) -> DataFrame:
@@ -188,8 +180,12 @@ def harvest_links(
     table_tag: str = "table",
 ) -> DataFrame:
     """Addresses in the first table that end in ``suffix``: ``key, position, url, file_name``."""
-    links = F.regexp_extract_all(_element(F.col("html"), table_tag), F.lit(_HREF), F.lit(1))
-    found = pages.select(key, base.alias("_base"), F.posexplode(links).alias("position", "_href"))
+    tables = pages.select(
+        key, base.alias("_base"), first_element(F.col("html"), table_tag).alias("_table")
+    )
+    found = tables.select(
+        key, "_base", F.posexplode(link_addresses(F.col("_table"))).alias("position", "_href")
+    )
     url = resolve_link(F.col("_base"), F.col("_href"))
     return (
         found.where(F.endswith(F.lower("_href"), F.lit(suffix.lower())))

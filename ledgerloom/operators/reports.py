@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from ledgerloom.functions import text as T
 from ledgerloom.functions.cells import strip
 from ledgerloom.functions.names import name_date, stem
+from ledgerloom.operators.joins import keep_listed, spread_join
 from ledgerloom.operators.worklist import skip_done
+from ledgerloom.session import settle
 
 
 def section_documents(
@@ -74,12 +76,16 @@ def phrase_flags(documents: DataFrame, patterns: dict[str, str] | None = None) -
 
 
 def texts_for_paths(paths: DataFrame, documents: DataFrame, path: str = "pdf_path") -> DataFrame:
-    """Text of each listed path by file stem; a missing or empty text gives no row."""
-    wanted = paths.select(stem(F.col(path)).alias("document_name"))
+    """Text of each listed path by file stem; a missing or empty text gives no row.
+
+    The list is settled, so the planner sends a short one to the texts instead
+    of moving the texts to it.
+    """
+    wanted = settle(paths.select(stem(F.col(path)).alias("document_name")), "wanted")
     texts = documents.where(F.length("text") > 0).select(
         stem(F.col("document_name")).alias("document_name"), "text"
     )
-    return wanted.join(texts, "document_name", "inner")
+    return spread_join(texts, wanted.select(F.col("document_name").alias("_wanted")), [("document_name", "_wanted")], "inner")
 
 
 def flag_paths(
@@ -88,13 +94,13 @@ def flag_paths(
 ) -> DataFrame:
     """Flags of the sliced text behind each listed path, one row per path.
 
-    Texts turn into flags where they are read; only names and flags shuffle.
+    Texts nobody asked for go before anything is sliced, so that the work
+    follows the list and not the corpus.
     """
-    flags = phrase_flags(
-        slice_documents(documents.withColumn("document_name", stem(F.col("document_name")))),
-        patterns,
-    )
-    wanted = paths.select(stem(F.col(path)).alias("document_name"))
+    wanted = settle(paths.select(stem(F.col(path)).alias("document_name")), "wanted")
+    named = documents.withColumn("document_name", stem(F.col("document_name")))
+    asked = keep_listed(named, wanted, [("document_name", "document_name")])
+    flags = phrase_flags(slice_documents(asked), patterns)
     return wanted.join(flags, "document_name", "inner")
 
 

@@ -21,16 +21,13 @@ def document_worklist(index: DataFrame, codes: DataFrame | None = None) -> DataF
     return rows.select("pdf_path").distinct()
 
 
-def read_ids(lines: DataFrame, column: str = "value") -> DataFrame:
-    """Strip a column of ids and drop the blank ones."""
-    return lines.withColumn(column, strip(F.col(column))).where(F.col(column) != "")
-
-
 def pending_list(
     full: DataFrame, ignore: DataFrame, existing: DataFrame, key: str = "id"
 ) -> tuple[DataFrame, DataFrame]:
     """Ids of ``full`` in neither other list, in their order, and the four counts.
 
+    The order is ``seq``, and ``position`` within it where the list has one.
+
     Repeated ids of the full list stay; both other lists count once per id.
     The two lists make one set of ids, so the full list shuffles once.
     """
@@ -48,7 +45,8 @@ def pending_list(
             for name in ("full", "ignore", "existing", "pending")
         ]
     )
-    return pending.orderBy("seq"), counts
+    order = [c for c in ("seq", "position") if c in full.columns]
+    return pending.orderBy(*order), counts
 
 
 def update_ignore(

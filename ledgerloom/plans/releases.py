@@ -27,9 +27,11 @@ def ingest_releases(
     later steps read (mapping, pending ids, summary) is settled on the way.
     """
     mapping = settle(stock_id_mapping(lookups), "mapping")
-    full = mapping.where(F.col("stock_id") != "").select("seq", F.col("stock_id").alias("id"))
+    full = mapping.where(F.col("stock_id") != "").select(
+        "seq", "position", F.col("stock_id").alias("id")
+    )
     pending, counts = W.pending_list(full, ignore, existing)
-    pending = settle(pending, "pending").orderBy("seq")
+    pending = settle(pending, "pending").orderBy("seq", "position")
     arrived = keep_listed(payloads, pending, [("stock_id", "id")])
     keyed = arrived.select(F.struct("seq", "stock_id").alias("key"), "body")
     records, summary = P.parse_envelopes(keyed, record_schema, key="key")

@@ -11,9 +11,7 @@ from ledgerloom.functions.cells import strip
 from ledgerloom.functions.names import id_from_name
 from ledgerloom.functions.text import decode_text
 from ledgerloom.operators.joins import semi_join
-
-# Files up to which one row per file block is sent to every task.
-MAX_SENT_FILES = 100_000
+from ledgerloom.session import settle
 
 CSV_OPTIONS = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"'}
 
@@ -58,9 +56,6 @@ def _in_file_order(df: DataFrame, position: str, kept: list[str]) -> DataFrame:
         .agg(F.count("*").alias("_n"), F.min("_id").alias("_first"))
         .select("_path", "_block", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
     )
-    # A block is a whole file or a full split of one, so few files mean few blocks.
-    if len(df.inputFiles()) <= MAX_SENT_FILES:
-        blocks = F.broadcast(blocks)
     return (
         rows.join(blocks, ["_path", "_block"])
         .withColumn(position, F.col("_before") + F.col("_id") - F.col("_first"))
@@ -68,17 +63,31 @@ def _in_file_order(df: DataFrame, position: str, kept: list[str]) -> DataFrame:
     )
 
 
+def _widest_row(spark: SparkSession, glob: str, multi_line: bool) -> int:
+    """Most cells of any row, quoted separators left out; an empty cell counts."""
+    lines = spark.read.text(glob, wholetext=multi_line)
+    # Quoted parts go first, so what is left of a row has no line ends but its own.
+    bare = F.regexp_replace("value", '"[^"]*+"', "")
+    rows = F.explode(F.split(bare, r"\r\n|\n|\r")) if multi_line else bare
+    commas = F.col("row")
+    counted = lines.select(rows.alias("row")).select(
+        F.max(F.length(commas) - F.length(F.replace(commas, F.lit(","), F.lit(""))))
+    )
+    return (counted.first()[0] or 0) + 1
+
+
 def read_sheets(
-    spark: SparkSession, glob: str, width: int = 32, multi_line: bool = False
+    spark: SparkSession, glob: str, width: int | None = None, multi_line: bool = False
 ) -> DataFrame:
     """Sheets landed as header-less CSV to a grid with file name and row number.
 
-    Empty cells are NULL. Blank sheet rows must be landed as separators only,
+    Every row has as many cells as the widest row of all the files, which is
+    looked up first unless ``width`` is given. Empty cells are NULL. Blank sheet rows must be landed as separators only,
     since a CSV reader passes over empty lines. Line breaks inside cells need
     ``multi_line``, which reads a file as one task; sheets of any size belong
     in a splittable grid table.
     """
-    columns = [f"c{i}" for i in range(width)]
+    columns = [f"c{i}" for i in range(width or _widest_row(spark, glob, multi_line))]
     schema = StructType([StructField(c, StringType()) for c in columns])
     raw = spark.read.schema(schema).options(
         quote='"', escape='"', multiLine=str(multi_line).lower()
@@ -88,11 +97,20 @@ def read_sheets(
 
 
 def read_id_list(spark: SparkSession, path: str) -> DataFrame:
-    """``seq, id`` from a text file: stripped, blank lines dropped; no file, no ids."""
+    """``seq, id`` from text files: stripped, blank lines dropped; no file, no ids.
+
+    ``seq`` counts the lines of all files, the files in the order of their names.
+    """
     schema = StructType.fromDDL("source_file string, seq bigint, id string")
 
     def read() -> DataFrame:
-        return _in_file_order(spark.read.text(path), "seq", [strip(F.col("value")).alias("id")])
+        lines = _in_file_order(spark.read.text(path), "seq", [strip(F.col("value")).alias("id")])
+        earlier = Window.orderBy("source_file").rowsBetween(Window.unboundedPreceding, -1)
+        # One row per file.
+        files = lines.groupBy("source_file").agg((F.max("seq") + 1).alias("_lines"))
+        files = settle(files, "id-files")
+        start = files.select("source_file", F.coalesce(F.sum("_lines").over(earlier), F.lit(0)).alias("_start"))
+        return lines.join(start, "source_file").withColumn("seq", F.col("seq") + F.col("_start"))
 
     return _or_empty(spark, schema, read).where(F.col("id") != "").select("seq", "id")
 

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerloom.functions.text import decode_text
-from ledgerloom.operators.reports import flag_new_documents, slice_documents
+from ledgerloom.operators.latest import one_per_group
+from ledgerloom.operators.reports import phrase_flags, slice_documents
+from ledgerloom.operators.worklist import skip_done
 
 
 def document_stream(spark: SparkSession, folder: str) -> DataFrame:
@@ -36,8 +38,11 @@ def flag_stream(
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        fresh = batch.dropDuplicates(["document_name"])
-        flags = flag_new_documents(slice_documents(fresh), _earlier(spark, out, batch_id), patterns)
+        fresh = skip_done(batch, _earlier(spark, out, batch_id))
+        flags = phrase_flags(slice_documents(fresh), patterns)
+        # Of files with one name the flags meet, not the texts; the order is total.
+        rest = [c for c in flags.columns if c != "document_name"]
+        flags = one_per_group(flags, ["document_name"], rest).select(*flags.columns)
         flags.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 
     return (

@@ -76,11 +76,11 @@ def test_pages(spark, rows):
     pages = spark.createDataFrame(data, "document_name string, page_no int, text string")
     kept = PG.filter_pages(pages)
     assert rows(kept, "document_name", "page_no") == [("d", 1), ("d", 10), ("e", 1)]
-    texts, long = PG.join_pages(kept)
-    assert rows(texts) == [("d", "Plain\nbalance sheet of the Auditor"), ("e", "long " * 9)]
-    texts, long = PG.join_pages(kept, max_chars=40)
-    assert rows(texts) == [("d", "Plain\nbalance sheet of the Auditor")]
-    assert rows(long) == [("e", 1, "long " * 9)]
+    assert rows(PG.join_pages(kept)) == [("d", 0, "Plain\nbalance sheet of the Auditor"), ("e", 0, "long " * 9)]
+    # A part begins with the first page that begins behind the limit; none is left out.
+    assert rows(PG.join_pages(kept, part_chars=5)) == [
+        ("d", 0, "Plain"), ("d", 1, "balance sheet of the Auditor"), ("e", 0, "long " * 9)
+    ]
     assert rows(PG.check_text_length(PG.page_totals(kept), 35), "document_name", "text_len", "error") == [
         ("d", 34, "Insufficient text"), ("e", 45, None)
     ]
@@ -112,6 +112,24 @@ def test_html_tables(spark, rows):
     ]
 
 
+NESTED = """<table><tr><td>head</td></tr>
+<tr><td>1</td><td>caf&eacute; &#233;&#xE9;&nbsp;</td><td>in <table><tr><td>2</td><td>3</td><td>4<a href='n.pdf'>n</a></td></tr></table></td>
+<td><a data-href="no.pdf" href=b.pdf>b</a></td></tr>
+<tr><td>5</td><td>a "q" &amp;lt; &unknown; &#x110000;</td><td>6</td><td><a HREF="a.pdf?x=1&amp;y='2'">c</a></td></tr></table>"""
+
+
+def test_nested_tables_references_and_addresses(spark, rows):
+    df = spark.createDataFrame([(1, NESTED), (2, None), (3, "<table><tr><td>x"), (4, "</table>")], "page_id int, html string")
+    found = PG.html_rows(df)
+    assert rows(found.select("page_id", "row_no", F.array_join("cells", "|"), "link")) == [
+        (1, 1, "1|café éé|in234n|2|3|4n|b", "n.pdf"),
+        (1, 2, "2|3|4n", "n.pdf"),
+        (1, 3, '5|a "q" &lt; &unknown; \ufffd|6|c', "a.pdf?x=1&y='2'"),
+    ]
+    links = PG.harvest_links(df, F.lit("http://h/"), suffix=".pdf")
+    assert rows(links, "page_id", "url") == [(1, "http://h/b.pdf"), (1, "http://h/n.pdf")]
+
+
 @pytest.mark.parametrize("href, url", [
     ("x.pdf", "http://h/a/b/x.pdf"), ("/x.pdf", "http://h/x.pdf"), ("//g/x.pdf", "http://g/x.pdf"),
     ("https://g/x.pdf", "https://g/x.pdf"), ("./x.pdf", "http://h/a/b/x.pdf"), ("../../../x.pdf", "http://h/x.pdf"),

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import codes
+from ledgerloom.functions.cells import key_column
 from ledgerloom.operators import joins as J
 from ledgerloom.operators import latest as L
 from ledgerloom.operators import sets
@@ -30,7 +31,26 @@ def test_left_lookup_keeps_null_keys(spark, rows, either_join):
 def test_left_lookup_on_a_malformed_key(spark, rows, either_join):
     left = spark.createDataFrame([(1,), (12,)], "k long")
     right = spark.createDataFrame([("001", "a"), ("x12", "b")], "rk string, name string")
-    assert rows(J.left_lookup(left, right, [("k", "rk")])) == [(1, "a"), (12, None)]
+    with pytest.raises(TypeError):
+        J.left_lookup(left, right, [("k", "rk")])
+    numbers = right.withColumn("rk", key_column(right, "rk"))
+    assert rows(J.left_lookup(left, numbers, [("k", "rk")])) == [(1, "a"), (12, None)]
+
+
+@pytest.mark.parametrize("left, right, values, keys, found", [
+    ("int", "double", [7, 8], [7.5, 8.0], [8]),
+    ("double", "int", [7.5, 8.0], [7, 8], [8.0]),
+    ("bigint", "decimal(10,1)", [7, 8], ["7.5", "8.0"], [8]),
+    ("int", "bigint", [7], [7 + (1 << 32)], []),
+    ("date", "timestamp", ["2020-01-01", "2020-01-02"], ["2020-01-01 12:00:00", "2020-01-02 00:00:00"], ["2020-01-02"]),
+])
+def test_keys_of_two_types(spark, rows, either_join, left, right, values, keys, found):
+    one = spark.createDataFrame([(str(v),) for v in values], "k string").select(F.col("k").cast(left))
+    other = spark.createDataFrame([(str(k),) for k in keys], "rk string").select(F.col("rk").cast(right))
+    kept = J.keep_listed(one, other, [("k", "rk")]).select(F.col("k").cast("string"))
+    assert [r[0] for r in rows(kept)] == [str(f) for f in found]
+    lost = J.keep_listed(one, other, [("k", "rk")], listed=False).count()
+    assert lost == len(values) - len(found)
 
 
 def test_left_lookup_spreads_null_keys(spark):

@@ -21,7 +21,7 @@ def plan(df):
 
 
 @pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+@pytest.mark.parametrize("name", sorted(entry_points.QUERIES))
 def test_no_pairs_and_no_python(spark, name):
     text = plan(entry_points.queries()[name](spark, FOLDER))
     for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "MapInPandas", "ExistingRDD"):
@@ -94,18 +94,27 @@ def test_offers_without_big_groups_shuffle_once(spark):
     assert text.count("Exchange") == 1 and text.count("Window ") == 1 and "Join" not in text
 
 
-def test_texts_are_sliced_once_and_never_shuffled(spark, tmp_path):
+def test_texts_are_sliced_once_and_picked_before(spark, tmp_path):
     spark.createDataFrame([("a", "x")], "document_name string, text string").write.parquet(f"{tmp_path}/t")
     documents = spark.read.parquet(f"{tmp_path}/t")
     text = plan(R.phrase_flags(R.slice_documents(documents)))
     assert "Exchange" not in text and text.count("disclaimer (of )?opinion") == 1
     assert text.count("[^\\x00-\\x7F]") == 1
     paths = spark.createDataFrame([("d/a.pdf",)], "pdf_path string")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        joined = plan(R.flag_paths(paths, documents))
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    below = joined[: joined.index("[^\\x00-\\x7F]")]
-    assert "Exchange" in below  # the shuffle comes after the texts became flags
-    assert "Exchange" not in joined[joined.index("[^\\x00-\\x7F]"):]
+    joined = plan(R.flag_paths(paths, documents))
+    sliced = joined.index("[^\\x00-\\x7F]")
+    # The texts asked for are picked before the slicing, by a list sent to them.
+    assert "BroadcastHashJoin" in joined[sliced:] and "LeftSemi" in joined[sliced:]
+    assert joined[sliced:].count("Exchange hashpartitioning") == 1  # the distinct names
+
+
+def test_no_size_switches_are_left():
+    """Limits stand where they are the feature: the sample and the preview."""
+    base = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "ledgerloom")
+    for folder in ("operators", "sources", "sinks", "plans", "streaming"):
+        for name in os.listdir(os.path.join(base, folder)):
+            if name.endswith(".py") and name != "sets.py":
+                with open(os.path.join(base, folder, name)) as file:
+                    text = file.read()
+                for word in (".limit(", "F.broadcast(", "inputFiles(", ".collect()"):
+                    assert word not in text, (name, word)
