@@ -28,14 +28,14 @@ LADDER = 12
 # Tokens a cost is kept for, the most frequent first; those in at least SEEN
 # documents of one batch are counted. Costs decide which signatures are used,
 # never which pairs are found.
-COSTS = 1 << 17
-SEEN = 3
+COSTS = 1 << 20
+SEEN = 2
 # Signatures per bucket, and rows of ids up to which a list is sent to all tasks.
 BUCKET_ROWS = 1 << 19
-SENT_IDS = 1 << 22
-# Pairs of one document that one task compares, members of a group listed in one row.
+SENT_IDS = 1 << 18
+# Pairs of one document that one task compares, and members of a group compared at once.
 FAN = 256
-LISTED = 512
+BLOCK = 1024
 # An id that sorts behind all others stands in for NULL.
 NO_ID = (1 << 63) - 1
 
@@ -147,7 +147,31 @@ def mixed_sum(tokens: np.ndarray) -> np.uint64:
 
 
 DOC, TOKEN, STEP = range(3)
-FACTS = "kind int, id bigint, a bigint, b bigint, n bigint"
+FACTS = "kind int, id bigint, a bigint, b bigint, n bigint, bits binary"
+SKETCH = "id bigint, n bigint, bits binary"
+
+
+def parities(tokens: np.ndarray) -> bytes:
+    """One bit per bucket of tokens, at least as many as tokens: is their number odd?
+
+    Sets that differ in d tokens differ in at most d bits, whatever the tokens.
+    """
+    buckets = 1 << max(6, len(tokens).bit_length())
+    at = (mix(tokens ^ np.uint64(0x8CB92BA72F3D8DD7)) & np.uint64(buckets - 1)).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=buckets) & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def fold(bits: np.ndarray, words: int) -> np.ndarray:
+    """Parities of fewer buckets: each is the sum of every ``words``-th 64 of them."""
+    return np.bitwise_xor.reduce(bits.reshape(-1, words), axis=0)
+
+
+def may_link(n: np.ndarray, bits: np.ndarray, size: int, own: np.ndarray) -> np.ndarray:
+    """Which sets, of sizes ``n`` and with parities ``bits`` in rows, may be linked to one."""
+    total = n + size
+    near = np.minimum(n, size) * DEN >= np.maximum(n, size) * NUM
+    differ = np.bitwise_count(bits ^ own[None, :]).sum(axis=1, dtype=np.int64)
+    return near & (differ * (DEN + NUM) <= total * (DEN - NUM))
 
 
 def _set_key(tokens: np.ndarray) -> tuple[int, int]:
@@ -165,28 +189,30 @@ def _sets(batch: pa.RecordBatch) -> Iterator[tuple[int, list[np.ndarray]]]:
 def _facts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per text its set's key and size; per batch frequent tokens; per level the step needed."""
 
-    def rows(kind: int, *columns) -> pa.RecordBatch:
+    def rows(kind: int, *columns, bits: list[bytes] | None = None) -> pa.RecordBatch:
         size = len(columns[0])
         given = [pa.array(np.asarray(c, dtype=np.int64)) for c in columns]
         given += [pa.nulls(size, pa.int64())] * (4 - len(given))
+        given.append(pa.nulls(size, pa.binary()) if bits is None else pa.array(bits, pa.binary()))
         return pa.RecordBatch.from_arrays(
-            [pa.array(np.full(size, kind, dtype=np.int32)), *given], ["kind", "id", "a", "b", "n"]
+            [pa.array(np.full(size, kind, dtype=np.int32)), *given], ["kind", "id", "a", "b", "n", "bits"]
         )
 
     steps: dict[int, int] = {}
     for batch in batches:
         ids = batch.column(0).to_numpy(zero_copy_only=False)
-        keys, sizes, tokens = [], [], []
+        keys, sizes, tokens, marks = [], [], [], []
         for _, sets in _sets(batch):
             for found in sets:
                 keys.append(_set_key(found))
                 sizes.append(len(found))
                 tokens.append(found)
+                marks.append(parities(found))
                 for level, most in levels_of(len(found)) if len(found) else []:
                     if level:
                         needed = step_needed(found, level, most)
                         steps[level] = max(steps.get(level, 0), needed)
-        yield rows(DOC, ids, [k[0] for k in keys], [k[1] for k in keys], sizes)
+        yield rows(DOC, ids, [k[0] for k in keys], [k[1] for k in keys], sizes, bits=marks)
         every = np.sort(np.concatenate(tokens)) if tokens else np.zeros(0, np.uint64)
         begins = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]])) if len(every) else np.zeros(0, int)
         times = np.diff(np.append(begins, len(every)))
@@ -287,11 +313,63 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _with_texts(texts: DataFrame, keys: DataFrame, rows: int) -> DataFrame:
-    """Texts of the ids in ``keys``; the list is sent to the texts where it is short."""
-    if rows <= SENT_IDS:
-        keys = F.broadcast(keys)
-    return texts.join(keys, texts["_id"] == keys["_key"]).drop("_id", "_key")
+def _closer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of pairs with the sizes and parities of both, those that may be linked."""
+    for batch in batches:
+        u, v, n, m = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
+        kept = np.zeros(len(u), dtype=bool)
+        for i, (one, other) in enumerate(zip(batch.column(4), batch.column(5))):
+            one = np.frombuffer(one.as_py(), dtype=np.uint64)
+            other = np.frombuffer(other.as_py(), dtype=np.uint64)
+            words = min(len(one), len(other))
+            kept[i] = may_link(m[i : i + 1], fold(other, words)[None, :], n[i], fold(one, words))[0]
+        yield pa.RecordBatch.from_arrays([pa.array(u[kept]), pa.array(v[kept])], ["u", "v"])
+
+
+def closer_pairs(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
+    """Those of the pairs ``u, v`` whose sizes and parities do not rule a link out."""
+    one = sketches.select(F.col("id").alias("u"), "n", "bits")
+    other = sketches.select(F.col("id").alias("v"), F.col("n").alias("m"), F.col("bits").alias("marks"))
+    both = pairs.join(one, "u").join(other, "v").select("u", "v", "n", "m", "bits", "marks")
+    return both.mapInArrow(_closer, "u bigint, v bigint").distinct()
+
+
+def _within_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs of a unit's members with different labels that may be linked."""
+
+    def pairs(rows: list[tuple]) -> pa.RecordBatch:
+        ids = np.array([r[0] for r in rows])
+        labels = np.array([r[1] for r in rows])
+        n = np.array([r[2] for r in rows])
+        whole = [np.frombuffer(r[3], dtype=np.uint64) for r in rows]
+        lengths = np.array([len(w) for w in whole])
+        u, v = [], []
+        # Linked sets differ by a third in size at most, so by one step in resolution.
+        for words in np.unique(lengths).tolist():
+            near = np.flatnonzero((lengths == words) | (lengths == 2 * words))
+            near = near[np.argsort(lengths[near], kind="stable")]
+            bits = np.stack([fold(whole[i], words) for i in near])
+            for at in range(int((lengths[near] == words).sum())):
+                i, rest = near[at], near[at + 1 :]
+                other = labels[rest] != labels[i]
+                if other.any():
+                    hit = rest[other & may_link(n[rest], bits[at + 1 :], n[i], bits[at])]
+                    u.append(np.minimum(ids[hit], ids[i]))
+                    v.append(np.maximum(ids[hit], ids[i]))
+        none = [np.zeros(0, dtype=np.int64)]
+        found = np.unique(np.stack([np.concatenate(u or none), np.concatenate(v or none)], axis=1), axis=0)
+        return pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], ["u", "v"])
+
+    unit, rows = None, []
+    for batch in batches:
+        for row in zip(*[batch.column(i).to_pylist() for i in range(5)]):
+            if row[0] != unit:
+                if len(rows) > 1:
+                    yield pairs(rows)
+                unit, rows = row[0], []
+            rows.append(row[1:])
+    if len(rows) > 1:
+        yield pairs(rows)
 
 
 def verify_pairs(texts: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -299,41 +377,37 @@ def verify_pairs(texts: DataFrame, pairs: DataFrame) -> DataFrame:
 
     ``texts`` has ``_id`` and ``_text``. The partners of an id are dealt out in
     parts of about `FAN`, each with a copy of the id's own text, so that an id
-    with very many partners is no single task.
+    with very many partners is no single task. A short list of ids is sent to
+    the texts; beyond `SENT_IDS` the texts are shuffled to it, once.
     """
     counts = pairs.groupBy(F.col("u").alias("_u")).agg(
         F.ceil(F.count("*") / F.lit(FAN)).cast("bigint").alias("_parts")
     )
     counts = settle(counts, "pair-counts")
-    dealt = settle(
-        pairs.join(counts, pairs["u"] == counts["_u"]).select(
-            "u", F.pmod(F.xxhash64("v"), F.col("_parts")).alias("part"), "v"
-        ),
-        "dealt-pairs",
+    partners = pairs.join(counts, pairs["u"] == counts["_u"]).select(
+        F.col("v").alias("_key"), "u", F.pmod(F.xxhash64("v"), F.col("_parts")).alias("part"),
+        F.lit(1).alias("side"), "v",
     )
-    partners = _with_texts(
-        texts,
-        dealt.select(F.col("v").alias("_key"), "u", "part", F.col("v").alias("v")),
-        dealt.count(),
-    ).select("u", "part", F.lit(1).alias("side"), "_text", "v")
-    heads = _with_texts(
-        texts, counts.select(F.col("_u").alias("_key"), F.col("_u").alias("u"), "_parts"), counts.count()
-    ).select(
-        "u",
+    heads = counts.select(
+        F.col("_u").alias("_key"), F.col("_u").alias("u"),
         F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_parts") - 1)).alias("part"),
-        F.lit(-1).alias("side"),
-        "_text",
-        F.lit(None).cast("bigint").alias("v"),
+        F.lit(-1).alias("side"), F.lit(None).cast("bigint").alias("v"),
     )
-    rows = partners.unionByName(heads).repartition("u", "part").sortWithinPartitions("u", "part", "side")
-    return rows.mapInArrow(_compare, "u bigint, v bigint").distinct()
+    needed = settle(partners.unionByName(heads), "texts-needed")
+    rows = needed.count()
+    given = texts.join(F.broadcast(needed) if rows <= SENT_IDS else needed, texts["_id"] == needed["_key"])
+    dealt = given.select("u", "part", "side", "_text", "v").repartition("u", "part")
+    compared = dealt.sortWithinPartitions("u", "part", "side").mapInArrow(_compare, "u bigint, v bigint")
+    return compared.distinct()
 
 
-def _unsettled_pairs(groups: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs of ids that share a signature and are not connected yet.
+def _unsettled_pairs(groups: DataFrame, labels: DataFrame, sketches: DataFrame) -> DataFrame:
+    """Pairs of ids that share a signature, are not connected yet and may be linked.
 
-    Groups that list the same ids count once. Groups of more than `LISTED` ids
-    meet by a join on the signature instead of in one row.
+    Groups are cut into units of one or two blocks of about `BLOCK` ids, every
+    two blocks of a group meeting in one; units that list the same ids count
+    once. A unit's members are compared by size and parities in one task, and
+    only pairs that these leave open come out.
     """
     known = labels.select(F.col("node").alias("id"), "label")
     members = groups.join(known, "id", "left").select(
@@ -341,25 +415,22 @@ def _unsettled_pairs(groups: DataFrame, labels: DataFrame) -> DataFrame:
     )
     sizes = members.groupBy("sig").agg(
         F.count("*").alias("_n"), F.min("label").alias("_low"), F.max("label").alias("_high")
-    ).where(F.col("_low") != F.col("_high")).select("sig", "_n")
-    open_rows = settle(members.join(sizes, "sig"), "open-groups")
-    listed = (
-        open_rows.where(F.col("_n") <= LISTED)
-        .groupBy("sig").agg(F.array_sort(F.collect_set(F.struct("id", "label"))).alias("_ids"))
-        .select("_ids").distinct()
+    ).where(F.col("_low") != F.col("_high"))
+    sizes = sizes.select("sig", F.ceil(F.col("_n") / F.lit(BLOCK)).cast("int").alias("_blocks"))
+    placed = members.join(sizes, "sig").withColumn(
+        "_own", F.pmod(F.xxhash64("id"), F.col("_blocks")).cast("int")
+    )
+    others = F.sequence(F.lit(0), F.col("_blocks") - 1)
+    units = placed.select("sig", "id", "_own", F.explode(others).alias("_other")).select(
+        "sig", "id", F.least("_own", "_other").alias("_i"), F.greatest("_own", "_other").alias("_j")
     )
-    one = listed.select("_ids", F.posexplode("_ids").alias("_at", "_one"))
-    few = one.select(
-        F.col("_one.id").alias("u"),
-        F.col("_one.label").alias("_lu"),
-        F.explode(F.slice("_ids", F.col("_at") + 2, F.size("_ids"))).alias("_other"),
-    ).where(F.col("_lu") != F.col("_other.label")).select("u", F.col("_other.id").alias("v"))
-    big = open_rows.where(F.col("_n") > LISTED)
-    mate = big.select("sig", F.col("id").alias("v"), F.col("label").alias("_lv"))
-    many = big.join(mate, "sig").where(
-        (F.col("id") < F.col("v")) & (F.col("label") != F.col("_lv"))
-    ).select(F.col("id").alias("u"), "v")
-    return few.unionByName(many).distinct()
+    lists = units.groupBy("sig", "_i", "_j").agg(F.array_sort(F.collect_set("id")).alias("_ids"))
+    lists = lists.where(F.size("_ids") > 1).select("_ids").distinct()
+    lists = settle(lists.select(F.monotonically_increasing_id().alias("unit"), "_ids"), "units")
+    rows = lists.select("unit", F.explode("_ids").alias("id")).join(known, "id", "left").join(sketches, "id")
+    rows = rows.select("unit", "id", F.coalesce("label", "id").alias("label"), "n", "bits")
+    dealt = rows.repartition("unit").sortWithinPartitions("unit")
+    return dealt.mapInArrow(_within_units, "u bigint, v bigint").distinct()
 
 
 def link_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -375,9 +446,11 @@ def link_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     no rows give no rows.
 
     Signatures find every linked pair (`signatures`). In each group that shares
-    one, all members are compared with the smallest id exactly; then, only
-    members the links found so far leave apart are compared with each other.
-    Equal sets take part once. Nothing is left out of a group of any size.
+    one, all members are compared with the smallest id; then, only members that
+    the links found so far leave apart are compared with each other. Sizes and
+    parities rule out pairs that cannot be linked, the others are compared by
+    their whole sets. Equal sets take part once, and nothing is left out of a
+    group of any size.
     """
     texts = docs.select(
         F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID)).alias("_id"),
@@ -421,7 +494,9 @@ def link_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         groups.where(F.col("id") != F.col("head")).select(F.col("head").alias("u"), F.col("id").alias("v")).distinct(),
         "first-pairs",
     )
-    links = verify_pairs(texts, first)
+    sketches = facts.where((F.col("kind") == DOC) & (F.col("n") > 0)).select("id", "n", "bits")
+    near = settle(closer_pairs(first, sketches), "near-pairs")
+    links = verify_pairs(texts, near)
     # A repeated id whose texts differ joins the sets of them.
     twice = named.groupBy("id").agg(F.min("rep").alias("_low"), F.max("rep").alias("_high"))
     twice = twice.where(F.col("_low") != F.col("_high")).select(F.col("id").alias("_twice"))
@@ -430,13 +505,19 @@ def link_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     links = settle(links.unionByName(same).distinct(), "first-links")
     labels = connected_components(links)
 
-    left = _unsettled_pairs(groups, labels).join(first, ["u", "v"], "left_anti")
+    left = _unsettled_pairs(groups, labels, sketches).join(near, ["u", "v"], "left_anti")
     left = settle(left, "left-pairs")
     more = settle(verify_pairs(texts, left), "left-links")
-    if not more.isEmpty():
-        labels = connected_components(links.unionByName(more))
-    label = labels.select(F.col("node").alias("rep"), "label")
-    placed = named.join(label, "rep", "left").select("id", "n", F.coalesce("label", "rep").alias("label"))
+    # What these links join are whole components, named by their labels.
+    known = labels.select(F.col("node").alias("_node"), F.col("label").alias("_label"))
+    for end in ("u", "v"):
+        more = more.join(known, more[end] == known["_node"], "left").withColumn(
+            end, F.coalesce("_label", end)
+        ).drop("_node", "_label")
+    last = connected_components(more).select(F.col("node").alias("first"), F.col("label").alias("last"))
+    first_label = labels.select(F.col("node").alias("rep"), "label")
+    placed = named.join(first_label, "rep", "left").withColumn("first", F.coalesce("label", "rep"))
+    placed = placed.join(last, "first", "left").select("id", "n", F.coalesce("last", "first").alias("label"))
     empty = rows.where(F.col("n") == 0).select("id", "n", F.col("id").alias("label"))
     real = lambda name: F.nullif(F.col(name), F.lit(NO_ID))
     return placed.unionByName(empty).select(

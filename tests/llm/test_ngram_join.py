@@ -79,7 +79,7 @@ def test_components(spark):
 
 
 def test_large_groups_and_unsent_lists(spark, monkeypatch):
-    monkeypatch.setattr(nj, "LISTED", 3)
+    monkeypatch.setattr(nj, "BLOCK", 2)
     monkeypatch.setattr(nj, "SENT_IDS", 0)
     monkeypatch.setattr(nj, "FAN", 2)
     monkeypatch.setattr(nj, "SEEN", 10**9)
@@ -117,3 +117,20 @@ def test_linked_sets_share_a_signature(frequent):
     assert len(pairs) > 300
     for one, two in pairs:
         assert np.intersect1d(nj.signatures(one, plan), nj.signatures(two, plan)).size
+
+
+def test_parities_rule_out_no_link():
+    rnd = np.random.default_rng(6)
+    kept = seen = 0
+    for _ in range(3000):
+        size = int(2 ** rnd.uniform(0, 10))
+        tokens = rnd.integers(0, 1 << 63, size, dtype=np.uint64)
+        gone, new = rnd.integers(0, size // 2 + 1), rnd.integers(0, size // 2 + 1)
+        one, two = np.unique(tokens), np.unique(np.concatenate([tokens[gone:], rnd.integers(0, 1 << 63, new, dtype=np.uint64)]))
+        a, b = (np.frombuffer(nj.parities(x), dtype=np.uint64) for x in (one, two))
+        words = min(len(a), len(b))
+        near = nj.may_link(np.array([len(two)]), nj.fold(b, words)[None, :], len(one), nj.fold(a, words))[0]
+        assert near or not nj.linked(one, two)
+        seen += not nj.linked(one, two)
+        kept += near and not nj.linked(one, two)
+    assert kept < 0.3 * seen
