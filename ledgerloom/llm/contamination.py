@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.llm.batches import bound_batches
 from ledgerloom.llm.words import (
     CHUNK,
     LOWER,
@@ -237,6 +238,7 @@ def find_leaks(
     do not shuffle; the benchmark is sent to them in blocks of whole items with
     at most ``block_words`` words (or one item), one pass per block.
     """
+    bound_batches(docs.sparkSession)
     kept = [c for c in docs.columns if c != into]
     out = docs.select(*kept)
     kind = "array<struct<item_id: bigint, share: double, words: bigint>>"

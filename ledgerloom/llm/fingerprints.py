@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.llm.batches import bound_batches
 from ledgerloom.llm.words import LOWER, mix, split_words, text_bytes
 
 # Samples per fingerprint; the standard error of a likeness is at most 0.5 / sqrt(SAMPLES).
@@ -140,6 +141,7 @@ def fingerprint_texts(
     All texts without words share one fingerprint, like each other fully and
     nothing else. An input column named like the result is replaced.
     """
+    bound_batches(docs.sparkSession)
     kept = [c for c in docs.columns if c != into]
     given = docs.select(*kept)
     position = kept.index(text_col)
@@ -259,4 +261,5 @@ def fingerprint_edits(
     rows give no rows. Texts shuffle once, by id range; a range is sorted on
     disk if need be and read as a stream.
     """
+    bound_batches(docs.sparkSession)
     return _ranges(docs, id_col, text_col).mapInArrow(_pairs, RESULT)

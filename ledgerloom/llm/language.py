@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerloom.llm.batches import bound_batches
 from ledgerloom.session import settle
 
 # Families of languages. A language without one is its own family.
@@ -146,6 +147,7 @@ def fit_languages(docs: DataFrame, text_col: str, lang_col: str, key: Column, us
     Of every language the rows with the least ``key`` are taken. What comes to
     the driver is their numbers and languages, and one feature row for each.
     """
+    bound_batches(docs.sparkSession)
     rows = docs.where(usable & F.col(lang_col).isNotNull()).select(
         F.col(lang_col).alias("_lang"), F.xxhash64(key).alias("_order")
     )
@@ -194,6 +196,7 @@ def identify_languages(
     to learn from get ``und`` and 0. Input columns named like the added ones are
     replaced. No shuffle: a text is judged in the task that reads it.
     """
+    bound_batches(docs.sparkSession)
     kept = [c for c in docs.columns if c not in (into, score_into)]
     given = docs.select(*kept)
     position = kept.index(text_col)

@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.llm.batches import bound_batches
 from ledgerloom.llm.components import connected_components
 from ledgerloom.llm.packed import SCHEMA, by_bucket, pack, split_by, to_batch
 from ledgerloom.llm.words import Words, mix, window_hashes, word_chunks
@@ -25,11 +26,14 @@ SEGMENTS = 3
 # Steps to finer segments, tried where a set has too few segments with tokens.
 LADDER = 12
 
-# Tokens a cost is kept for, the most frequent first; those in at least SEEN
-# documents of one batch are counted. Costs decide which signatures are used,
-# never which pairs are found.
+# Tokens a cost is kept for, the most frequent first; those seen SEEN times or more
+# of COUNTED tokens in a task are counted. Costs decide which signatures are
+# used, never which pairs are found.
 COSTS = 1 << 20
+COUNTED = 1 << 22
 SEEN = 2
+# Signatures that are dealt to the buckets at once.
+PACKED = 1 << 20
 # Signatures per bucket, and rows of ids up to which a list is sent to all tasks.
 BUCKET_ROWS = 1 << 19
 SENT_IDS = 1 << 18
@@ -187,7 +191,7 @@ def _sets(batch: pa.RecordBatch) -> Iterator[tuple[int, list[np.ndarray]]]:
 
 
 def _facts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per text its set's key and size; per batch frequent tokens; per level the step needed."""
+    """Per text its set's key, size and parities; frequent tokens; per level the step needed."""
 
     def rows(kind: int, *columns, bits: list[bytes] | None = None) -> pa.RecordBatch:
         size = len(columns[0])
@@ -198,10 +202,20 @@ def _facts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [pa.array(np.full(size, kind, dtype=np.int32)), *given], ["kind", "id", "a", "b", "n", "bits"]
         )
 
+    def counted(tokens: list[np.ndarray]) -> pa.RecordBatch:
+        every = np.sort(np.concatenate(tokens)) if tokens else np.zeros(0, np.uint64)
+        new = np.ones(len(every), dtype=bool)
+        new[1:] = every[1:] != every[:-1]
+        begins = np.flatnonzero(new)
+        times = np.diff(np.append(begins, len(every)))
+        often = times >= SEEN
+        return rows(TOKEN, every[begins[often]].view(np.int64), times[often])
+
     steps: dict[int, int] = {}
+    tokens: list[np.ndarray] = []
     for batch in batches:
         ids = batch.column(0).to_numpy(zero_copy_only=False)
-        keys, sizes, tokens, marks = [], [], [], []
+        keys, sizes, marks = [], [], []
         for _, sets in _sets(batch):
             for found in sets:
                 keys.append(_set_key(found))
@@ -213,29 +227,42 @@ def _facts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         needed = step_needed(found, level, most)
                         steps[level] = max(steps.get(level, 0), needed)
         yield rows(DOC, ids, [k[0] for k in keys], [k[1] for k in keys], sizes, bits=marks)
-        every = np.sort(np.concatenate(tokens)) if tokens else np.zeros(0, np.uint64)
-        begins = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]])) if len(every) else np.zeros(0, int)
-        times = np.diff(np.append(begins, len(every)))
-        often = times >= SEEN
-        yield rows(TOKEN, every[begins[often]].view(np.int64), times[often])
+        if sum(map(len, tokens)) >= COUNTED:
+            yield counted(tokens)
+            tokens = []
+    yield counted(tokens)
     if steps:
         yield rows(STEP, list(steps), list(steps.values()))
 
 
+def _token_costs(facts: DataFrame):
+    """``id, cost``: log2 of the count of the most frequent tokens, at most `COSTS` of them."""
+    counts = facts.where(F.col("kind") == TOKEN).groupBy("id").agg(F.sum("a").alias("n"))
+    costs = counts.select("id", F.floor(F.log2("n")).cast("int").alias("cost"))
+    costs = settle(costs, "token-costs")
+    least, taken = 64, 0
+    for row in costs.groupBy("cost").count().orderBy(F.desc("cost")).collect():  # 64 rows at most
+        taken += row["count"]
+        if taken > COSTS:
+            break
+        least = row.cost
+    return costs.where(F.col("cost") >= least).toPandas()
+
+
 def _signature_rows(sent, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         plan = sent.value
+        seen: dict[tuple[int, int], int] = {}
+        marks: list[np.ndarray] = []
+        owners: list[int] = []
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
-            seen: dict[tuple[int, int], int] = {}
-            marks: list[np.ndarray] = []
-            owners: list[int] = []
             for first, sets in _sets(batch):
                 for i, tokens in enumerate(sets):
                     if not len(tokens):
                         continue
                     key, own = _set_key(tokens), int(ids[first + i])
-                    # Equal sets of a batch are one row under the smallest id; their
+                    # Equal sets met so far are one row under the smallest id; their
                     # ids are joined by the key of the set.
                     if key in seen:
                         place = seen[key]
@@ -244,22 +271,27 @@ def _signature_rows(sent, buckets: int):
                         seen[key] = len(marks)
                         marks.append(signatures(tokens, plan))
                         owners.append(own)
-            if not marks:
-                continue
-            every = np.concatenate(marks)
-            place = np.repeat(np.arange(len(marks)), [len(m) for m in marks])
-            bucket = (every >> np.uint64(48)).astype(np.int64) * buckets >> 16
-            own = np.array(owners, dtype=np.int64)
-            rows = []
-            for key, picked in split_by(bucket):
-                used, at = np.unique(place[picked], return_inverse=True)
-                at = at.astype(np.uint16 if len(used) < 1 << 16 else np.uint32)
-                rows.append((key, pack([every[picked], own[used], at])))
-                if len(rows) >= 256:
-                    yield to_batch(rows)
-                    rows = []
-            if rows:
+            if sum(map(len, marks)) >= PACKED:
+                yield from dealt(marks, owners)
+                seen, marks, owners = {}, [], []
+        if marks:
+            yield from dealt(marks, owners)
+
+    def dealt(marks: list[np.ndarray], owners: list[int]) -> Iterator[pa.RecordBatch]:
+        every = np.concatenate(marks)
+        place = np.repeat(np.arange(len(marks)), [len(m) for m in marks])
+        bucket = (every >> np.uint64(48)).astype(np.int64) * buckets >> 16
+        own = np.array(owners, dtype=np.int64)
+        rows = []
+        for key, picked in split_by(bucket):
+            used, at = np.unique(place[picked], return_inverse=True)
+            at = at.astype(np.uint16 if len(used) < 1 << 16 else np.uint32)
+            rows.append((key, pack([every[picked], own[used], at])))
+            if len(rows) >= 256:
                 yield to_batch(rows)
+                rows = []
+        if rows:
+            yield to_batch(rows)
 
     return run
 
@@ -452,6 +484,7 @@ def link_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     their whole sets. Equal sets take part once, and nothing is left out of a
     group of any size.
     """
+    bound_batches(docs.sparkSession)
     texts = docs.select(
         F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID)).alias("_id"),
         F.col(text_col).alias("_text"),
@@ -459,13 +492,10 @@ def link_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     facts = settle(texts.mapInArrow(_facts, FACTS), "shingle-facts")
     rows = facts.where(F.col("kind") == DOC).select("id", "a", "b", "n")
     filled = rows.where(F.col("n") > 0)
-    costs = (
-        facts.where(F.col("kind") == TOKEN).groupBy("id").agg(F.sum("a").alias("n"))
-        .orderBy(F.desc("n"), "id").limit(COSTS).toPandas()
-    )
-    frequent = costs["id"].to_numpy(dtype=np.int64).view(np.uint64)
+    plan_costs = _token_costs(facts)
+    frequent = plan_costs["id"].to_numpy(dtype=np.int64).view(np.uint64)
     order = np.argsort(frequent)
-    cost = np.floor(np.log2(np.maximum(costs["n"].to_numpy(dtype=float), 1))).astype(np.int64)
+    cost = plan_costs["cost"].to_numpy(dtype=np.int64)
     steps = facts.where(F.col("kind") == STEP).groupBy("id").agg(F.max("a").alias("a")).collect()
     plan = Plan({row.id: row.a for row in steps}, frequent[order], cost[order])
     total = rows.agg(F.sum("n")).first()[0] or 0

@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.llm.batches import bound_batches
 from ledgerloom.llm.words import BASE, mix, word_chunks
 
 # Words per bin, documents of one source per bin, documents packed together.
@@ -176,6 +177,7 @@ def pack_documents(
     packed apart, so no source or cluster is one task; only ids, sizes, sources
     and clusters shuffle.
     """
+    bound_batches(docs.sparkSession)
     total = docs.count()
     shards = max(1, -(-total // shard_rows))
     cluster = F.col(cluster_col).cast("string") if cluster_col else F.lit(None).cast("string")

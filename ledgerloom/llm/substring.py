@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.llm.batches import bound_batches
 from ledgerloom.llm.packed import SCHEMA, by_bucket, pack, split_by, to_batch, unpack
 from ledgerloom.llm.words import Words, mix, ranges, split_words, window_hashes, within_text, word_chunks
 from ledgerloom.session import settle
@@ -256,6 +257,7 @@ def drop_repeated_passages(
     as buckets. Windows are equal when all their words' 64-bit hashes are.
     """
     spark = docs.sparkSession
+    bound_batches(spark)
     kept_names = [c for c in docs.columns if c not in ("n_words", "n_removed", "kept_text")]
     texts = docs.select(
         F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID)).alias("_id"),

@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerloom.llm.batches import bound_batches
 from ledgerloom.llm.words import (
     LOWER,
     Hasher,
@@ -339,6 +340,7 @@ def fit_toxicity(
     at most ``CANDIDATES`` stems and one feature row per sampled text come to
     the driver.
     """
+    bound_batches(docs.sparkSession)
     sample = _sample(docs, labels, id_col, text_col, label_col, usable)
     sizes = {row.toxic: row["count"] for row in sample.groupBy("toxic").count().collect()}
     if len(sizes) < 2:
@@ -385,6 +387,7 @@ def score_toxicity(
 
     An input column named like the result is replaced. No shuffle.
     """
+    bound_batches(docs.sparkSession)
     kept = [c for c in docs.columns if c != into]
     given = docs.select(*kept)
     position = kept.index(text_col)

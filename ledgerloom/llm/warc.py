@@ -20,6 +20,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerloom.llm.batches import bound_batches
 from ledgerloom.session import scratch_path, settle
 
 # Fixed values of the format.
@@ -222,6 +223,7 @@ def write_warc(
     join that brings it to the pages is adaptive and splits a payload that a
     third of all pages share.
     """
+    bound_batches(pages.sparkSession)
     payload = F.coalesce(F.encode(html_col, "UTF-8"), F.lit(b""))
     given = pages.select(
         F.col(id_col).cast("bigint").alias("_id"),

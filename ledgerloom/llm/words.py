@@ -15,7 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 # Bytes of text worked on at once; a longer text is a chunk of its own.
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 
 BASE = 0x9E3779B97F4A7C15 | 1
 BASE_INVERSE = pow(BASE, -1, 1 << 64)
