@@ -494,6 +494,17 @@ oracle("growth_board_rejects", """SELECT 'GEM_' || n_name || '.xlsx' source_file
     'fewer than 13 named columns' reason FROM nation WHERE n_regionkey = 0""")
 
 
+_BROKEN = "'isin_' || n_name || '.xlsx' AS source_file"
+oracle("sheet_rejects", f"""SELECT DISTINCT 'main' AS sheet, 'Main_1995.xlsx' AS source_file,
+        'no row with a key' AS reason FROM orders WHERE year(o_orderdate) = 1995
+    UNION ALL SELECT 'gem', 'GEM_' || n_name || '.xlsx', 'fewer than 13 named columns'
+        FROM nation WHERE n_regionkey = 0
+    UNION ALL SELECT 'agency', {_BROKEN}, 'table 1 not found' FROM nation WHERE n_regionkey = 0
+    UNION ALL SELECT 'agency legend', {_BROKEN}, CASE n_regionkey WHEN 0 THEN 'table 1 not found'
+        WHEN 1 THEN 'table 1 has no end' ELSE 'agency table not found' END FROM nation WHERE n_regionkey < 3
+    UNION ALL SELECT 'exchange', {_BROKEN}, CASE n_regionkey WHEN 0 THEN 'table 1 not found'
+        WHEN 1 THEN 'table 1 has no end' ELSE 'table 2 not found' END FROM nation WHERE n_regionkey < 3
+    UNION ALL SELECT 'names', {_BROKEN}, 'table 1 not found' FROM nation WHERE n_regionkey = 0""")
 oracle("isin_list_first_table", "SELECT * FROM isin_above")
 oracle("isin_list_second_table", "SELECT * FROM isin_below")
 oracle("national_agencies", f"""SELECT 'isin_' || n_name || '.xlsx' source_file,

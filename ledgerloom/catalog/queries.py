@@ -275,6 +275,12 @@ def growth_board_rejects(t):
     return bronze.growth_board(S.gem_grid(t))[1]
 
 
+@query
+def sheet_rejects(t):
+    main = S.main_grid_without_keys(t, 1995)
+    return bronze.sheet_rejects(main, S.gem_grid(t), *S.broken_isin_grids(t))
+
+
 @query
 def isin_list_first_table(t):
     return bronze.isin_list(S.isin_grid(t))

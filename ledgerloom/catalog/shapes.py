@@ -403,6 +403,28 @@ def isin_grid(t: Tables) -> DataFrame:
     return frame.unionByName(above).unionByName(below)
 
 
+def broken_isin_grids(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Agency, exchange and name sheets, damaged by region.
+
+    Region 0 has no filled cells, region 1 no rows below its first table, and
+    region 2 none below the title of the second.
+    """
+    damage = t.nation.select(_file("isin_", F.col("n_name")), "n_regionkey")
+    region, row = F.col("n_regionkey"), F.col("row_idx")
+    grid = isin_grid(t).join(damage, "source_file")
+    grid = grid.where(~((region == 1) & (row >= LOWER)) & ~((region == 2) & (row > LOWER + 1)))
+    emptied = F.transform("cells", lambda c: F.when(region != 0, c))
+    grid = grid.select("source_file", "row_idx", emptied.alias("cells"))
+    return grid, grid, grid.withColumn("cells", F.slice("cells", 3, 2))
+
+
+def main_grid_without_keys(t: Tables, year: int) -> DataFrame:
+    """Main board sheets; in those of one year no row has a key."""
+    emptied = F.transform("cells", lambda c, i: F.when(i != 1, c))
+    damaged = F.col("source_file") == f"Main_{year}.xlsx"
+    return main_grid(t).withColumn("cells", F.when(damaged, emptied).otherwise(F.col("cells")))
+
+
 def legends(t: Tables) -> DataFrame:
     text = F.concat(
         F.lit("Types of shares ("), F.col("p_type"), F.lit(" – "), F.col("p_name"),

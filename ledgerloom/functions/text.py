@@ -128,7 +128,8 @@ def remove_stop_blocks(
     The region that starts there is kept for at least ``min_chars`` characters,
     rounded up to whole lines, whatever lines it holds. A line with both kinds
     of keyword opens no block; a block with no later start line ends the text.
-    Texts that use ``\\n`` alone take a faster form of the same pattern.
+    Texts that use ``\\n`` alone take a faster form of the same pattern; texts
+    without a stop keyword stay as they are.
     """
     plain = "(?imd)" + _stop_blocks(start, stop, min_chars, "^", ".", r"\n")
     # Start of the text, or just after a line end but not between \r and \n.
@@ -136,8 +137,10 @@ def remove_stop_blocks(
     mixed = "(?i)" + _stop_blocks(
         start, stop, min_chars, after_end, f"[^{_ENDS}]", rf"(?:\r\n|[{_ENDS}])"
     )
-    return F.when(has_other_ends(text), F.regexp_replace(text, mixed, "$1")).otherwise(
-        F.regexp_replace(text, plain, "$1")
+    return (
+        F.when(~has_keyword(text, stop), text)
+        .when(has_other_ends(text), F.regexp_replace(text, mixed, "$1"))
+        .otherwise(F.regexp_replace(text, plain, "$1"))
     )
 
 
@@ -170,10 +173,29 @@ def fold_text(text: Column) -> Column:
     return F.lower(F.regexp_replace(text, f"[{BLANKS}]+", " "))
 
 
+def fixed_start(pattern: str) -> str:
+    """Plain text that every match of a lower-case pattern starts with; '' when unknown."""
+    depth = 0
+    for at, char in enumerate(pattern):
+        depth += (char == "(") - (char == ")")
+        if char == "|" and not depth:
+            return ""
+    found = re.match(r"(?:\\b)?([a-z0-9 ]*)(.?)", pattern)
+    return found[1][:-1] if found[2] and found[2] in "?*{" else found[1]
+
+
 def phrase_flag(folded: Column, pattern: str) -> Column:
-    """1 when the pattern occurs, in any case, in an already folded text."""
-    flags = "" if pattern == pattern.lower() else "(?i)"
-    return folded.rlike(flags + pattern).cast("int")
+    """1 when the pattern occurs, in any case, in an already folded text.
+
+    The pattern is tried only on texts that hold its fixed beginning.
+    """
+    if pattern != pattern.lower():
+        return folded.rlike("(?i)" + pattern).cast("int")
+    start = fixed_start(pattern)
+    found = folded.rlike(pattern)
+    if start:
+        found = F.contains(folded, F.lit(start)) & found
+    return found.cast("int")
 
 
 def decode_text(content: Column) -> Column:

@@ -26,6 +26,21 @@ def normalize_cells(grid: DataFrame, quotes: bool = True) -> DataFrame:
     return grid.withColumn("cells", clean_cells(F.col("cells"), quotes))
 
 
+def row_marks(grid: DataFrame) -> DataFrame:
+    """What bounds are found by, a few bytes a row, read from the sheets once.
+
+    ``filled`` counts the filled cells; ``blank`` and ``open`` say that the first
+    and the second cell are empty.
+    """
+    marks = grid.select(
+        FILE, ROW,
+        filled_cells(F.col("cells")).alias("filled"),
+        cell(F.col("cells"), 0).isNull().alias("blank"),
+        cell(F.col("cells"), 1).isNull().alias("open"),
+    )
+    return settle(marks, "row-marks")
+
+
 def _first_row(marks: DataFrame, found: Column, name: str) -> DataFrame:
     """Per file the first row that is ``found``; NULL when there is none."""
     first = marks.groupBy(FILE).agg(F.min(F.when(found, F.col(ROW))).alias(name))
@@ -42,21 +57,21 @@ def _next_row(
     return settle(extended, name)
 
 
-def table_bounds(grid: DataFrame, min_cells: int = 3, nth: int = 1) -> DataFrame:
+def table_bounds(
+    grid: DataFrame, min_cells: int = 3, nth: int = 1, marks: DataFrame | None = None
+) -> DataFrame:
     """Per file ``header_1, stop_1, … header_n, stop_n``.
 
     A header is the first row with ``min_cells`` filled cells; a table stops at
     the first later row whose first cell is empty. A bound not found is NULL.
+    All of them come from ``marks``, those of the grid unless given.
     """
-    marks = grid.select(
-        FILE, ROW,
-        (filled_cells(F.col("cells")) >= min_cells).alias("heads"),
-        cell(F.col("cells"), 0).isNull().alias("blank"),
-    )
-    bounds = _first_row(marks, F.col("heads"), "header_1")
+    marks = row_marks(grid) if marks is None else marks
+    heads = F.col("filled") >= min_cells
+    bounds = _first_row(marks, heads, "header_1")
     for i in range(1, nth + 1):
         if i > 1:
-            bounds = _next_row(marks, bounds, f"stop_{i - 1}", F.col("heads"), f"header_{i}")
+            bounds = _next_row(marks, bounds, f"stop_{i - 1}", heads, f"header_{i}")
         bounds = _next_row(marks, bounds, f"header_{i}", F.col("blank"), f"stop_{i}")
     return bounds
 
@@ -74,22 +89,22 @@ def table_region(grid: DataFrame, min_cells: int = 3, nth: int = 1) -> DataFrame
     return _between(grid, bounds, f"header_{nth}", f"stop_{nth}")
 
 
-def legend_region(grid: DataFrame, min_cells: int = 3) -> DataFrame:
-    """The two-column table below the main table.
+def legend_bounds(grid: DataFrame, min_cells: int = 3) -> DataFrame:
+    """Per file the rows of the legend: ``header_1, stop_1, title, legend_header, legend_stop``.
 
     Below the main table come blank rows, a title row and a header row; the
     legend runs until its second cell is empty.
     """
-    marks = grid.select(
-        FILE, ROW,
-        (filled_cells(F.col("cells")) > 0).alias("filled"),
-        cell(F.col("cells"), 1).isNull().alias("open"),
-    )
-    bounds = table_bounds(grid, min_cells)
-    bounds = _next_row(marks, bounds, "stop_1", F.col("filled"), "title")
+    marks = row_marks(grid)
+    bounds = table_bounds(grid, min_cells, marks=marks)
+    bounds = _next_row(marks, bounds, "stop_1", F.col("filled") > 0, "title")
     bounds = _next_row(marks, bounds, "title", F.lit(True), "legend_header")
-    bounds = _next_row(marks, bounds, "legend_header", F.col("open"), "legend_stop")
-    return _between(grid, bounds, "legend_header", "legend_stop")
+    return _next_row(marks, bounds, "legend_header", F.col("open"), "legend_stop")
+
+
+def legend_region(grid: DataFrame, min_cells: int = 3) -> DataFrame:
+    """The two-column table below the main table."""
+    return _between(grid, legend_bounds(grid, min_cells), "legend_header", "legend_stop")
 
 
 def cut_at_marker(df: DataFrame, column: str, marker: str) -> DataFrame:
@@ -136,20 +151,6 @@ def fixed_header_region(
     return region, bad.select(FILE, reason)
 
 
-def split_rejects(grid: DataFrame, rule: Column, reason: str) -> tuple[DataFrame, DataFrame]:
-    """Split off whole files: ``rule`` is an aggregate that must hold for a file.
-
-    Returns the rows of good files and one ``(source_file, reason)`` row for
-    each bad one.
-    """
-    verdict = grid.groupBy(FILE).agg(F.coalesce(rule, F.lit(False)).alias("_ok"))
-    bad = settle(verdict.where(~F.col("_ok")).select(FILE), "rejects")
-    return (
-        spread_join(grid, bad, [(FILE, FILE)], "left_anti"),
-        bad.select(FILE, F.lit(reason).alias("reason")),
-    )
-
-
 def name_columns(grid: DataFrame, names, keep=(FILE, ROW)) -> DataFrame:
     """One column per name from the leading cells; missing cells are NULL."""
     return grid.select(*keep, *[cell(F.col("cells"), i).alias(n) for i, n in enumerate(names)])
@@ -171,6 +172,7 @@ def fill_continuation_keys(
     groups: list[str],
     order: list[str],
     width: int = WIDTH,
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
     """Give (b)/(c) rows the key of the offer they continue.
 
@@ -181,7 +183,7 @@ def fill_continuation_keys(
     """
     mark = F.coalesce(strip(F.col(marker)), F.lit(""))
     marked = df.withColumns({"_mark": mark, "_key": F.struct(F.col(key).alias("key"))})
-    cut = cut_groups(marked, groups, order, [], width)
+    cut = cut_groups(marked, groups, order, [], width, sizes)
     near = with_neighbours(cut, groups, order, ["_mark", "_key"], back=2, ahead=2)
 
     before = F.coalesce(F.col("prev_1._mark"), F.lit(""))

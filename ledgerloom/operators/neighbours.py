@@ -20,14 +20,17 @@ WIDTH = 1 << 20
 RANGE = "_range"
 
 
-def big_groups(df: DataFrame, keys: list[str], least: int) -> DataFrame | None:
+def big_groups(
+    df: DataFrame, keys: list[str], least: int, sizes: DataFrame | None = None
+) -> DataFrame | None:
     """``_key_0.., _rows`` of the groups with more than ``least`` rows; None without any.
 
-    The group sizes are counted here and now, which reads the key columns alone.
+    Without ``sizes`` the groups are counted here and now, which reads the key
+    columns alone.
     """
-    sizes = df.groupBy(*[F.col(k).alias(f"_key_{i}") for i, k in enumerate(keys)]).agg(
-        F.count("*").alias("_rows")
-    )
+    if sizes is None:
+        sizes = df.groupBy(*keys).agg(F.count("*").alias("_rows"))
+    sizes = sizes.select(*[F.col(k).alias(f"_key_{i}") for i, k in enumerate(keys)], "_rows")
     big = settle(sizes.where(F.col("_rows") > least), "big-groups")
     return None if big.isEmpty() else big
 
@@ -45,15 +48,17 @@ def with_group_rows(df: DataFrame, keys: list[str], big: DataFrame) -> DataFrame
 
 
 def cut_groups(
-    df: DataFrame, keys: list[str], order: list[str], segments: list[str], width: int = WIDTH
+    df: DataFrame, keys: list[str], order: list[str], segments: list[str], width: int = WIDTH,
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``_range``: where a row of a big group lies, NULL in the other groups.
 
     Rows are in the order ``segments`` then ``order``; ``order[0]`` is a number
     that few rows of a segment and group share. A range is one stretch of
     ``width`` such numbers within a segment, so ranges follow each other.
+    ``sizes``, the keys and ``_rows`` per group, saves counting them here.
     """
-    big = big_groups(df, keys, width)
+    big = big_groups(df, keys, width, sizes)
     if big is None:
         return df.withColumn(RANGE, F.lit(None).cast("bigint"))
     place = F.col(order[0]).cast("bigint")

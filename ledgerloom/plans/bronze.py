@@ -40,13 +40,17 @@ def main_board(grid: DataFrame) -> DataFrame:
     offer column are not filled.
     """
     rows = grid.where(F.col("row_idx") >= MAIN_FIRST_ROW)
-    narrow = settle(
-        rows.groupBy("source_file").agg(F.max(F.size("cells")).alias("_cells"))
-        .where(F.col("_cells") < MAIN_SHEET_CELLS),
-        "narrow",
+    has_key = cell(F.col("cells"), 1).isNotNull()
+    # One pass over the sheets before the one that reads their rows.
+    sheets = settle(
+        rows.groupBy("source_file").agg(
+            F.max(F.size("cells")).alias("_cells"), F.count_if(has_key).alias("_rows")
+        ),
+        "main-sheets",
     )
+    narrow = sheets.where(F.col("_cells") < MAIN_SHEET_CELLS).select("source_file", "_cells")
     # Rows without a key go before quote-only cells are blanked: a ditto mark is a key to fill.
-    keyed = rows.where(cell(F.col("cells"), 1).isNotNull())
+    keyed = rows.where(has_key)
     offers = keyed.withColumn("cells", F.slice("cells", 2, len(MAIN_COLUMNS)))
     clean = G.name_columns(G.normalize_cells(offers), MAIN_COLUMNS).withColumn(
         "company", squeeze_spaces(F.col("company"))
@@ -55,7 +59,8 @@ def main_board(grid: DataFrame) -> DataFrame:
         "_mark", F.when(F.col("_cells").isNull(), F.col("offer_location"))
     )
     filled = G.fill_continuation_keys(
-        marked.drop("_cells"), "stock_code", "_mark", ["source_file"], ["row_idx"]
+        marked.drop("_cells"), "stock_code", "_mark", ["source_file"], ["row_idx"],
+        sizes=sheets.select("source_file", "_rows"),
     )
     return G.coerce_key(filled.drop("_mark"), "stock_code")
 
@@ -81,15 +86,56 @@ def short_names(grid: DataFrame) -> DataFrame:
     return G.coerce_key(G.name_columns(region, NAME_COLUMNS), "stock_code")
 
 
+def _rejected(bounds: DataFrame, reasons: dict[str, str]) -> DataFrame:
+    """``source_file, reason`` by the first bound that is missing."""
+    reason = F.coalesce(*[F.when(F.col(c).isNull(), F.lit(text)) for c, text in reasons.items()])
+    return bounds.select("source_file", reason.alias("reason")).where(F.col("reason").isNotNull())
+
+
 def sheets_without_table(grid: DataFrame, min_cells: int = 3, nth: int = 1) -> DataFrame:
-    """Files where the ``nth`` table, or the end of the one before it, is missing."""
-    bounds = G.table_bounds(grid, min_cells, nth)
-    missing = F.col(f"header_{nth}").isNull()
-    return bounds.where(missing).select(
-        "source_file", F.lit(f"table {nth} not found").alias("reason")
+    """Files where the ``nth`` table, or a bound it depends on, is missing."""
+    reasons = {"header_1": "table 1 not found"}
+    for i in range(2, nth + 1):
+        reasons[f"stop_{i - 1}"] = f"table {i - 1} has no end"
+        reasons[f"header_{i}"] = f"table {i} not found"
+    return _rejected(G.table_bounds(grid, min_cells, nth), reasons)
+
+
+def sheets_without_legend(grid: DataFrame) -> DataFrame:
+    """Files without the agency table below the main one."""
+    return _rejected(
+        G.legend_bounds(grid),
+        {
+            "header_1": "table 1 not found", "stop_1": "table 1 has no end",
+            "legend_header": "agency table not found",
+        },
     )
 
 
+def sheets_without_offers(grid: DataFrame) -> DataFrame:
+    """Main board files in which no row has a key."""
+    keyed = (F.col("row_idx") >= MAIN_FIRST_ROW) & cell(F.col("cells"), 1).isNotNull()
+    return grid.groupBy("source_file").agg(F.count_if(keyed).alias("_n")).where("_n = 0").select(
+        "source_file", F.lit("no row with a key").alias("reason")
+    )
+
+
+def sheet_rejects(
+    main: DataFrame, gem: DataFrame, agency: DataFrame, exchange: DataFrame, names: DataFrame
+) -> DataFrame:
+    """``sheet, source_file, reason``: files of all kinds that give no table, or not all."""
+    found = {
+        "main": sheets_without_offers(main),
+        "gem": growth_board(gem)[1],
+        "agency": sheets_without_table(agency),
+        "agency legend": sheets_without_legend(agency),
+        "exchange": sheets_without_table(exchange, nth=2),
+        "names": sheets_without_table(names, min_cells=2),
+    }
+    frames = [df.select(F.lit(kind).alias("sheet"), "source_file", "reason") for kind, df in found.items()]
+    return G.union_files(frames)
+
+
 def national_agencies(grid: DataFrame) -> DataFrame:
     region = G.normalize_cells(G.legend_region(grid), quotes=False)
     rows = G.name_columns(region, AGENCY_COLUMNS)

@@ -46,14 +46,14 @@ def listing_tables(
 ) -> dict[str, DataFrame]:
     """Listing tables from the grids of the five kinds of sheet."""
     master = isin_table(agency, exchange, names)
-    growth, rejects = gem_table(gem, master)
+    growth, _ = gem_table(gem, master)
     return {
         "hkex_main": main_table(main, master),
         "hkex_gem": growth,
         "hkex_isin": master,
         "desc_hkex_stock_types": bronze.stock_types(agency).drop("source_file", "position"),
         "desc_hkex_national_agencies": bronze.national_agencies(agency).drop("source_file", "row_idx"),
-        "rejected_files": rejects,
+        "rejected_files": bronze.sheet_rejects(main, gem, agency, exchange, names),
     }
 
 

@@ -152,7 +152,8 @@ def classified_firm_quarters(
     for prefix, df, columns in (
         ("gem", gem, GEM_LISTING_COLUMNS), ("main", main, MAIN_LISTING_COLUMNS)
     ):
-        side = board(df, prefix, columns)
+        # Read twice, for the last dates and for the rows that have them.
+        side = settle(board(df, prefix, columns), f"{prefix}-listings")
         listed = latest_join(listed, side, ("hkex_stock_code", f"_{prefix}_code"), f"_{prefix}_by")
     return listed.select(
         *base.columns,

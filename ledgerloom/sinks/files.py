@@ -114,6 +114,3 @@ def write_per_key(df: DataFrame, target: str, key: str = "stock_id", fmt: str =
         .save(target)
     )
 
-
-def write_summary(summary: DataFrame, target: str) -> None:
-    summary.write.mode("overwrite").option("header", "true").csv(target)

@@ -108,13 +108,6 @@ def test_stock_types(spark, rows):
     ]
 
 
-def test_rejects_are_whole_files(spark, rows):
-    grid = spark.createDataFrame(sheet("a", ["1"], ["x"]) + sheet("b", ["x"]), GRID)
-    good, bad = G.split_rejects(grid, F.max(G.cell(F.col("cells"), 0) == "1"), "no 1")
-    assert rows(good, "source_file", "row_idx") == [("a", 0), ("a", 1)]
-    assert rows(bad) == [("b", "no 1")]
-
-
 def test_keys(spark):
     values = ["00007", " 7\t", "12.9", "-3.7", "1e3", ".5", "9007199254740993", "7d", "NaN", "Infinity", "", None, "1e30"]
     df = spark.createDataFrame([(v,) for v in values], "v string")
