@@ -698,6 +698,29 @@ oracle("harvested_links", f"""SELECT l.page_id, CAST(l.row_no AS INT) AS positio
     regexp_extract(p.url, '^[a-z]+://[^/?#]*') || l.link url, l.link[2:] file_name
     FROM {_LISTS} l JOIN pages p ON p.page_id = l.page_id WHERE lower(l.link) LIKE '%n'""")
 
+# Chunks
+
+oracle("document_chunks", """SELECT doc_id, CAST(n AS INT) AS chunk_no, CAST(n * 800 AS INT) AS start,
+    substr(text, CAST(n * 800 + 1 AS INT), 1000) AS chunk
+    FROM (SELECT doc_id, text, unnest(range(greatest(
+        CAST(ceil((length(text) - 200) / 800.0) AS BIGINT), 1))) AS n FROM documents)""")
+_ENTRIES = """SELECT vec_id // 7 AS document, vec_id, CAST(unnest(embedding) AS DOUBLE) AS x,
+    generate_subscripts(embedding, 1) AS place FROM embeddings"""
+oracle("top_chunks", f"""WITH sums AS (SELECT document, vec_id, sqrt(sum(x * x)) AS size,
+        sum(x) FILTER (place = 1) AS first, sum(CASE WHEN place <= 32 THEN x ELSE -x END) / sqrt(64) AS halves,
+        sum(x) / sqrt(64) AS total FROM ({_ENTRIES}) GROUP BY 1, 2),
+    scores AS (SELECT document, vec_id, 'first' AS category, round(first / size, 6) AS score FROM sums
+        UNION ALL SELECT document, vec_id, 'halves', round(halves / size, 6) FROM sums
+        UNION ALL SELECT document, vec_id, 'all', round(total / size, 6) FROM sums)
+    SELECT document, category, CAST(row_number() OVER best AS INT) AS rank, vec_id, score FROM scores
+    WINDOW best AS (PARTITION BY document, category ORDER BY score DESC, vec_id)
+    QUALIFY row_number() OVER best <= 2""")
+oracle("voted_labels", """WITH totals AS (SELECT vec_id // 7 AS document, label, CAST(sum(vec_id % 3 + 1) AS BIGINT) AS w
+        FROM embeddings GROUP BY 1, 2)
+    SELECT document, arg_max(label, w * 1000000 - label) AS label, round(max(w) / sum(w), 6) AS share,
+        CAST(round(max(w) / sum(w), 6) <= 0.5 AS INT) AS unclear
+    FROM totals GROUP BY document""")
+
 # Samples and previews
 
 oracle("document_sample", """SELECT doc_id, lang, n_chars FROM documents

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.catalog import shapes as S
 from ledgerloom.functions import cells, codes, names, text
+from ledgerloom.operators import chunks as C
 from ledgerloom.operators import grid as G
 from ledgerloom.operators import joins as J
 from ledgerloom.operators import latest as L
@@ -657,6 +658,34 @@ def harvested_links(t):
     return PG.harvest_links(t.pages, F.col("url"), suffix="N", table_tag="ul")
 
 
+# Chunks
+
+CATEGORIES = {
+    "first": [1.0] + [0.0] * 63, "halves": [1.0] * 32 + [-1.0] * 32, "all": [1.0] * 64,
+}
+
+
+@query
+def document_chunks(t):
+    return C.chunk_texts(t.documents, "doc_id", size=1000, overlap=200)
+
+
+def _chunk_vectors(t) -> DataFrame:
+    """Embeddings as the chunks of documents of seven chunks each."""
+    return t.embeddings.withColumn("document", F.floor(F.col("vec_id") / 7))
+
+
+@query
+def top_chunks(t):
+    return C.top_chunks(_chunk_vectors(t), "document", "vec_id", "embedding", CATEGORIES, k=2)
+
+
+@query
+def voted_labels(t):
+    weighted = _chunk_vectors(t).withColumn("weight", (F.col("vec_id") % 3 + 1).cast("bigint"))
+    return C.vote(weighted, "document", "label", "weight")
+
+
 # Samples and previews
 
 

@@ -235,3 +235,21 @@ def test_release_round(spark, rows):
     assert rows(got["summary"]) == [(0, "3", "saved", 1), (1, "2", "skipped", 0)]
     assert rows(got["ignore"], "part", "id") == [(0, "1"), (1, "3")]
     assert rows(got["added"]) == [(1,)]
+
+
+def test_chunks_cover_the_text(spark, rows):
+    from ledgerloom.operators import chunks as C
+
+    texts = ["", None, "a" * 10, "abcdefghij" * 3]
+    df = spark.createDataFrame(list(enumerate(texts)), "k int, text string")
+    got = rows(C.chunk_texts(df, "k", size=10, overlap=4))
+    assert [g[:3] for g in got] == [(0, 0, 0), (2, 0, 0), (3, 0, 0), (3, 1, 6), (3, 2, 12), (3, 3, 18), (3, 4, 24)]
+    for key, _, start, chunk in got:
+        assert chunk == texts[key][start : start + 10]
+
+
+def test_votes(spark, rows):
+    from ledgerloom.operators import chunks as C
+
+    df = spark.createDataFrame([(1, 0, 2), (1, 1, 1), (1, 1, 1), (2, 1, 3), (2, 0, 1)], "d int, label int, w int")
+    assert rows(C.vote(df, "d", "label", "w")) == [(1, 0, 0.5, 1), (2, 1, 0.75, 0)]
