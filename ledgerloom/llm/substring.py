@@ -6,12 +6,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.batches import bound_batches
-from ledgerloom.llm.packed import SCHEMA, by_bucket, pack, split_by, to_batch, unpack
-from ledgerloom.llm.words import Words, mix, ranges, split_words, window_hashes, within_text, word_chunks
+from ledgerloom.llm.packed import SCHEMA, by_bucket, pack, to_batch, unpack
+from ledgerloom.llm.words import (
+    Words,
+    chunks,
+    mix,
+    ranges,
+    split_words,
+    window_hashes,
+    within_text,
+    word_chunks,
+)
 from ledgerloom.session import settle
 
 # Words per window, and per minimiser.
@@ -19,6 +28,8 @@ WINDOW = 13
 MINIMISER = 3
 # Packed bytes of a bucket, about; slots of minimisers per bucket.
 BUCKET_BYTES = 4 << 20
+# Packed bytes that a task gathers before it deals them to the buckets.
+GATHERED = 16 << 20
 SLOTS = 16
 # An id that sorts behind all others stands in for NULL.
 NO_ID = (1 << 63) - 1
@@ -37,17 +48,23 @@ def _same_words(words: np.ndarray, one: np.ndarray, other: np.ndarray, width: in
 def _later(words: np.ndarray, begin: np.ndarray, hashes: np.ndarray, ids: np.ndarray, width: int) -> np.ndarray:
     """Windows whose words also start in a document with a smaller id, of those given.
 
-    Sorts the windows; the first of equal ones has the smallest id. Should
-    different windows share a hash, their groups are taken apart word by word.
+    Sorts the windows by hash. Should different windows share a hash, their
+    groups are taken apart word by word.
     """
     later = np.zeros(len(begin), dtype=bool)
     todo = np.arange(len(begin))
     while len(todo):
-        order = todo[np.lexsort((ids[todo], hashes[todo]))]
+        order = todo[np.argsort(hashes[todo], kind="stable")]
         new = np.concatenate([[True], hashes[order][1:] != hashes[order][:-1]])
-        head = order[np.flatnonzero(new)][np.cumsum(new) - 1]
+        size = np.diff(np.append(np.flatnonzero(new), len(order)))
+        order, size = order[np.repeat(size > 1, size)], size[size > 1]
+        if not len(order):
+            break
+        at = np.cumsum(size) - size
+        head = np.repeat(order[at], size)
         same = _same_words(words, begin[order], begin[head], width)
-        later[order[same]] = ids[order[same]] > ids[head[same]]
+        least = np.minimum.reduceat(np.where(same, ids[order], NO_ID), at)
+        later[order] = same & (ids[order] > np.repeat(least, size))
         todo = order[~same]
     return later
 
@@ -105,47 +122,58 @@ def _loads(slots: int, width: int):
     return run
 
 
+def _dealt(runs: list[tuple], buckets: int) -> Iterator[pa.RecordBatch]:
+    """Gathered super-k-mers as one packed row per bucket."""
+    key, own, mark, place, length, data = (np.concatenate(c) for c in zip(*runs))
+    bucket = (key % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    starts = np.cumsum(length, dtype=np.int64) - length
+    data = data[ranges(starts[order], length[order].astype(np.int64))]
+    bucket, own, mark, place, length = (c[order] for c in (bucket, own, mark, place, length))
+    cuts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+    ends = np.append(cuts[1:], len(bucket))
+    bytes_at = np.concatenate([[0], np.cumsum(length, dtype=np.int64)])
+    rows = []
+    for a, z in zip(cuts.tolist(), ends.tolist()):
+        part = [own[a:z], mark[a:z], place[a:z], length[a:z], data[bytes_at[a] : bytes_at[z]]]
+        rows.append((int(bucket[a]), pack(part)))
+        if len(rows) >= 256:
+            yield to_batch(rows)
+            rows = []
+    if rows:
+        yield to_batch(rows)
+
+
 def _send(sent, slots: int, buckets: int, width: int):
     """Packed super-k-mers per bucket; runs known to repeat already go to bucket -1."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         crowded = np.zeros(slots, dtype=bool)
         crowded[sent.value] = True
+        runs: list[tuple] = []
+        gathered = 0
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             marks = batch.column(1).to_numpy(zero_copy_only=False)
             for first, end, data, _, words in word_chunks(batch.column(2), False):
-                own, mark = ids[first:end], marks[first:end]
+                own, mark = ids[first:end], marks[first:end].astype(np.int32)
                 windows = Windows(words, own, slots, width)
                 rows = np.flatnonzero(~windows.later)
-                alone = crowded[windows.slot[rows]]
-                at, size = _runs(windows, rows, alone)
+                at, size = _runs(windows, rows, crowded[windows.slot[rows]])
                 key = np.where(
                     crowded[windows.slot[at]], windows.hash[at], mix(windows.slot[at].astype(np.uint64))
                 )
-                bucket = (key % np.uint64(buckets)).astype(np.int64)
                 left = words.start[windows.begin[at]]
-                right = words.end[windows.begin[at] + size - 1 + width - 1]
+                length = words.end[windows.begin[at] + size - 1 + width - 1] - left
                 text = windows.text[at]
-                out = []
-                for number, picked in split_by(bucket):
-                    length = right[picked] - left[picked]
-                    used, of = np.unique(text[picked], return_inverse=True)
-                    out.append(
-                        (
-                            number,
-                            pack(
-                                [
-                                    own[used], mark[used], of.astype(np.uint32),
-                                    windows.place[at[picked]].astype(np.uint32),
-                                    length.astype(np.uint32), data[ranges(left[picked], length)],
-                                ]
-                            ),
-                        )
-                    )
-                    if len(out) >= 256:
-                        yield to_batch(out)
-                        out = []
+                packed = data[ranges(left, length)]
+                runs.append(
+                    (key, own[text], mark[text], windows.place[at].astype(np.uint32), length.astype(np.uint32), packed)
+                )
+                gathered += len(packed)
+                if gathered >= GATHERED:
+                    yield from _dealt(runs, buckets)
+                    runs, gathered = [], 0
                 known = np.flatnonzero(windows.later)
                 cut = np.ones(len(known), dtype=bool)
                 cut[1:] = windows.begin[known][1:] != windows.begin[known][:-1] + 1
@@ -154,10 +182,9 @@ def _send(sent, slots: int, buckets: int, width: int):
                 if len(starts):
                     count = np.diff(np.append(starts, len(known)))
                     text = windows.text[known[starts]]
-                    place = windows.place[known[starts]]
-                    out.append((-1, pack([own[text], mark[text], place, count])))
-                if out:
-                    yield to_batch(out)
+                    yield to_batch([(-1, pack([own[text], mark[text], windows.place[known[starts]], count]))])
+        if gathered:
+            yield from _dealt(runs, buckets)
 
     return run
 
@@ -178,13 +205,12 @@ def _count(width: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, parts in by_bucket(batches):
-            ids = np.concatenate([p[0][p[2]] for p in parts])
-            marks = np.concatenate([p[1][p[2]] for p in parts])
-            places = np.concatenate([p[3] for p in parts]).astype(np.int64)
+            ids, marks, places, lengths, data = (np.concatenate(c) for c in zip(*parts))
+            places = places.astype(np.int64)
+            offsets = np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])
             hashes, counts = [], []
-            for part in parts:
-                offsets = np.concatenate([[0], np.cumsum(part[4], dtype=np.int64)])
-                words = split_words(part[5], offsets)
+            for a, z in chunks(offsets):
+                words = split_words(data[offsets[a] : offsets[z]], offsets[a : z + 1] - offsets[a])
                 hashes.append(words.hash)
                 counts.append(words.counts())
             words, count = np.concatenate(hashes), np.concatenate(counts)
@@ -237,6 +263,11 @@ def _rewrite(position: int, kept_names: list[str], width: int):
     return run
 
 
+def _mark(text_col: str) -> Column:
+    """32 bits that tell texts with one id apart."""
+    return F.xxhash64(text_col).bitwiseAND(F.lit(0x7FFFFFFF))
+
+
 def drop_repeated_passages(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WINDOW
 ) -> DataFrame:
@@ -261,7 +292,7 @@ def drop_repeated_passages(
     kept_names = [c for c in docs.columns if c not in ("n_words", "n_removed", "kept_text")]
     texts = docs.select(
         F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID)).alias("_id"),
-        F.xxhash64(text_col).alias("_mark"),
+        _mark(text_col).alias("_mark"),
         F.col(text_col).alias("_text"),
     )
     size = texts.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
@@ -283,7 +314,7 @@ def drop_repeated_passages(
         F.collect_set(F.struct("start", "windows")).alias("_runs")
     )
     given = docs.withColumns(
-        {"_rid": F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID)), "_rmark": F.xxhash64(text_col)}
+        {"_rid": F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID)), "_rmark": _mark(text_col)}
     )
     joined = given.join(per_text, ["_rid", "_rmark"], "left").select(*kept_names, "_runs")
     schema = docs.select(*kept_names).withColumns(
