@@ -156,11 +156,11 @@ SKETCH = "id bigint, n bigint, bits binary"
 
 
 def parities(tokens: np.ndarray) -> bytes:
-    """One bit per bucket of tokens, at least as many as tokens: is their number odd?
+    """One bit per bucket of tokens, over twice as many as tokens: is their number odd?
 
     Sets that differ in d tokens differ in at most d bits, whatever the tokens.
     """
-    buckets = 1 << max(6, len(tokens).bit_length())
+    buckets = 2 << max(6, len(tokens).bit_length())
     at = (mix(tokens ^ np.uint64(0x8CB92BA72F3D8DD7)) & np.uint64(buckets - 1)).astype(np.int64)
     return np.packbits((np.bincount(at, minlength=buckets) & 1).astype(np.uint8), bitorder="little").tobytes()
 
@@ -367,9 +367,9 @@ def closer_pairs(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
 
 
 def _within_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of a unit's members with different labels that may be linked."""
+    """Pairs of a unit's members with different labels that may be linked, once per task."""
 
-    def pairs(rows: list[tuple]) -> pa.RecordBatch:
+    def pairs(rows: list[tuple]) -> np.ndarray:
         ids = np.array([r[0] for r in rows])
         labels = np.array([r[1] for r in rows])
         n = np.array([r[2] for r in rows])
@@ -389,19 +389,31 @@ def _within_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                     u.append(np.minimum(ids[hit], ids[i]))
                     v.append(np.maximum(ids[hit], ids[i]))
         none = [np.zeros(0, dtype=np.int64)]
-        found = np.unique(np.stack([np.concatenate(u or none), np.concatenate(v or none)], axis=1), axis=0)
+        return np.stack([np.concatenate(u or none), np.concatenate(v or none)], axis=1)
+
+    def once(found: list[np.ndarray]) -> np.ndarray:
+        return np.unique(np.concatenate(found), axis=0)
+
+    def batch_of(found: np.ndarray) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], ["u", "v"])
 
     unit, rows = None, []
+    found: list[np.ndarray] = [np.zeros((0, 2), dtype=np.int64)]
     for batch in batches:
         for row in zip(*[batch.column(i).to_pylist() for i in range(5)]):
             if row[0] != unit:
                 if len(rows) > 1:
-                    yield pairs(rows)
+                    found.append(pairs(rows))
                 unit, rows = row[0], []
             rows.append(row[1:])
+        if sum(map(len, found)) > PACKED:
+            found = [once(found)]
+            if len(found[0]) > PACKED // 2:
+                yield batch_of(found.pop())
+                found.append(np.zeros((0, 2), dtype=np.int64))
     if len(rows) > 1:
-        yield pairs(rows)
+        found.append(pairs(rows))
+    yield batch_of(once(found))
 
 
 def verify_pairs(texts: DataFrame, pairs: DataFrame) -> DataFrame:
