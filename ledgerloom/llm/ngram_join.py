@@ -29,7 +29,7 @@ LADDER = 12
 # Tokens a cost is kept for, the most frequent first; those seen SEEN times or more
 # of COUNTED tokens in a task are counted. Costs decide which signatures are
 # used, never which pairs are found.
-COSTS = 1 << 20
+COSTS = 1 << 18
 COUNTED = 1 << 22
 SEEN = 2
 # Signatures that are dealt to the buckets at once.
@@ -235,8 +235,8 @@ def _facts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield rows(STEP, list(steps), list(steps.values()))
 
 
-def _token_costs(facts: DataFrame):
-    """``id, cost``: log2 of the count of the most frequent tokens, at most `COSTS` of them."""
+def _token_costs(facts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The most frequent tokens, at most `COSTS`, sorted, and log2 of their counts."""
     counts = facts.where(F.col("kind") == TOKEN).groupBy("id").agg(F.sum("a").alias("n"))
     costs = counts.select("id", F.floor(F.log2("n")).cast("int").alias("cost"))
     costs = settle(costs, "token-costs")
@@ -246,7 +246,10 @@ def _token_costs(facts: DataFrame):
         if taken > COSTS:
             break
         least = row.cost
-    return costs.where(F.col("cost") >= least).toPandas()
+    found = costs.where(F.col("cost") >= least).toArrow()
+    frequent = found.column("id").to_numpy().view(np.uint64)
+    order = np.argsort(frequent)
+    return frequent[order], found.column("cost").to_numpy().astype(np.int64)[order]
 
 
 def _signature_rows(sent, buckets: int):
@@ -504,12 +507,9 @@ def link_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     facts = settle(texts.mapInArrow(_facts, FACTS), "shingle-facts")
     rows = facts.where(F.col("kind") == DOC).select("id", "a", "b", "n")
     filled = rows.where(F.col("n") > 0)
-    plan_costs = _token_costs(facts)
-    frequent = plan_costs["id"].to_numpy(dtype=np.int64).view(np.uint64)
-    order = np.argsort(frequent)
-    cost = plan_costs["cost"].to_numpy(dtype=np.int64)
+    frequent, cost = _token_costs(facts)
     steps = facts.where(F.col("kind") == STEP).groupBy("id").agg(F.max("a").alias("a")).collect()
-    plan = Plan({row.id: row.a for row in steps}, frequent[order], cost[order])
+    plan = Plan({row.id: row.a for row in steps}, frequent, cost)
     total = rows.agg(F.sum("n")).first()[0] or 0
     buckets = max(1, min(1 << 16, total // (2 * BUCKET_ROWS)))
     context = docs.sparkSession.sparkContext
