@@ -14,7 +14,7 @@ from ledgerloom.llm.batches import bound_batches
 from ledgerloom.llm.words import LOWER, mix, split_words, text_bytes
 
 # Samples per fingerprint; the standard error of a likeness is at most 0.5 / sqrt(SAMPLES).
-SAMPLES = 64
+SAMPLES = 96
 # Hex digits kept of a sample: unequal samples look equal once in 65,536.
 DIGITS = 4
 # Term hashes are cut to 48 bits, so that text and term fit one sort key.

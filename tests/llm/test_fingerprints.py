@@ -3,6 +3,7 @@ import random
 from collections import Counter
 
 from ledgerloom.llm.fingerprints import (
+    DIGITS,
     fingerprint_edits,
     fingerprint_texts,
     fingerprints,
@@ -29,7 +30,12 @@ def test_collisions_estimate_the_weighted_similarity():
         one, two = " ".join(words), " ".join(other)
         gaps.append(likeness(*fingerprints([one, two])) - jaccard(one, two))
     assert abs(sum(gaps) / len(gaps)) < 0.02
-    assert max(map(abs, gaps)) < 0.25
+    assert max(map(abs, gaps)) < 0.2
+
+
+def test_standard_error_of_a_likeness():
+    samples = len(fingerprints(["a b c"])[0]) // DIGITS
+    assert samples == 96 and 0.5 / samples**0.5 < 0.0511
 
 
 def test_equal_texts_and_texts_without_words():
