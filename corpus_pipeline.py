@@ -46,7 +46,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item, as it is or with other slot values."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return contamination.drop_leaking(docs, benchmark)
+    return contamination.drop_leaking(docs, benchmark, verbatim=True)
 
 
 def pack_bins(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

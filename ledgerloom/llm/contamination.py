@@ -178,8 +178,11 @@ def _consistent(bench: Benchmark, doc: Template, pairs: list[tuple[int, int]]) -
     return equal or plain >= PLAIN
 
 
-def matches(bench: Benchmark, doc: Template) -> dict[int, list[tuple[int, float, int]]]:
-    """Per text its ``(item id, share covered, words covered)``, consistent windows only."""
+def matches(bench: Benchmark, doc: Template, verbatim: bool = False) -> dict[int, list[tuple[int, float, int]]]:
+    """Per text its ``(item id, share covered, words covered)``, consistent windows only.
+
+    With ``verbatim`` also those of inconsistent passages whose words are all equal.
+    """
     found: dict[tuple[int, int], dict[int, list[tuple[int, int]]]] = {}
     for width in bench.widths:
         hashes, text, begin = windows_of(doc, width)
@@ -201,19 +204,34 @@ def matches(bench: Benchmark, doc: Template) -> dict[int, list[tuple[int, float,
             passage: list[int] = []
             for place, width in sorted(runs):
                 if passage and place > passage[-1] + 1:
-                    covered.update(_kept(bench, doc, passage, shift))
+                    covered.update(_kept(bench, doc, passage, shift, verbatim))
                     passage = []
                 passage += range(max(place, passage[-1] + 1) if passage else place, place + width)
-            covered.update(_kept(bench, doc, passage, shift))
+            covered.update(_kept(bench, doc, passage, shift, verbatim))
         size = int(bench.words.first[item + 1] - bench.words.first[item])
         if covered:
             out.setdefault(text, []).append((int(bench.ids[item]), len(covered) / size, len(covered)))
     return out
 
 
-def _kept(bench: Benchmark, doc: Template, passage: list[int], shift: int) -> list[int]:
+def _kept(bench: Benchmark, doc: Template, passage: list[int], shift: int, verbatim: bool) -> list[int]:
     pairs = [(i, i + shift) for i in passage]
-    return passage if _consistent(bench, doc, pairs) else []
+    if _consistent(bench, doc, pairs):
+        return passage
+    return _equal_windows(bench, doc, pairs) if verbatim else []
+
+
+def _equal_windows(bench: Benchmark, doc: Template, pairs: list[tuple[int, int]]) -> list[int]:
+    """Words of a passage that lie in a window of equal words."""
+    out: list[int] = []
+    run: list[int] = []
+    for i, j in [*pairs, (-1, -1)]:
+        if i >= 0 and bench.words.value[i] == doc.value[j]:
+            run.append(i)
+            continue
+        out += run if len(run) >= WINDOW else []
+        run = []
+    return out
 
 
 def find_leaks(
@@ -225,14 +243,17 @@ def find_leaks(
     into: str = "leaks",
     share: float = SHARE,
     block_words: int = BLOCK_WORDS,
+    verbatim: bool = False,
 ) -> DataFrame:
     """``docs`` with the benchmark items each whole text holds: ``item_id, share, words``.
 
     Words become templates: numbers, names and units turn into their types. A
     window of `WINDOW` words of a text that equals one of an item joins them by
     hash; windows in a row are one passage, which counts if its slots agree,
-    each value standing for one value both ways. ``share`` is the part of the
-    item's words that such passages have to cover. NULL and empty texts hold
+    each value standing for one value both ways. With ``verbatim``, of a passage
+    whose slots conflict the windows count whose words are all the item's own,
+    so an item with one value altered is found by the words around it. ``share``
+    is the part of the item's words that have to be covered. NULL and empty texts hold
     nothing, items without words or with a NULL id are found nowhere, repeated
     items once. An input column named like the result is replaced. The documents
     do not shuffle; the benchmark is sent to them in blocks of whole items with
@@ -262,7 +283,7 @@ def find_leaks(
                 for first, end in chunks(offsets, CHUNK):
                     part = data[offsets[first] : offsets[end]]
                     template = canonicalise(part, offsets[first : end + 1] - offsets[first])
-                    for text, hits in matches(bench, template).items():
+                    for text, hits in matches(bench, template, verbatim).items():
                         good = [h for h in hits if h[1] >= share]
                         earlier[first + text] += [
                             {"item_id": i, "share": s, "words": w} for i, s, w in sorted(good)

@@ -132,7 +132,7 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = contamination.find_leaks(docs, table(spark, sf_dir, "benchmark"))
+    found = contamination.find_leaks(docs, table(spark, sf_dir, "benchmark"), verbatim=True)
     return found.select(
         "doc_id",
         (F.size("leaks") > 0).alias("leaking"),

@@ -1,3 +1,5 @@
+import random
+
 import pyarrow as pa
 
 from ledgerloom.llm.contamination import (
@@ -48,6 +50,74 @@ def test_slots_have_to_agree(spark):
     assert [bool(found[i]) for i in range(len(texts))] == [True, True, True, False, False, False, False, False, False]
 
 
+def test_one_altered_value_leaves_the_words_around_it(spark):
+    texts = [
+        ITEM.replace("60", "85", 1),
+        ITEM.replace("Paris", "Maria"),
+        "x " + ITEM.replace("km back", "miles back"),
+        "x " + ITEM.replace("60", "85", 1).replace("meet Maria", "meet Peter").replace("on that", "on this"),
+        "a clean text about a day on which nobody drives anywhere at all, 60 km or not",
+    ]
+    found = leaks(spark, texts, verbatim=True)
+    # Of the fourth text only 10 of 22 words lie in 8 equal ones or more.
+    assert [found[i] for i in range(len(texts))] == [[7], [7], [7], [], []]
+
+
+KINDS = {**dict.fromkeys(["Anna", "Peter", "Maria"], NAME), **dict.fromkeys(["km", "miles", "days"], UNIT)}
+
+
+def kind_of(word):
+    return NUMBER if word[0].isdigit() else KINDS.get(word, PLAIN_WORD)
+
+
+def brute(item, doc):
+    """Words of the item covered by the document, every alignment and stretch tried."""
+    covered = set()
+    for shift in range(-len(item), len(doc)):
+        at = [i for i in range(len(item)) if 0 <= i + shift < len(doc)]
+        same = {i for i in at if (k := kind_of(item[i])) == kind_of(doc[i + shift])
+                and (k != PLAIN_WORD or item[i] == doc[i + shift])}
+        for a in range(len(item)):
+            z = a
+            while z in same:
+                z += 1
+            if a - 1 in same or z - a < 8:
+                continue
+            pairs = [(kind_of(item[i]), item[i], doc[i + shift]) for i in range(a, z)]
+            slots = {p for p in pairs if p[0] != PLAIN_WORD}
+            agree = len({s[:2] for s in slots}) == len(slots) == len({s[::2] for s in slots})
+            equal = all(p[1] == p[2] for p in pairs)
+            if agree and (equal or sum(p[0] == PLAIN_WORD for p in pairs) >= 3):
+                covered.update(range(a, z))
+            for b in range(a, z - 7):
+                if all(p[1] == p[2] for p in pairs[b - a : b - a + 8]):
+                    covered.update(range(b, b + 8))
+    return len(covered)
+
+
+def test_altered_items_against_brute_force(spark):
+    rnd = random.Random(2)
+    values = [["3", "7", "60"], ["Anna", "Peter", "Maria"], ["km", "miles", "days"]]
+    items, texts = [], []
+    for i in range(25):
+        words = [f"i{i}"]
+        for n in range(rnd.randrange(8, 50)):
+            words.append(rnd.choice(rnd.choice(values)) if rnd.random() < 0.3 else f"w{rnd.randrange(40)}")
+        items.append(words)
+        for _ in range(6):
+            doc = list(words)
+            for _ in range(rnd.randrange(4)):
+                place = rnd.randrange(len(doc))
+                same = [v for v in values if doc[place] in v]
+                doc[place] = rnd.choice(same[0]) if same else rnd.choice([doc[place], "new"])
+            swap = dict(zip(values[1], rnd.sample(values[1], 3))) if rnd.random() < 0.3 else {}
+            texts.append(["before", *[swap.get(w, w) for w in doc], "after"])
+    bench = [(i, " ".join(words)) for i, words in enumerate(items)]
+    found = leaks(spark, [" ".join(t) for t in texts], bench, verbatim=True)
+    want = {t: [i for i, item in enumerate(items) if brute(item, text) >= 0.5 * len(item)] for t, text in enumerate(texts)}
+    assert found == want and 60 < sum(map(bool, want.values())) < len(texts)
+
+
 def test_blocks_give_the_same(spark):
     items = [(i, f"question number of item{i} asks about thing{i} and also about other{i} here") for i in range(20)]
     items += [(20, "short item"), (21, None), (None, "no id for this one"), (22, " "), (0, items[0][1])]
