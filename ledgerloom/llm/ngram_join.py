@@ -496,8 +496,8 @@ def link_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     one, all members are compared with the smallest id; then, only members that
     the links found so far leave apart are compared with each other. Sizes and
     parities rule out pairs that cannot be linked, the others are compared by
-    their whole sets. Equal sets take part once, and nothing is left out of a
-    group of any size.
+    their whole sets. Equal sets take part once, but for those of ids with other
+    sets beside them, and nothing is left out of a group of any size.
     """
     bound_batches(docs.sparkSession)
     texts = docs.select(
@@ -526,7 +526,14 @@ def link_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         filled.join(sets, ["a", "b"], "left").select("id", "n", F.coalesce("rep", "id").alias("rep")),
         "representatives",
     )
+    # An id whose sets have different representatives stays, with the signatures of all of
+    # them: a representative holds the texts of one set only.
+    twice = named.groupBy("id").agg(F.min("rep").alias("_low"), F.max("rep").alias("_high"))
+    twice = twice.where(F.col("_low") != F.col("_high")).select(F.col("id").alias("_twice"))
+    twice = settle(twice, "ids-of-several-sets")
+    sent = F.broadcast(twice) if twice.count() <= SENT_IDS else twice
     moved = named.where(F.col("id") != F.col("rep")).select("id", "rep").distinct()
+    moved = moved.join(sent, F.col("id") == F.col("_twice"), "left_anti")
     members = shared.join(moved, "id", "left").select("sig", F.coalesce("rep", "id").alias("id")).distinct()
     heads = members.groupBy("sig").agg(F.min("id").alias("head"), F.count("*").alias("_n"))
     heads = heads.where(F.col("_n") > 1).select("sig", "head")
@@ -540,9 +547,7 @@ def link_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     near = settle(closer_pairs(first, sketches), "near-pairs")
     links = verify_pairs(texts, near)
     # A repeated id whose texts differ joins the sets of them.
-    twice = named.groupBy("id").agg(F.min("rep").alias("_low"), F.max("rep").alias("_high"))
-    twice = twice.where(F.col("_low") != F.col("_high")).select(F.col("id").alias("_twice"))
-    same = named.join(F.broadcast(twice) if twice.count() <= SENT_IDS else twice, F.col("id") == F.col("_twice"))
+    same = named.join(sent, F.col("id") == F.col("_twice"))
     same = same.select(F.col("id").alias("u"), F.col("rep").alias("v")).where(F.col("u") != F.col("v"))
     links = settle(links.unionByName(same).distinct(), "first-links")
     labels = connected_components(links)

@@ -97,6 +97,26 @@ def test_messy_rows(spark):
     assert nj.link_near_copies(documents(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("several", [5, None])
+def test_copies_of_one_text_keep_the_links_of_the_others(spark, several):
+    a = [f"a{i}" for i in range(60)]
+    b = [f"b{i}" for i in range(60)]
+    texts = [(several, a), (several, b), (2, b), (9, [*a[:-1], "other"]), (11, [*b[:-1], "other"])]
+    rows = [(i, " ".join(words), "en", "a") for i, words in texts]
+    got = found(documents(spark, rows, False))
+    assert got == brute(rows) and {r[2] for r in got} == {2}
+
+
+def test_ids_with_several_texts(spark):
+    rnd = random.Random(8)
+    rows = []
+    for i, text, *rest in corpus():
+        rows.append((i, text, *rest))
+        if rnd.random() < 0.1:  # an exact copy under a smaller or larger id, or beside another text
+            rows.append((rnd.choice([None, -i, 1000 + i, rnd.randrange(200)]), text, *rest))
+    assert found(documents(spark, rows, False)) == brute(rows)
+
+
 @pytest.mark.parametrize("frequent", [False, True])
 def test_linked_sets_share_a_signature(frequent):
     rnd = np.random.default_rng(4)
