@@ -15,6 +15,7 @@ from ledgerloom.llm import (
     line_dedup,
     ngram_join,
     packing,
+    periodic,
     substring,
     toxicity,
     warc,
@@ -139,3 +140,45 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_distinct(F.transform("leaks", lambda x: x["item_id"])).alias("item_ids"),
         F.coalesce(F.array_max(F.transform("leaks", lambda x: x["share"])), F.lit(0.0)).alias("share"),
     )
+
+
+def with_periodic_tails(docs: DataFrame) -> DataFrame:
+    """``doc_id, text``; in a tenth of the documents, by hash, the words repeat from some place on."""
+    number = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    chosen = docs.withColumn("_words", F.when(number % 10 == 0, words)).withColumn("_n", F.size("_words"))
+    draw = F.floor(number / 10)
+    # The draw picks the first repeated word and how often the stretch goes into the rest.
+    chosen = chosen.withColumn("_a", F.when(F.col("_n") > 0, draw % F.col("_n")).cast("int"))
+    period = F.floor((F.col("_n") - F.col("_a")) / (draw % 8 + 3)).cast("int") + 1
+    chosen = chosen.withColumn("_p", period)
+    tail = F.transform(
+        F.sequence(F.col("_a"), F.col("_n") - 1),
+        lambda i: F.get("_words", F.col("_a") + (i - F.col("_a")) % F.col("_p")),
+    )
+    edited = F.array_join(F.concat(F.slice("_words", F.lit(1), F.col("_a")), tail), " ")
+    return chosen.select("doc_id", F.when(F.col("_n") > 0, edited).otherwise(F.col("text")).alias("text"))
+
+
+@query
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.find_runs(with_periodic_tails(table(spark, sf_dir, "documents")))
+    lines = F.transform(
+        "runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])
+    )
+    lines = F.when(F.size("runs") > 0, F.concat(F.array_join(lines, "\n"), F.lit("\n"))).otherwise("")
+    longest = F.array_max(
+        F.transform("runs", lambda r: F.struct(r["length"], -r["start"], -r["period"]))
+    )
+    found = found.withColumn("_best", longest.cast("struct<length:bigint,start:bigint,period:bigint>"))
+    length, start, period = F.col("_best.length"), -F.col("_best.start"), -F.col("_best.period")
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        start.alias("start"),
+        length.alias("length"),
+        period.alias("period"),
+        F.floor(length * 1000 / period).cast("bigint").alias("exponent_milli"),
+        sha256(lines).alias("runs_sha256"),
+        sha256(F.col("collapsed_text")).alias("collapsed_sha256"),
+    )
