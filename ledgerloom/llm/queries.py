@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,8 +17,10 @@ from ledgerloom.llm import (
     ngram_join,
     packing,
     periodic,
+    quality,
     substring,
     toxicity,
+    variants,
     warc,
 )
 
@@ -142,6 +145,24 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def edited_words(docs: DataFrame) -> DataFrame:
+    """``word`` per run of Latin letters, lower-cased; one in 199, by hash, lacks a character."""
+    # Shorter runs make no word of six characters.
+    runs = docs.select("doc_id", F.explode(F.regexp_extract_all("text", F.lit("[A-Za-z\u00C0-\u00FF]{6,}"), 0)).alias("run"))
+    lower = F.translate("run", string.ascii_uppercase, string.ascii_lowercase)
+    runs = runs.withColumn("run", F.when(F.col("run").rlike("[A-Z]"), lower).otherwise(F.col("run")))
+    number = F.crc32(F.encode(F.concat(F.col("doc_id").cast("string"), F.lit(":"), F.col("run")), "UTF-8"))
+    runs = runs.withColumn("_h", number).withColumn("_at", (F.col("_h") % F.length("run")).cast("int"))
+    shorter = F.concat(F.left("run", F.col("_at")), F.right("run", F.length("run") - F.col("_at") - 1))
+    return runs.select(F.when(F.col("_h") % 199 == 0, shorter).otherwise(F.col("run")).alias("word"))
+
+
+@query
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return variants.group_variants(edited_words(docs)).select("word", "form", "root", "n", "n_near", "form_n")
+
+
 def with_periodic_tails(docs: DataFrame) -> DataFrame:
     """``doc_id, text``; in a tenth of the documents, by hash, the words repeat from some place on."""
     number = F.crc32(F.col("doc_id").cast("string").cast("binary"))
@@ -182,3 +203,19 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         sha256(lines).alias("runs_sha256"),
         sha256(F.col("collapsed_text")).alias("collapsed_sha256"),
     )
+
+
+@query
+def op13_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+
+    def third(name: str) -> Column:
+        return F.crc32(F.col(name).cast("string").cast("binary")) % 3
+
+    model = quality.fit_quality(docs, table(spark, sf_dir, "labels"), third("_id") != 1)
+    return quality.score_quality(docs, model).select(
+        "doc_id",
+        F.coalesce(third("doc_id") == 1, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
