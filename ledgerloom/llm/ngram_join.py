@@ -14,6 +14,7 @@ from ledgerloom.llm.batches import bound_batches
 from ledgerloom.llm.components import connected_components
 from ledgerloom.llm.packed import SCHEMA, by_bucket, pack, split_by, to_batch
 from ledgerloom.llm.words import Words, mix, window_hashes, word_chunks
+from ledgerloom.llm.sending import received, send
 from ledgerloom.session import settle
 
 # Words per shingle, and the similarity as a share: linked when 4 * common >= 3 * all.
@@ -254,7 +255,7 @@ def _token_costs(facts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 def _signature_rows(sent, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        plan = sent.value
+        plan = received(sent)
         seen: dict[tuple[int, int], int] = {}
         marks: list[np.ndarray] = []
         owners: list[int] = []
@@ -283,7 +284,7 @@ def _signature_rows(sent, buckets: int):
     def dealt(marks: list[np.ndarray], owners: list[int]) -> Iterator[pa.RecordBatch]:
         every = np.concatenate(marks)
         place = np.repeat(np.arange(len(marks)), [len(m) for m in marks])
-        bucket = (every >> np.uint64(48)).astype(np.int64) * buckets >> 16
+        bucket = (every >> np.uint64(32)).astype(np.int64) * buckets >> 32
         own = np.array(owners, dtype=np.int64)
         rows = []
         for key, picked in split_by(bucket):
@@ -369,16 +370,28 @@ def closer_pairs(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
     return both.mapInArrow(_closer, "u bigint, v bigint").distinct()
 
 
-def _within_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of a unit's members with different labels that may be linked, once per task."""
-
-    def pairs(rows: list[tuple]) -> np.ndarray:
-        ids = np.array([r[0] for r in rows])
-        labels = np.array([r[1] for r in rows])
-        n = np.array([r[2] for r in rows])
-        whole = [np.frombuffer(r[3], dtype=np.uint64) for r in rows]
+def _by_unit(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
+    """The rows of each unit; they have to come sorted by unit, their first column."""
+    unit, rows = None, []
+    for batch in batches:
+        for row in zip(*[column.to_pylist() for column in batch.columns]):
+            if row[0] != unit and rows:
+                yield rows
+                rows = []
+            unit = row[0]
+            rows.append(row)
+    if rows:
+        yield rows
+
+
+def _open_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Members of a unit that may be linked to one with another label, by sizes and parities."""
+    for rows in _by_unit(batches):
+        labels = np.array([r[2] for r in rows])
+        n = np.array([r[3] for r in rows])
+        whole = [np.frombuffer(r[4], dtype=np.uint64) for r in rows]
         lengths = np.array([len(w) for w in whole])
-        u, v = [], []
+        open_ones = np.zeros(len(rows), dtype=bool)
         # Linked sets differ by a third in size at most, so by one step in resolution.
         for words in np.unique(lengths).tolist():
             near = np.flatnonzero((lengths == words) | (lengths == 2 * words))
@@ -389,34 +402,41 @@ def _within_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 other = labels[rest] != labels[i]
                 if other.any():
                     hit = rest[other & may_link(n[rest], bits[at + 1 :], n[i], bits[at])]
-                    u.append(np.minimum(ids[hit], ids[i]))
-                    v.append(np.maximum(ids[hit], ids[i]))
-        none = [np.zeros(0, dtype=np.int64)]
-        return np.stack([np.concatenate(u or none), np.concatenate(v or none)], axis=1)
-
-    def once(found: list[np.ndarray]) -> np.ndarray:
-        return np.unique(np.concatenate(found), axis=0)
-
-    def batch_of(found: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], ["u", "v"])
-
-    unit, rows = None, []
-    found: list[np.ndarray] = [np.zeros((0, 2), dtype=np.int64)]
-    for batch in batches:
-        for row in zip(*[batch.column(i).to_pylist() for i in range(5)]):
-            if row[0] != unit:
-                if len(rows) > 1:
-                    found.append(pairs(rows))
-                unit, rows = row[0], []
-            rows.append(row[1:])
-        if sum(map(len, found)) > PACKED:
-            found = [once(found)]
-            if len(found[0]) > PACKED // 2:
-                yield batch_of(found.pop())
-                found.append(np.zeros((0, 2), dtype=np.int64))
-    if len(rows) > 1:
-        found.append(pairs(rows))
-    yield batch_of(once(found))
+                    open_ones[hit] = True
+                    open_ones[i] |= bool(len(hit))
+        # An id with several sets comes once; all its texts follow it.
+        kept = {rows[i][1]: rows[i][:3] for i in np.flatnonzero(open_ones)}
+        arrays = [pa.array([row[c] for row in kept.values()], pa.int64()) for c in range(3)]
+        yield pa.RecordBatch.from_arrays(arrays, ["unit", "id", "label"])
+
+
+def _join_labels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``u, v``: labels of a unit's members that links join, one link fewer than labels at most."""
+    for rows in _by_unit(batches):
+        sets: list[np.ndarray] = []
+        for _, _, _, _, words in word_chunks(pa.array([r[3] for r in rows], pa.string()), True):
+            sets += shingle_sets(words)
+        labels = np.array([r[2] for r in rows])
+        sizes = np.array([len(s) for s in sets])
+        _, token = np.unique(np.concatenate(sets), return_inverse=True)
+        owner = np.repeat(np.arange(len(sets)), sizes)
+        begins = np.cumsum(sizes) - sizes
+        held = np.zeros(int(token.max(initial=-1)) + 1, dtype=bool)
+        u, v = [], []
+        for i in np.flatnonzero(sizes):
+            if (labels[i + 1 :] == labels[i]).all():
+                continue
+            own = token[begins[i] : begins[i] + sizes[i]]
+            held[own] = True
+            common = np.bincount(owner, weights=held[token], minlength=len(sets)).astype(np.int64)
+            held[own] = False
+            link = (DEN * common >= NUM * (sizes + sizes[i] - common)) & (sizes > 0) & (labels != labels[i])
+            for label in np.unique(labels[link]).tolist():
+                u.append(min(label, int(labels[i])))
+                v.append(max(label, int(labels[i])))
+                # From here on both are one; linked or not, they need no more looking at.
+                labels[labels == label] = labels[i]
+        yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
 
 
 def verify_pairs(texts: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -448,13 +468,14 @@ def verify_pairs(texts: DataFrame, pairs: DataFrame) -> DataFrame:
     return compared.distinct()
 
 
-def _unsettled_pairs(groups: DataFrame, labels: DataFrame, sketches: DataFrame) -> DataFrame:
-    """Pairs of ids that share a signature, are not connected yet and may be linked.
+def _left_links(texts: DataFrame, groups: DataFrame, labels: DataFrame, sketches: DataFrame) -> DataFrame:
+    """``u, v``: labels joined by links between ids that share a signature but not a label.
 
     Groups are cut into units of one or two blocks of about `BLOCK` ids, every
     two blocks of a group meeting in one; units that list the same ids count
-    once. A unit's members are compared by size and parities in one task, and
-    only pairs that these leave open come out.
+    once. Sizes and parities leave few members of a unit open; the texts of those
+    come to the unit, and their whole sets are compared there. Only the links
+    that join labels leave a unit, however many pairs it holds.
     """
     known = labels.select(F.col("node").alias("id"), "label")
     members = groups.join(known, "id", "left").select(
@@ -477,7 +498,12 @@ def _unsettled_pairs(groups: DataFrame, labels: DataFrame, sketches: DataFrame)
     rows = lists.select("unit", F.explode("_ids").alias("id")).join(known, "id", "left").join(sketches, "id")
     rows = rows.select("unit", "id", F.coalesce("label", "id").alias("label"), "n", "bits")
     dealt = rows.repartition("unit").sortWithinPartitions("unit")
-    return dealt.mapInArrow(_within_units, "u bigint, v bigint").distinct()
+    left = settle(dealt.mapInArrow(_open_members, "unit bigint, id bigint, label bigint"), "open-members")
+    needed = left.select("unit", F.col("id").alias("_key"), "label")
+    sent = F.broadcast(needed) if left.count() <= SENT_IDS else needed
+    given = texts.join(sent, texts["_id"] == sent["_key"]).select("unit", "_id", "label", "_text")
+    compared = given.repartition("unit").sortWithinPartitions("unit", "_id")
+    return compared.mapInArrow(_join_labels, "u bigint, v bigint").distinct()
 
 
 def link_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -511,10 +537,10 @@ def link_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     steps = facts.where(F.col("kind") == STEP).groupBy("id").agg(F.max("a").alias("a")).collect()
     plan = Plan({row.id: row.a for row in steps}, frequent, cost)
     total = rows.agg(F.sum("n")).first()[0] or 0
-    buckets = max(1, min(1 << 16, total // (2 * BUCKET_ROWS)))
+    buckets = max(1, total // (2 * BUCKET_ROWS))
     context = docs.sparkSession.sparkContext
 
-    spread = texts.mapInArrow(_signature_rows(context.broadcast(plan), buckets), SCHEMA)
+    spread = texts.mapInArrow(_signature_rows(send(context, plan), buckets), SCHEMA)
     parts = max(buckets, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     dealt = spread.repartition(parts, "bucket").sortWithinPartitions("bucket")
     shared = settle(dealt.mapInArrow(_shared_signatures, "sig bigint, id bigint"), "shared-signatures")
@@ -552,15 +578,8 @@ def link_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     links = settle(links.unionByName(same).distinct(), "first-links")
     labels = connected_components(links)
 
-    left = _unsettled_pairs(groups, labels, sketches).join(near, ["u", "v"], "left_anti")
-    left = settle(left, "left-pairs")
-    more = settle(verify_pairs(texts, left), "left-links")
     # What these links join are whole components, named by their labels.
-    known = labels.select(F.col("node").alias("_node"), F.col("label").alias("_label"))
-    for end in ("u", "v"):
-        more = more.join(known, more[end] == known["_node"], "left").withColumn(
-            end, F.coalesce("_label", end)
-        ).drop("_node", "_label")
+    more = settle(_left_links(texts, groups, labels, sketches), "left-links")
     last = connected_components(more).select(F.col("node").alias("first"), F.col("label").alias("last"))
     first_label = labels.select(F.col("node").alias("rep"), "label")
     placed = named.join(first_label, "rep", "left").withColumn("first", F.coalesce("label", "rep"))

@@ -154,3 +154,25 @@ def test_parities_rule_out_no_link():
         seen += not nj.linked(one, two)
         kept += near and not nj.linked(one, two)
     assert kept < 0.3 * seen
+
+
+def test_a_unit_gives_one_link_fewer_than_labels(spark):
+    """Near copies of one text in many labels: their pairs stay in the task."""
+    rnd = random.Random(3)
+    base = [f"w{i}" for i in range(80)]
+    texts = [" ".join(edited(rnd, base, rnd.randrange(3))) for _ in range(60)] + ["", "some other words here now"]
+    rows = [(1, i, i, text) for i, text in enumerate(texts)]
+    batches = spark.createDataFrame(rows, "unit bigint, id bigint, label bigint, text string")
+    links = batches.coalesce(1).mapInArrow(nj._join_labels, "u bigint, v bigint").collect()
+    assert len(links) <= 59
+    root = list(range(len(rows)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for u, v in links:
+        a, b = sorted((find(u), find(v)))
+        root[b] = a
+    assert [find(i) for i in range(len(rows))] == [r[2] for r in sorted(brute([(i, t, "", "") for i, t in enumerate(texts)]), key=lambda r: r[0])]
