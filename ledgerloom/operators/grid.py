@@ -112,7 +112,7 @@ def cut_at_marker(df: DataFrame, column: str, marker: str) -> DataFrame:
     marks = df.select(FILE, ROW, (F.lower(strip(F.col(column))) == marker.lower()).alias("hit"))
     cut = _first_row(marks.where("hit"), F.col("hit"), "cut").withColumnRenamed("cut", "_cut")
     return (
-        spread_join(df, cut, [(FILE, FILE)], "left")
+        spread_join(df, cut, [(FILE, FILE)], "left", branch=False)
         .where(F.col("_cut").isNull() | (F.col(ROW) < F.col("_cut")))
         .drop("_cut")
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
@@ -37,18 +39,25 @@ def _common_type(df: DataFrame, left: DataType, right: DataType) -> DataType:
 
 
 def spread_join(
-    left: DataFrame, right: DataFrame, on: list[tuple[Column | str, str]], how: str
+    left: DataFrame, right: DataFrame, on: list[tuple[Column | str, str]], how: str, branch: bool = True
 ) -> DataFrame:
-    """Join that spreads NULL keys and leaves hot keys open to the adaptive skew join.
+    """Join in which NULL keys never shuffle and hot keys stay open to the adaptive skew join.
 
     ``on`` pairs a left column with a column of ``right``; the right columns
     used as keys are dropped. Keys of different types meet in their common type
-    (7 is not 7.5, a day is midnight); text never meets numbers or dates. A
-    second join key is the hash of the first, or of the whole row and the task
-    that reads it where a key is NULL: those rows match nothing and so may lie
-    in any partition, equal ones too. The second key also means that neither side comes in
-    partitioned as the join needs it, by a grouping below it, say: both sides
-    shuffle right below the join, and only there can a hot partition be split.
+    (7 is not 7.5, a day is midnight); text never meets numbers or dates.
+
+    A row with a NULL key matches nothing. Inner and semi joins leave such rows
+    out ahead of the shuffle; left and anti joins return them by a union, from
+    the task that reads them. Nothing but the keys is computed on, so filters and
+    column choices made on the result reach the scans of both branches. The
+    branch evaluates ``left`` again, for its NULL keys alone: keep ``left`` near
+    its tables or settle it. ``branch=False`` joins all rows at once, which is
+    better for keys that are hardly ever NULL.
+
+    A second join key is the hash of the others: neither side comes in
+    partitioned as the join needs it, by a grouping below it, say. Both shuffle
+    right below the join, and only there can a hot partition be split.
     """
     keys = [F.col(a) if isinstance(a, str) else a for a, _ in on]
     names = [name for _, name in on]
@@ -57,15 +66,11 @@ def spread_join(
         for one, other in zip(left.select(*keys).schema, right.select(*names).schema)
     ]
     keys = [key.cast(kind) for key, kind in zip(keys, types)]
-    unmatched = F.lit(False)
-    for key in keys:
-        unmatched = unmatched | key.isNull()
-    row_hash = F.xxhash64(*left.columns, F.spark_partition_id())
-    keyed = left.withColumns(
-        {
-            **{f"_l{i}": key for i, key in enumerate(keys)},
-            "_lspread": F.when(unmatched, row_hash).otherwise(F.xxhash64(*keys)),
-        }
+    known = reduce(Column.__and__, [key.isNotNull() for key in keys])
+    outer = how in ("left", "left_anti")
+    side = left if outer and not branch else left.where(known)
+    keyed = side.withColumns(
+        {**{f"_l{i}": key for i, key in enumerate(keys)}, "_lspread": F.xxhash64(*keys)}
     )
     right_keys = [F.col(name).cast(kind) for name, kind in zip(names, types)]
     other = right.select(
@@ -77,14 +82,19 @@ def spread_join(
     for i in range(len(on)):
         match = match & (F.col(f"_l{i}") == F.col(f"_r{i}"))
     helpers = [f"{side}{i}" for i in range(len(on)) for side in ("_l", "_r")]
-    return keyed.join(other, match, how).drop(*helpers, "_lspread", "_rspread")
+    joined = keyed.join(other, match, how).drop(*helpers, "_lspread", "_rspread")
+    if not outer or not branch:
+        return joined
+    added = joined.schema[len(left.columns):]
+    alone = left.where(~known).select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in added])
+    return joined.union(alone)
 
 
 def left_lookup(
-    left: DataFrame, right: DataFrame, on: list[tuple[Column | str, str]]
+    left: DataFrame, right: DataFrame, on: list[tuple[Column | str, str]], branch: bool = True
 ) -> DataFrame:
     """Left join to the columns of ``right`` other than its keys."""
-    return spread_join(left, right, on, "left")
+    return spread_join(left, right, on, "left", branch)
 
 
 def keep_listed(

@@ -55,7 +55,7 @@ def main_board(grid: DataFrame) -> DataFrame:
     clean = G.name_columns(G.normalize_cells(offers), MAIN_COLUMNS).withColumn(
         "company", squeeze_spaces(F.col("company"))
     )
-    marked = left_lookup(clean, narrow, [("source_file", "source_file")]).withColumn(
+    marked = left_lookup(clean, narrow, [("source_file", "source_file")], branch=False).withColumn(
         "_mark", F.when(F.col("_cells").isNull(), F.col("offer_location"))
     )
     filled = G.fill_continuation_keys(

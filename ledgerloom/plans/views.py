@@ -75,8 +75,9 @@ def document_dataset(flags: DataFrame, index: DataFrame, master: DataFrame) -> D
         F.col("stock_type").alias("hkex_stock_type"),
         F.col("company").alias("hkex_full_name"),
     )
-    indexed = J.left_lookup(flags, reports, [("document_name", "_name")])
-    return J.left_lookup(indexed, listing, [("har_stock_code", "_code")]).select(
+    # The index meets the listings first, so that no join is below another's left side.
+    listed = J.left_lookup(reports, listing, [("har_stock_code", "_code")])
+    return J.left_lookup(flags, listed, [("document_name", "_name")]).select(
         "har_stock_code", "har_announcement_date", "har_hyperlink", "har_pdf_path",
         "hkex_stock_type", "hkex_full_name",
         F.col("document_name").alias("aof_document_id"),
@@ -121,12 +122,13 @@ def classified_firm_quarters(
 
     Fundamentals and opinions are each cut to one row per firm and quarter
     before they meet, which picks the same pair as cutting their join would
-    (the order compares the fundamentals row first) without its fan-out.
+    (the order compares the fundamentals row first) without its fan-out. The
+    listings join the opinions, which are few, and not the quarters.
     """
     firm_cols = funda_q.columns
     quarters = one_per_group(
         funda_q.withColumn("_firm", key_column(funda_q, "gvkey")),
-        ["gvkey", "datacqtr"],
+        ["gvkey", "datacqtr", "_firm"],  # a firm's number follows from its gvkey
         [F.col("datadate").desc(), "isin", *[c for c in firm_cols if c not in ("datadate", "isin")]],
     )
     opinion_cols = ["hkex_stock_code", *OPINION_COLUMNS, "aof_comments"]
@@ -137,9 +139,7 @@ def classified_firm_quarters(
         F.col(f"`{comments}`").alias("aof_comments"),
     )
     opinions = one_per_group(year_end, ["_gvkey", "_quarter"], opinion_cols)
-    base = J.left_lookup(
-        quarters, opinions, [("_firm", "_gvkey"), ("datacqtr", "_quarter")]
-    ).select(*firm_cols, *opinion_cols)
+    keyed = opinions.where(F.col("_gvkey").isNotNull() & F.col("_quarter").isNotNull())
 
     def board(df: DataFrame, prefix: str, columns) -> DataFrame:
         return df.select(
@@ -148,15 +148,17 @@ def classified_firm_quarters(
             *[F.col(c).alias(f"_{prefix}_{c}") for c in (*SHARED_LISTING_COLUMNS, *columns)],
         )
 
-    listed = base
+    listed = settle(keyed, "opinions")  # looked at for NULL codes and for the others
     for prefix, df, columns in (
         ("gem", gem, GEM_LISTING_COLUMNS), ("main", main, MAIN_LISTING_COLUMNS)
     ):
         # Read twice, for the last dates and for the rows that have them.
         side = settle(board(df, prefix, columns), f"{prefix}-listings")
         listed = latest_join(listed, side, ("hkex_stock_code", f"_{prefix}_code"), f"_{prefix}_by")
-    return listed.select(
-        *base.columns,
+    found = J.left_lookup(quarters, listed, [("_firm", "_gvkey"), ("datacqtr", "_quarter")])
+    return found.select(
+        *firm_cols,
+        *opinion_cols,
         *[F.coalesce(f"_gem_{c}", f"_main_{c}").alias(f"hk_{c}") for c in SHARED_LISTING_COLUMNS],
         *[F.col(f"_gem_{c}").alias(f"gem_{c}") for c in GEM_LISTING_COLUMNS],
         *[F.col(f"_main_{c}").alias(f"main_{c}") for c in MAIN_LISTING_COLUMNS],
