@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from html.entities import name2codepoint
 
 from pyspark.sql import Column
@@ -45,39 +46,91 @@ def _tag(tag: str) -> str:
     return rf"(?is)</?{tag}(?=[\s/>])[^>]*>"
 
 
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value worked out once, however often it is used.
+
+    Whatever stands outside a lambda is worked out for every element otherwise.
+    """
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _running(values: Column, join: Callable[[Column, Column], Column]) -> Column:
+    """Running sums, minima, ...: ``join`` over each element and all before it.
+
+    Doubles the reach of every element in each round, so that n elements take
+    some n log n steps; a fold that appends to its state would copy it n times.
+    """
+
+    def round_of(state: Column, reach: Column) -> Column:
+        head = F.slice(state, F.lit(1), reach)
+        moved = F.slice(state, F.lit(1), F.size(state) - reach)
+        rest = F.slice(state, reach + 1, F.size(state))
+        return F.concat(head, F.zip_with(rest, moved, join))
+
+    def rounds(given: Column) -> Column:
+        reaches = F.array(*[F.lit(1 << k) for k in range(31)])
+        return F.aggregate(F.filter(reaches, lambda reach: reach < F.size(given)), given, round_of)
+
+    return _bound(values, rounds)
+
+
 def _spans(tags: Column) -> Column:
     """``open, close``: index of each opening tag and of the tag that closes it.
 
     A tag that nothing closes runs on to the end; closing tags too many are
     passed over. In order of the opening tags.
-    """
-    indexed = F.transform(tags, lambda t, i: F.struct(i.alias("at"), F.startswith(t, F.lit("</")).alias("ends")))
-    empty = F.struct(
-        F.array().cast("array<int>").alias("stack"),
-        F.array().cast("array<struct<open: int, close: int>>").alias("done"),
-    )
 
-    def step(state: Column, tag: Column) -> Column:
-        depth = F.size(state["stack"])
-        closed = F.struct(
-            F.slice(state["stack"], F.lit(1), F.greatest(depth - 1, F.lit(0))).alias("stack"),
-            F.array_append(
-                state["done"],
-                F.struct(F.element_at(state["stack"], -1).alias("open"), tag["at"].alias("close")),
-            ).alias("done"),
-        )
-        opened = F.struct(
-            F.array_append(state["stack"], tag["at"]).alias("stack"), state["done"].alias("done")
+    The depth is a running sum of openings and closings, lifted where there are
+    closings too many. At each depth openings and closings take turns, so sorted
+    by depth and place an opening has its closing next to it.
+    """
+    steps = F.transform(tags, lambda t: F.when(F.startswith(t, F.lit("</")), -1).otherwise(1))
+    sums = _running(steps, lambda a, b: a + b)
+
+    def placed(sums: Column) -> Column:
+        least = _running(F.transform(sums, lambda s: F.least(s, F.lit(0))), lambda a, b: F.least(a, b))
+        # What the sum would have been ahead of a tag, had it never gone below 0.
+        both = F.zip_with(sums, least, lambda s, low: F.struct(s.alias("sum"), low.alias("least")))
+        ahead = F.concat(F.array(F.struct(F.lit(0).alias("sum"), F.lit(0).alias("least"))), both)
+        return F.transform(
+            F.slice(ahead, F.lit(1), F.size(sums)),
+            lambda before, i: F.struct((before["sum"] - before["least"]).alias("depth"), i.alias("at")),
         )
-        return F.when(tag["ends"] & (depth > 0), closed).when(tag["ends"], state).otherwise(opened)
 
-    def finish(state: Column) -> Column:
-        rest = F.transform(
-            state["stack"], lambda i: F.struct(i.alias("open"), F.size(tags).alias("close"))
+    def sorted_tags(given: Column) -> Column:
+        ends = F.transform(given["tags"], lambda t: F.startswith(t, F.lit("</")))
+        marked = F.zip_with(
+            given["placed"], ends,
+            lambda p, end: F.struct(
+                F.when(end, p["depth"] - 1).otherwise(p["depth"]).alias("depth"), p["at"].alias("at"), end.alias("ends")
+            ),
         )
-        return F.array_sort(F.concat(state["done"], rest))
+        return F.array_sort(F.filter(marked, lambda m: m["depth"] >= 0))
+
+    def paired(order: Column) -> Column:
+        beside = F.concat(F.slice(order, F.lit(2), F.size(order)), F.array(F.lit(None).cast("struct<depth:int,at:int,ends:boolean>")))
+        pairs = F.zip_with(
+            order, beside,
+            lambda one, other: F.when(
+                ~one["ends"],
+                F.struct(
+                    one["at"].alias("open"),
+                    F.when(other["ends"] & (other["depth"] == one["depth"]), other["at"]).alias("close"),
+                ),
+            ),
+        )
+        return F.array_sort(F.filter(pairs, lambda p: p.isNotNull()))
 
-    return F.aggregate(indexed, empty, step, finish)
+    found = _bound(
+        F.struct(tags.alias("tags"), _bound(sums, placed).alias("placed")),
+        lambda given: _bound(sorted_tags(given), paired),
+    )
+    return _bound(
+        F.size(tags),
+        lambda end: F.transform(
+            found, lambda p: F.struct(p["open"].alias("open"), F.coalesce(p["close"], end).alias("close"))
+        ),
+    )
 
 
 def element_bodies(html: Column, tag: str) -> Column:
@@ -89,13 +142,16 @@ def element_bodies(html: Column, tag: str) -> Column:
     pieces = F.split(html, _tag(tag), -1)
     tags = F.regexp_extract_all(html, F.lit(_tag(tag).replace("(?is)", "(?is)(", 1) + ")"), F.lit(1))
 
-    def body(span: Column) -> Column:
-        inside = F.slice(pieces, span["open"] + 2, span["close"] - span["open"])
-        between = F.slice(tags, span["open"] + 2, span["close"] - span["open"] - 1)
-        joined = F.zip_with(inside, between, lambda p, t: F.concat(p, F.coalesce(t, F.lit(""))))
-        return F.array_join(joined, "")
+    def bodies(page: Column) -> Column:
+        def body(span: Column) -> Column:
+            inside = F.slice(page["pieces"], span["open"] + 2, span["close"] - span["open"])
+            between = F.slice(page["tags"], span["open"] + 2, span["close"] - span["open"] - 1)
+            joined = F.zip_with(inside, between, lambda p, t: F.concat(p, F.coalesce(t, F.lit(""))))
+            return F.array_join(joined, "")
+
+        return F.transform(_spans(page["tags"]), body)
 
-    return F.transform(_spans(tags), body)
+    return F.when(html.isNotNull(), _bound(F.struct(pieces.alias("pieces"), tags.alias("tags")), bodies))
 
 
 def first_element(html: Column, tag: str) -> Column:
