@@ -1,12 +1,14 @@
 """Tables, views, exports and key lists.
 
-Every writer overwrites its own target, so a run that is repeated after a
-failure leaves the same files.
+Every writer replaces its own target, so a run that is repeated after a failure
+leaves the same files; tables and exports are whole at any time.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+import uuid
+
+from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.operators.neighbours import big_groups, with_group_rows
@@ -15,21 +17,67 @@ from ledgerloom.operators.neighbours import big_groups, with_group_rows
 MAX_FILE_ROWS = 5_000_000
 
 
+def _swap_in(spark: SparkSession, fresh: str, target: str) -> None:
+    """Put the folder ``fresh`` in the place of ``target``, by renames only.
+
+    Between the two renames there is no target for a moment; should the second
+    fail, the old one comes back.
+    """
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    new, place, old = hadoop(fresh), hadoop(target), hadoop(f"{fresh}-old")
+    files = new.getFileSystem(spark._jsc.hadoopConfiguration())
+    had = files.exists(place)
+    if had and not files.rename(place, old):
+        raise OSError(f"cannot move {target} out of the way")
+    if not files.rename(new, place):
+        if had:
+            files.rename(old, place)
+        raise OSError(f"cannot move the new table to {target}")
+    if had:
+        files.delete(old, True)
+
+
+def _replace_folder(writer: DataFrameWriter, spark: SparkSession, target: str) -> None:
+    """Write beside ``target`` and swap; a failed write leaves ``target`` as it was."""
+    target = target.rstrip("/")
+    parent, _, name = target.rpartition("/")
+    # Spark's readers pass over names with a leading underscore.
+    fresh = f"{parent}/_{name}-{uuid.uuid4().hex}"
+    try:
+        writer.mode("errorifexists").save(fresh)
+    except BaseException:
+        path = spark._jvm.org.apache.hadoop.fs.Path(fresh)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        raise
+    _swap_in(spark, fresh, target)
+
+
 def replace_table(
     df: DataFrame, target: str, fmt: str = "parquet", skip_empty: bool = False
 ) -> int:
     """Write ``df`` over the path or table ``target``; returns the rows written.
 
-    With ``skip_empty`` an empty result leaves the target as it was.
+    The new table is written beside the old one and takes its place when it is
+    whole, so a job that fails midway leaves the old table readable, and a table
+    can be replaced by a query on itself. With ``skip_empty`` an empty result
+    leaves the target as it was.
     """
     if skip_empty and df.isEmpty():
         return 0
+    spark = df.sparkSession
     seen = Observation()
-    writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").format(fmt)
+    writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.format(fmt)
     if "/" in target:
-        writer.save(target)
+        _replace_folder(writer, spark, target)
     else:
-        writer.saveAsTable(target)
+        fresh = f"{target}_{uuid.uuid4().hex}"
+        try:
+            writer.saveAsTable(fresh)
+        except BaseException:
+            spark.sql(f"DROP TABLE IF EXISTS {fresh}")
+            raise
+        spark.sql(f"DROP TABLE IF EXISTS {target}")
+        spark.sql(f"ALTER TABLE {fresh} RENAME TO {target}")
     return seen.get["rows"]
 
 
@@ -53,10 +101,10 @@ def export_queries(
         frames = frames if isinstance(frames, list) else [frames]
         for i, df in enumerate(frames, start=1):
             target = f"{folder.rstrip('/')}/{export_name(query, i, len(frames))}"
-            writer = df.write.mode("overwrite").format(fmt)
+            writer = df.write.format(fmt)
             if fmt == "csv":
                 writer = writer.options(header="true", quote='"', escape='"')
-            writer.save(target)
+            _replace_folder(writer, df.sparkSession, target)
             written.append(target)
     return written
 

@@ -11,9 +11,9 @@ from ledgerloom.functions.cells import strip
 from ledgerloom.functions.names import id_from_name
 from ledgerloom.functions.text import decode_text
 from ledgerloom.operators.joins import semi_join
+from ledgerloom.operators.positions import running_total
 from ledgerloom.session import settle
-
-CSV_OPTIONS = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"'}
+from ledgerloom.sources.records import parse_records, read_records
 
 
 def _or_empty(spark: SparkSession, schema: StructType, read) -> DataFrame:
@@ -26,11 +26,19 @@ def _or_empty(spark: SparkSession, schema: StructType, read) -> DataFrame:
 
 
 def read_csv_table(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame:
-    """A CSV table under an explicit schema; a missing file is an empty table."""
+    """A CSV table under an explicit schema, its files with a header each.
+
+    A missing file is an empty table. Cells in quotes may hold line ends; files
+    are read in blocks all the same.
+    """
     if isinstance(schema, str):
         schema = StructType.fromDDL(schema)
-    reader = spark.read.schema(schema).options(**CSV_OPTIONS)
-    return _or_empty(spark, schema, lambda: reader.csv(path))
+
+    def read() -> DataFrame:
+        records = read_records(spark, path).where(F.col("record_no") > 0)
+        return parse_records(records, schema.toDDL()).select("_row.*")
+
+    return _or_empty(spark, schema, read)
 
 
 def _in_file_order(df: DataFrame, position: str, kept: list[str]) -> DataFrame:
@@ -63,17 +71,11 @@ def _in_file_order(df: DataFrame, position: str, kept: list[str]) -> DataFrame:
     )
 
 
-def _widest_row(spark: SparkSession, glob: str, multi_line: bool) -> int:
+def _widest(rows: DataFrame, column: str) -> int:
     """Most cells of any row, quoted separators left out; an empty cell counts."""
-    lines = spark.read.text(glob, wholetext=multi_line)
-    # Quoted parts go first, so what is left of a row has no line ends but its own.
-    bare = F.regexp_replace("value", '"[^"]*+"', "")
-    rows = F.explode(F.split(bare, r"\r\n|\n|\r")) if multi_line else bare
-    commas = F.col("row")
-    counted = lines.select(rows.alias("row")).select(
-        F.max(F.length(commas) - F.length(F.replace(commas, F.lit(","), F.lit(""))))
-    )
-    return (counted.first()[0] or 0) + 1
+    bare = F.regexp_replace(column, '"[^"]*+"', "")
+    commas = F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit("")))
+    return (rows.agg(F.max(commas)).first()[0] or 0) + 1
 
 
 def read_sheets(
@@ -82,16 +84,24 @@ def read_sheets(
     """Sheets landed as header-less CSV to a grid with file name and row number.
 
     Every row has as many cells as the widest row of all the files, which is
-    looked up first unless ``width`` is given. Empty cells are NULL. Blank sheet rows must be landed as separators only,
-    since a CSV reader passes over empty lines. Line breaks inside cells need
-    ``multi_line``, which reads a file as one task; sheets of any size belong
-    in a splittable grid table.
+    looked up first unless ``width`` is given. Empty cells are NULL. Blank sheet
+    rows must be landed as separators only, since empty lines are passed over.
+    Line breaks inside cells need ``multi_line``; then lines have to meet their
+    records, at the price of a shuffle.
     """
-    columns = [f"c{i}" for i in range(width or _widest_row(spark, glob, multi_line))]
+    if multi_line:
+        records = read_records(spark, glob)
+        if width is None:  # read twice
+            records = settle(records, "sheet-records")
+            width = _widest(records, "record")
+        columns = [f"c{i}" for i in range(width)]
+        schema = ", ".join(f"{c} string" for c in columns)
+        return parse_records(records, schema).select(
+            "source_file", F.col("record_no").alias("row_idx"), F.array(*[f"_row.{c}" for c in columns]).alias("cells")
+        )
+    columns = [f"c{i}" for i in range(width or _widest(spark.read.text(glob), "value"))]
     schema = StructType([StructField(c, StringType()) for c in columns])
-    raw = spark.read.schema(schema).options(
-        quote='"', escape='"', multiLine=str(multi_line).lower()
-    ).csv(glob)
+    raw = spark.read.schema(schema).options(quote='"', escape='"').csv(glob)
     grid = _in_file_order(raw, "row_idx", [F.array(*columns).alias("cells")])
     return grid.select("source_file", "row_idx", "cells")
 
@@ -105,11 +115,8 @@ def read_id_list(spark: SparkSession, path: str) -> DataFrame:
 
     def read() -> DataFrame:
         lines = _in_file_order(spark.read.text(path), "seq", [strip(F.col("value")).alias("id")])
-        earlier = Window.orderBy("source_file").rowsBetween(Window.unboundedPreceding, -1)
-        # One row per file.
-        files = lines.groupBy("source_file").agg((F.max("seq") + 1).alias("_lines"))
-        files = settle(files, "id-files")
-        start = files.select("source_file", F.coalesce(F.sum("_lines").over(earlier), F.lit(0)).alias("_start"))
+        files = lines.groupBy("source_file").agg((F.max("seq") + 1).alias("_lines"))  # a row per file
+        start = running_total(files, "source_file", "_lines", "_start").select("source_file", "_start")
         return lines.join(start, "source_file").withColumn("seq", F.col("seq") + F.col("_start"))
 
     return _or_empty(spark, schema, read).where(F.col("id") != "").select("seq", "id")
