@@ -474,6 +474,19 @@ oracle("year_end_opinions", """SELECT q.gvkey, q.datacqtr, q.datadate, o.aof_qua
 # Offers and boards
 
 oracle("merged_offers", "SELECT * FROM merged")
+oracle("merged_offers_onto_parents", """SELECT * FROM (
+    WITH placed AS (SELECT *, trim(offer_location) AS loc, last_value(CASE WHEN trim(offer_location)
+            NOT IN ('(b)', '(c)') THEN rn END IGNORE NULLS) OVER (PARTITION BY stock_code ORDER BY rn
+            ROWS UNBOUNDED PRECEDING) AS parent
+        FROM (SELECT *, row_number() OVER (PARTITION BY stock_code ORDER BY seq, tie, funds_raised) AS rn FROM offers)),
+    received AS (SELECT stock_code, parent, max(funds_raised) FILTER (WHERE loc = '(b)') AS intl,
+            max(funds_raised) FILTER (WHERE loc = '(c)') AS sg
+        FROM placed WHERE loc IN ('(b)', '(c)') AND parent IS NOT NULL GROUP BY 1, 2)
+    SELECT p.stock_code, p.seq, p.tie, p.company,
+        CASE WHEN p.loc NOT IN ('(b)', '(c)') THEN p.funds_raised END AS funds_raised_hk,
+        r.intl AS funds_raised_intl, r.sg AS funds_raised_sg
+    FROM placed p LEFT JOIN received r ON r.stock_code = p.stock_code AND r.parent = p.rn
+    WHERE p.loc NOT IN ('(b)', '(c)') OR p.parent IS NULL)""")
 oracle("main_board_silver", """SELECT m.*, h.company company_isino, h.isin, h.stock_type,
     h.place_of_incorporation, h.national_agency, h.hkex_co_name
     FROM merged m JOIN hkex_isin h ON m.stock_code = h.stock_code""")
@@ -715,6 +728,13 @@ oracle("top_chunks", f"""WITH sums AS (SELECT document, vec_id, sqrt(sum(x * x))
     SELECT document, category, CAST(row_number() OVER best AS INT) AS rank, vec_id, score FROM scores
     WINDOW best AS (PARTITION BY document, category ORDER BY score DESC, vec_id)
     QUALIFY row_number() OVER best <= 2""")
+oracle("nearest_chunks", """SELECT query_id, CAST(row_number() OVER best AS INT) AS rank, vec_id, score FROM (
+        SELECT q.vec_id AS query_id, v.vec_id, round(list_dot_product(q.e, v.e)
+            / (sqrt(list_dot_product(q.e, q.e)) * sqrt(list_dot_product(v.e, v.e))), 6) AS score
+        FROM (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE vec_id % 50 = 0) q,
+            (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings) v)
+    WINDOW best AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
+    QUALIFY row_number() OVER best <= 5""")
 oracle("voted_labels", """WITH totals AS (SELECT vec_id // 7 AS document, label, CAST(sum(vec_id % 3 + 1) AS BIGINT) AS w
         FROM embeddings GROUP BY 1, 2)
     SELECT document, arg_max(label, w * 1000000 - label) AS label, round(max(w) / sum(w), 6) AS share,
@@ -730,6 +750,14 @@ oracle("document_preview", "SELECT doc_id, lang, n_chars FROM documents ORDER BY
 # Files
 
 oracle("csv_table_round_trip", "SELECT doc_id, text, lang FROM documents")
+oracle("quoted_records", """SELECT doc_id, length(text) - length(replace(text, chr(10), '')) + 1 AS n_lines
+    FROM documents""")
+oracle("table_replaced_from_itself", """SELECT o_orderkey, o_custkey, o_totalprice,
+        (SELECT count(*) FROM orders WHERE o_orderkey % 3 <> 0) AS reported
+    FROM orders WHERE o_orderkey % 3 <> 0""")
+oracle("order_positions", """SELECT l_orderkey, count(*) AS items, CAST(coalesce(sum(count(*)) OVER (
+        ORDER BY l_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS items_before
+    FROM lineitem GROUP BY l_orderkey""")
 oracle("replaced_table", """SELECT count(*) stored, CAST(sum(o_custkey) AS BIGINT) key_sum, count(*) reported
     FROM orders""")
 oracle("key_list_round_trip", """SELECT rank() OVER (ORDER BY l_suppkey) - 1 AS seq,

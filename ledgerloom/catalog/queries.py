@@ -20,10 +20,13 @@ from ledgerloom.operators import sets
 from ledgerloom.operators import silver as V
 from ledgerloom.operators import worklist as W
 from ledgerloom.operators.neighbours import with_neighbours
+from ledgerloom.operators.positions import running_total
+from ledgerloom.operators.similarity import nearest_vectors
 from ledgerloom.plans import bronze, build, releases, views
 from ledgerloom.session import scratch_path, settle
 from ledgerloom.sinks import files as sinks
 from ledgerloom.sources import files as sources
+from ledgerloom.sources.records import read_records
 from ledgerloom.streaming import flags as stream
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -232,6 +235,11 @@ def merged_offers(t):
     return V.merge_offer_rows(S.offers(t), S.OFFER_ORDER)
 
 
+@query
+def merged_offers_onto_parents(t):
+    return V.merge_offer_rows(S.offers(t), S.OFFER_ORDER, mode="parent")
+
+
 @query
 def main_board_silver(t):
     return V.merge_offer_rows(S.offers(t), S.OFFER_ORDER).transform(
@@ -680,6 +688,14 @@ def top_chunks(t):
     return C.top_chunks(_chunk_vectors(t), "document", "vec_id", "embedding", CATEGORIES, k=2)
 
 
+@query
+def nearest_chunks(t):
+    """Every fiftieth vector as a query against all of them."""
+    vectors = t.embeddings.select("vec_id", "embedding")
+    asked = vectors.where(F.col("vec_id") % 50 == 0).withColumnRenamed("vec_id", "query_id")
+    return nearest_vectors(vectors, asked, 5)[0]
+
+
 @query
 def voted_labels(t):
     weighted = _chunk_vectors(t).withColumn("weight", (F.col("vec_id") % 3 + 1).cast("bigint"))
@@ -712,6 +728,29 @@ def csv_table_round_trip(t):
     )
 
 
+@query
+def quoted_records(t):
+    """Documents as CSV with line ends in cells; the lines of each record as it stands in the files."""
+    target = scratch_path(t.spark, "records")
+    documents = t.documents.select("doc_id", "lang", F.col("text"))
+    sinks.export_queries({"select_documents": documents}, target)
+    records = read_records(t.spark, f"{target}/documents").where(F.col("record_no") > 0)
+    lines = F.size(F.split("record", "\n", -1))
+    return records.select(
+        F.split("record", ",", 2)[0].cast("bigint").alias("doc_id"),
+        lines.cast("bigint").alias("n_lines"),
+    )
+
+
+@query
+def table_replaced_from_itself(t):
+    target = scratch_path(t.spark, "table")
+    sinks.replace_table(t.orders.select("o_orderkey", "o_custkey", "o_totalprice"), target)
+    stored = t.spark.read.parquet(target)
+    rows = sinks.replace_table(stored.where("o_orderkey % 3 <> 0"), target)
+    return t.spark.read.parquet(target).withColumn("reported", F.lit(rows).cast("bigint"))
+
+
 @query
 def replaced_table(t):
     target = scratch_path(t.spark, "table")
@@ -728,6 +767,13 @@ def key_list_round_trip(t):
     return sources.read_id_list(t.spark, target)
 
 
+@query
+def order_positions(t):
+    """Line numbers over all orders, each order as many lines as it has items."""
+    sizes = t.lineitem.groupBy("l_orderkey").agg(F.count("*").alias("items"))
+    return running_total(sizes, "l_orderkey", "items", "items_before")
+
+
 @query
 def release_files_round_trip(t):
     target = scratch_path(t.spark, "releases")

@@ -9,6 +9,7 @@ from ledgerloom.functions import text as T
 from ledgerloom.functions.cells import strip
 from ledgerloom.functions.names import name_date, stem
 from ledgerloom.operators.joins import keep_listed, spread_join
+from ledgerloom.operators.sketches import key_filter, may_be_key
 from ledgerloom.operators.worklist import skip_done
 from ledgerloom.session import settle
 
@@ -78,13 +79,15 @@ def phrase_flags(documents: DataFrame, patterns: dict[str, str] | None = None) -
 def texts_for_paths(paths: DataFrame, documents: DataFrame, path: str = "pdf_path") -> DataFrame:
     """Text of each listed path by file stem; a missing or empty text gives no row.
 
-    The list is settled, so the planner sends a short one to the texts instead
-    of moving the texts to it.
+    The list is settled, so the planner sends a short one to the texts. Against a
+    long one the texts have to move; those that a filter of all listed names
+    rules out go in the task that reads them.
     """
     wanted = settle(paths.select(stem(F.col(path)).alias("document_name")), "wanted")
+    listed = settle(key_filter(wanted, "document_name"), "wanted-filter")
     texts = documents.where(F.length("text") > 0).select(
         stem(F.col("document_name")).alias("document_name"), "text"
-    )
+    ).where(may_be_key(listed, F.col("document_name")))
     return spread_join(texts, wanted.select(F.col("document_name").alias("_wanted")), [("document_name", "_wanted")], "inner")
 
 

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.cells import strip
 from ledgerloom.operators.joins import left_lookup
-from ledgerloom.operators.neighbours import WIDTH, with_neighbours
+from ledgerloom.operators.neighbours import WIDTH, running_last, with_neighbours
+
 
 def merge_offer_rows(
     df: DataFrame,
@@ -17,13 +18,21 @@ def merge_offer_rows(
     amount: str = "funds_raised",
     segments: list[str] | None = None,
     width: int = WIDTH,
+    mode: str = "above",
 ) -> DataFrame:
-    """Move the amounts of (b)/(c) rows onto the row of the same key just above.
+    """Move the amounts of (b)/(c) rows onto an earlier row of the same key.
 
     Rows come in the order of ``segments`` (the file, say) and then ``order``.
-    That row may itself be a (b) or (c) and go away, and its received amount
-    with it. A (b)/(c) row with nothing above it stays, without an own amount.
+    With ``mode="above"`` the receiver is the row just above. It may itself be a
+    (b) or (c) and go away, and its received amount with it. With
+    ``mode="parent"`` the receiver is the last row above that is neither, so that
+    no amount is lost; of several (b) or (c) rows of one parent the largest
+    amount counts. A (b)/(c) row without a receiver stays, without an own amount.
     """
+    if mode == "parent":
+        return _merge_onto_parents(df, order, key, marker, amount, segments, width)
+    if mode != "above":
+        raise ValueError(f"no such mode: {mode}")
     place = F.coalesce(strip(F.col(marker)), F.lit(""))
     rows = df.withColumns({"_place": place, "_amount": F.col(amount)})
     near = with_neighbours(
@@ -47,6 +56,27 @@ def merge_offer_rows(
     )
 
 
+def _merge_onto_parents(
+    df: DataFrame, order: list[str], key: str, marker: str, amount: str, segments: list[str] | None, width: int
+) -> DataFrame:
+    place = F.coalesce(strip(F.col(marker)), F.lit(""))
+    own = F.struct(*(segments or []), *order)
+    parent = F.when(~place.isin("(b)", "(c)"), own)
+    rows = running_last(df, [key], order, parent, "_parent", segments, width)
+    # A parent and what continues it; the amounts combine before they shuffle.
+    continues = place.isin("(b)", "(c)") & F.col("_parent").isNotNull()
+    received = rows.where(continues).groupBy(F.col(key).alias("_key"), F.col("_parent").alias("_to")).agg(
+        F.max(F.when(place == "(b)", F.col(amount))).alias("funds_raised_intl"),
+        F.max(F.when(place == "(c)", F.col(amount))).alias("funds_raised_sg"),
+    )
+    stays = rows.where(~continues).withColumn("_own", own)
+    same = F.col(key).eqNullSafe(F.col("_key")) & (F.col("_own") == F.col("_to"))
+    hk = F.when(~place.isin("(b)", "(c)"), F.col(amount))
+    joined = stays.join(received, same, "left")
+    kept = [c for c in df.columns if c not in (amount, marker)]
+    return joined.select(*kept, hk.alias("funds_raised_hk"), "funds_raised_intl", "funds_raised_sg")
+
+
 def build_isin_master(agency: DataFrame, exchange: DataFrame, names: DataFrame) -> DataFrame:
     """Both identifier lists with the official short names.
 

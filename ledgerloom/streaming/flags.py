@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerloom.functions.text import decode_text
-from ledgerloom.operators.latest import one_per_group
 from ledgerloom.operators.reports import phrase_flags, slice_documents
-from ledgerloom.operators.worklist import skip_done
+
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def document_stream(spark: SparkSession, folder: str) -> DataFrame:
@@ -26,38 +27,56 @@ def document_stream(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def first_arrivals(flags: DataFrame) -> DataFrame:
+    """Flags of the documents whose name no earlier batch of the stream has had.
+
+    The state holds, per name, the flags and the batch they came with, and when
+    the name was last seen. A batch looks up its own names and nothing else. Of
+    several documents with one name in a batch the least flags stay.
+    """
+    rest = [c for c in flags.columns if c != "document_name"]
+    # The time of a micro-batch is one for all its rows, and the same when it is replayed.
+    arrived = flags.withColumn("_at", F.current_timestamp())
+    seen = arrived.groupBy("document_name").agg(
+        F.min(F.struct("_at", *rest)).alias("_first"), F.max("_at").alias("_last")
+    )
+    new = seen.where(F.col("_first._at") == F.col("_last"))
+    return new.select("document_name", *[F.col(f"_first.{c}").alias(c) for c in rest])
+
+
 def flag_stream(
     documents: DataFrame, out: str, checkpoint: str, patterns: dict[str, str] | None = None
 ) -> StreamingQuery:
     """Slice and flag every arriving document once, into the table folder ``out``.
 
-    Each micro-batch owns the folder ``batch_id=<n>`` and overwrites it, so a
-    batch that is replayed after a failure replaces its own rows; documents
-    already in an earlier batch are skipped.
+    Which names are done is kept in a state store on the executors' disks and in
+    ``checkpoint``, so a batch costs what arrives with it, however much came
+    before. Flags shuffle to the state, texts do not; a document delivered again
+    is flagged again and then left out. Each micro-batch owns the folder
+    ``batch_id=<n>`` and overwrites it, so a batch that is replayed after a
+    failure replaces its own rows.
     """
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        fresh = skip_done(batch, _earlier(spark, out, batch_id))
-        flags = phrase_flags(slice_documents(fresh), patterns)
-        # Of files with one name the flags meet, not the texts; the order is total.
-        rest = [c for c in flags.columns if c != "document_name"]
-        flags = one_per_group(flags, ["document_name"], rest).select(*flags.columns)
-        flags.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
-
-    return (
-        documents.writeStream.foreachBatch(write_batch)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-
+        batch.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 
-def _earlier(spark: SparkSession, out: str, batch_id: int) -> DataFrame:
-    if batch_id == 0:
-        return spark.createDataFrame([], "document_name string")
-    done = spark.read.schema("document_name string, batch_id bigint").parquet(out)
-    return done.where(F.col("batch_id") < batch_id).select("document_name")
+    spark = documents.sparkSession
+    flags = first_arrivals(phrase_flags(slice_documents(documents), patterns))
+    before = spark.conf.get(STATE_STORE, None)
+    spark.conf.set(STATE_STORE, ROCKS)
+    try:  # a query keeps the settings it starts with
+        return (
+            flags.writeStream.foreachBatch(write_batch)
+            .outputMode("update")
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )
+    finally:
+        if before is None:
+            spark.conf.unset(STATE_STORE)
+        else:
+            spark.conf.set(STATE_STORE, before)
 
 
 def read_flags(spark: SparkSession, out: str) -> DataFrame:
