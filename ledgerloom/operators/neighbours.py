@@ -9,6 +9,8 @@ is the plain window.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -146,12 +148,17 @@ def running_last(
         ranged.where(F.col(RANGE).isNotNull())
         .groupBy(*keys, RANGE)
         .agg(F.max_by("_value", place).alias("_end"))
-        .select(*keys, RANGE, F.last("_end", ignorenulls=True).over(earlier).alias("_carry"))
+        .select(
+            *[F.col(k).alias(f"_of_{k}") for k in (*keys, RANGE)],
+            F.last("_end", ignorenulls=True).over(earlier).alias("_carry"),
+        )
     )
+    # NULL is a group like the others.
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in (*keys, RANGE)])
     found = (
         ranged.withColumn("_near", F.last("_value", ignorenulls=True).over(within))
-        .join(carried, [*keys, RANGE], "left")
+        .join(carried, same, "left")
         .withColumn(name, F.coalesce("_near", "_carry"))
-        .drop("_value", "_near", "_carry")
+        .drop("_value", "_near", "_carry", *[f"_of_{k}" for k in (*keys, RANGE)])
     )
     return found if is_cut else found.drop(RANGE)
