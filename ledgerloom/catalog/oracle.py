@@ -591,6 +591,7 @@ def _date(name: str) -> str:
 
 
 oracle("opinion_phrase_flags", _flags("sliced"))
+oracle("opinion_flags_in_sql", _flags("sliced"))
 oracle("unclear_opinions", f"""SELECT *, CAST(qualified_opinion + adverse_opinion + disclaimer_of_opinion <> 1
     AS INT) unclear FROM ({_flags("reports")})""")
 oracle("folded_texts", r"""SELECT doc_id, lower(regexp_replace(regexp_replace(text, '[^\x00-\x7F]', '', 'g'),
@@ -766,6 +767,35 @@ oracle("release_files_round_trip", "SELECT * FROM release_summary")
 oracle("landed_sheets", """SELECT CAST(c_custkey AS VARCHAR) || '|' || c_name || '|-|' || c_mktsegment || ',|'
     || (SELECT string_agg(CAST(range AS VARCHAR), '|' ORDER BY range) FROM range(40)) AS cells,
     1 AS in_order FROM customer""")
+
+
+def _cells(export: str, columns: str, source: str) -> str:
+    shown = ", ".join(
+        f"'{c}=' || coalesce(nullif(CAST({c} AS VARCHAR), ''), '-')" for c in sorted(columns.split())
+    )
+    return f"SELECT '{export}' AS export, concat_ws('|', {shown}) AS line FROM ({source})"
+
+
+_DATASET = "hkex_stock_code hkex_stock_type hkex_full_name " + " ".join(f"cs_{c}" for c in FIRM)
+_DOCUMENTS = (
+    "har_stock_code har_announcement_date har_hyperlink har_pdf_path hkex_stock_type hkex_full_name "
+    "aof_document_id aof_report_date aof_qualified_op aof_adverse_op aof_disclaimer_op aof_emphasis_op "
+    "aof_material_unc_op"
+)
+oracle("export_set_contents", " UNION ALL ".join([
+    _cells("hkex_dataset", _DATASET, "SELECT * FROM dataset WHERE cs_fyearq >= 1998"),
+    _cells("hkex_document_dataset", _DOCUMENTS, "SELECT * FROM document_set WHERE aof_report_date >= '2014-01-01'"),
+    _cells("hkex_dataset_hkex_document_exists", _DATASET, """SELECT * FROM dataset hd
+        WHERE cs_fyearq >= 1998 AND EXISTS (SELECT 1 FROM document_set doc
+            WHERE doc.har_stock_code = hd.hkex_stock_code
+            AND (doc.har_announcement_date >= '2014-01-01' OR doc.aof_report_date >= '2014-01-01'))"""),
+    _cells("hkex_isin", "company isin stock_code stock_type place_of_incorporation national_agency hkex_co_name",
+           "SELECT * FROM hkex_isin"),
+    _cells("non_match_funda_q_170", "gvkey isin conm", """SELECT DISTINCT gvkey, isin, conm FROM funda_q_170 f
+        WHERE NOT EXISTS (SELECT 1 FROM master h WHERE h.isin = f.isin)"""),
+    _cells("non_match_hkex_isin", "stock_code isin company stock_type", """SELECT * FROM master h
+        WHERE NOT EXISTS (SELECT 1 FROM funda_q_170 f WHERE f.isin = h.isin)"""),
+]))
 oracle("export_set_rows", """SELECT 'hkex_dataset' AS export, count(*) AS rows FROM dataset WHERE cs_fyearq >= 1998
     UNION ALL SELECT 'hkex_document_dataset', count(*) FROM document_set WHERE aof_report_date >= '2014-01-01'
     UNION ALL SELECT 'hkex_dataset_hkex_document_exists', count(*) FROM dataset hd

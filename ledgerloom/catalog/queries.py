@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.catalog import shapes as S
 from ledgerloom.functions import cells, codes, names, text
+from ledgerloom.functions.named import register_functions
 from ledgerloom.operators import chunks as C
 from ledgerloom.operators import grid as G
 from ledgerloom.operators import joins as J
@@ -404,6 +405,16 @@ def opinion_phrase_flags(t):
     return R.phrase_flags(R.slice_documents(S.reports(t)))
 
 
+@query
+def opinion_flags_in_sql(t):
+    """The same flags by the functions that SQL users have."""
+    register_functions(t.spark)
+    R.slice_documents(S.reports(t)).createOrReplaceTempView("sliced_reports_to_flag")
+    return t.spark.sql("""
+        SELECT document_name, report_date(document_name) AS report_date, flags.*
+        FROM (SELECT document_name, flag_opinion(text) AS flags FROM sliced_reports_to_flag WHERE text <> '')""")
+
+
 @query
 def unclear_opinions(t):
     flags = R.phrase_flags(S.reports(t))
@@ -804,8 +815,7 @@ def landed_sheets(t):
     )
 
 
-@query
-def export_set_rows(t):
+def _written_exports(t) -> list[str]:
     target = scratch_path(t.spark, "exports")
     tables = {
         "hkex_main": S.hkex_main(t), "hkex_gem": S.hkex_gem(t), "hkex_isin": S.hkex_isin(t),
@@ -819,15 +829,34 @@ def export_set_rows(t):
         read("hkex_dataset"), read("hkex_document_dataset"), tables["hkex_isin"],
         read("non_match_funda_q_170"), read("non_match_hkex_isin"), first_year=1998,
     )
+    return sinks.export_queries(exports, target)
+
+
+def _export(t, path: str) -> DataFrame:
+    return t.spark.read.options(header="true", multiLine="true", quote='"', escape='"').csv(path)
+
+
+@query
+def export_set_rows(t):
     counts = [
-        t.spark.read.options(header="true", multiLine="true", quote='"', escape='"')
-        .csv(path).agg(F.count("*").alias("rows"))
+        _export(t, path).agg(F.count("*").alias("rows"))
         .select(F.lit(path.rsplit("/", 1)[1]).alias("export"), "rows")
-        for path in sinks.export_queries(exports, target)
+        for path in _written_exports(t)
     ]
     return sets.union_all(counts)
 
 
+@query
+def export_set_contents(t):
+    """Every cell of the six exports as it stands in the files."""
+    lines = []
+    for path in _written_exports(t):
+        export = _export(t, path)
+        cells = [F.concat(F.lit(f"{c}="), F.coalesce(c, F.lit("-"))) for c in sorted(export.columns)]
+        lines.append(export.select(F.lit(path.rsplit("/", 1)[1]).alias("export"), F.concat_ws("|", *cells).alias("line")))
+    return sets.union_all(lines)
+
+
 @query
 def streamed_flags(t):
     base = scratch_path(t.spark, "stream")
