@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.batches import bound_batches
+from ledgerloom.llm.sending import received, send
 from ledgerloom.llm.words import (
     LOWER,
     Hasher,
@@ -55,10 +56,8 @@ REPORTS = (
 # Stems are the first 3 to 10 bytes of a word, or the whole word.
 STEM_BYTES = range(3, 11)
 WHOLE = 0x5851F42D4C957F2D
-# Bounds: labelled rows of either label learned from, stems looked at, stems kept.
+# Bound of the labelled rows of either label that are learned from.
 SAMPLE_ROWS = 4000
-CANDIDATES = 20_000
-STEMS = 4000
 # A stem has to occur in this many toxic documents, this share of them, and this
 # many times as often there as in the others.
 LEAST_DOCS = 3
@@ -77,15 +76,16 @@ class Transducer(NamedTuple):
     marks: list[int]
 
 
-def noticing(symbol: int, bit: int, before: int | None = None) -> Transducer:
-    """Marks ``bit`` once the symbol is read; with ``before``, only ahead of that symbol."""
+def noticing(symbol: int, bit: int, before: tuple[int, ...] = ()) -> Transducer:
+    """Marks ``bit`` once the symbol is read; with ``before``, only ahead of those symbols."""
     arcs = [[0] * 6, [1] * 6]
     arcs[0][symbol] = 1
     marks = [0, bit]
-    if before is not None:
+    if before:
         arcs.append([2] * 6)  # too late
         marks.append(0)
-        arcs[0][before] = 2
+        for late in before:
+            arcs[0][late] = 2
     return Transducer(arcs, marks)
 
 
@@ -107,8 +107,8 @@ GRAMMAR = compose(
         noticing(INSULT, INSULTED),
         noticing(THREAT, THREATENED),
         noticing(TARGET, TARGETED),
-        noticing(NEGATION, NEGATED, before=INSULT),
-        noticing(REPORT, REPORTED, before=INSULT),
+        noticing(NEGATION, NEGATED, before=(INSULT, THREAT)),
+        noticing(REPORT, REPORTED, before=(INSULT, THREAT)),
     ]
 )
 KINDS = 32
@@ -154,7 +154,7 @@ def read_texts(data: np.ndarray, offsets: np.ndarray) -> Texts:
     data = LOWER[data]
     hasher = Hasher(data)
     words = split_words(data, offsets, hasher)
-    start, end = words.start.copy(), words.end.copy()
+    start, end = words.start, words.end
     count = len(start)
     breaks = np.zeros(count, dtype=bool)
     if count:
@@ -163,9 +163,13 @@ def read_texts(data: np.ndarray, offsets: np.ndarray) -> Texts:
         breaks[1:] |= lines[words.start[1:]] != lines[words.end[:-1]]
         opens = words.first[:-1]
         breaks[opens[opens < count]] = True
-        for _ in range(8):  # more punctuation than this at an end stays
-            start[(start < end) & EDGES[data[np.minimum(start, len(data) - 1)]]] += 1
-            end[(start < end) & EDGES[data[end - 1]]] -= 1
+        # The next and the last byte that is no punctuation, seen from each byte.
+        place = np.arange(len(data))
+        inner = ~EDGES[data]
+        after = np.minimum.accumulate(np.where(inner, place, len(data))[::-1])[::-1]
+        ahead = np.maximum.accumulate(np.where(inner, place, -1))
+        start = np.minimum(after[words.start], words.end)
+        end = np.maximum(ahead[words.end - 1] + 1, start)
     return Texts(words.first, start, end, np.cumsum(breaks), hasher)
 
 
@@ -291,32 +295,26 @@ def _sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, labe
     return settle(once.select("text", "toxic"), "toxicity-sample")
 
 
-def _stem_counts(known: np.ndarray | None):
-    """Documents per stem; with ``known``, of those stems only."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            data, offsets = text_bytes(batch.column(0))
-            for a, z in chunks(offsets, CHUNK):
-                texts = read_texts(data[offsets[a] : offsets[z]], offsets[a : z + 1] - offsets[a])
-                owner = np.repeat(np.arange(z - a, dtype=np.uint64), np.diff(texts.first))
-                kept = []
-                for words, hashes in stem_hashes(texts):
-                    pairs = np.stack([hashes, owner[words]], axis=1)
-                    if known is not None:
-                        pairs = pairs[np.isin(hashes, known)]
-                    kept.append(pairs)
-                pairs = np.concatenate(kept)
-                order = np.lexsort((pairs[:, 1], pairs[:, 0]))
-                pairs = pairs[order]
-                new = np.ones(len(pairs), dtype=bool)
-                new[1:] = (pairs[1:] != pairs[:-1]).any(axis=1)
-                stems, times = np.unique(pairs[new, 0], return_counts=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(stems.view(np.int64)), pa.array(times.astype(np.int64))], ["stem", "n"]
-                )
-
-    return count
+def _stem_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Toxic and other documents per stem, of ``text, toxic``."""
+    for batch in batches:
+        data, offsets = text_bytes(batch.column(0))
+        toxic = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
+        for a, z in chunks(offsets, CHUNK):
+            texts = read_texts(data[offsets[a] : offsets[z]], offsets[a : z + 1] - offsets[a])
+            owner = np.repeat(np.arange(z - a, dtype=np.uint64), np.diff(texts.first))
+            pairs = np.concatenate(
+                [np.stack([hashes, owner[words]], axis=1) for words, hashes in stem_hashes(texts)]
+            )
+            pairs = pairs[np.lexsort((pairs[:, 1], pairs[:, 0]))]
+            new = np.ones(len(pairs), dtype=bool)
+            new[1:] = (pairs[1:] != pairs[:-1]).any(axis=1)
+            stems, of = np.unique(pairs[new, 0], return_inverse=True)
+            label = toxic[a:z][pairs[new, 1].astype(np.int64)]
+            counts = [np.bincount(of[label == side], minlength=len(stems)) for side in (1, 0)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(stems.view(np.int64)), *map(pa.array, counts)], ["stem", "inside", "outside"]
+            )
 
 
 class ToxicityModel(NamedTuple):
@@ -336,8 +334,9 @@ def fit_toxicity(
 
     Labels other than 0 and 1 are left out, several labels of a document count
     as their maximum. Without texts of both labels the listed words and prior
-    weights stay. At most twice ``SAMPLE_ROWS`` texts are read for it; counts of
-    at most ``CANDIDATES`` stems and one feature row per sampled text come to
+    weights stay. At most twice ``SAMPLE_ROWS`` texts are read for it.
+    Stems are counted and picked by Spark; those that tell toxic texts from
+    others, which the sample bounds, and one feature row per sampled text come to
     the driver.
     """
     bound_batches(docs.sparkSession)
@@ -345,26 +344,16 @@ def fit_toxicity(
     sizes = {row.toxic: row["count"] for row in sample.groupBy("toxic").count().collect()}
     if len(sizes) < 2:
         return ToxicityModel(seeds(), PRIOR)
-    schema = "stem bigint, n bigint"
-    toxic, clean = sample.where("toxic = 1").select("text"), sample.where("toxic = 0").select("text")
     least = max(LEAST_DOCS, LEAST_SHARE * sizes[1])
-    common = (
-        toxic.mapInArrow(_stem_counts(None), schema).groupBy("stem").agg(F.sum("n").alias("n"))
-        .where(F.col("n") >= least).orderBy(F.desc("n"), "stem").limit(CANDIDATES).collect()
-    )
-    stems = np.array([row.stem for row in common], dtype=np.int64).view(np.uint64)
-    inside = np.array([row.n for row in common], dtype=float)
-    outside = {
-        row.stem: row.n
-        for row in clean.mapInArrow(_stem_counts(stems), schema).groupBy("stem").agg(F.sum("n").alias("n")).collect()
-    }
-    others = np.array([outside.get(row.stem, 0) for row in common], dtype=float)
-    ratio = ((inside + 0.5) / (sizes[1] + 1)) / ((others + 0.5) / (sizes[0] + 1))
-    kept = np.flatnonzero(ratio >= LEAST_RATIO)
-    kept = kept[np.argsort(-ratio[kept], kind="stable")][:STEMS]
+    counts = sample.select("text", "toxic").mapInArrow(_stem_counts, "stem bigint, inside bigint, outside bigint")
+    counts = counts.groupBy("stem").agg(F.sum("inside").alias("inside"), F.sum("outside").alias("outside"))
+    ratio = ((F.col("inside") + 0.5) / (sizes[1] + 1)) / ((F.col("outside") + 0.5) / (sizes[0] + 1))
+    telling = counts.where(F.col("inside") >= least).select("stem", ratio.alias("ratio"))
+    found = telling.where(F.col("ratio") >= LEAST_RATIO).orderBy("stem").toArrow()
+    stems = found.column("stem").to_numpy().view(np.uint64)
     base = seeds()
     odds = dict(zip(base.hashes.tolist(), base.odds.tolist()))
-    odds.update(zip(stems[kept].tolist(), np.log(ratio[kept]).tolist()))
+    odds.update(zip(stems.tolist(), np.log(found.column("ratio").to_numpy()).tolist()))
     hashes = np.array(sorted(odds), dtype=np.uint64)
     lexicon = Lexicon(hashes, np.array([odds[int(h)] for h in hashes]))
     classes = word_classes()
@@ -392,10 +381,10 @@ def score_toxicity(
     given = docs.select(*kept)
     position = kept.index(text_col)
     schema = given.withColumn(into, F.lit(0.0)).schema
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    sent = send(docs.sparkSession.sparkContext, model)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lexicon, weights = sent.value
+        lexicon, weights = received(sent)
         classes = word_classes()
         for batch in batches:
             x = features_of(batch.column(position), lexicon, classes)

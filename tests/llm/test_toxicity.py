@@ -1,4 +1,5 @@
 import os
+import random
 
 import numpy as np
 import pyarrow as pa
@@ -67,3 +68,44 @@ def test_held_out(spark):
     toxic = [r.predicted for r in rows if r.toxic]
     clean = [r.predicted for r in rows if not r.toxic]
     assert np.mean(toxic) > 0.85 and np.mean(clean) < 0.03
+
+
+def test_marks_around_a_word_are_no_part_of_it():
+    plain = kinds("you are an idiot")
+    for end in ("!" * 10, "!" * 5000, "?!" * 400, "..." * 30):
+        assert kinds("you are an " + "\"'(" * 50 + "idiot" + end) == plain
+    assert kinds("!!!! ??? " + "." * 300) == {}
+
+
+def test_words_lose_all_marks_at_their_ends():
+    text = "--a!!b-- \"'x'\" ... é?! (y)z) " + "#" * 99 + "q"
+    data, offsets = tox.text_bytes(pa.array([text]))
+    words = tox.read_texts(data, offsets)
+    marks = "!\"#&'()*,-.:;<=>?@[\\]^_`{|}~$%+/"
+    found = [bytes(data[a:z]).decode() for a, z in zip(words.start, words.end)]
+    assert found == [w.strip(marks) for w in text.split()]
+
+
+def test_negation_has_to_come_first():
+    threat = tox.THREATENED | tox.TARGETED
+    assert kinds("I will not hurt you") == {threat | tox.NEGATED: 1}
+    assert kinds("I will hurt you not") == {threat: 1}
+    assert kinds("she said she would hurt you") == {threat | tox.REPORTED: 1}
+    assert kinds("hurt you she said") == {threat: 1}
+
+
+def test_rare_telling_stems_are_not_cut_off(spark):
+    """Far more stems in the toxic texts than telling ones, which are the rarest of them."""
+    words = [f"{a}{b}{c}word" for a in "bcdfghklmn" for b in "aeiou" for c in "bcdfghklmnprstvw"]
+    docs, labels = [], []
+    rnd = random.Random(1)
+    for i in range(400):
+        toxic = i % 2
+        text = " ".join(rnd.choices(words, k=200))
+        docs.append((i, text + (" vexzorp" if toxic and i % 8 == 1 else ""), "en", "a"))
+        labels.append((i, toxic))
+    model = tox.fit_toxicity(
+        documents(spark, docs, False), spark.createDataFrame(labels, "doc_id bigint, toxic int"), F.lit(True)
+    )
+    whole = np.uint64(tox.hash_bytes(b"vexzorp")) ^ np.uint64(tox.WHOLE)
+    assert whole in model.lexicon.hashes
