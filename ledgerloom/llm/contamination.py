@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.batches import bound_batches
+from ledgerloom.llm.sending import received, send
 from ledgerloom.llm.words import (
     CHUNK,
     LOWER,
@@ -276,7 +277,7 @@ def find_leaks(
 
     def search(sent):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            bench = sent.value
+            bench = received(sent)
             for batch in batches:
                 data, offsets = text_bytes(batch.column(position))
                 earlier = batch.column(len(kept)).to_pylist()
@@ -300,13 +301,13 @@ def find_leaks(
     for row in items.orderBy("id", "text").toLocalIterator():
         words = len(row.text.split())
         if ids and size + words > block_words:
-            out = out.mapInArrow(search(context.broadcast(index_items(ids, texts))), schema)
+            out = out.mapInArrow(search(send(context, index_items(ids, texts))), schema)
             ids, texts, size = [], [], 0
         ids.append(row.id)
         texts.append(row.text)
         size += words
     if ids:
-        out = out.mapInArrow(search(context.broadcast(index_items(ids, texts))), schema)
+        out = out.mapInArrow(search(send(context, index_items(ids, texts))), schema)
     return out
 
 

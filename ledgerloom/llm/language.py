@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.batches import bound_batches
+from ledgerloom.llm.sending import received, send
 from ledgerloom.session import settle
 
 # Families of languages. A language without one is its own family.
@@ -202,11 +203,11 @@ def identify_languages(
     position = kept.index(text_col)
     lettered = F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False))
     schema = given.withColumns({into: F.lit(""), score_into: F.lit(0.0)}).schema
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    sent = send(docs.sparkSession.sparkContext, model)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = letter_table()
-        model = sent.value
+        model = received(sent)
         for batch in batches:
             flags = batch.column(len(kept)).to_numpy(zero_copy_only=False)
             column = batch.column(position)
