@@ -764,6 +764,8 @@ oracle("replaced_table", """SELECT count(*) stored, CAST(sum(o_custkey) AS BIGIN
 oracle("key_list_round_trip", """SELECT rank() OVER (ORDER BY l_suppkey) - 1 AS seq,
     CAST(l_suppkey AS VARCHAR) AS id FROM (SELECT DISTINCT l_suppkey FROM lineitem)""")
 oracle("release_files_round_trip", "SELECT * FROM release_summary")
+oracle("document_files_round_trip", """SELECT CAST(doc_id AS VARCHAR) AS document_name, coalesce(text, '') AS text,
+    CAST(NULL AS VARCHAR) AS error FROM documents""")
 oracle("landed_sheets", """SELECT CAST(c_custkey AS VARCHAR) || '|' || c_name || '|-|' || c_mktsegment || ',|'
     || (SELECT string_agg(CAST(range AS VARCHAR), '|' ORDER BY range) FROM range(40)) AS cells,
     1 AS in_order FROM customer""")

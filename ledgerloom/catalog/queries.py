@@ -794,6 +794,21 @@ def release_files_round_trip(t):
     ).csv(target)
 
 
+@query
+def document_files_round_trip(t):
+    """A file per document, those in Latin-1 that cannot be taken for UTF-8, and back."""
+    target = scratch_path(t.spark, "documents")
+    documents = t.documents.select(F.col("doc_id").cast("string").alias("document_name"), "text")
+    fits = F.col("text").rlike(r"\A[\x00-\xFF]*\z")
+    latin = F.encode(F.when(fits, F.col("text")).otherwise(F.lit("")), "ISO-8859-1").cast("string")
+    marked = documents.withColumn("_latin", F.coalesce(fits & ~F.is_valid_utf8(latin), F.lit(False)))
+    back = []
+    for encoding, rows in (("UTF-8", marked.where("NOT _latin")), ("ISO-8859-1", marked.where("_latin"))):
+        sinks.write_documents(rows.drop("_latin"), f"{target}/{encoding}", encoding=encoding)
+        back.append(sources.read_written_documents(t.spark, f"{target}/{encoding}"))
+    return sets.union_all(back)
+
+
 @query
 def landed_sheets(t):
     target = scratch_path(t.spark, "sheets")

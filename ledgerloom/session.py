@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,6 +37,8 @@ def build_session(
 
 
 _LOCAL_SCRATCH: dict[str, str] = {}
+# Folders handed out, for each open `scratch_scope`, the innermost last.
+_SCOPES: list[list[str]] = []
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -52,7 +56,30 @@ def scratch_path(spark: SparkSession, label: str) -> str:
         if app not in _LOCAL_SCRATCH:
             _LOCAL_SCRATCH[app] = tempfile.mkdtemp(prefix="ledgerloom-")
         base = _LOCAL_SCRATCH[app]
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    for scope in _SCOPES:
+        scope.append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete, at the end, the scratch folders that were made inside.
+
+    Results read from them have to be written or collected by then::
+
+        with scratch_scope(spark):
+            classified_firm_quarters(...).write.parquet(target)
+    """
+    made: list[str] = []
+    _SCOPES.append(made)
+    try:
+        yield
+    finally:
+        _SCOPES.remove(made)
+        for name in made:
+            path = spark._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def settle(df: DataFrame, label: str) -> DataFrame:

@@ -162,3 +162,33 @@ def write_per_key(df: DataFrame, target: str, key: str = "stock_id", fmt: str =
         .save(target)
     )
 
+
+def write_documents(
+    df: DataFrame, folder: str, name: str = "document_name", text: str = "text", encoding: str = "UTF-8"
+) -> int:
+    """One file per row in ``folder/files``, and the list of those that count in ``folder/list``.
+
+    A document's file lies in a folder of its name and holds its text and one line
+    end; NULL is the empty text. The list has the name, bytes and SHA-256 of each.
+    Both replace what was there when they are whole. A missing name, a name that
+    two rows have and a character that ``encoding`` lacks fail the job. Returns the
+    number of documents. For millions of documents a table serves better.
+    """
+    spark = df.sparkSession
+    named = F.coalesce(F.col(name).cast("string"), F.raise_error(F.lit("a document without a name")))
+    bodies = df.select(
+        named.alias("document_name"), F.encode(F.coalesce(text, F.lit("")), encoding).alias("_body")
+    )
+    once = F.when(F.count("*") == 1, F.max(F.length("_body"))).otherwise(
+        F.raise_error(F.concat(F.lit("two documents named "), F.col("document_name"))).cast("int")
+    )
+    listed = bodies.groupBy("document_name").agg(
+        once.cast("bigint").alias("bytes"), F.max(F.sha2("_body", 256)).alias("digest")
+    )
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # The bytes go through as they are, whatever the encoding.
+    lines = bodies.select("document_name", F.col("_body").cast("string").alias("value")).repartition(tasks, "document_name")
+    target = folder.rstrip("/")
+    count = replace_table(listed, f"{target}/list")
+    _replace_folder(lines.write.partitionBy("document_name").format("text"), spark, f"{target}/files")
+    return count

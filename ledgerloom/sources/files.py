@@ -132,6 +132,30 @@ def read_documents(spark: SparkSession, glob: str) -> DataFrame:
     )
 
 
+def read_written_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """``document_name, text, error`` of the documents that ``sinks.files.write_documents`` lists.
+
+    The text is decoded as UTF-8 or else Latin-1. ``error`` is NULL where the file
+    holds what the list says; otherwise it says what is wrong, and the text is
+    NULL. Files that are not on the list do not count.
+    """
+    base = folder.rstrip("/")
+    listed = spark.read.parquet(f"{base}/list")
+    schema = "path string, modificationTime timestamp, length bigint, content binary, document_name string"
+    files = spark.read.format("binaryFile").schema(schema).load(f"{base}/files")
+    body = F.substring("content", F.lit(1), F.col("bytes").cast("int"))
+    whole = (F.col("length") == F.col("bytes") + 1) & (F.sha2("_body", 256) == F.col("digest"))
+    found = files.join(listed, "document_name").withColumn("_body", body).select(
+        "document_name",
+        F.when(whole, decode_text(F.col("_body"))).alias("text"),
+        F.when(~whole, F.lit("not as it was written")).alias("error"),
+    )
+    absent = listed.join(files.select("document_name"), "document_name", "left_anti").select(
+        "document_name", F.lit(None).cast("string").alias("text"), F.lit("not there").alias("error")
+    )
+    return found.unionByName(absent)
+
+
 def ids_from_file_names(
     spark: SparkSession, glob: str, prefix: str = "press_releases_", suffix: str = ".csv"
 ) -> DataFrame:

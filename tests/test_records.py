@@ -2,6 +2,7 @@
 
 import csv
 import io
+import os
 import random
 
 import pytest
@@ -9,6 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from ledgerloom.session import scratch_scope, settle
 from ledgerloom.sinks import files as sinks
 from ledgerloom.sources import files as sources
 from ledgerloom.sources.records import read_records
@@ -123,3 +125,46 @@ def test_a_failed_export_leaves_the_old_one(spark, rows, tmp_path):
     with pytest.raises(Exception, match="lost"):
         sinks.export_queries({"select_a": failing(spark.range(9))}, str(tmp_path))
     assert rows(sources.read_csv_table(spark, f"{tmp_path}/a", "id bigint")) == [(0,), (1,), (2,)]
+
+
+def test_documents_as_files(spark, rows, tmp_path):
+    target = str(tmp_path / "docs")
+    data = [("007", "two\nlines\n"), ("a/b c+d%", "é審"), ("z=1", ""), ("none", None)]
+    df = spark.createDataFrame(data, "document_name string, text string")
+    assert sinks.write_documents(df, target) == 4
+    want = sorted((n, t or "", None) for n, t in data)
+    assert rows(sources.read_written_documents(spark, target)) == want
+    latin = spark.createDataFrame([("l", "Größe é")], df.schema)
+    sinks.write_documents(latin, target, encoding="ISO-8859-1")  # replaces both parts
+    assert rows(sources.read_written_documents(spark, target)) == [("l", "Größe é", None)]
+    for bad, said in (([("x", "a"), ("x", "b")], "two documents named x"), ([(None, "a")], "without a name")):
+        with pytest.raises(Exception, match=said):
+            sinks.write_documents(spark.createDataFrame(bad, df.schema), target)
+    assert rows(sources.read_written_documents(spark, target)) == [("l", "Größe é", None)]
+
+
+def test_documents_lost_or_changed_are_reported(spark, rows, tmp_path):
+    target = tmp_path / "docs"
+    df = spark.createDataFrame([(n, f"text {n}") for n in "abc"], "document_name string, text string")
+    sinks.write_documents(df, str(target))
+    (lost,) = (target / "files" / "document_name=a").glob("part-*")
+    lost.unlink()
+    (changed,) = (target / "files" / "document_name=b").glob("part-*")
+    changed.with_name("." + changed.name + ".crc").unlink(missing_ok=True)
+    changed.write_text("text x\n")
+    more = target / "files" / "document_name=d"
+    more.mkdir()
+    (more / "part-0.txt").write_text("not on the list\n")
+    assert rows(sources.read_written_documents(spark, str(target))) == [
+        ("a", None, "not there"), ("b", None, "not as it was written"), ("c", "text c", None)
+    ]
+
+
+def test_scratch_goes_with_its_scope(spark):
+    before = settle(spark.range(2), "kept")
+    with scratch_scope(spark):
+        inner = settle(spark.range(3), "gone")
+        assert inner.count() == 3
+        folder = inner.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file:")
+        assert os.path.isdir(folder.replace("///", "/"))
+    assert not os.path.isdir(folder.replace("///", "/")) and before.count() == 2
