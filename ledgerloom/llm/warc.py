@@ -163,12 +163,21 @@ def read_archive(data: bytes) -> Iterator[tuple[int, Record]]:
         yield start, parse_record(b"".join(parts))
 
 
-def _open_folder(folder: str):
+def _whole_address(spark: SparkSession, folder: str) -> str:
+    """The folder's address with its file system, as Spark's own readers see it.
+
+    A bare path is one of the default file system, which executors that only know
+    the path would look for on their own disks.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return files.makeQualified(path).toString()
+
+
+def _open_folder(address: str):
     from pyarrow import fs
 
-    if "://" not in folder and not folder.startswith("file:"):
-        return fs.LocalFileSystem(), folder
-    return fs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", folder))
+    return fs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", address))
 
 
 def _write_archives(folder: str):
@@ -245,7 +254,7 @@ def write_warc(
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(path)
     return settle(
-        rows.mapInArrow(_write_archives(folder), "file string, records bigint"), "archives"
+        rows.mapInArrow(_write_archives(_whole_address(spark, folder)), "file string, records bigint"), "archives"
     )
 
 
@@ -289,10 +298,11 @@ def _record_row(file: str, offset: int, record: Record) -> dict:
 def _reader(with_payload: bool, schema: pa.Schema):
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for file, content in zip(batch.column(0), batch.column(1)):
-                name, rows, size = file.as_py(), [], 0
+            for file, content, listed in zip(*[batch.column(i) for i in range(3)]):
+                name, rows, size, seen = file.as_py(), [], 0, 0
                 try:
                     for offset, record in read_archive(content.as_py()):
+                        seen += 1
                         row = _record_row(name, offset, record)
                         if not with_payload:
                             row["payload"] = None
@@ -301,6 +311,8 @@ def _reader(with_payload: bool, schema: pa.Schema):
                         if size > ARCHIVE_BYTES or len(rows) >= 4096:
                             yield pa.RecordBatch.from_pylist(rows, schema=schema)
                             rows, size = [], 0
+                    if listed.is_valid and listed.as_py() != seen:
+                        rows.append({"file": name, "error": f"{seen} of {listed.as_py()} records"})
                 except (WarcError, UnicodeDecodeError) as error:
                     rows.append({"file": name, "error": str(error)})
                 if rows:
@@ -314,9 +326,10 @@ def read_warc(
 ) -> DataFrame:
     """One row per record of the archives in ``folder``.
 
-    ``archives`` names the files that count (as `write_warc` returns them).
-    ``error`` is NULL for a record whose headers, lengths and payload digest
-    hold; an archive that breaks off gives one more row that says so.
+    ``archives`` names the files that count and their records (as `write_warc`
+    returns them). ``error`` is NULL for a record whose headers, lengths and
+    payload digest hold; an archive that breaks off, holds another number of
+    records than listed, or is not there gives one more row that says so.
     ``payloads=False`` leaves the payload NULL, the checks stay.
     """
     files = (
@@ -325,15 +338,23 @@ def read_warc(
         .load(folder)
         .select(F.element_at(F.split("path", "/"), -1).alias("file"), "content")
     )
-    if archives is not None:
-        files = files.join(archives.select("file"), "file", "left_semi")
+    if archives is None:
+        files = files.withColumn("records", F.lit(None).cast("bigint"))
+    else:
+        names = files.select("file")
+        files = files.join(archives.select("file", "records"), "file")
     schema = pa.schema(
         [
             (name, {"string": pa.string(), "bigint": pa.int64(), "binary": pa.binary()}[kind])
             for name, kind in (field.split(" ") for field in FIELDS.split(", "))
         ]
     )
-    return files.mapInArrow(_reader(payloads, schema), FIELDS)
+    records = files.select("file", "content", "records").mapInArrow(_reader(payloads, schema), FIELDS)
+    if archives is None:
+        return records
+    # Listings of a folder may lag behind, and archives may be lost.
+    absent = archives.join(names, "file", "left_anti").select("file", F.lit("the archive is not there").alias("error"))
+    return records.unionByName(absent, allowMissingColumns=True)
 
 
 def id_from_record(name: str) -> Column:

@@ -90,3 +90,41 @@ def test_a_wrong_digest_is_an_error():
     assert warc._record_row("f", 0, record)["error"] is None
     wrong = warc.Record(record.headers, record.block.replace(b"abc", b"abd"))
     assert warc._record_row("f", 0, wrong)["error"] == "payload digest does not fit"
+
+
+def test_archives_lost_or_cut_are_reported(spark, tmp_path):
+    pages = spark.range(40).selectExpr("id page_id", "'u' url", "concat('page ', id) html")
+    folder = str(tmp_path / "warc")
+    archives = warc.write_warc(pages, folder)
+    listed = archives.collect()
+    assert sum(r.records for r in listed) == 40
+    assert warc.read_warc(spark, folder, archives).where("error IS NOT NULL").count() == 0
+    more = archives.selectExpr("file", "records + 1 AS records").unionByName(
+        spark.createDataFrame([("lost.warc.zst", 5)], "file string, records bigint")
+    )
+    found = warc.read_warc(spark, folder, more)
+    errors = sorted(r.error for r in found.where("error IS NOT NULL").collect())
+    assert errors == sorted([f"{r.records} of {r.records + 1} records" for r in listed] + ["the archive is not there"])
+    assert found.where("error IS NULL").count() == 40
+
+
+def test_a_bare_path_means_the_default_file_system(spark, tmp_path):
+    """Executors get the address that Spark's readers use, not a path on their own disk."""
+    bare = str(tmp_path / "bare")
+    assert warc._whole_address(spark, bare) == f"file:{bare}"
+    assert warc._whole_address(spark, f"file:{bare}") == f"file:{bare}"
+    conf = spark._jsc.hadoopConfiguration()
+    before = conf.get("fs.defaultFS")
+    conf.set("fs.defaultFS", "viewfs://cluster/")
+    conf.set("fs.viewfs.mounttable.cluster.link./data", f"file:{tmp_path}")
+    try:
+        assert warc._whole_address(spark, "/data/warc") == "viewfs://cluster/data/warc"
+    finally:
+        conf.set("fs.defaultFS", before or "file:///")
+
+
+def test_extra_columns_are_not_written(spark, tmp_path):
+    pages = spark.range(3).selectExpr("id page_id", "'u' url", "'x' html", "'a' record_type", "1 records", "'f' file", "'k' _key")
+    archives = warc.write_warc(pages, str(tmp_path / "w"))
+    kinds = sorted(r.record_type for r in warc.read_warc(spark, str(tmp_path / "w"), archives).collect())
+    assert kinds == ["response", "revisit", "revisit"]
