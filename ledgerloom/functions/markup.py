@@ -11,6 +11,14 @@ from pyspark.sql import functions as F
 _REFERENCE = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value worked out once, however often it is used.
+
+    Whatever stands outside a lambda is worked out for every element otherwise.
+    """
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _character(code: Column) -> Column:
     """The character of a code point; what is none becomes the replacement character."""
     valid = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
@@ -34,24 +42,20 @@ def _decoded(reference: Column) -> Column:
 
 def decode_entities(text: Column) -> Column:
     """Named and numbered character references as characters; unknown names stay."""
-    plain = F.split(text, _REFERENCE, -1)
-    found = F.regexp_extract_all(text, F.lit(f"({_REFERENCE})"), F.lit(1))
-    mended = F.zip_with(
-        plain, found, lambda p, r: F.concat(p, F.coalesce(_decoded(r), F.lit("")))
-    )
-    return F.when(F.contains(text, F.lit("&")), F.array_join(mended, "")).otherwise(text)
 
+    def decoded(given: Column) -> Column:
+        plain = F.split(given, _REFERENCE, -1)
+        found = F.regexp_extract_all(given, F.lit(f"({_REFERENCE})"), F.lit(1))
+        mended = F.zip_with(
+            plain, found, lambda p, r: F.concat(p, F.coalesce(_decoded(r), F.lit("")))
+        )
+        return F.when(F.contains(given, F.lit("&")), F.array_join(mended, "")).otherwise(given)
 
-def _tag(tag: str) -> str:
-    return rf"(?is)</?{tag}(?=[\s/>])[^>]*>"
-
+    return bound(text, decoded)
 
-def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)`` with the value worked out once, however often it is used.
 
-    Whatever stands outside a lambda is worked out for every element otherwise.
-    """
-    return F.get(F.transform(F.array(value), use), F.lit(0))
+def _tag(tag: str) -> str:
+    return rf"(?is)</?{tag}(?=[\s/>])[^>]*>"
 
 
 def _running(values: Column, join: Callable[[Column, Column], Column]) -> Column:
@@ -71,7 +75,7 @@ def _running(values: Column, join: Callable[[Column, Column], Column]) -> Column
         reaches = F.array(*[F.lit(1 << k) for k in range(31)])
         return F.aggregate(F.filter(reaches, lambda reach: reach < F.size(given)), given, round_of)
 
-    return _bound(values, rounds)
+    return bound(values, rounds)
 
 
 def _spans(tags: Column) -> Column:
@@ -121,11 +125,11 @@ def _spans(tags: Column) -> Column:
         )
         return F.array_sort(F.filter(pairs, lambda p: p.isNotNull()))
 
-    found = _bound(
-        F.struct(tags.alias("tags"), _bound(sums, placed).alias("placed")),
-        lambda given: _bound(sorted_tags(given), paired),
+    found = bound(
+        F.struct(tags.alias("tags"), bound(sums, placed).alias("placed")),
+        lambda given: bound(sorted_tags(given), paired),
     )
-    return _bound(
+    return bound(
         F.size(tags),
         lambda end: F.transform(
             found, lambda p: F.struct(p["open"].alias("open"), F.coalesce(p["close"], end).alias("close"))
@@ -149,9 +153,14 @@ def element_bodies(html: Column, tag: str) -> Column:
             joined = F.zip_with(inside, between, lambda p, t: F.concat(p, F.coalesce(t, F.lit(""))))
             return F.array_join(joined, "")
 
-        return F.transform(_spans(page["tags"]), body)
+        # Where openings and closings take turns, every second piece is a body.
+        turns = F.array_join(
+            F.transform(page["tags"], lambda t: F.when(F.startswith(t, F.lit("</")), ")").otherwise("(")), ""
+        )
+        plain = F.filter(page["pieces"], lambda piece, i: i % 2 == 1)
+        return F.when(turns.rlike(r"\A(?:\(\))*+\z"), plain).otherwise(F.transform(_spans(page["tags"]), body))
 
-    return F.when(html.isNotNull(), _bound(F.struct(pieces.alias("pieces"), tags.alias("tags")), bodies))
+    return F.when(html.isNotNull(), bound(F.struct(pieces.alias("pieces"), tags.alias("tags")), bodies))
 
 
 def first_element(html: Column, tag: str) -> Column:

@@ -115,12 +115,11 @@ def html_rows(
     rows = tables.select(
         key, F.posexplode(element_bodies(F.col("_table"), row_tag)).alias("row_no", "_row")
     ).where("row_no > 0")
-    cells = rows.select(
-        key, "row_no",
-        F.transform(element_bodies(F.col("_row"), cell_tag), element_text).alias("cells"),
-        F.coalesce(F.get(link_addresses(F.col("_row")), F.lit(0)), F.lit("")).alias("link"),
-    )
-    return cells.where(F.size("cells") >= min_cells)
+    cells = F.transform(element_bodies(F.col("_row"), cell_tag), element_text)
+    # By way of `inline`: a filter would be pushed below the parsing and run it twice.
+    enough = F.filter(F.array(F.struct(cells.alias("cells"))), lambda row: F.size(row["cells"]) >= min_cells)
+    link = F.coalesce(F.get(link_addresses(F.col("_row")), F.lit(0)), F.lit(""))
+    return rows.select(key, "row_no", link.alias("link"), F.inline(enough)).select(key, "row_no", "cells", "link")
 
 
 def report_index(rows: DataFrame, folder: str) -> DataFrame:
