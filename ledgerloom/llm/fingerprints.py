@@ -192,8 +192,9 @@ def _ranges(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     own = F.struct(F.col("_range").alias("_range"), F.lit(False).alias("_copy"))
     copy = F.struct(F.col("_target").alias("_range"), F.lit(True).alias("_copy"))
     places = F.when(F.col("_target").isNull(), F.array(own)).otherwise(F.array(own, copy))
-    return marked.select("id", "_given_id", "_text", F.inline(places)).repartition(
-        parts, "_range"
+    # A range is a partition: dealt by hash, some would meet in one and leave others empty.
+    return marked.select("id", "_given_id", "_text", F.inline(places)).repartitionById(
+        parts, F.col("_range")
     ).sortWithinPartitions("_range", "_copy", F.desc("id"), F.col("_text").asc_nulls_first())
 
 

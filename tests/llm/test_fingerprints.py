@@ -2,7 +2,10 @@ import hashlib
 import random
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 from ledgerloom.llm.fingerprints import (
+    _ranges,
     DIGITS,
     fingerprint_edits,
     fingerprint_texts,
@@ -77,3 +80,14 @@ def test_added_column(spark):
     out = fingerprint_texts(df)
     assert out.count() == len(ROWS) and set(out.columns) == set(df.columns)
     assert fingerprint_texts(documents(spark, [])).count() == 0
+
+
+def test_every_range_is_a_partition(spark):
+    docs = spark.range(4000).selectExpr("id doc_id", "concat('text ', id) text")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        dealt = _ranges(docs, "doc_id", "text")
+        sizes = [r["count"] for r in dealt.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert len(sizes) == 16 and max(sizes) < 2 * min(sizes)
