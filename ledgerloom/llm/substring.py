@@ -21,6 +21,7 @@ from ledgerloom.llm.words import (
     within_text,
     word_chunks,
 )
+from ledgerloom.operators.sketches import key_filter, may_be_key
 from ledgerloom.session import settle
 
 # Words per window, and per minimiser.
@@ -30,7 +31,12 @@ MINIMISER = 3
 BUCKET_BYTES = 4 << 20
 # Packed bytes that a task gathers before it deals them to the buckets.
 GATHERED = 16 << 20
+# Zstandard level of the rows that go to the buckets: what shuffles is the bulk of all data.
+LEVEL = 6
 SLOTS = 16
+# Bits of the filter that tells which texts have runs: about 1 in 16 others passes
+# it at six million texts with runs.
+FILTER_BITS = 1 << 25
 # An id that sorts behind all others stands in for NULL.
 NO_ID = (1 << 63) - 1
 
@@ -136,7 +142,7 @@ def _dealt(runs: list[tuple], buckets: int) -> Iterator[pa.RecordBatch]:
     rows = []
     for a, z in zip(cuts.tolist(), ends.tolist()):
         part = [own[a:z], mark[a:z], place[a:z], length[a:z], data[bytes_at[a] : bytes_at[z]]]
-        rows.append((int(bucket[a]), pack(part)))
+        rows.append((int(bucket[a]), pack(part, LEVEL)))
         if len(rows) >= 256:
             yield to_batch(rows)
             rows = []
@@ -285,7 +291,8 @@ def drop_repeated_passages(
     inside a task's chunk travels once, for its smallest id there, so a passage
     found in a third of all documents is few rows. Minimisers that would fill a
     bucket are dealt out by the whole window instead; there are at most as many
-    as buckets. Windows are equal when all their words' 64-bit hashes are.
+    as buckets. Windows are equal when all their words' 64-bit hashes are. Texts
+    shuffle only if a filter of fixed size does not rule out that they have runs.
     """
     spark = docs.sparkSession
     bound_batches(spark)
@@ -316,7 +323,14 @@ def drop_repeated_passages(
     given = docs.withColumns(
         {"_rid": F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID)), "_rmark": _mark(text_col)}
     )
-    joined = given.join(per_text, ["_rid", "_rmark"], "left").select(*kept_names, "_runs")
+    # Texts that surely have no runs stay where they are; the others move to theirs.
+    marked = settle(
+        key_filter(runs.select(F.xxhash64("id", "mark").alias("key")).distinct(), "key", FILTER_BITS), "run-filter"
+    )
+    moves = may_be_key(marked, F.xxhash64("_rid", "_rmark"), FILTER_BITS)
+    moved = given.where(moves).join(per_text, ["_rid", "_rmark"], "left").select(*kept_names, "_runs")
+    none = F.lit(None).cast(per_text.schema["_runs"].dataType).alias("_runs")
+    joined = moved.unionAll(given.where(~moves).select(*kept_names, none))
     schema = docs.select(*kept_names).withColumns(
         {"n_words": F.lit(0).cast("bigint"), "n_removed": F.lit(0).cast("bigint"), "kept_text": F.lit("")}
     ).schema
