@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from html.entities import name2codepoint
 
@@ -27,9 +28,9 @@ def _character(code: Column) -> Column:
 
 
 def _decoded(reference: Column) -> Column:
-    names = F.create_map(
-        *[F.lit(x) for name, code in sorted(name2codepoint.items()) for x in (name, chr(code))]
-    )
+    # One literal instead of some five hundred, which every planning step would visit.
+    known = json.dumps({name: chr(code) for name, code in sorted(name2codepoint.items())})
+    names = F.from_json(F.lit(known), "map<string,string>")
     body = F.substring(reference, F.lit(2), F.length(reference) - 2)
     hexadecimal = F.conv(F.substring(body, F.lit(3), F.length(body)), 16, 10).try_cast("bigint")
     decimal = F.substring(body, F.lit(2), F.length(body)).try_cast("bigint")

@@ -155,7 +155,8 @@ def classified_firm_quarters(
         # Read twice, for the last dates and for the rows that have them.
         side = settle(board(df, prefix, columns), f"{prefix}-listings")
         listed = latest_join(listed, side, ("hkex_stock_code", f"_{prefix}_code"), f"_{prefix}_by")
-    found = J.left_lookup(quarters, listed, [("_firm", "_gvkey"), ("datacqtr", "_quarter")])
+    # Quarters without a key are few, and the window is not to run twice.
+    found = J.left_lookup(quarters, listed, [("_firm", "_gvkey"), ("datacqtr", "_quarter")], branch=False)
     return found.select(
         *firm_cols,
         *opinion_cols,
