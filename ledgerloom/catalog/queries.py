@@ -875,11 +875,9 @@ def export_set_contents(t):
 @query
 def streamed_flags(t):
     base = scratch_path(t.spark, "stream")
-    source = (
-        t.spark.readStream.schema(t.documents.schema)
-        .option("pathGlobFilter", "documents.parquet")
-        .parquet(t.folder)
-    )
+    # The table may be a file or a folder of files. A stream takes a plain path for a folder; a
+    # pattern, here of one name, stands for either.
+    source = t.spark.readStream.schema(t.documents.schema).parquet(f"{t.folder}/documents[.]parquet")
     arriving = S.reports(_Stream(source))
     stream.flag_stream(arriving, f"{base}/flags", f"{base}/checkpoint").awaitTermination()
     return stream.read_flags(t.spark, f"{base}/flags")

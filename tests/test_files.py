@@ -5,6 +5,8 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerloom.catalog import shapes as S
+from ledgerloom.catalog.queries import QUERIES
 from ledgerloom.operators.reports import phrase_flags, slice_documents
 from ledgerloom.session import scratch_path, settle
 from ledgerloom.sinks import files as sinks
@@ -162,3 +164,18 @@ def test_a_replayed_batch_replaces_its_rows(spark, rows, tmp_path):
         source = spark.readStream.schema(df.schema).parquet(str(tmp_path / "docs"))
         stream.flag_stream(source, out, str(tmp_path / attempt)).awaitTermination()
     assert rows(stream.read_flags(spark, out), "document_name") == [("r_20140630",), ("r_20150630",)]
+
+
+def test_a_table_in_several_files_is_streamed(spark, rows, tmp_path):
+    data = [(i, f"notes\nAudit that {i}\n", "en", f"src{i % 3}", 20) for i in range(6)]
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    df = spark.createDataFrame(data, schema)
+    df.repartition(3).write.parquet(str(tmp_path / "folder" / "documents.parquet"))
+    df.coalesce(1).write.parquet(str(tmp_path / "whole"))
+    (part,) = (tmp_path / "whole").glob("part-*")
+    (tmp_path / "file").mkdir()
+    part.rename(tmp_path / "file" / "documents.parquet")
+    want = rows(phrase_flags(slice_documents(S.reports(S.Tables(spark, str(tmp_path / "file"))))))
+    assert len(want) == 6
+    for kind in ("folder", "file"):
+        assert rows(QUERIES["streamed_flags"](spark, str(tmp_path / kind))) == want
