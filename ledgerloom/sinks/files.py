@@ -7,6 +7,7 @@ leaves the same files; tables and exports are whole at any time.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -39,12 +40,16 @@ def _swap_in(spark: SparkSession, fresh: str, target: str) -> None:
 
 def _replace_folder(writer: DataFrameWriter, spark: SparkSession, target: str) -> None:
     """Write beside ``target`` and swap; a failed write leaves ``target`` as it was."""
+    _replace_with(lambda fresh: writer.mode("errorifexists").save(fresh), spark, target)
+
+
+def _replace_with(write: Callable[[str], None], spark: SparkSession, target: str) -> None:
     target = target.rstrip("/")
     parent, _, name = target.rpartition("/")
     # Spark's readers pass over names with a leading underscore.
     fresh = f"{parent}/_{name}-{uuid.uuid4().hex}"
     try:
-        writer.mode("errorifexists").save(fresh)
+        write(fresh)
     except BaseException:
         path = spark._jvm.org.apache.hadoop.fs.Path(fresh)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
@@ -136,6 +141,60 @@ def export_keys(df: DataFrame, target: str, distinct: bool = True) -> None:
     ).text(target)
 
 
+def _mounted(spark: SparkSession, folder: str) -> str | None:
+    """The plain path of a folder in a mounted file system; None in any other store."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    whole = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toUri()
+    return whole.getPath() if whole.getScheme() == "file" else None
+
+
+def _write_bodies(rows: DataFrame, key: str, folder: str, ending: str, head: bytes, most: int) -> None:
+    """The binary ``_body`` of every row as a line in a file of its task and key, below ``folder``.
+
+    Without Hadoop's native library Spark's writers start three processes for every
+    file in a mounted file system, to set modes; this writes the file and no more. A
+    file gets its name when it is whole, so tasks may run twice. ``most`` is the
+    number of lines a file may have.
+    """
+    spark = rows.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"file:{folder}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(path)
+
+    def write(batches: Iterator) -> Iterator:
+        import os
+        import uuid
+
+        import pyarrow as pa
+        from pyspark import TaskContext
+
+        task, attempt = TaskContext.get().partitionId(), uuid.uuid4().hex
+        odd = {chr(i): f"%{i:02X}" for i in (*range(1, 32), 127, *b"\"#%'*/:=?\\{[]^")}
+        now, file, lines, count = None, None, 0, 0
+
+        def close():
+            if file:
+                file.close()
+                os.replace(file.name, f"{os.path.dirname(file.name)}/part-{task:05d}-{count:05d}.{ending}")
+
+        for batch in batches:
+            for name, body in zip(*batch.columns):
+                name = name.as_py() or ""  # both go to one folder
+                if file is None or name != now or lines == most:
+                    close()
+                    count, lines = (count + 1 if file and name == now else 0), 0
+                    now, value = name, "".join(odd.get(c, c) for c in name) or "__HIVE_DEFAULT_PARTITION__"
+                    os.makedirs(own := f"{folder}/{key}={value}", exist_ok=True)
+                    file = open(f"{own}/_{attempt}", "wb")
+                    file.write(head)
+                file.write(body.as_py() + b"\n")
+                lines += 1
+        close()
+        yield pa.RecordBatch.from_arrays([pa.array([], pa.int64())], ["none"])
+
+    named = rows.select(F.col(key).cast("string").alias(key), "_body").sortWithinPartitions(key)
+    named.mapInArrow(write, "none bigint").write.format("noop").mode("overwrite").save()
+
+
 def write_per_key(df: DataFrame, target: str, key: str = "stock_id", fmt: str = "csv") -> None:
     """A folder per key, each key in one task so that it has few files.
 
@@ -150,13 +209,23 @@ def write_per_key(df: DataFrame, target: str, key: str = "stock_id", fmt: str =
         spread = F.xxhash64(*df.columns, F.spark_partition_id())
         part = F.coalesce(F.pmod(spread, files), part)
         df = with_group_rows(df, [key], big)
-    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spark = df.sparkSession
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = df.withColumn("_part", part).repartition(tasks, key, "_part").drop("_part", "_rows")
+    most = 2 * MAX_FILE_ROWS
+    cells = {"quote": '"', "escape": '"'}
+    others = [c for c in dealt.columns if c != key]
+    if fmt == "csv" and others and _mounted(spark, target):
+        names = F.to_csv(F.struct(*[F.lit(c).alias(f"c{i}") for i, c in enumerate(others)]), cells)
+        head = spark.range(1).select(F.encode(names, "UTF-8").alias("head")).first().head
+        lines = dealt.select(key, F.encode(F.to_csv(F.struct(*others), cells), "UTF-8").alias("_body"))
+        _replace_with(
+            lambda fresh: _write_bodies(lines, key, _mounted(spark, fresh), "csv", bytes(head) + b"\n", most), spark, target
+        )
+        return
     (
-        df.withColumn("_part", part)
-        .repartition(tasks, key, "_part")
-        .drop("_part", "_rows")
-        .write.mode("overwrite")
-        .options(header="true", quote='"', escape='"', maxRecordsPerFile=str(2 * MAX_FILE_ROWS))
+        dealt.write.mode("overwrite")
+        .options(header="true", maxRecordsPerFile=str(most), **cells)
         .partitionBy(key)
         .format(fmt)
         .save(target)
@@ -186,9 +255,16 @@ def write_documents(
         once.cast("bigint").alias("bytes"), F.max(F.sha2("_body", 256)).alias("digest")
     )
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # The bytes go through as they are, whatever the encoding.
-    lines = bodies.select("document_name", F.col("_body").cast("string").alias("value")).repartition(tasks, "document_name")
+    dealt = bodies.repartition(tasks, "document_name")
     target = folder.rstrip("/")
     count = replace_table(listed, f"{target}/list")
-    _replace_folder(lines.write.partitionBy("document_name").format("text"), spark, f"{target}/files")
+
+    def write(fresh: str) -> None:
+        if plain := _mounted(spark, fresh):
+            return _write_bodies(dealt, "document_name", plain, "txt", b"", 1)
+        # The bytes go through as they are, whatever the encoding.
+        lines = dealt.select("document_name", F.col("_body").cast("string").alias("value"))
+        lines.write.partitionBy("document_name").text(fresh)
+
+    _replace_with(write, spark, f"{target}/files")
     return count

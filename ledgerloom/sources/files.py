@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -15,6 +18,8 @@ from ledgerloom.operators.positions import running_total
 from ledgerloom.session import settle
 from ledgerloom.sources.records import parse_records, read_records
 
+LISTERS = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+
 
 def _or_empty(spark: SparkSession, schema: StructType, read) -> DataFrame:
     try:
@@ -25,6 +30,17 @@ def _or_empty(spark: SparkSession, schema: StructType, read) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
+@contextmanager
+def _few_listers(spark: SparkSession) -> Iterator[None]:
+    """List folders by a few tasks a core; a task for each, up to ten thousand, costs more than its listing."""
+    before = spark.conf.get(LISTERS)
+    spark.conf.set(LISTERS, str(min(int(before), 16 * spark.sparkContext.defaultParallelism)))
+    try:
+        yield
+    finally:
+        spark.conf.set(LISTERS, before)
+
+
 def read_csv_table(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame:
     """A CSV table under an explicit schema, its files with a header each.
 
@@ -106,6 +122,12 @@ def read_sheets(
     return grid.select("source_file", "row_idx", "cells")
 
 
+def read_per_key(spark: SparkSession, folder: str, schema: str) -> DataFrame:
+    """The CSV files of ``sinks.files.write_per_key``; ``schema`` ends with the key."""
+    with _few_listers(spark):
+        return spark.read.schema(schema).options(header="true", quote='"', escape='"').csv(folder)
+
+
 def read_id_list(spark: SparkSession, path: str) -> DataFrame:
     """``seq, id`` from text files: stripped, blank lines dropped; no file, no ids.
 
@@ -142,18 +164,16 @@ def read_written_documents(spark: SparkSession, folder: str) -> DataFrame:
     base = folder.rstrip("/")
     listed = spark.read.parquet(f"{base}/list")
     schema = "path string, modificationTime timestamp, length bigint, content binary, document_name string"
-    files = spark.read.format("binaryFile").schema(schema).load(f"{base}/files")
+    with _few_listers(spark):
+        files = spark.read.format("binaryFile").schema(schema).load(f"{base}/files")
     body = F.substring("content", F.lit(1), F.col("bytes").cast("int"))
     whole = (F.col("length") == F.col("bytes") + 1) & (F.sha2("_body", 256) == F.col("digest"))
-    found = files.join(listed, "document_name").withColumn("_body", body).select(
+    wrong = F.when(F.col("length").isNull(), "not there").otherwise("not as it was written")
+    return listed.join(files, "document_name", "left").withColumn("_body", body).select(
         "document_name",
         F.when(whole, decode_text(F.col("_body"))).alias("text"),
-        F.when(~whole, F.lit("not as it was written")).alias("error"),
-    )
-    absent = listed.join(files.select("document_name"), "document_name", "left_anti").select(
-        "document_name", F.lit(None).cast("string").alias("text"), F.lit("not there").alias("error")
+        F.when(whole, None).otherwise(wrong).alias("error"),
     )
-    return found.unionByName(absent)
 
 
 def ids_from_file_names(

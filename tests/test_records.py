@@ -168,3 +168,29 @@ def test_scratch_goes_with_its_scope(spark):
         folder = inner.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file:")
         assert os.path.isdir(folder.replace("///", "/"))
     assert not os.path.isdir(folder.replace("///", "/")) and before.count() == 2
+
+
+def test_a_document_is_one_file_in_either_store(spark, rows, tmp_path, monkeypatch):
+    data = [("007", "two\nlines\n"), ('a/b "c"+d%[x]^', "é審"), ("z=1", ""), ("none", None)]
+    df = spark.createDataFrame(data, "document_name string, text string")
+    monkeypatch.setattr(sinks, "MAX_FILE_ROWS", 2)
+    per_key = spark.createDataFrame(
+        [(k, i, v) for i, v in enumerate(["a", None, "", 'say "x",\tthen', " b "]) for k in ("1", "x y:z", "", None)],
+        "stock_id string, n int, title string",
+    )
+    found = []
+    for kind in ("mounted", "other"):
+        if kind == "other":  # Spark's writers
+            monkeypatch.setattr(sinks, "_mounted", lambda spark, folder: None)
+        target = tmp_path / kind
+        sinks.write_documents(df, f"{target}/docs")
+        sinks.write_per_key(per_key, f"{target}/keys")
+        back = sources.read_per_key(spark, f"{target}/keys", "n int, title string, stock_id string")
+        found.append((
+            rows(sources.read_written_documents(spark, f"{target}/docs")), rows(back),
+            sorted(p.name for p in (target / "docs/files").iterdir() if "=" in p.name),
+            sorted(p.name for p in (target / "keys").iterdir() if "=" in p.name),
+        ))
+        if kind == "mounted":  # and no file of checksums, mode or success beside it
+            assert [len(list(p.iterdir())) for p in (target / "docs/files").iterdir()] == [1] * 4
+    assert found[0] == found[1] and len(found[0][1]) == 20
