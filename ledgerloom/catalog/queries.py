@@ -789,9 +789,7 @@ def order_positions(t):
 def release_files_round_trip(t):
     target = scratch_path(t.spark, "releases")
     sinks.write_per_key(S.release_summary(t), target, "stock_id")
-    return t.spark.read.schema("seq bigint, status string, stock_id string").option(
-        "header", "true"
-    ).csv(target)
+    return sources.read_per_key(t.spark, target, "seq bigint, status string, stock_id string")
 
 
 @query
