@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -145,8 +146,8 @@ class LanguageModel:
 def fit_languages(docs: DataFrame, text_col: str, lang_col: str, key: Column, usable: Column) -> LanguageModel | None:
     """A model from at most ``SAMPLE_ROWS`` usable rows; None without any.
 
-    Of every language the rows with the least ``key`` are taken. What comes to
-    the driver is their numbers and languages, and one feature row for each.
+    Of every language the rows with the least ``key`` are taken, and fitted on in
+    one task. What comes to the driver is the model.
     """
     bound_batches(docs.sparkSession)
     rows = docs.where(usable & F.col(lang_col).isNotNull()).select(
@@ -176,12 +177,21 @@ def fit_languages(docs: DataFrame, text_col: str, lang_col: str, key: Column, us
             rows = [features(t, table).astype(np.float16).tobytes() for t in texts]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.binary())], ["lang", "x"])
 
+    def learned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        given, rows = [], []
+        for batch in batches:
+            given += batch.column(0).to_pylist()
+            rows += [np.frombuffer(x, dtype=np.float16) for x in batch.column(1).to_pylist()]
+        parts = vars(LanguageModel(given, np.stack(rows).astype(np.float32)))
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(parts)], pa.binary())], ["model"])
+
     found = (
         sample.select("_lang", "_text").mapInArrow(measured, "lang string, x binary")
-        .orderBy("lang", "x").limit(2 * SAMPLE_ROWS + langs).collect()
+        .orderBy("lang", "x").limit(2 * SAMPLE_ROWS + langs).mapInArrow(learned, "model binary")
     )
-    x = np.stack([np.frombuffer(bytes(row.x), dtype=np.float16) for row in found]).astype(np.float32)
-    return LanguageModel([row.lang for row in found], x)
+    model = LanguageModel.__new__(LanguageModel)
+    vars(model).update(pickle.loads(settle(found, "language-model").first().model))
+    return model
 
 
 def identify_languages(

@@ -47,3 +47,17 @@ def test_little_to_learn_from(spark):
     one = fit_languages(df.where("lang = 'en'"), "text", "lang", F.col("doc_id"), F.lit(True))
     assert {r.lang_pred for r in identify_languages(df, one).collect()} == {"und", "en"}
     assert identify_languages(documents(spark, []), one).count() == 0
+
+
+def test_the_model_is_not_fitted_in_the_driver(spark, monkeypatch):
+    def fails(*given):
+        raise AssertionError("fitted in the driver")
+
+    texts = [(i, "the cat sat there" if i % 2 else "die Katze sitzt dort", "en" if i % 2 else "de") for i in range(20)]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string, lang string")
+    with monkeypatch.context() as patch:
+        patch.setattr(language.pickle, "loads", fails)
+        with pytest.raises(AssertionError, match="in the driver"):  # the fitted model comes in as bytes
+            language.fit_languages(docs, "text", "lang", F.col("doc_id"), F.lit(True))
+    model = language.fit_languages(docs, "text", "lang", F.col("doc_id"), F.lit(True))
+    assert model.langs == ["de", "en"] and len(model.machines) == 1
