@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerloom.operators import similarity
 from ledgerloom.operators.positions import running_total
 from ledgerloom.operators.reports import texts_for_paths
 from ledgerloom.operators.similarity import nearest_vectors
@@ -110,3 +111,29 @@ def test_nearest_vectors_of_few_and_none(spark):
     assert [(r.rank, r.vec_id, r.score) for r in found.orderBy("rank").collect()] == [(1, 5, 1.0), (2, 6, 0.0)]
     found, took = nearest_vectors(spark.createDataFrame([], schema), asked, 5)
     assert found.count() == 0 and took.first().compared == 0
+
+
+def test_near_vectors_come_from_blocks_and_not_pair_by_pair(spark, monkeypatch):
+    monkeypatch.setattr(similarity, "BLOCK_ROWS", 100)
+    monkeypatch.setattr(similarity, "QUERY_ROWS", 10)
+    monkeypatch.setattr(similarity, "SCORES", 300)
+    rnd = random.Random(4)
+    vectors = [(i, [rnd.gauss(0, 1) for _ in range(16)]) for i in range(1000)]
+    vectors += [(1000 + i, list(vectors[0][1])) for i in range(200)]  # copies of a query
+    queries = vectors[:1000:40]
+    given = spark.createDataFrame(vectors, "vec_id bigint, embedding array<double>").repartition(3)
+    asked = spark.createDataFrame(queries, "query_id bigint, embedding array<double>")
+    found, took = nearest_vectors(given, asked, 3)
+    assert sorted((r.query_id, r.rank, r.vec_id) for r in found.collect()) == [w[:3] for w in brute(vectors, queries, 3)]
+    assert took.first().compared > 3 * len(queries)
+    ranked = []
+
+    def walk(node):
+        if "Window" == node.nodeName():
+            ranked.append(node)
+        children = node.children()
+        for i in range(children.size()):
+            walk(children.apply(i))
+
+    walk(found._jdf.queryExecution().sparkPlan())
+    assert ranked and "FlatMapCoGroupsInArrow" in ranked[0].toString()  # the rows that are ranked are the best of blocks
