@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.cells import key_column
 from ledgerloom.functions.codes import on_or_after
 from ledgerloom.operators import joins as J
-from ledgerloom.operators.latest import latest_join, one_per_group
+from ledgerloom.operators.latest import latest_rows, one_per_group
 from ledgerloom.operators.sets import entity_master, ordinary_shares, union_distinct
 from ledgerloom.session import settle
 
@@ -123,7 +123,8 @@ def classified_firm_quarters(
     Fundamentals and opinions are each cut to one row per firm and quarter
     before they meet, which picks the same pair as cutting their join would
     (the order compares the fundamentals row first) without its fan-out. The
-    listings join the opinions, which are few, and not the quarters.
+    listings are cut to the latest before they meet anything, and join last, for the
+    quarters with a code alone.
     """
     firm_cols = funda_q.columns
     quarters = one_per_group(
@@ -148,15 +149,19 @@ def classified_firm_quarters(
             *[F.col(c).alias(f"_{prefix}_{c}") for c in (*SHARED_LISTING_COLUMNS, *columns)],
         )
 
-    listed = settle(keyed, "opinions")  # looked at for NULL codes and for the others
+    keyed = settle(keyed, "opinions")  # read for their codes and for the quarters
+    # What is wide is looked up once per code, and moves once per quarter with an opinion.
+    listed = keyed.select(F.col("hkex_stock_code").alias("_code")).where(F.col("_code").isNotNull()).distinct()
     for prefix, df, columns in (
         ("gem", gem, GEM_LISTING_COLUMNS), ("main", main, MAIN_LISTING_COLUMNS)
     ):
-        # Read twice, for the last dates and for the rows that have them.
-        side = settle(board(df, prefix, columns), f"{prefix}-listings")
-        listed = latest_join(listed, side, ("hkex_stock_code", f"_{prefix}_code"), f"_{prefix}_by")
+        last = latest_rows(board(df, prefix, columns), f"_{prefix}_code", f"_{prefix}_by")
+        listed = J.left_lookup(listed, last, [("_code", f"_{prefix}_code")], branch=False)
+    listed = settle(listed, "listings")
     # Quarters without a key are few, and the window is not to run twice.
-    found = J.left_lookup(quarters, listed, [("_firm", "_gvkey"), ("datacqtr", "_quarter")], branch=False)
+    found = J.left_lookup(quarters, keyed, [("_firm", "_gvkey"), ("datacqtr", "_quarter")], branch=False)
+    found = settle(found.select(*firm_cols, *opinion_cols), "firm-quarters")
+    found = J.left_lookup(found, listed, [("hkex_stock_code", "_code")])
     return found.select(
         *firm_cols,
         *opinion_cols,

@@ -9,8 +9,10 @@ import __spark_entry__ as entry_points
 from ledgerloom.operators import joins as J
 from ledgerloom.operators import reports as R
 from ledgerloom.operators import silver as V
+from ledgerloom.operators import latest
 from ledgerloom.operators.latest import latest_per_key
 from ledgerloom.plans import views
+from ledgerloom.session import settle
 from ledgerloom.sources import files as sources
 
 FOLDER = "/root/testdata/sf0.001"
@@ -118,3 +120,24 @@ def test_no_size_switches_are_left():
                     text = file.read()
                 for word in (".limit(", "F.broadcast(", "inputFiles(", ".collect()"):
                     assert word not in text, (name, word)
+
+
+def test_rows_that_are_not_the_latest_do_not_move(spark, tmp_path):
+    spark.range(4000).selectExpr("id % 100 AS k", "cast(id div 100 AS string) AS d", "repeat(sha2(cast(id AS string), 256), 4) AS wide").write.parquet(
+        f"{tmp_path}/rows"
+    )
+    spark.range(100).selectExpr("id AS part", "concat('p', id) AS name").write.parquet(f"{tmp_path}/parts")
+    parts = spark.read.parquet(f"{tmp_path}/parts")
+    wide = spark.read.parquet(f"{tmp_path}/rows").join(parts, F.col("k") == F.col("part"))
+    settled = []
+    monkey = pytest.MonkeyPatch()
+    monkey.setattr(latest, "settle", lambda df, label: settled.append((label, df)) or settle(df, label))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = latest.latest_rows(wide, "k", "d")
+        assert sorted((r.k, r.d, r.name) for r in got.collect()) == sorted((i, "9", f"p{i}") for i in range(100))
+        text = plan(dict(settled)["latest-rows"])
+        assert text.index("getbit") > text.index("Join [k") and "wide" in text
+    finally:
+        monkey.undo()
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
