@@ -38,9 +38,9 @@ def cell(cells: Column, index: int) -> Column:
 
 def clean_cells(cells: Column, quotes: bool = True) -> Column:
     """Flatten line breaks in all cells and, by default, blank quote-only cells."""
-    if quotes:
-        return F.transform(cells, lambda c: blank_quotes(flatten_breaks(c)))
-    return F.transform(cells, flatten_breaks)
+    flat = F.transform(cells, flatten_breaks)
+    # A step of its own: in one, each use of the flat cell would flatten it again.
+    return F.transform(flat, blank_quotes) if quotes else flat
 
 
 def filled_cells(cells: Column) -> Column:

@@ -119,3 +119,10 @@ def test_union_of_files_with_different_columns(spark, rows):
     a = spark.createDataFrame([(1, "x")], "k int, a string")
     b = spark.createDataFrame([(2, "y")], "k int, b string")
     assert rows(G.union_files([a, b])) == [(1, "x", None), (2, None, "y")]
+
+
+def test_cells_are_flattened_once(spark):
+    sheets = spark.createDataFrame([(['""', "a\r\n\nb", "", None, '"\n"', "c"],)], "cells array<string>")
+    clean = sheets.select(cells.clean_cells(F.col("cells")).alias("cells"))
+    assert clean.first().cells == [None, "a b", "", None, '" "', "c"]
+    assert clean._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace") == 1
