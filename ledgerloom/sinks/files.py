@@ -17,6 +17,10 @@ from ledgerloom.operators.neighbours import big_groups, with_group_rows
 # Rows per output file, so that one hot key does not make one endless file.
 MAX_FILE_ROWS = 5_000_000
 
+# What Spark's writers put for a character in the name of a key's folder, and for no key.
+FOLDER_CODES = {i: f"%{i:02X}" for i in (*range(1, 32), 127, *b"\"#%'*/:=?\\{[]^")}
+NO_KEY = "__HIVE_DEFAULT_PARTITION__"
+
 
 def _swap_in(spark: SparkSession, fresh: str, target: str) -> None:
     """Put the folder ``fresh`` in the place of ``target``, by renames only.
@@ -168,7 +172,6 @@ def _write_bodies(rows: DataFrame, key: str, folder: str, ending: str, head: byt
         from pyspark import TaskContext
 
         task, attempt = TaskContext.get().partitionId(), uuid.uuid4().hex
-        odd = {chr(i): f"%{i:02X}" for i in (*range(1, 32), 127, *b"\"#%'*/:=?\\{[]^")}
         now, file, lines, count = None, None, 0, 0
 
         def close():
@@ -182,7 +185,7 @@ def _write_bodies(rows: DataFrame, key: str, folder: str, ending: str, head: byt
                 if file is None or name != now or lines == most:
                     close()
                     count, lines = (count + 1 if file and name == now else 0), 0
-                    now, value = name, "".join(odd.get(c, c) for c in name) or "__HIVE_DEFAULT_PARTITION__"
+                    now, value = name, name.translate(FOLDER_CODES) or NO_KEY
                     os.makedirs(own := f"{folder}/{key}={value}", exist_ok=True)
                     file = open(f"{own}/_{attempt}", "wb")
                     file.write(head)

@@ -16,6 +16,7 @@ from ledgerloom.functions.text import decode_text
 from ledgerloom.operators.joins import semi_join
 from ledgerloom.operators.positions import running_total
 from ledgerloom.session import settle
+from ledgerloom.sinks.files import FOLDER_CODES, NO_KEY, _mounted
 from ledgerloom.sources.records import parse_records, read_records
 
 LISTERS = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
@@ -30,6 +31,11 @@ def _or_empty(spark: SparkSession, schema: StructType, read) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
+def _exists(spark: SparkSession, folder: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
 @contextmanager
 def _few_listers(spark: SparkSession) -> Iterator[None]:
     """List folders by a few tasks a core; a task for each, up to ten thousand, costs more than its listing."""
@@ -154,22 +160,88 @@ def read_documents(spark: SparkSession, glob: str) -> DataFrame:
     )
 
 
+def _with_contents(listed: DataFrame, folder: str) -> DataFrame:
+    """The listed documents with ``length`` and ``content`` of the files in their folders below ``folder``.
+
+    Each task looks into the folders of its documents. Spark's reader would list all
+    files on the driver first, and hold a folder, a file and a share of a task for
+    each document. Like that reader, this passes over names with a leading underscore
+    or dot, and gives a row per file, or one without a length. Contents of another
+    length than listed are not read.
+    """
+
+    def read(batches: Iterator) -> Iterator:
+        import os
+
+        import pyarrow as pa
+
+        columns = ["document_name", "bytes", "digest", "length", "content"]
+        types = [pa.string(), pa.int64(), pa.string(), pa.int64(), pa.binary()]
+
+        def lost(error):
+            if not isinstance(error, FileNotFoundError):
+                raise error
+
+        def files(name):
+            if name in ("", NO_KEY):  # one folder, which stands for no name
+                return
+            own = f"{folder}/document_name={name.translate(FOLDER_CODES)}"
+            for place, below, names in os.walk(own, onerror=lost):
+                below[:] = [n for n in below if n[0] not in "_."]
+                yield from (f"{place}/{n}" for n in names if n[0] not in "_.")
+
+        def contents(name, size):
+            there = False
+            for path in files(name):
+                there = True
+                with open(path, "rb") as file:
+                    length = os.fstat(file.fileno()).st_size
+                    yield length, file.read() if length == size + 1 else None
+            if not there:
+                yield None, None
+
+        def made(rows):
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], columns)
+
+        rows, held = [], 0
+        for batch in batches:
+            for name, size, digest in zip(*(c.to_pylist() for c in batch.columns)):
+                for length, content in contents(name, size):
+                    rows.append((name, size, digest, length, content))
+                    held += len(content or b"")
+                    if held >= 1 << 23 or len(rows) == 10_000:
+                        yield made(rows)
+                        rows, held = [], 0
+        if rows:
+            yield made(rows)
+
+    tasks = int(listed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = listed.select("document_name", "bytes", "digest").repartition(tasks, "document_name")
+    return dealt.mapInArrow(read, "document_name string, bytes bigint, digest string, length bigint, content binary")
+
+
 def read_written_documents(spark: SparkSession, folder: str) -> DataFrame:
     """``document_name, text, error`` of the documents that ``sinks.files.write_documents`` lists.
 
     The text is decoded as UTF-8 or else Latin-1. ``error`` is NULL where the file
     holds what the list says; otherwise it says what is wrong, and the text is
-    NULL. Files that are not on the list do not count.
+    NULL. Files that are not on the list do not count. In a mounted file system
+    nothing is listed on the driver; elsewhere it holds the list of all files.
     """
     base = folder.rstrip("/")
     listed = spark.read.parquet(f"{base}/list")
-    schema = "path string, modificationTime timestamp, length bigint, content binary, document_name string"
-    with _few_listers(spark):
-        files = spark.read.format("binaryFile").schema(schema).load(f"{base}/files")
+    plain = _mounted(spark, f"{base}/files")
+    if plain and _exists(spark, f"{base}/files"):
+        found = _with_contents(listed, plain)
+    else:
+        schema = "path string, modificationTime timestamp, length bigint, content binary, document_name string"
+        with _few_listers(spark):
+            files = spark.read.format("binaryFile").schema(schema).load(f"{base}/files")
+        found = listed.join(files, "document_name", "left")
     body = F.substring("content", F.lit(1), F.col("bytes").cast("int"))
     whole = (F.col("length") == F.col("bytes") + 1) & (F.sha2("_body", 256) == F.col("digest"))
     wrong = F.when(F.col("length").isNull(), "not there").otherwise("not as it was written")
-    return listed.join(files, "document_name", "left").withColumn("_body", body).select(
+    return found.withColumn("_body", body).select(
         "document_name",
         F.when(whole, decode_text(F.col("_body"))).alias("text"),
         F.when(whole, None).otherwise(wrong).alias("error"),

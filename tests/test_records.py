@@ -8,6 +8,7 @@ import random
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from ledgerloom.session import scratch_scope, settle
@@ -194,3 +195,45 @@ def test_a_document_is_one_file_in_either_store(spark, rows, tmp_path, monkeypat
         if kind == "mounted":  # and no file of checksums, mode or success beside it
             assert [len(list(p.iterdir())) for p in (target / "docs/files").iterdir()] == [1] * 4
     assert found[0] == found[1] and len(found[0][1]) == 20
+
+
+def test_the_driver_does_not_list_documents(spark, rows, tmp_path, monkeypatch):
+    target = tmp_path / "docs"
+    data = [(str(i), f"é {i}\n" * i) for i in range(30)]
+    data += [(n, "x") for n in ("", "__HIVE_DEFAULT_PARTITION__", "a/b%[c]", "_u", "twice", "hidden", "inner", "gone", "long")]
+    sinks.write_documents(spark.createDataFrame(data, "document_name string, text string"), str(target))
+    own = lambda name: target / "files" / f"document_name={name}"
+    (own("twice") / "more.txt").write_text("y\n")
+    for name in ("inner", "gone", "hidden"):
+        (part,) = own(name).glob("part-*")
+        if name == "inner":
+            (own(name) / "deep").mkdir()
+            (own(name) / "deep" / "_kept").mkdir()
+            (own(name) / "deep" / "_kept" / "part.txt").write_text("x\n")
+            (own(name) / "deep" / part.name).write_text("x\n")
+        part.unlink()
+        if name != "inner":
+            (own(name) / "_part.txt").write_text("x\n")
+            (own(name) / ".part.txt").write_text("x\n")
+    own("gone").joinpath("_part.txt").unlink()
+    own("gone").joinpath(".part.txt").unlink()
+    own("gone").rmdir()
+    (part,) = own("long").glob("part-*")
+    part.write_text("x\nx")
+    back = sources.read_written_documents(spark, str(target))
+    assert not [f for f in back.inputFiles() if "/files/" in f]
+    assert back.rdd.getNumPartitions() == 4  # and tasks do not grow with the files
+    got = rows(back)
+    monkeypatch.setattr(sources, "_mounted", lambda spark, folder: None)
+    assert got == rows(sources.read_written_documents(spark, str(target)))  # by Spark's reader
+    wrong = {(n, e) for n, _, e in got if e}
+    missing = {(n, "not there") for n in ("", "__HIVE_DEFAULT_PARTITION__", "hidden", "gone")}
+    assert wrong == missing | {("twice", "not as it was written"), ("long", "not as it was written")}
+    assert len(got) == len(data) + 1 and ("29", "é 29\n" * 29, None) in got
+
+
+def test_documents_without_their_folder_are_an_error(spark, tmp_path):
+    sinks.write_documents(spark.createDataFrame([("a", "x")], "document_name string, text string"), str(tmp_path))
+    (tmp_path / "files").rename(tmp_path / "aside")
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        sources.read_written_documents(spark, str(tmp_path))
